@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 SERVICE_DATE = "2024-01-01"
 
 
-def pings_from_events(events: DataFrame) -> DataFrame:
+def pings_from_events(events: DataFrame, foreign: bool = False) -> DataFrame:
+    """Event rows as pings; ``foreign`` gives error events a status that is neither 0 nor 1."""
     e, ts = F.col("event_id"), F.col("ts")
     # field arithmetic keeps a timestamp without zone independent of the session zone
     elapsed = (
@@ -29,6 +30,9 @@ def pings_from_events(events: DataFrame) -> DataFrame:
     lat = F.when(
         hub, F.lit(22.52) + ring * F.lit(0.01) + (jitter_lat % 60) / F.lit(20000.0)
     ).otherwise(F.lit(22.5) + (jitter_lat % 1000) / F.lit(10000.0))
+    status = F.when(F.col("event_type").isin("click", "purchase"), 0)
+    if foreign:
+        status = status.when(F.col("event_type") == "error", 2)
     return events.select(
         e.alias("seq"),
         F.col("user_id").alias("vehicle_id"),
@@ -36,10 +40,22 @@ def pings_from_events(events: DataFrame) -> DataFrame:
         F.floor(elapsed / 30).cast("long").alias("sec_of_day"),
         lng.alias("lng"),
         lat.alias("lat"),
-        F.when(F.col("event_type").isin("click", "purchase"), 0).otherwise(1).alias("open_status"),
+        status.otherwise(1).alias("open_status"),
         F.col("value").alias("speed"),
     )
 
 
-def read_events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pings_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+def read_events_view(spark: SparkSession, sf_dir: str, foreign: bool = False) -> DataFrame:
+    return pings_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"), foreign)
+
+
+def stream_events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pings as a file stream, with full timestamps."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return with_timestamps(pings_from_events(events))
+
+
+def with_timestamps(pings: DataFrame) -> DataFrame:
+    midnight = F.col("service_date").cast("timestamp")
+    return pings.withColumn("ts", F.timestamp_seconds(F.unix_seconds(midnight) + F.col("sec_of_day")))
