@@ -4,18 +4,32 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def exact_percentiles(df: DataFrame, column: str, fractions: list[float]) -> list[float | None]:
+def exact_percentiles(
+    df: DataFrame, column: str, fractions: list[float], keep: bool = True
+) -> list[float | None]:
     """Exact interpolated percentiles of one continuous column.
 
     ``percentile`` keeps every distinct value in one aggregation state, which grows
     with the data. Here an approximate pass brackets each wanted rank, a counting
     pass proves the brackets (they widen until they hold), and only values inside
-    them are ordered. The driver sees a handful of numbers.
+    them are ordered. The driver sees a handful of numbers. ``keep`` persists the one
+    column between passes; turn it off where reading it again is cheap (a plain scan).
     """
     values = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    if not keep:
+        return _percentiles(values, fractions)
+    values = values.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _percentiles(values, fractions)
+    finally:
+        values.unpersist()
+
+
+def _percentiles(values: DataFrame, fractions: list[float]) -> list[float | None]:
     n = values.count()
     if n == 0:
         return [None] * len(fractions)
@@ -64,8 +78,8 @@ def exact_percentiles(df: DataFrame, column: str, fractions: list[float]) -> lis
     ]
 
 
-def exact_median(df: DataFrame, column: str) -> float | None:
-    return exact_percentiles(df, column, [0.5])[0]
+def exact_median(df: DataFrame, column: str, keep: bool = True) -> float | None:
+    return exact_percentiles(df, column, [0.5], keep)[0]
 
 
 def sample_skewness(n: Column, m2: Column, m3: Column) -> Column:

@@ -35,7 +35,7 @@ def _profile_row(pings: DataFrame, p: Params) -> DataFrame:
 
 def quality_profile(pings: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """Rows (metric, value, pct): one aggregation of the pings, turned upright."""
-    median = exact_median(pings, "speed")
+    median = exact_median(pings, "speed", keep=False)
     row = _profile_row(pings, p).withColumn("speed_median", F.lit(median).cast("double"))
     counted = ("out_of_box", "occupied", "vacant", "other_status")
     plain = (

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tripweave.functions.clock import hour_label
 from tripweave.operators.hotspots import hotspot_ranking
 from tripweave.operators.spatial import heat_points
-from tripweave.operators.temporal import hourly_trend, kpis, period_stats
+from tripweave.operators.temporal import hourly_counts, hourly_trend, kpis, period_stats
 from tripweave.params import DEFAULTS, Params
 
 KPI_JSON = "total_trips long, total_vehicles long, avg_duration double, avg_distance double, avg_speed double"
@@ -34,14 +34,18 @@ def live_kpis(trips: DataFrame) -> DataFrame:
     return kpis(trips).select("total_trips", "total_vehicles", "avg_duration", "avg_distance", "avg_speed")
 
 
+def scalar_rows(trips: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """The rows of the cache that hold one number: hours and periods."""
+    hours = _rows(hourly_counts(trips), "hourly_trips", hour_label(F.col("hour")), F.col("trip_count"))
+    periods = _rows(period_stats(trips, p), "period_trips", F.col("period_name"), F.col("trip_count"))
+    return hours.unionByName(periods)
+
+
 def cache_rows(trips: DataFrame, hotspots: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """All rows of the cache; ``hotspots`` are the start hotspots."""
-    trend = hourly_trend(trips)
     one = F.lit("all")
-    summary = live_kpis(trips)
-    kpi = _rows(summary, "kpi_summary", one, info=F.to_json(F.struct("*")))
-    hours = _rows(trend, "hourly_trips", hour_label(F.col("hour")), F.col("trip_count"))
-    series = trend.agg(
+    kpi = _rows(live_kpis(trips), "kpi_summary", one, info=F.to_json(F.struct("*")))
+    series = hourly_trend(trips).agg(
         F.sort_array(F.collect_list(F.struct("hour", "trip_count", "avg_speed", "avg_distance"))).alias("s")
     ).select(F.to_json(F.struct(
         F.transform("s.hour", hour_label).alias("hours"),
@@ -49,7 +53,6 @@ def cache_rows(trips: DataFrame, hotspots: DataFrame, p: Params = DEFAULTS) -> D
         F.col("s.avg_speed").alias("speeds"),
         F.col("s.avg_distance").alias("distances"),
     )).alias("j"))
-    periods = _rows(period_stats(trips, p), "period_trips", F.col("period_name"), F.col("trip_count"))
     heat = heat_points(trips, p=p).agg(F.to_json(_ordered(
         F.struct(-F.col("count"), F.col("i_lng"), F.col("i_lat")), F.col("lat"), F.col("lng"), F.col("count")
     )).alias("j"))
@@ -58,7 +61,7 @@ def cache_rows(trips: DataFrame, hotspots: DataFrame, p: Params = DEFAULTS) -> D
         F.concat(F.lit("#"), F.col("cluster_id")).alias("name"), F.col("lng"), F.col("lat"), F.col("count"),
     )).alias("j"))
     parts = [
-        kpi, hours, periods,
+        kpi, scalar_rows(trips, p),
         _rows(series, "trend_data", F.lit("hourly"), info=F.col("j")),
         _rows(heat, "heatmap_data", one, info=F.col("j")),
         _rows(ranking, "hotspot_ranking", F.lit("top15"), info=F.col("j")),
