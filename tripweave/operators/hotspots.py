@@ -288,11 +288,6 @@ def find_hotspots(trips: DataFrame, point_type: str = "start", p: Params = DEFAU
     )
 
 
-def all_hotspots(trips: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """Hotspots of both point types, labelled."""
-    return find_hotspots(trips, "start", p).unionByName(find_hotspots(trips, "end", p))
-
-
 def hotspot_ranking(hotspots: DataFrame, n: int = 15) -> DataFrame:
     """The ranking list: position, label, count, share of the longest bar."""
     by = Window.orderBy(F.desc("trip_count"), "cluster_id")  # at most top_hotspots rows

@@ -41,8 +41,8 @@ def scalar_rows(trips: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     return hours.unionByName(periods)
 
 
-def cache_rows(trips: DataFrame, hotspots: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """All rows of the cache; ``hotspots`` are the start hotspots."""
+def cache_rows(trips: DataFrame, hotspots: DataFrame | None, p: Params = DEFAULTS) -> DataFrame:
+    """All rows of the cache; the ranking row only where start hotspots are given."""
     one = F.lit("all")
     kpi = _rows(live_kpis(trips), "kpi_summary", one, info=F.to_json(F.struct("*")))
     series = hourly_trend(trips).agg(
@@ -56,16 +56,17 @@ def cache_rows(trips: DataFrame, hotspots: DataFrame, p: Params = DEFAULTS) -> D
     heat = heat_points(trips, p=p).agg(F.to_json(_ordered(
         F.struct(-F.col("count"), F.col("i_lng"), F.col("i_lat")), F.col("lat"), F.col("lng"), F.col("count")
     )).alias("j"))
-    ranking = hotspot_ranking(hotspots).agg(F.to_json(_ordered(
-        F.col("rank_no"), F.col("rank_no").alias("rank"),
-        F.concat(F.lit("#"), F.col("cluster_id")).alias("name"), F.col("lng"), F.col("lat"), F.col("count"),
-    )).alias("j"))
     parts = [
         kpi, scalar_rows(trips, p),
         _rows(series, "trend_data", F.lit("hourly"), info=F.col("j")),
         _rows(heat, "heatmap_data", one, info=F.col("j")),
-        _rows(ranking, "hotspot_ranking", F.lit("top15"), info=F.col("j")),
     ]
+    if hotspots is not None:
+        ranking = hotspot_ranking(hotspots).agg(F.to_json(_ordered(
+            F.col("rank_no"), F.col("rank_no").alias("rank"),
+            F.concat(F.lit("#"), F.col("cluster_id")).alias("name"), F.col("lng"), F.col("lat"), F.col("count"),
+        )).alias("j"))
+        parts.append(_rows(ranking, "hotspot_ranking", F.lit("top15"), info=F.col("j")))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -33,12 +33,17 @@ class Marts:
         return spatial.od_matrix(self.trips, self.params)
 
     @cached_property
-    def hotspots(self) -> DataFrame:
-        return H.all_hotspots(self.trips, self.params)
+    def start_hotspots(self) -> DataFrame:
+        return H.find_hotspots(self.trips, "start", self.params)
 
     @cached_property
-    def start_hotspots(self) -> DataFrame:
-        return self.hotspots.where(F.col("point_type") == "start")
+    def end_hotspots(self) -> DataFrame:
+        return H.find_hotspots(self.trips, "end", self.params)
+
+    @property
+    def hotspots(self) -> DataFrame:
+        """Both point types, labelled."""
+        return self.start_hotspots.unionByName(self.end_hotspots)
 
     def kpis(self) -> DataFrame:
         return temporal.kpis(self.trips).select(

@@ -145,7 +145,7 @@ counted AS (
   SELECT CAST(b.bin_no AS INTEGER) AS bin_no, b.label, count(v.trip_id) AS n
   FROM bins b LEFT JOIN valid v ON v.{column} > b.lo AND v.{column} <= b.hi GROUP BY ALL)
 SELECT bin_no, label, n, round(n * 100.0e0 / sum(n) OVER (), 6) AS share_pct,
-  row_number() OVER (ORDER BY n DESC, bin_no) AS rank_no FROM counted""")
+  CAST(row_number() OVER (ORDER BY n DESC, bin_no) AS INTEGER) AS rank_no FROM counted""")
 
 
 def _density(points: str) -> str:
@@ -390,9 +390,9 @@ SELECT DISTINCT {_name('c')} AS name, {lng_of('c')} AS lng, {lat_of('c')} AS lat
 SELECT g.range AS grid_id, {lng_of('g.range')} AS lng, {lat_of('g.range')} AS lat, coalesce(outflow, 0) AS outflow,
   coalesce(inflow, 0) AS inflow, coalesce(net_flow, 0) AS net_flow FROM range(5656) g LEFT JOIN flows f ON f.grid_id = g.range"""),
         "net_flow_top15": _spatial("""
-SELECT * FROM (SELECT 'in' AS direction, row_number() OVER (ORDER BY net_flow DESC, grid_id) AS order_no, grid_id, net_flow, abs(net_flow) AS value
+SELECT * FROM (SELECT 'in' AS direction, CAST(row_number() OVER (ORDER BY net_flow DESC, grid_id) AS INTEGER) AS order_no, grid_id, net_flow, abs(net_flow) AS value
   FROM flows ORDER BY order_no LIMIT 15)
-UNION ALL SELECT * FROM (SELECT 'out', row_number() OVER (ORDER BY net_flow, grid_id) AS order_no, grid_id, net_flow, abs(net_flow)
+UNION ALL SELECT * FROM (SELECT 'out', CAST(row_number() OVER (ORDER BY net_flow, grid_id) AS INTEGER) AS order_no, grid_id, net_flow, abs(net_flow)
   FROM flows ORDER BY order_no LIMIT 15)"""),
         "top_cells_outflow": _spatial("SELECT grid_id, outflow, inflow FROM flows ORDER BY outflow DESC, grid_id LIMIT 10"),
         "top_cells_inflow": _spatial("SELECT grid_id, outflow, inflow FROM flows ORDER BY inflow DESC, grid_id LIMIT 10"),
@@ -403,7 +403,7 @@ SELECT si AS i_lng, sj AS i_lat, round(113.5e0 + (si + 0.5e0) * 0.01e0, 6) AS ln
         "hotspots_end": _hotspots("end"),
         "hotspot_labels": _clusters("s", "SELECT id, cluster_id FROM labelled"),
         "hotspot_ranking": _clusters("s", """
-SELECT row_number() OVER (ORDER BY trip_count DESC, cluster_id) AS rank_no, cluster_id, round(center_lng, 6) AS lng, round(center_lat, 6) AS lat,
+SELECT CAST(row_number() OVER (ORDER BY trip_count DESC, cluster_id) AS INTEGER) AS rank_no, cluster_id, round(center_lng, 6) AS lng, round(center_lat, 6) AS lat,
   trip_count AS count, round(trip_count * 100.0e0 / max(trip_count) OVER ()) AS bar_pct
 FROM summary ORDER BY rank_no LIMIT 15"""),
         "report_fields": _clusters("s", f""", {_HOURS},
@@ -418,11 +418,36 @@ SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles, ro
 SELECT stat_type, stat_key, stat_value FROM scalars WHERE stat_type = 'hourly_trips'
 UNION ALL SELECT 'period_trips', p.period_name, CAST(count(v.trip_id) AS DOUBLE)
 FROM periods p LEFT JOIN valid v ON v.s_sec >= p.a AND v.s_sec < p.b AND v.hour < 12 GROUP BY p.period_name"""),
+        "cache_kpis": _trips("""
+SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles, round(avg(duration_min), 6) AS avg_duration,
+  round(avg(distance_km), 6) AS avg_distance, round(avg(avg_speed), 6) AS avg_speed FROM valid"""),
+        "cache_heatmap": _spatial("""
+SELECT round(22.4e0 + (sj + 0.5e0) * 0.009e0, 6) AS lat, round(113.5e0 + (si + 0.5e0) * 0.01e0, 6) AS lng, count(*) AS count
+FROM cells GROUP BY si, sj ORDER BY count(*) DESC, si, sj LIMIT 500"""),
+        "cache_trend": _trips(f""", {_HOURS}
+SELECT printf('%02d:00', h.hour) AS hours, count(v.trip_id) AS trips, round(coalesce(avg(avg_speed), 0), 6) AS speeds,
+  round(coalesce(avg(distance_km), 0), 6) AS distances FROM hours h LEFT JOIN valid v ON v.hour = h.hour GROUP BY h.hour"""),
+        "cache_periods": _trips(_CACHE_SCALARS + """
+SELECT stat_key AS label, CAST(stat_value AS BIGINT) AS trips FROM scalars WHERE stat_type = 'period_trips'"""),
+        "cache_hourly": _trips(_CACHE_SCALARS + """
+SELECT stat_key AS hour, CAST(stat_value AS BIGINT) AS trips FROM scalars WHERE stat_type = 'hourly_trips'"""),
+        "cache_ranking": _clusters("s", """
+SELECT CAST(row_number() OVER (ORDER BY trip_count DESC, cluster_id) AS INTEGER) AS rank, '#' || cluster_id AS name,
+  round(center_lng, 6) AS lng, round(center_lat, 6) AS lat, trip_count AS count FROM summary ORDER BY rank LIMIT 15"""),
+        "board_dashboard": _spatial("""
+SELECT count(*) AS total_trips, (SELECT least(500, count(*)) FROM (SELECT DISTINCT si, sj FROM cells)) AS heat_points,
+  24 AS trend_hours, 4 AS periods, 24 AS hours FROM valid"""),
         "quarantine_rows": _trips("""
 SELECT trip_id AS seq, CASE WHEN trip_id % 13 = 0 THEN 'bad_vehicle' WHEN trip_id % 11 = 0 THEN 'bad_time' ELSE 'bad_coordinate' END AS reject_reason
 FROM valid WHERE trip_id % 13 = 0 OR trip_id % 11 = 0 OR trip_id % 7 = 0"""),
         "live_trips": _trips(f"""
 SELECT {_TRIP_COLUMNS}, {_MEASURES} FROM valid WHERE e_sec <= (SELECT max(sec_of_day) FROM gps) - 3600"""),
+        "live_heat": _spatial("""
+, shown AS (SELECT * FROM cells WHERE e_sec <= (SELECT max(sec_of_day) FROM gps) - 3600),
+spread AS (SELECT si, sj, s_sec // 900 * 900 - k.range * 900 AS start FROM shown, range(4) k)
+SELECT strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(start), '%Y-%m-%d %H:%M') AS window_start, si AS i_lng, sj AS i_lat,
+  round(113.5e0 + (si + 0.5e0) * 0.01e0, 6) AS lng, round(22.4e0 + (sj + 0.5e0) * 0.009e0, 6) AS lat, count(*) AS count
+FROM spread WHERE start + 3600 <= (SELECT max(s_sec) FROM shown) - 14400 GROUP BY ALL"""),
         "live_hourly": _trips("""
 SELECT strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(hour), '%Y-%m-%d %H:%M') AS stat_key, CAST(count(*) AS DOUBLE) AS stat_value
 FROM valid WHERE e_sec <= (SELECT max(sec_of_day) FROM gps) - 3600 GROUP BY hour"""),

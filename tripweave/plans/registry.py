@@ -110,6 +110,18 @@ def _cache(t: DataFrame) -> DataFrame:
     return Marts(t).cache_rows()
 
 
+def _of_cache(build: Callable[[DataFrame], DataFrame]) -> Query:
+    """Over the cache without its ranking row, which needs a clustering."""
+    return _of_trips(lambda t: build(board.cache_rows(t, None)))
+
+
+def _dashboard(cache: DataFrame) -> DataFrame:
+    return board.read_dashboard(cache).select(
+        "kpis.total_trips", F.size("heatmap").cast("long").alias("heat_points"), F.size("trend.hours").alias("trend_hours"),
+        F.size("periods").alias("periods"), F.size("hourly").alias("hours"),
+    )
+
+
 def _cache_scalars(t: DataFrame) -> DataFrame:
     return board.scalar_rows(t).select("stat_type", "stat_key", "stat_value")
 
@@ -253,6 +265,13 @@ def queries() -> dict[str, Query]:
         # board and report
         "report_fields": _of_marts(lambda m: m.report_fields().drop("morning_peak", "evening_peak", "end_hotspots")),
         "cache_rows": _of_trips(lambda t: _cache(t).drop("updated_at")),
+        "cache_kpis": _of_cache(board.read_kpis),
+        "cache_heatmap": _of_cache(board.read_heatmap),
+        "cache_trend": _of_cache(board.read_trend),
+        "cache_periods": _of_cache(board.read_periods),
+        "cache_hourly": _of_cache(board.read_hourly),
+        "cache_ranking": _of_trips(lambda t: board.read_ranking(_cache(t))),
+        "board_dashboard": _of_cache(_dashboard),
         "cache_scalars": _of_trips(_cache_scalars),
         "cache_upsert": _of_trips(_cache_upsert),
         # streams
