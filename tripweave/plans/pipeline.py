@@ -83,6 +83,5 @@ def report_text(marts: Marts) -> str:
 
 def write_report(marts: Marts, path: str) -> None:
     text = report_text(marts)
-    marts.trips.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option(
-        "lineSep", ""
-    ).text(path)
+    lines = marts.trips.sparkSession.createDataFrame([(text.rstrip("\n"),)], "value string")
+    lines.coalesce(1).write.mode("overwrite").text(path)
