@@ -38,7 +38,7 @@ def metres(points):
 
 def check(spark, points, p, seed=0):
     ids = np.random.default_rng(seed).permutation(len(points))
-    df = spark.createDataFrame(pd.DataFrame({"id": ids, "lng": points[:, 0], "lat": points[:, 1]}))
+    df = spark.createDataFrame(pd.DataFrame({"kind": "start", "id": ids, "lng": points[:, 0], "lat": points[:, 1]}))
     got = {r.id: r.cluster_id for r in H.cluster_points(df, p).collect()}
     want = dict(zip(ids.tolist(), brute_force(ids, metres(points), p.eps_m, p.min_points).tolist()))
     assert got == want
@@ -98,6 +98,17 @@ def test_open_pairs_are_refined(spark):
     assert asked and set(labels.values()) == {0}
 
 
+def test_both_kinds_are_clustered_apart(spark, field):
+    """The same field under both kinds, ends in reverse id order: no cluster mixes them."""
+    n = len(field)
+    half = lambda kind, ids: pd.DataFrame({"kind": kind, "id": ids, "lng": field[:, 0], "lat": field[:, 1]})
+    df = spark.createDataFrame(pd.concat([half("start", range(n)), half("end", range(n - 1, -1, -1))]))
+    got = {(r.kind, r.id): r.cluster_id for r in H.cluster_points(df, P).collect()}
+    for kind, ids in (("start", np.arange(n)), ("end", np.arange(n - 1, -1, -1))):
+        want = brute_force(ids, metres(field), P.eps_m, P.min_points)
+        assert [got[kind, int(i)] for i in ids] == want.tolist()
+
+
 def test_nothing_dense(spark, trips_of):
     trips = trips_of([(1, 0, 60, 1.0, 1.0, 60.0)])
     found = H.find_hotspots(trips)

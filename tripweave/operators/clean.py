@@ -97,4 +97,4 @@ def drop_speedless(seq: Sequence) -> Sequence:
 
 def clean_pings(pings: DataFrame, p: Params = DEFAULTS, fill: str = "linear") -> Sequence:
     """Rules 1 and 2 in order."""
-    return repair_speed(sequence(filter_box(pings, p), p), fill)
+    return repair_speed(sequence(filter_box(pings, p), p, pings), fill)

@@ -55,14 +55,18 @@ def _small(table: DataFrame, rows: int, p: Params) -> DataFrame:
 
 
 def _sites(points: DataFrame, p: Params) -> tuple[DataFrame, int]:
-    """Weighted sites with cell, cell population and salt count; number of cells."""
+    """Weighted sites with cell, cell population and salt count; number of cells.
+
+    Kinds of points share the jobs but not the plane: the second kind's cells are
+    numbered far away from the first one's, so the two never meet.
+    """
     side = p.eps_m / 1.4143  # diagonal just under eps
     sites = (
         points.where(F.col("lng").isNotNull() & F.col("lat").isNotNull())
-        .groupBy("lng", "lat").agg(F.count(F.lit(1)).alias("w"), F.min("id").alias("first_id"))
+        .groupBy("kind", "lng", "lat").agg(F.count(F.lit(1)).alias("w"), F.min("id").alias("first_id"))
         .withColumns({"x": F.col("lng") * F.lit(p.metres_lng), "y": F.col("lat") * F.lit(p.metres_lat)})
         .withColumns({
-            "cx": F.floor(F.col("x") / F.lit(side)), "cy": F.floor(F.col("y") / F.lit(side)),
+            "cx": F.floor(F.col("x") / F.lit(side)) + F.when(F.col("kind") == "end", 2**28).otherwise(0), "cy": F.floor(F.col("y") / F.lit(side)),
         })
         .withColumn("cell", (F.col("cx") + 2**30) * 2**31 + F.col("cy") + 2**30)
     )
@@ -81,7 +85,7 @@ def _sites(points: DataFrame, p: Params) -> tuple[DataFrame, int]:
 
 def _reached(probes: DataFrame, sites: DataFrame, cells: DataFrame, n_cells: int, eps: float, p: Params) -> DataFrame:
     """Pairs (probe p, site q) within eps; probes are sites of thin cells only."""
-    spread = probes.select(F.struct("lng", "lat", "x", "y", "cx", "cy").alias("p"), F.explode(_around()).alias("o"))
+    spread = probes.select(F.struct("kind", "lng", "lat", "x", "y", "cx", "cy").alias("p"), F.explode(_around()).alias("o"))
     asked = (
         spread.select("p", (F.col("p.cx") + F.col("o.i")).alias("cx"), (F.col("p.cy") + F.col("o.j")).alias("cy"))
         .join(_small(cells, n_cells, p), ["cx", "cy"])
@@ -96,9 +100,9 @@ def _flag_core(sites: DataFrame, n_cells: int, p: Params) -> DataFrame:
     thin = sites.where(F.col("pop") < p.min_points)
     seen = (
         _reached(thin, sites, cells, n_cells, p.eps_m, p)
-        .groupBy("p.lng", "p.lat").agg((F.sum("q.w") >= p.min_points).alias("core"))
+        .groupBy("p.kind", "p.lng", "p.lat").agg((F.sum("q.w") >= p.min_points).alias("core"))
     )
-    judged = thin.join(seen, ["lng", "lat"], "left").withColumn("core", F.coalesce("core", F.lit(False)))
+    judged = thin.join(seen, ["kind", "lng", "lat"], "left").withColumn("core", F.coalesce("core", F.lit(False)))
     sure = sites.where(F.col("pop") >= p.min_points).withColumn("core", F.lit(True))
     return sure.unionByName(judged)
 
@@ -216,20 +220,22 @@ def _refine(
 
 
 def label_sites(points: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """(id, lng, lat) points to weighted sites with ``cluster_id`` (-1 is noise).
+    """(kind, id, lng, lat) points to weighted sites with ``cluster_id`` (-1 is noise).
 
-    Points of equal coordinates share a site, hence a label.
+    Each kind is clustered and numbered by itself. Points of equal kind and
+    coordinates share a site, hence a label.
     """
     sites, n_cells = _sites(points, p)
     flagged = cut(_flag_core(sites, n_cells, p))
     core = flagged.where("core")
-    cells = cut(_boxes(core, ["cell", "cx", "cy"]))
+    cells = cut(_boxes(core, ["kind", "cell", "cx", "cy"]))
     roots = _link_cells(core, cells, n_cells, p)
-    rooted = core.groupBy("cell").agg(F.min("first_id").alias("first_id")).join(
+    rooted = core.groupBy("kind", "cell").agg(F.min("first_id").alias("first_id")).join(
         roots.withColumnRenamed("node", "cell"), "cell", "left"
     ).withColumn("root", F.coalesce("root", "cell"))
-    first = rooted.groupBy("root").agg(F.min("first_id").alias("first_id"))
-    ranked = first.select("root", (F.row_number().over(Window.orderBy("first_id")) - 1).alias("cluster_id"))
+    first = rooted.groupBy("kind", "root").agg(F.min("first_id").alias("first_id"))
+    by_first = Window.partitionBy("kind").orderBy("first_id")  # at most one row per cell
+    ranked = first.select("root", (F.row_number().over(by_first) - 1).alias("cluster_id"))
     clusters = cut(
         rooted.join(ranked, "root").join(cells.select("cell", "cx", "cy"), "cell").select("cx", "cy", "cluster_id")
     )
@@ -240,17 +246,17 @@ def label_sites(points: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     border = (
         _reached(outer, core_sites, core_sites.select("cx", "cy", "salts").distinct(), n_cells, p.eps_m, p)
         .join(known, ["cx", "cy"])
-        .groupBy("p.lng", "p.lat").agg(F.min("cluster_id").alias("cluster_id"))
+        .groupBy("p.kind", "p.lng", "p.lat").agg(F.min("cluster_id").alias("cluster_id"))
     )
-    outer = outer.join(border, ["lng", "lat"], "left").withColumn("cluster_id", F.coalesce("cluster_id", F.lit(-1)))
-    cols = ["lng", "lat", "w", "first_id", "core", "cluster_id"]
+    outer = outer.join(border, ["kind", "lng", "lat"], "left").withColumn("cluster_id", F.coalesce("cluster_id", F.lit(-1)))
+    cols = ["kind", "lng", "lat", "w", "first_id", "core", "cluster_id"]
     return inner.select(*cols).unionByName(outer.select(*cols))
 
 
 def cluster_points(points: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """(id, lng, lat) points with ``cluster_id``."""
-    sites = label_sites(points, p).select("lng", "lat", "cluster_id")
-    return points.join(sites, ["lng", "lat"], "left").withColumn("cluster_id", F.coalesce("cluster_id", F.lit(-1)))
+    """(kind, id, lng, lat) points with ``cluster_id``."""
+    sites = label_sites(points, p).select("kind", "lng", "lat", "cluster_id")
+    return points.join(sites, ["kind", "lng", "lat"], "left").withColumn("cluster_id", F.coalesce("cluster_id", F.lit(-1)))
 
 
 def cluster_summary(sites: DataFrame, p: Params = DEFAULTS) -> DataFrame:
@@ -261,31 +267,35 @@ def cluster_summary(sites: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """
     members = sites.where(F.col("cluster_id") >= 0)
     weight = F.sum("w")
-    centers = cut(members.groupBy("cluster_id").agg(
+    by = ["kind", "cluster_id"]
+    centers = cut(members.groupBy(*by).agg(
         (F.sum(F.col("lng") * F.col("w")) / weight).alias("center_lng"),
         (F.sum(F.col("lat") * F.col("w")) / weight).alias("center_lat"),
         weight.alias("trip_count"),
     ))
     dx, dy = F.col("lng") - F.col("center_lng"), F.col("lat") - F.col("center_lat")
     return (
-        members.join(_small(centers, centers.count(), p), "cluster_id")
-        .groupBy("cluster_id").agg(
+        members.join(_small(centers, centers.count(), p), by)
+        .groupBy(*by).agg(
             F.first("center_lng").alias("center_lng"), F.first("center_lat").alias("center_lat"),
             F.first("trip_count").alias("trip_count"),
             (F.max(F.sqrt(dx * dx + dy * dy)) * F.lit(p.metres_lng)).alias("radius_m"),
             (F.max(haversine_km(F.col("lng"), F.col("lat"), F.col("center_lng"), F.col("center_lat"))) * 1000.0).alias("radius_true_m"),
         )
+        .withColumnRenamed("kind", "point_type")
     )
 
 
 def find_hotspots(trips: DataFrame, point_type: str = "start", p: Params = DEFAULTS) -> DataFrame:
-    """Largest clusters of start or end points, at most ``top_hotspots``."""
+    """Largest clusters of start or end points, at most ``top_hotspots`` of each kind.
+
+    ``both`` clusters the two kinds side by side in the same jobs, labelled.
+    """
     points = trip_points(trips, point_type, ("trip_id",)).withColumnRenamed("trip_id", "id")
-    summary = cluster_summary(label_sites(points.select("id", "lng", "lat"), p), p)
-    return (
-        summary.orderBy(F.desc("trip_count"), "cluster_id").limit(p.top_hotspots)
-        .select(F.lit(point_type).alias("point_type"), "*")
-    )
+    summary = cluster_summary(label_sites(points, p), p)
+    largest = Window.partitionBy("point_type").orderBy(F.desc("trip_count"), "cluster_id")
+    ranked = summary.withColumn("place", F.row_number().over(largest))
+    return ranked.where(F.col("place") <= p.top_hotspots).drop("place")
 
 
 def hotspot_ranking(hotspots: DataFrame, n: int = 15) -> DataFrame:

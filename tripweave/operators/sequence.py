@@ -80,9 +80,13 @@ class Sequence:
         return df.join(table, [*KEYS, CHUNK], "left")
 
 
-def sequence(pings: DataFrame, p: Params = DEFAULTS) -> Sequence:
-    """Order pings inside vehicle-days, cutting oversized days into chunks."""
-    counts = pings.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
+def sequence(pings: DataFrame, p: Params = DEFAULTS, source: DataFrame | None = None) -> Sequence:
+    """Order pings inside vehicle-days, cutting oversized days into chunks.
+
+    ``source`` may name the pings before they were filtered: counting those reads
+    the key columns only, and a count that is too high does no harm.
+    """
+    counts = (pings if source is None else source).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
     hot = counts.where(F.col("n") > p.max_rows_per_task).limit(p.max_hot_keys + 1).collect()
     if not hot:
         return Sequence(pings, 0, p)

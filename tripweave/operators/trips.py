@@ -132,7 +132,7 @@ def unclosed_trips(changes: Sequence, strict: bool = True) -> DataFrame:
 
 def raw_trips(pings: DataFrame, p: Params = DEFAULTS, strict: bool = True) -> DataFrame:
     """Rules 1 to 4: pings to unfiltered trips. One shuffle of pings."""
-    return pair_trips(status_changes(drop_speedless(sequence(filter_box(pings, p), p))), strict)
+    return pair_trips(status_changes(drop_speedless(sequence(filter_box(pings, p), p, pings))), strict)
 
 
 def measure(trips: DataFrame) -> DataFrame:

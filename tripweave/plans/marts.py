@@ -33,17 +33,15 @@ class Marts:
         return spatial.od_matrix(self.trips, self.params)
 
     @cached_property
-    def start_hotspots(self) -> DataFrame:
-        return H.find_hotspots(self.trips, "start", self.params)
-
-    @cached_property
-    def end_hotspots(self) -> DataFrame:
-        return H.find_hotspots(self.trips, "end", self.params)
-
-    @property
     def hotspots(self) -> DataFrame:
         """Both point types, labelled."""
-        return self.start_hotspots.unionByName(self.end_hotspots)
+        return H.find_hotspots(self.trips, "both", self.params)
+
+    @cached_property
+    def start_hotspots(self) -> DataFrame:
+        if "hotspots" in self.__dict__:  # clustered already, with the ends
+            return self.hotspots.where(F.col("point_type") == "start")
+        return H.find_hotspots(self.trips, "start", self.params)
 
     def kpis(self) -> DataFrame:
         return temporal.kpis(self.trips).select(

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
 
 from tripweave.functions.geo import equirect_km
 from tripweave.operators import clean, hotspots, quality, spatial, temporal, trips
 from tripweave.operators.sample import scatter
-from tripweave.operators.sequence import sequence
+from tripweave.operators.sequence import Sequence, sequence
 from tripweave.plans import board
 from tripweave.plans.marts import Marts
 from tripweave.session import scratch_path
@@ -36,8 +37,14 @@ def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.trips_from_pings(_pings(spark, sf_dir))
 
 
-def _changes(spark: SparkSession, sf_dir: str):  # noqa: ANN202
-    return trips.status_changes(clean.drop_speedless(sequence(clean.filter_box(_pings(spark, sf_dir)))))
+def _kept_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For queries that go over the trips several times."""
+    return _trips(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _changes(spark: SparkSession, sf_dir: str) -> Sequence:
+    pings = _pings(spark, sf_dir)
+    return trips.status_changes(clean.drop_speedless(sequence(clean.filter_box(pings), source=pings)))
 
 
 def _of_pings(build: Callable[[DataFrame], DataFrame]) -> Query:
@@ -49,7 +56,7 @@ def _of_trips(build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _of_marts(build: Callable[[Marts], DataFrame]) -> Query:
-    return lambda spark, sf_dir: _round(build(Marts(_trips(spark, sf_dir))))
+    return lambda spark, sf_dir: _round(build(Marts(_kept_trips(spark, sf_dir))))
 
 
 def _of_od(build: Callable[[DataFrame], DataFrame]) -> Query:
@@ -86,7 +93,7 @@ def _peaks(t: DataFrame) -> DataFrame:
 
 
 def _labels(t: DataFrame) -> DataFrame:
-    points = t.select(F.col("trip_id").alias("id"), F.col("s_lng").alias("lng"), F.col("s_lat").alias("lat"))
+    points = t.select(F.lit("start").alias("kind"), F.col("trip_id").alias("id"), F.col("s_lng").alias("lng"), F.col("s_lat").alias("lat"))
     return hotspots.cluster_points(points).select("id", F.col("cluster_id").cast("int").alias("cluster_id"))
 
 
@@ -106,13 +113,13 @@ def _cells(column: str) -> Query:
     return _of_trips(lambda t: spatial.top_cells(spatial.net_flow(t), column).select("grid_id", "outflow", "inflow"))
 
 
-def _cache(t: DataFrame) -> DataFrame:
-    return Marts(t).cache_rows()
+def _cache(m: Marts) -> DataFrame:
+    return m.cache_rows()
 
 
 def _of_cache(build: Callable[[DataFrame], DataFrame]) -> Query:
     """Over the cache without its ranking row, which needs a clustering."""
-    return _of_trips(lambda t: build(board.cache_rows(t, None)))
+    return _of_marts(lambda m: build(board.cache_rows(m.trips, None)))
 
 
 def _dashboard(cache: DataFrame) -> DataFrame:
@@ -264,13 +271,13 @@ def queries() -> dict[str, Query]:
         ),
         # board and report
         "report_fields": _of_marts(lambda m: m.report_fields().drop("morning_peak", "evening_peak", "end_hotspots")),
-        "cache_rows": _of_trips(lambda t: _cache(t).drop("updated_at")),
+        "cache_rows": _of_marts(lambda m: _cache(m).drop("updated_at")),
         "cache_kpis": _of_cache(board.read_kpis),
         "cache_heatmap": _of_cache(board.read_heatmap),
         "cache_trend": _of_cache(board.read_trend),
         "cache_periods": _of_cache(board.read_periods),
         "cache_hourly": _of_cache(board.read_hourly),
-        "cache_ranking": _of_trips(lambda t: board.read_ranking(_cache(t))),
+        "cache_ranking": _of_marts(lambda m: board.read_ranking(_cache(m))),
         "board_dashboard": _of_cache(_dashboard),
         "cache_scalars": _of_trips(_cache_scalars),
         "cache_upsert": _of_trips(_cache_upsert),

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SERVICE_DATE = "2024-01-01"
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
 def pings_from_events(events: DataFrame, foreign: bool = False) -> DataFrame:
@@ -46,13 +47,12 @@ def pings_from_events(events: DataFrame, foreign: bool = False) -> DataFrame:
 
 
 def read_events_view(spark: SparkSession, sf_dir: str, foreign: bool = False) -> DataFrame:
-    return pings_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"), foreign)
+    return pings_from_events(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"), foreign)
 
 
 def stream_events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same pings as a file stream, with full timestamps."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    events = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     return with_timestamps(pings_from_events(events))
 
 
