@@ -95,5 +95,5 @@ def sample_kurtosis(n: Column, m2: Column, m4: Column) -> Column:
 
 
 def safe_ratio(part: Column, whole: Column, factor: float = 1.0) -> Column:
-    """part / whole * factor, null for an empty whole."""
-    return F.when(whole != 0, part / whole * F.lit(factor))
+    """part * factor / whole, null for an empty whole."""
+    return F.when(whole != 0, part * F.lit(factor) / whole)

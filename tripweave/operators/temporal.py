@@ -16,6 +16,15 @@ from tripweave.params import (
 )
 
 
+def _total_minutes() -> Column:
+    """Durations are whole seconds: their sum is exact, whatever the order of rows."""
+    return F.sum("duration_s") / F.lit(60.0)
+
+
+def _mean_minutes() -> Column:
+    return _total_minutes() / F.count("duration_s")
+
+
 def with_derived(trips: DataFrame) -> DataFrame:
     """Add hour, duration and distance where an input lacks them.
 
@@ -158,7 +167,7 @@ def period_stats(trips: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     stats = numbered.groupBy("period_no").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("share").alias("whole"),
-        F.avg("duration_min").alias("avg_duration"),
+        _mean_minutes().alias("avg_duration"),
         F.avg("distance_km").alias("avg_distance"),
         F.count_distinct("vehicle_id").alias("vehicles"),
     ).withColumn("total", F.round(F.sum("whole").over(Window.partitionBy())))  # 5 rows
@@ -197,7 +206,7 @@ def duration_stats(trips: DataFrame) -> DataFrame:
     power = lambda k: F.sum(F.col("n") * F.pow("dev", F.lit(float(k))))
     agg = rows.agg(
         F.sum("n").alias("n"),
-        (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean"),
+        (F.sum(F.col("duration_s") * F.col("n")) / F.lit(60.0) / F.sum("n")).alias("mean"),
         power(2).alias("m2"), power(3).alias("m3"), power(4).alias("m4"),
         F.percentile("x", list(DURATION_FRACTIONS), F.col("n")).alias("q"),
         F.min("x").alias("min"), F.max("x").alias("max"),
@@ -263,9 +272,9 @@ def vehicle_efficiency(trips: DataFrame) -> DataFrame:
     """One row per vehicle."""
     per = trips.groupBy("vehicle_id").agg(
         F.count(F.lit(1)).alias("trip_count"),
-        F.sum("duration_min").alias("total_duration"),
+        _total_minutes().alias("total_duration"),
         F.sum("distance_km").alias("total_distance"),
-        F.avg("duration_min").alias("avg_duration"),
+        _mean_minutes().alias("avg_duration"),
         F.avg("distance_km").alias("avg_distance"),
         F.min("s_sec").alias("first"),
         F.max("e_sec").alias("last"),
@@ -287,7 +296,8 @@ def kpis(trips: DataFrame) -> DataFrame:
     sets = trips.groupingSets([[], ["vehicle_id"], ["hour"]], "vehicle_id", "hour").agg(
         F.grouping_id().alias("g"),
         F.count(F.lit(1)).alias("n"),
-        *[F.avg(c).alias(c) for c in ("duration_min", "distance_km", "avg_speed")],
+        _mean_minutes().alias("duration_min"),
+        *[F.avg(c).alias(c) for c in ("distance_km", "avg_speed")],
     )
     # grouping_id bits: vehicle_id, hour; a set bit means "not grouped by"
     total, vehicle, hour = F.col("g") == 3, F.col("g") == 1, F.col("g") == 2

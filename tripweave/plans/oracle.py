@@ -155,8 +155,8 @@ SELECT i_lng, i_lat, count(*) AS n, round(113.5e0 + (i_lng + 0.5e0) * 0.01e0, 6)
 
 
 _EFFICIENCY = """
-SELECT vehicle_id, count(*) AS trip_count, round(sum(duration_min), 6) AS total_duration,
-  round(sum(distance_km), 6) AS total_distance, round(avg(duration_min), 6) AS avg_duration,
+SELECT vehicle_id, count(*) AS trip_count, round((sum(duration_s)::DOUBLE / 60.0e0), 6) AS total_duration,
+  round(sum(distance_km), 6) AS total_distance, round((sum(duration_s)::DOUBLE / 60.0e0 / count(duration_s)), 6) AS avg_duration,
   round(avg(distance_km), 6) AS avg_distance,
   printf('%02d:%02d:%02d', min(s_sec) // 3600, min(s_sec) % 3600 // 60, min(s_sec) % 60) AS first_trip,
   printf('%02d:%02d:%02d', max(e_sec) // 3600, max(e_sec) % 3600 // 60, max(e_sec) % 60) AS last_trip
@@ -306,7 +306,7 @@ SELECT CAST(b.bin_no AS INTEGER) AS bin_no, b.label, count(g.seq) AS n,
   round(count(g.seq) * 100.0e0 / (SELECT count(*) FROM gps), 6) AS pct
 FROM bins b LEFT JOIN gps g ON (b.bin_no = 0 AND g.speed = 0) OR (g.speed > b.lo AND g.speed <= b.hi) GROUP BY ALL"""),
         "hourly_stats": _trips(f""", {_HOURS}
-SELECT h.hour, count(v.trip_id) AS trip_count, round(coalesce(avg(duration_min), 0), 6) AS avg_duration,
+SELECT h.hour, count(v.trip_id) AS trip_count, round(coalesce((sum(duration_s)::DOUBLE / 60.0e0 / count(duration_s)), 0), 6) AS avg_duration,
   round(coalesce(median(duration_min), 0), 6) AS median_duration, round(coalesce(avg(distance_km), 0), 6) AS avg_distance,
   count(DISTINCT vehicle_id) AS unique_vehicles FROM hours h LEFT JOIN valid v ON v.hour = h.hour GROUP BY h.hour"""),
         "hourly_counts": _trips(f""", {_HOURS}
@@ -328,11 +328,11 @@ SELECT hour, n AS trip_count, round(avg(n) OVER (), 6) AS mean_trips, round(avg(
   n > avg(n) OVER () * 1.5e0 AS is_peak, (SELECT period_name FROM periods p WHERE c.hour * 3600 >= p.a AND c.hour * 3600 < p.b) AS period_name FROM c"""),
         "period_stats": _trips(f""", {_PERIOD_VALUES}
 SELECT CAST(p.period_no AS INTEGER) AS period_no, p.period_name, p.time_range, count(v.trip_id) AS trip_count,
-  round(count(v.trip_id) * 100.0e0 / (SELECT count(*) FROM valid), 6) AS ratio_pct, round(avg(duration_min), 6) AS avg_duration,
+  round(count(v.trip_id) * 100.0e0 / (SELECT count(*) FROM valid), 6) AS ratio_pct, round((sum(duration_s)::DOUBLE / 60.0e0 / count(duration_s)), 6) AS avg_duration,
   round(avg(distance_km), 6) AS avg_distance, count(DISTINCT vehicle_id) AS active_vehicles
 FROM periods p LEFT JOIN valid v ON v.s_sec >= p.a AND v.s_sec < p.b GROUP BY ALL"""),
         "duration_stats": _trips("""
-SELECT count(*) AS n, round(avg(duration_min), 6) AS mean, round(median(duration_min), 6) AS median, round(stddev_samp(duration_min), 6) AS std,
+SELECT count(*) AS n, round((sum(duration_s)::DOUBLE / 60.0e0 / count(duration_s)), 6) AS mean, round(median(duration_min), 6) AS median, round(stddev_samp(duration_min), 6) AS std,
   round(skewness(duration_min), 6) AS skewness, round(kurtosis(duration_min), 6) AS kurtosis,
   round(quantile_cont(duration_min, 0.25), 6) AS p25, round(quantile_cont(duration_min, 0.5), 6) AS p50, round(quantile_cont(duration_min, 0.75), 6) AS p75,
   round(quantile_cont(duration_min, 0.9), 6) AS p90, round(quantile_cont(duration_min, 0.95), 6) AS p95, round(quantile_cont(duration_min, 0.99), 6) AS p99,
@@ -355,10 +355,10 @@ SELECT round(avg(avg_speed), 6) AS mean, round(median(avg_speed), 6) AS median,
         "vehicle_efficiency": _trips(_EFFICIENCY),
         "vehicle_top15": _trips(_EFFICIENCY + " ORDER BY trip_count DESC, vehicle_id LIMIT 15"),
         "kpis": _trips(""", h AS (SELECT hour, count(*) AS n FROM valid GROUP BY hour)
-SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles, round(avg(duration_min), 6) AS avg_duration,
+SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles, round((sum(duration_s)::DOUBLE / 60.0e0 / count(duration_s)), 6) AS avg_duration,
   (SELECT hour FROM h ORDER BY n DESC, hour LIMIT 1) AS peak_hour, (SELECT max(n) FROM h) AS peak_trips FROM valid"""),
         "live_kpis": _trips("""
-SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles, round(avg(duration_min), 6) AS avg_duration,
+SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles, round((sum(duration_s)::DOUBLE / 60.0e0 / count(duration_s)), 6) AS avg_duration,
   round(avg(distance_km), 6) AS avg_distance, round(avg(avg_speed), 6) AS avg_speed FROM valid"""),
         "trips_per_vehicle": _trips("""
 SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles,
@@ -408,7 +408,7 @@ SELECT CAST(row_number() OVER (ORDER BY trip_count DESC, cluster_id) AS INTEGER)
 FROM summary ORDER BY rank_no LIMIT 15"""),
         "report_fields": _clusters("s", f""", {_HOURS},
 c AS (SELECT h.hour, count(v.trip_id) AS n FROM hours h LEFT JOIN valid v ON v.hour = h.hour GROUP BY h.hour)
-SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles, round(avg(duration_min), 6) AS avg_duration,
+SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles, round((sum(duration_s)::DOUBLE / 60.0e0 / count(duration_s)), 6) AS avg_duration,
   round(avg(distance_km), 6) AS avg_distance, (SELECT hour FROM c ORDER BY n DESC, hour LIMIT 1) AS peak_hour_max, (SELECT max(n) FROM c) AS peak_max_trips,
   round(avg(CASE WHEN distance_km < 3 THEN 100.0e0 ELSE 0 END), 6) AS short_trip_ratio,
   round(avg(CASE WHEN distance_km > 10 THEN 100.0e0 ELSE 0 END), 6) AS long_trip_ratio,
@@ -419,7 +419,7 @@ SELECT stat_type, stat_key, stat_value FROM scalars WHERE stat_type = 'hourly_tr
 UNION ALL SELECT 'period_trips', p.period_name, CAST(count(v.trip_id) AS DOUBLE)
 FROM periods p LEFT JOIN valid v ON v.s_sec >= p.a AND v.s_sec < p.b AND v.hour < 12 GROUP BY p.period_name"""),
         "cache_kpis": _trips("""
-SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles, round(avg(duration_min), 6) AS avg_duration,
+SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles, round((sum(duration_s)::DOUBLE / 60.0e0 / count(duration_s)), 6) AS avg_duration,
   round(avg(distance_km), 6) AS avg_distance, round(avg(avg_speed), 6) AS avg_speed FROM valid"""),
         "cache_heatmap": _spatial("""
 SELECT round(22.4e0 + (sj + 0.5e0) * 0.009e0, 6) AS lat, round(113.5e0 + (si + 0.5e0) * 0.01e0, 6) AS lng, count(*) AS count
