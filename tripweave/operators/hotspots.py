@@ -108,15 +108,19 @@ def _flag_core(sites: DataFrame, n_cells: int, p: Params) -> DataFrame:
 
 
 def _boxes(sites: DataFrame, by: list[str]) -> DataFrame:
-    """Bounding box and four extreme sites per group; all of it combines map-side."""
-    at = F.struct("x", "y")
-    return sites.groupBy(*by).agg(
+    """Bounding box and four extreme sites per group.
+
+    Only plain numbers are aggregated, so this is a hash aggregation with map-side
+    combine; which of several equally extreme sites is taken does not matter.
+    """
+    site = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    extremes = sites.groupBy(*by).agg(
         F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"),
-        F.array(
-            F.min_by(at, F.struct("x", "y")), F.max_by(at, F.struct("x", "y")),
-            F.min_by(at, F.struct("y", "x")), F.max_by(at, F.struct("y", "x")),
-        ).alias("reps"),
+        F.min_by("y", "x").alias("at_x0"), F.max_by("y", "x").alias("at_x1"),
+        F.min_by("x", "y").alias("at_y0"), F.max_by("x", "y").alias("at_y1"),
     )
+    reps = F.array(site("x0", "at_x0"), site("x1", "at_x1"), site("at_y0", "y0"), site("at_y1", "y1"))
+    return extremes.withColumn("reps", reps).drop("at_x0", "at_x1", "at_y0", "at_y1")
 
 
 def _apart(a: str, b: str, eps: float) -> Column:

@@ -119,7 +119,7 @@ def flow_edges(od: DataFrame, n: int = 30, before_topk: bool = False, p: Params
 
 def flow_nodes(edges: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """Distinct end cells of the edges: name, lng, lat."""
-    cells = edges.select(F.col("o").alias("cell")).union(edges.select("d")).distinct()
+    cells = edges.select(F.explode(F.array("o", "d")).alias("cell")).distinct()
     lng, lat = grid_center(F.col("cell"), p)
     return cells.select(
         _node_name(lng, lat).alias("name"), F.round(lng, 5).alias("lng"), F.round(lat, 5).alias("lat"),
@@ -148,17 +148,22 @@ def top_cells(flows: DataFrame, column: str, n: int = 10) -> DataFrame:
 
 
 def net_flow_extremes(flows: DataFrame, n: int = 15) -> DataFrame:
-    """The n largest net inflows and the n largest net outflows, for the two-sided list."""
-    def side(name: str, order: Column) -> DataFrame:
-        top = flows.orderBy(order, "grid_id").limit(n)
-        return top.select(
-            F.lit(name).alias("direction"),
-            F.row_number().over(Window.orderBy(order, "grid_id")).alias("order_no"),  # n rows
-            "grid_id", point_label(F.col("lng"), F.col("lat")).alias("label"),
-            "net_flow", F.abs("net_flow").alias("value"),
-        )
+    """The n largest net inflows and the n largest net outflows, for the two-sided list.
 
-    return side("in", F.desc("net_flow")).unionByName(side("out", F.asc("net_flow")))
+    Both ranks come from one pass over the cells, whose number the grid bounds.
+    """
+    ranked = flows.withColumns({
+        "in": F.row_number().over(Window.orderBy(F.desc("net_flow"), "grid_id")),
+        "out": F.row_number().over(Window.orderBy("net_flow", "grid_id")),
+    })
+    places = F.array_compact(F.array(*[
+        F.when(F.col(side) <= n, F.struct(F.lit(side).alias("direction"), F.col(side).alias("order_no")))
+        for side in ("in", "out")
+    ]))
+    return ranked.select("*", F.inline(places)).select(
+        "direction", "order_no", "grid_id", point_label(F.col("lng"), F.col("lat")).alias("label"),
+        "net_flow", F.abs("net_flow").alias("value"),
+    )
 
 
 def heat_points(trips: DataFrame, n: int = 500, cap: int = 50, p: Params = DEFAULTS) -> DataFrame:

@@ -170,19 +170,23 @@ def period_stats(trips: DataFrame, p: Params = DEFAULTS) -> DataFrame:
         _mean_minutes().alias("avg_duration"),
         F.avg("distance_km").alias("avg_distance"),
         F.count_distinct("vehicle_id").alias("vehicles"),
-    ).withColumn("total", F.round(F.sum("whole").over(Window.partitionBy())))  # 5 rows
-    n = F.coalesce("n", F.lit(0))
-    total = F.max("total").over(Window.partitionBy())
-    known = periods_table(trips, p).join(F.broadcast(stats), "period_no", "full")
-    return (
-        known.select(
-            "period_no", "period_name", "time_range",
-            n.alias("trip_count"),
-            safe_ratio(n, total, 100.0).alias("ratio_pct"),
-            "avg_duration", "avg_distance",
-            F.coalesce("vehicles", F.lit(0)).alias("active_vehicles"),
-        )
-        .where(F.col("period_no") >= 0)
+    )
+    empty = trips.sparkSession.range(len(p.periods)).select(
+        F.col("id").cast("int").alias("period_no"), F.lit(0).alias("n"), F.lit(0.0).alias("whole"),
+        F.lit(None).cast("double").alias("avg_duration"), F.lit(None).cast("double").alias("avg_distance"),
+        F.lit(0).alias("vehicles"),
+    )
+    rows = stats.unionByName(empty).groupBy("period_no").agg(
+        *[F.max(c).alias(c) for c in ("n", "whole", "avg_duration", "avg_distance", "vehicles")]
+    ).withColumn("total", F.round(F.sum("whole").over(Window.partitionBy())))  # a row per period
+    name = lambda texts: F.element_at(F.array(*[F.lit(t) for t in texts]), F.col("period_no") + 1)
+    return rows.where(F.col("period_no") >= 0).select(
+        "period_no",
+        name([n for n, _, _ in p.periods]).alias("period_name"),
+        name([f"{a}-{b}" for _, a, b in p.periods]).alias("time_range"),
+        F.col("n").alias("trip_count"),
+        safe_ratio(F.col("n"), F.col("total"), 100.0).alias("ratio_pct"),
+        "avg_duration", "avg_distance", F.col("vehicles").alias("active_vehicles"),
     )
 
 

@@ -103,16 +103,20 @@ def started_trips_fifo(changes: Sequence) -> DataFrame:
     matched = (F.col("change") == -1) & (F.col("d") >= floor)
     # ends that found a start so far: all ends minus the depth of the minimum
     rank = F.when(opened, F.col("s")).when(matched, F.col("e") + floor)
+    # one start and at most one end per rank; plain numbers keep this a hash aggregation
+    first = lambda side, c: F.max(F.when(side, F.col(c)))
     pairs = (
         rows.withColumn("rank", rank)
         .where(F.col("rank").isNotNull())
         .groupBy(*KEYS, "rank")
         .agg(
-            F.max(F.when(opened, F.struct("seq", "sec_of_day", "lng", "lat"))).alias("start"),
-            F.max(F.when(~opened, _end_of())).alias("end"),
+            first(opened, "seq").alias("trip_id"), first(opened, "sec_of_day").alias("s_sec"),
+            first(opened, "lng").alias("s_lng"), first(opened, "lat").alias("s_lat"),
+            first(~opened, "sec_of_day").alias("e_sec"),
+            first(~opened, "lng").alias("e_lng"), first(~opened, "lat").alias("e_lat"),
         )
     )
-    return _shape(pairs.select(*KEYS, "start.*", "end"))
+    return pairs.select(*RAW_COLUMNS)
 
 
 def pair_trips(changes: Sequence, strict: bool = True) -> DataFrame:

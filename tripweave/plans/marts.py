@@ -4,7 +4,7 @@ except where an exact percentile or a clustering needs one."""
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -17,6 +17,12 @@ from tripweave.plans import board
 from tripweave.sources.sinks import od_columns
 
 
+def _one_row(*frames: DataFrame) -> DataFrame:
+    """Frames of one row each as one row, without a join."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return rows.agg(*[F.first(c, ignorenulls=True).alias(c) for c in rows.columns])
+
+
 @dataclass(frozen=True)
 class Marts:
     """Marts over one set of valid trips. Persist the trips when building several."""
@@ -110,17 +116,13 @@ class Marts:
             (F.avg(F.when(F.col("distance_km") < self.params.short_km, 1.0).otherwise(0.0)) * 100).alias("short_trip_ratio"),
             (F.avg(F.when(F.col("distance_km") > self.params.long_km, 1.0).otherwise(0.0)) * 100).alias("long_trip_ratio"),
         )
-        found = self.hotspots.groupBy().pivot("point_type", ["start", "end"]).count()
-        one = lambda df: df.withColumn("one", F.lit(1))
-        # four frames of one row each
-        return (
-            one(k).join(one(peaks), "one").join(one(shares), "one").join(one(found), "one")
-            .select(
-                "total_trips", "total_vehicles", "avg_duration", "avg_distance",
-                "morning_peak", "evening_peak", "peak_hour_max", "peak_max_trips",
-                "short_trip_ratio", "long_trip_ratio",
-                F.coalesce("start", F.lit(0)).alias("start_hotspots"), F.coalesce("end", F.lit(0)).alias("end_hotspots"),
-            )
+        kinds = self.hotspots.agg(*[
+            F.count_if(F.col("point_type") == kind).alias(f"{kind}_hotspots") for kind in ("start", "end")
+        ])
+        return _one_row(k, peaks, shares, kinds).select(
+            "total_trips", "total_vehicles", "avg_duration", "avg_distance",
+            "morning_peak", "evening_peak", "peak_hour_max", "peak_max_trips",
+            "short_trip_ratio", "long_trip_ratio", "start_hotspots", "end_hotspots",
         )
 
     def reference_lines(self) -> DataFrame:
@@ -133,11 +135,9 @@ class Marts:
         return temporal.duration_distance_correlation(self.trips)
 
     def time_summary(self) -> DataFrame:
-        k = temporal.kpis(self.trips).select("total_trips", "total_vehicles", F.lit(1).alias("one"))
-        peaks = temporal.peak_hours(temporal.hourly_counts(self.trips), self.params).select(
-            "morning_peak", "evening_peak", "peak_hour_max", F.lit(1).alias("one")
-        )
-        return k.join(peaks, "one").drop("one")
+        k = temporal.kpis(self.trips).select("total_trips", "total_vehicles")
+        peaks = temporal.peak_hours(temporal.hourly_counts(self.trips), self.params)
+        return _one_row(k, peaks.select("morning_peak", "evening_peak", "peak_hour_max"))
 
     def space_summary(self) -> DataFrame:
         p = self.params

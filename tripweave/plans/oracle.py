@@ -418,6 +418,22 @@ SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles, ro
 SELECT stat_type, stat_key, stat_value FROM scalars WHERE stat_type = 'hourly_trips'
 UNION ALL SELECT 'period_trips', p.period_name, CAST(count(v.trip_id) AS DOUBLE)
 FROM periods p LEFT JOIN valid v ON v.s_sec >= p.a AND v.s_sec < p.b AND v.hour < 12 GROUP BY p.period_name"""),
+        "hourly_board": _trips(f""", {_HOURS}
+SELECT h.hour, printf('%02d:00', h.hour) AS label, count(v.trip_id) AS trip_count
+FROM hours h LEFT JOIN valid v ON v.hour = h.hour GROUP BY h.hour"""),
+        "period_shares": _trips(f""", {_PERIOD_VALUES}
+SELECT CAST(p.period_no AS INTEGER) AS period_no, p.period_name, round(count(v.trip_id) * 100.0e0 / (SELECT count(*) FROM valid), 1) AS ratio_pct
+FROM periods p LEFT JOIN valid v ON v.s_sec >= p.a AND v.s_sec < p.b GROUP BY ALL"""),
+        "distance_summary": _trips("""
+SELECT round(avg(distance_km), 2) AS mean, round(median(distance_km), 2) AS median,
+  round(avg(CASE WHEN distance_km < 3 THEN 100.0e0 ELSE 0 END), 1) AS short_ratio,
+  round(avg(CASE WHEN distance_km > 10 THEN 100.0e0 ELSE 0 END), 1) AS long_ratio FROM valid"""),
+        "speed_summary": _trips("""
+SELECT round(avg(avg_speed), 1) AS mean, round(median(avg_speed), 1) AS median, count(*) AS total,
+  CAST(CASE WHEN avg(avg_speed) <= 60 THEN ceil(avg(avg_speed) / 10) - 1 WHEN avg(avg_speed) <= 80 THEN 6 ELSE 7 END AS INTEGER) AS mean_bin FROM valid"""),
+        "time_summary": _trips(""", h AS (SELECT hour, count(*) AS n FROM valid GROUP BY hour)
+SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles,
+  (SELECT hour FROM h ORDER BY n DESC, hour LIMIT 1) AS peak_hour_max FROM valid"""),
         "cache_kpis": _trips("""
 SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles, round((sum(duration_s)::DOUBLE / 60.0e0 / count(duration_s)), 6) AS avg_duration,
   round(avg(distance_km), 6) AS avg_distance, round(avg(avg_speed), 6) AS avg_speed FROM valid"""),

@@ -56,6 +56,10 @@ def _of_trips(build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _of_marts(build: Callable[[Marts], DataFrame]) -> Query:
+    return lambda spark, sf_dir: _round(build(Marts(_trips(spark, sf_dir))))
+
+
+def _of_kept_marts(build: Callable[[Marts], DataFrame]) -> Query:
     return lambda spark, sf_dir: _round(build(Marts(_kept_trips(spark, sf_dir))))
 
 
@@ -119,7 +123,7 @@ def _cache(m: Marts) -> DataFrame:
 
 def _of_cache(build: Callable[[DataFrame], DataFrame]) -> Query:
     """Over the cache without its ranking row, which needs a clustering."""
-    return _of_marts(lambda m: build(board.cache_rows(m.trips, None)))
+    return _of_kept_marts(lambda m: build(board.cache_rows(m.trips, None)))
 
 
 def _dashboard(cache: DataFrame) -> DataFrame:
@@ -270,14 +274,19 @@ def queries() -> dict[str, Query]:
             lambda t: hotspots.hotspot_ranking(hotspots.find_hotspots(t)).drop("label")
         ),
         # board and report
-        "report_fields": _of_marts(lambda m: m.report_fields().drop("morning_peak", "evening_peak", "end_hotspots")),
-        "cache_rows": _of_marts(lambda m: _cache(m).drop("updated_at")),
+        "report_fields": _of_kept_marts(lambda m: m.report_fields().drop("morning_peak", "evening_peak", "end_hotspots")),
+        "hourly_board": _of_marts(Marts.hourly),
+        "period_shares": _of_marts(Marts.period_shares),
+        "distance_summary": _of_marts(Marts.distance_summary),
+        "speed_summary": _of_marts(Marts.speed_summary),
+        "time_summary": _of_marts(lambda m: m.time_summary().select("total_trips", "total_vehicles", "peak_hour_max")),
+        "cache_rows": _of_kept_marts(lambda m: _cache(m).drop("updated_at")),
         "cache_kpis": _of_cache(board.read_kpis),
         "cache_heatmap": _of_cache(board.read_heatmap),
         "cache_trend": _of_cache(board.read_trend),
         "cache_periods": _of_cache(board.read_periods),
         "cache_hourly": _of_cache(board.read_hourly),
-        "cache_ranking": _of_marts(lambda m: board.read_ranking(_cache(m))),
+        "cache_ranking": _of_kept_marts(lambda m: board.read_ranking(_cache(m))),
         "board_dashboard": _of_cache(_dashboard),
         "cache_scalars": _of_trips(_cache_scalars),
         "cache_upsert": _of_trips(_cache_upsert),
