@@ -1,8 +1,10 @@
 import datetime as dt
 import random
+from dataclasses import replace
 
 
 from tripweave.operators.trips import trips_from_pings
+from tripweave.params import DEFAULTS
 from tripweave.plans import board
 from tripweave.sources.events_view import read_events_view, with_timestamps
 from tripweave.streaming import live
@@ -28,7 +30,7 @@ def _run(query):
     assert query.exception() is None
 
 
-def test_stream_equals_batch(spark, tmp_path):
+def _frames(spark):
     """Shuffled files with repeats; a ping from the next day moves the watermark past the end."""
     pings = with_timestamps(read_events_view(spark, SF))
     rng = random.Random(4)
@@ -41,13 +43,22 @@ def test_stream_equals_batch(spark, tmp_path):
         frames.append(spark.createDataFrame(part, pings.schema))
     sentinel = dict(rows[0], seq=10**9, vehicle_id=10**6, ts=rows[-1]["ts"] + dt.timedelta(days=1))
     frames.append(spark.createDataFrame([sentinel], pings.schema))
+    return frames
+
+
+def _facts(trips):
+    cols = ["trip_id", "vehicle_id", "service_date", "s_sec", "e_sec", "duration_s", "hour"]
+    return sorted(map(tuple, trips.select(cols).collect()))
+
+
+def test_stream_equals_batch(spark, tmp_path):
+    frames = _frames(spark)
     stream = live.watermarked(_stream(spark, frames, tmp_path))
     out = str(tmp_path / "trips")
     _run(live.start_trips(live.assemble(live.drop_repeats(stream)), out, str(tmp_path / "c1"), once=True))
     got = spark.read.parquet(out)
     want = trips_from_pings(read_events_view(spark, SF))
-    cols = ["trip_id", "vehicle_id", "service_date", "s_sec", "e_sec", "duration_s", "hour"]
-    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+    assert _facts(got) == _facts(want)
 
     target = str(tmp_path / "board")
     trips = spark.readStream.schema(got.schema).option("maxFilesPerTrigger", 5).parquet(out)
@@ -57,6 +68,37 @@ def test_stream_equals_batch(spark, tmp_path):
     assert hours == {f"{r.hour:02d}": r["count"] for r in want.groupBy("hour").count().collect()}
 
 
+def test_settling_equals_batch_with_hot_vehicles(spark, tmp_path):
+    """Vehicle-days above 15 pings are cut into chunks in every micro-batch."""
+    target, p = str(tmp_path / "settled"), replace(DEFAULTS, max_rows_per_task=15)
+    stream = _stream(spark, _frames(spark), tmp_path)
+    _run(live.start_settling(stream, target, str(tmp_path / "c"), once=True, p=p))
+    got = live.settled_trips(spark, target)
+    want = trips_from_pings(read_events_view(spark, SF))
+    assert _facts(got) == _facts(want)
+    version = live.published_version(spark, target)
+    kept = spark.read.parquet(f"{target}/v={version}/kept").count()
+    assert version == 6 and kept == 1  # only the ping of the new day is ahead
+
+
+def test_settling_keeps_an_open_trip(spark, tmp_path):
+    target = str(tmp_path / "s")
+    at = lambda h, m: dt.datetime(2024, 1, 1, h, m)
+    row = lambda seq, ts, status, lng=114.0: (seq, 1, ts, lng, 22.6, status, 30.0)
+    batches = [
+        [row(0, at(8, 0), 1), row(1, at(8, 1), 0), row(2, at(9, 30), 0)],
+        [row(1, at(8, 1), 0), row(3, at(9, 40), 1, 114.3), row(4, at(10, 50), 1, 114.3)],
+        [row(5, at(13, 0), 1)],
+    ]
+    for i, rows in enumerate(batches):
+        for _ in range(2):  # a replayed batch changes nothing
+            live.settle(spark.createDataFrame(rows, live.LIVE_PING), i, target)
+        n = live.settled_trips(spark, target).count()
+        assert n == (0, 1, 1)[i]
+    trip = live.settled_trips(spark, target).first()
+    assert (trip.trip_id, trip.duration_min, trip.s_ts, trip.e_ts) == (1, 99.0, at(8, 1), at(9, 40))
+
+
 def test_refresh_is_idempotent(spark, tmp_path):
     target = str(tmp_path / "b")
     hourly = lambda n: spark.createDataFrame(

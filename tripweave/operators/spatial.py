@@ -163,7 +163,7 @@ def net_flow_extremes(flows: DataFrame, n: int = 15) -> DataFrame:
     return ranked.select("*", F.inline(places)).select(
         "direction", "order_no", "grid_id", point_label(F.col("lng"), F.col("lat")).alias("label"),
         "net_flow", F.abs("net_flow").alias("value"),
-    )
+    ).orderBy("direction", "order_no")
 
 
 def heat_points(trips: DataFrame, n: int = 500, cap: int = 50, p: Params = DEFAULTS) -> DataFrame:

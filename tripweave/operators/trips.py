@@ -22,7 +22,11 @@ REJECT_REASONS = ("no_measure", "too_short", "too_long", "too_near", "too_slow",
 
 
 def status_changes(seq: Sequence) -> Sequence:
-    """Pings where the status flips, with ``prev_status`` and ``change`` +1 or -1."""
+    """Pings where the status flips, with ``prev_status`` and ``change`` +1 or -1.
+
+    A column ``prior_status``, where there is one, stands for the ping before the
+    first of a day.
+    """
     boxed = F.struct(F.col("open_status").alias("status"))
     rows = seq.df.withColumn("prev", F.lag(boxed).over(seq.window()))
     if seq.split:
@@ -32,6 +36,8 @@ def status_changes(seq: Sequence) -> Sequence:
             lambda before, after: [{"carried": F.last("last_status").over(before)}],
         ).withColumn("prev", F.coalesce("prev", "carried")).drop("carried")
     prev, cur = F.col("prev.status"), F.col("open_status")
+    if "prior_status" in seq.df.columns:
+        prev = F.when(F.col("prev").isNull(), F.col("prior_status")).otherwise(prev)
     change = F.when((prev == 1) & (cur == 0), 1).when((prev == 0) & (cur == 1), -1)
     rows = rows.withColumns({"prev_status": prev, "change": change}).drop("prev")
     return seq.on(rows.where(F.col("change").isNotNull()))

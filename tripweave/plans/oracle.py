@@ -457,6 +457,8 @@ SELECT count(*) AS total_trips, (SELECT least(500, count(*)) FROM (SELECT DISTIN
 SELECT trip_id AS seq, CASE WHEN trip_id % 13 = 0 THEN 'bad_vehicle' WHEN trip_id % 11 = 0 THEN 'bad_time' ELSE 'bad_coordinate' END AS reject_reason
 FROM valid WHERE trip_id % 13 = 0 OR trip_id % 11 = 0 OR trip_id % 7 = 0"""),
         "live_trips": _trips(f"""
+SELECT {_TRIP_COLUMNS}, {_MEASURES} FROM valid WHERE e_sec <= (SELECT max(sec_of_day) FROM gps) - 3600"""),
+        "live_settled": _trips(f"""
 SELECT {_TRIP_COLUMNS}, {_MEASURES} FROM valid WHERE e_sec <= (SELECT max(sec_of_day) FROM gps) - 3600"""),
         "live_heat": _spatial("""
 , shown AS (SELECT * FROM cells WHERE e_sec <= (SELECT max(sec_of_day) FROM gps) - 3600),

@@ -178,6 +178,12 @@ def _live_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(table.drop("service_date", "s_ts", "e_ts"))
 
 
+def _live_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "live-settled")
+    _run(live.start_settling(stream_events_view(spark, sf_dir), f"{out}/table", f"{out}/checkpoint", once=True))
+    return _round(live.settled_trips(spark, f"{out}/table").drop("service_date", "s_ts", "e_ts"))
+
+
 def _trip_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _live_table(spark, sf_dir)
     return spark.readStream.schema(spark.read.parquet(table).schema).parquet(table)
@@ -292,6 +298,7 @@ def queries() -> dict[str, Query]:
         "cache_upsert": _of_trips(_cache_upsert),
         # streams
         "live_trips": _live_trips,
+        "live_settled": _live_settled,
         "live_hourly": _live_hourly,
         "live_heat": _live_heat,
     }

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -20,7 +21,8 @@ from pyspark.sql.types import StructType
 from tripweave.functions.clock import seconds_of
 from tripweave.functions.geo import cell_lat, cell_lng, center_lat, center_lng
 from tripweave.operators.clean import filter_box
-from tripweave.operators.trips import filter_trips, measure
+from tripweave.operators.sequence import KEYS, ORDER, sequence
+from tripweave.operators.trips import clean_trips, filter_trips, measure, pair_trips, status_changes
 from tripweave.params import DEFAULTS, Params
 from tripweave.schemas import LIVE_PING
 from tripweave.sources.sinks import merge_latest, publish, published_version, read_published
@@ -173,6 +175,73 @@ def start_board(trips: DataFrame, target: str, checkpoint: str, once: bool = Fal
     return _triggered(writer, once).start()
 
 
+def settle(batch: DataFrame, batch_id: int, target: str, p: Params = DEFAULTS, lateness_s: int = 3600) -> None:
+    """One micro-batch of live trips with the batch operators.
+
+    The same trips as :func:`assemble`, for fleets where one vehicle may send a large
+    share of all pings: a long vehicle-day is cut into chunks as in batch, instead of
+    being replayed in one task. Kept between batches are the pings ahead of the
+    watermark and, per vehicle and day, the last ping behind it and an open start.
+    Every version is built from the one before it, so a replayed batch gives the same.
+    """
+    spark = batch.sparkSession
+    us = F.unix_micros("ts")
+    named = [*LIVE_PING.names, "prior_status"]
+    fresh = batch.withColumn("prior_status", F.lit(None).cast("int")).select(*named)
+    passed = -(2**62)
+    if batch_id > 0:
+        before = f"{target}/v={batch_id - 1}"
+        passed = spark.read.parquet(f"{before}/passed").first().us
+        fresh = spark.read.parquet(f"{before}/kept").select(*named).unionByName(fresh.where(us > passed))
+    # a kept row wins over its own repeat, because only kept rows carry a prior status
+    rows = fresh.groupBy("vehicle_id", "seq").agg(
+        *[F.max(c).alias(c) for c in named if c not in ("vehicle_id", "seq")]
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    newest = rows.agg(F.max(us).alias("us")).first().us
+    if newest is not None:
+        passed = max(passed, newest - lateness_s * 1_000_000)
+    behind = us <= F.lit(passed)
+    timed = rows.withColumns({"service_date": F.to_date("ts"), "sec_of_day": seconds_of(F.col("ts"))})
+    pings = filter_box(timed.where(behind & F.col("open_status").isin(0, 1)), p)
+    changes = status_changes(sequence(pings, p))
+    trips = clean_trips(pair_trips(changes), p)
+    midnight = F.unix_micros(F.col("service_date").cast("timestamp"))
+    trips = trips.withColumns({
+        "s_ts": F.timestamp_micros(midnight + F.col("s_sec") * 1_000_000),
+        "e_ts": F.timestamp_micros(midnight + F.col("e_sec") * 1_000_000),
+    })
+    ping = F.struct(*named[:-1])
+    place = F.struct(*ORDER)
+    last = pings.groupBy(*KEYS).agg(F.max_by(ping, place).alias("r")).select(
+        "service_date", "r.*", F.lit(None).cast("int").alias("prior_status")
+    )
+    opened = changes.df.groupBy(*KEYS).agg(
+        F.max_by(ping, place).alias("r"), F.max_by("change", place).alias("change")
+    ).where(F.col("change") == 1).select("service_date", "r.*", F.lit(1).alias("prior_status"))
+    # days before the watermark's are over
+    context = last.unionByName(opened).where(F.col("service_date") >= F.to_date(F.timestamp_micros(F.lit(passed))))
+    kept = context.select(*named).unionByName(rows.where(~behind).select(*named))
+    mark = spark.createDataFrame([(passed,)], "us long")
+    publish({"trips": trips, "kept": kept, "passed": mark}, target, batch_id)
+    rows.unpersist()
+
+
+def start_settling(
+    pings: DataFrame, target: str, checkpoint: str, once: bool = False, p: Params = DEFAULTS, lateness_s: int = 3600
+) -> StreamingQuery:
+    """Stream of pings (no watermark needed) to versions of settled trips."""
+    writer = pings.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda df, batch_id: settle(df, batch_id, target, p, lateness_s)
+    )
+    return _triggered(writer, once).start()
+
+
+def settled_trips(spark: SparkSession, target: str) -> DataFrame:
+    """Trips of all announced versions."""
+    stored = spark.read.option("basePath", target).parquet(f"{target}/v=*/trips")
+    return stored.where(F.col("v") <= published_version(spark, target)).drop("v")
+
+
 def _triggered(writer, once: bool):  # noqa: ANN001, ANN202
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")
 
@@ -183,5 +252,6 @@ def board(spark: SparkSession, target: str) -> DataFrame:
 
 __all__ = [
     "assemble", "board", "board_rows", "drop_repeats", "hourly_trips", "published_version",
-    "read_ping_stream", "refresh_board", "rolling_heat", "start_board", "start_trips", "watermarked",
+    "read_ping_stream", "refresh_board", "rolling_heat", "settle", "settled_trips", "start_board",
+    "start_settling", "start_trips", "watermarked",
 ]
