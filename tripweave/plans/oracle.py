@@ -129,6 +129,7 @@ raw AS (
   FROM starts a JOIN ends b ON a.vehicle_id = b.vehicle_id AND a.n = b.n)
 """
 
+# fixed values: periods of the day; the bins further down hold the histogram labels
 _PERIOD_VALUES = """periods(period_no, period_name, time_range, a, b) AS (VALUES
   (0, '早高峰', '07:00-09:00', 25200, 32400), (1, '日间平峰', '09:00-17:00', 32400, 61200),
   (2, '晚高峰', '17:00-19:00', 61200, 68400), (3, '夜间', '19:00-23:59', 68400, 86340))"""
