@@ -19,7 +19,10 @@ def bin_no(value: Column, edges: Sequence[float | None]) -> Column:
 
 
 def bins_table(spark: SparkSession, labels: Sequence[str]) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(labels)), "bin_no int, label string")
+    """bin_no, label; one partition, built inside Spark."""
+    texts = F.array(*[F.lit(text) for text in labels])
+    numbers = spark.range(0, len(labels), 1, 1).select(F.col("id").cast("int").alias("bin_no"))
+    return numbers.withColumn("label", F.element_at(texts, F.col("bin_no") + 1))
 
 
 def histogram(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tripweave.functions.bins import bin_no
+from tripweave.functions.bins import bin_no, bins_table
 from tripweave.functions.geo import in_box
 from tripweave.functions.stats import exact_median, safe_ratio
 from tripweave.operators.clean import valid_speed
@@ -78,8 +78,7 @@ def speed_segments(pings: DataFrame) -> DataFrame:
         )
         .groupBy("b").agg(F.count(F.lit(1)).alias("n"))
     )
-    labels = [(0, "0")] + [(i + 1, label) for i, label in enumerate(PING_SPEED_LABELS)]
-    table = pings.sparkSession.createDataFrame(labels, "bin_no int, label string")
+    table = bins_table(pings.sparkSession, ("0", *PING_SPEED_LABELS))
     total = counts.select(
         (F.col("b") + 1).alias("bin_no"), "n", F.sum("n").over(Window.partitionBy()).alias("total")  # 7 rows
     )
@@ -134,7 +133,7 @@ def cleaning_funnel(pings: DataFrame, p: Params = DEFAULTS, strict: bool = True)
 def reject_counts(measured: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """Trips per first failed rule, every reason listed."""
     counts = measured.select(reject_reason(p).alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
-    table = measured.sparkSession.createDataFrame(list(enumerate(REJECT_REASONS)), "reason_no int, reason string")
+    table = bins_table(measured.sparkSession, REJECT_REASONS).toDF("reason_no", "reason")
     return table.join(F.broadcast(counts), "reason", "left").select(
         "reason_no", "reason", F.coalesce("n", F.lit(0)).alias("n")
     )

@@ -43,7 +43,7 @@ def density(trips: DataFrame, point_type: str = "start", p: Params = DEFAULTS) -
 
 def density_by_period(trips: DataFrame, point_type: str = "start", p: Params = DEFAULTS) -> DataFrame:
     points = trip_points(in_periods(trips, p), point_type, ("period_no",))
-    named = F.broadcast(periods_table(trips, p).select("period_no", "period_name"))
+    named = F.broadcast(periods_table(trips, p))
     return _density(points, ("period_no",), p).join(named, "period_no")
 
 

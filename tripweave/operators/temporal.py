@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tripweave.functions.bins import bin_no, histogram
+from tripweave.functions.bins import bin_no, bins_table, histogram
 from tripweave.functions.clock import elapsed_seconds, format_seconds, hour_of
 from tripweave.functions.geo import equirect_km
 from tripweave.functions.stats import (
@@ -148,10 +148,8 @@ def in_periods(trips: DataFrame, p: Params = DEFAULTS) -> DataFrame:
 
 
 def periods_table(trips: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    return trips.sparkSession.createDataFrame(
-        [(i, name, f"{a}-{b}") for i, (name, a, b) in enumerate(p.periods)],
-        "period_no int, period_name string, time_range string",
-    )
+    """period_no, period_name."""
+    return bins_table(trips.sparkSession, [name for name, _, _ in p.periods]).toDF("period_no", "period_name")
 
 
 def period_stats(trips: DataFrame, p: Params = DEFAULTS) -> DataFrame:
