@@ -167,7 +167,7 @@ class Marts:
             "hourly_stats": self.hourly_stats,
             "period_stats": temporal.period_stats(self.trips, self.params),
             "hotspots": self.hotspots,
-            "vehicle_efficiency": temporal.vehicle_efficiency(self.trips),
+            "vehicle_efficiency": temporal.vehicle_efficiency(self.trips).withColumnRenamed("vehicle_id", "VehicleNum"),
             "net_flow": spatial.net_flow(self.trips, self.params),
             "realtime_stats": self.cache_rows(),
         }

@@ -60,10 +60,10 @@ RESULT_TABLES = {
         ("point_type", "cluster_id"),
     ),
     "vehicle_efficiency": (
-        _s(("vehicle_id", LONG), ("trip_count", LONG), ("total_duration", DBL),
+        _s(("VehicleNum", LONG), ("trip_count", LONG), ("total_duration", DBL),
            ("total_distance", DBL), ("avg_duration", DBL), ("avg_distance", DBL),
            ("first_trip", STR), ("last_trip", STR)),
-        ("vehicle_id",),
+        ("VehicleNum",),
     ),
     "net_flow": (
         _s(("grid_id", LONG), ("lng", DBL), ("lat", DBL), ("outflow", LONG), ("inflow", LONG),
