@@ -23,14 +23,13 @@ def work_dir(spark: SparkSession) -> str:
 
     Only a local session may fall back to a temporary folder of this machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    local = tempfile.mkdtemp(prefix="tripweave-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tripweave-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -40,6 +39,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: fixes the rows and drops the lineage before them."""
     spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(work_dir(spark))
     return df.checkpoint(eager=True)
