@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import bin_slack, mixture_shards, sentence_pieces
+from tripweave.llm import bin_slack, bottomk_dedup, mixture_shards, sentence_pieces
 from tripweave.llm.batches import read
 
 SHARDS = 16
@@ -14,6 +14,10 @@ CAPACITY = 1024
 BYTE_BPE_END = 2
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottomk_dedup.near_duplicates(read(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     encoded = sentence_pieces.encode(read(spark, sf_dir, "documents"), model, keep=["doc_id"])
@@ -42,6 +46,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_near_duplicates": op5_near_duplicates,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_packing": op8_packing,
     "op9_sharding": op9_sharding,
