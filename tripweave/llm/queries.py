@@ -6,18 +6,49 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import bin_slack, bottomk_dedup, mixture_shards, sentence_pieces
+from tripweave.llm import (
+    bin_slack, bottomk_dedup, mixture_shards, ordinal_toxicity, quality_crf, secret_battery,
+    sentence_pieces,
+)
 from tripweave.llm.batches import read
 
 SHARDS = 16
+GOOD = 0.7
 CAPACITY = 1024
 BYTE_BPE_END = 2
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = quality_crf.fit(docs, labels.where(~quality_crf.held_out()))
+    return quality_crf.score(docs, model, keep=["doc_id"]).select(
+        "doc_id", quality_crf.held_out().alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted")
+    )
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_battery.scan(read(spark, sf_dir, "documents"), keep=["doc_id"])
+    base = F.filter("found", lambda s: s["kind"] != "random")
+    listed = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"),
+    )
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottomk_dedup.near_duplicates(read(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = ordinal_toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    return ordinal_toxicity.score(docs, model, keep=["doc_id"])
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     encoded = sentence_pieces.encode(read(spark, sf_dir, "documents"), model, keep=["doc_id"])
@@ -46,7 +77,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op2_secrets": op2_secrets,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_toxicity": op6_toxicity,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_packing": op8_packing,
     "op9_sharding": op9_sharding,

@@ -50,7 +50,7 @@ class _Powers:
 _POWERS = _Powers()
 
 
-def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The hash of every word, and where the words of each text begin (with the total at the end)."""
     joined = np.frombuffer(b" " + b" ".join(texts) + b" ", dtype=np.uint8)
     low = _LOWER[joined]
@@ -64,19 +64,26 @@ def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return words, np.concatenate([[0], np.searchsorted(begin, text_ends)])
 
 
-def shingle_sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
-    """The sorted distinct values of each text's shingles of ``size`` words.
-
-    A text with fewer words is one shingle, the whole sequence; one without words has none.
-    """
-    factors = [np.uint64(pow(0xD6E8FEB86659FD93, i + 1, 1 << 64)) for i in range(size)]
+def groups(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """The texts in order, in groups of at most ``GROUP_BYTES`` or of one text."""
     at = 0
     while at < len(texts):
         to, room = at + 1, GROUP_BYTES - len(texts[at])
         while to < len(texts) and room >= len(texts[to]):
             room -= len(texts[to])
             to += 1
-        words, bounds = _word_hashes(texts[at:to])
+        yield texts[at:to]
+        at = to
+
+
+def shingle_sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
+    """The sorted distinct values of each text's shingles of ``size`` words.
+
+    A text with fewer words is one shingle, the whole sequence; one without words has none.
+    """
+    factors = [np.uint64(pow(0xD6E8FEB86659FD93, i + 1, 1 << 64)) for i in range(size)]
+    for group in groups(texts):
+        words, bounds = word_hashes(group)
         rolled = np.zeros(max(0, len(words) - size + 1), dtype=np.uint64)
         for i in range(size):
             rolled += words[i : i + len(rolled)] * factors[i]
@@ -89,4 +96,3 @@ def shingle_sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
                 yield mix(mix(np.array([short], dtype=np.uint64)))
             else:
                 yield np.empty(0, dtype=np.uint64)
-        at = to
