@@ -12,21 +12,21 @@ its place.
 
 from __future__ import annotations
 
-import re
+import base64
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripweave.llm.batches import map_slices
-from tripweave.llm.word_table import WordTable, packed, table_for
+from tripweave.llm.word_table import packed
 from tripweave.session import cut
 
 #: Parts into which the pieces of one length are split for ranking.
 RANK_PARTS = 512
-#: Words joined into one call of the tokenizer.
-LINE_WORDS = 500
-_PLAIN = re.compile(" (?! )[^ ]*|[^ ]+| +(?= )| +$")
+#: One encoder for each rank file in a Python worker.
+_ENCODERS: dict = {}
 
 PLACE = T.StructType([
     T.StructField("length", T.LongType()), T.StructField("rank_from", T.LongType()),
@@ -35,53 +35,22 @@ PLACE = T.StructType([
 ])
 
 
-def spaced_words(text: str) -> list[str]:
-    """Cut before the last space of each run that has a character behind it.
+def encoder(ranks_path: str) -> Callable[[str], list[int]]:
+    """Text to ids by a file of merge ranks; names of special tokens are plain text."""
+    import public_tokenizers
+    import tiktoken
 
-    The tokenizer's own split always has a border there, so ids of the parts join to the ids
-    of the text. Parts after the first start with a space, or are a whole run of spaces but one.
-    """
-    if "  " not in text:
-        first, *rest = text.split(" ")
-        return ([first] if first else []) + [" " + w for w in rest]
-    return _PLAIN.findall(text)
-
-
-def _segmenter(path: str):
-    """Segments many words at a time: a call for each word costs more than its merges.
-
-    Words that start with their only space, and then something visible, are joined into lines.
-    Each gives exactly one id whose token starts with a space, which marks its begin.
-    """
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # a special token's name in a text is plain text
-    space = tokenizer.encode(" ").tokens[0]
-    begins = {i for token, i in tokenizer.get_vocab().items() if token.startswith(space)}
-
-    def many(texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def segment(words: list[str]) -> list[list[int]]:
-        out: list[list[int] | None] = [None] * len(words)
-        plain = [i for i, w in enumerate(words) if w[0] == " " and w.rfind(" ") == 0 and w[1:2].strip()]
-        lines = [plain[i:i + LINE_WORDS] for i in range(0, len(plain), LINE_WORDS)]
-        for line, ids in zip(lines, many(["".join([words[i] for i in x]) for x in lines]), strict=True):
-            at = [k for k, x in enumerate(ids) if x in begins]
-            if len(at) == len(line) and at[0] == 0:
-                for i, a, b in zip(line, at, [*at[1:], len(ids)], strict=True):
-                    out[i] = ids[a:b]
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, ids in zip(rest, many([words[i] for i in rest]), strict=True):
-            out[i] = ids
-        return out
-
-    return segment
+    if ranks_path not in _ENCODERS:
+        with open(ranks_path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        _ENCODERS[ranks_path] = tiktoken.Encoding(
+            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
+    return _ENCODERS[ranks_path].encode_ordinary
 
 
 def tokenize(
-    df: DataFrame, tokenizer_path: str, *, text: str = "text", keep: list[str], end_id: int, capacity: int = 1024
+    df: DataFrame, ranks_path: str, *, text: str = "text", keep: list[str], end_id: int, capacity: int = 1024
 ) -> DataFrame:
     """A row for each piece: ``keep``, ``piece`` (from 0), ``start``, ``length``, ``ids``.
 
@@ -93,16 +62,12 @@ def tokenize(
     wide = 4 * capacity
 
     def start():
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        table = table_for(("bytes", tokenizer_path), lambda: WordTable(_segmenter(tokenizer_path)))
-        end = packed([end_id])
+        encode = encoder(ranks_path)
 
         def work(texts: list[str | None]) -> list[list]:
             out = []
-            for ids in table.join([spaced_words(t or "") for t in texts]):
-                ids += end
+            for text in texts:
+                ids = packed([*encode(text or ""), end_id])
                 first = (len(ids) - 1) % wide + 1
                 out.append([ids[:first], *(ids[i:i + wide] for i in range(first, len(ids), wide))])
             return [out]
