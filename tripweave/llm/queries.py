@@ -7,13 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.llm import (
-    bin_slack, bottomk_dedup, mixture_shards, ordinal_toxicity, quality_crf, secret_battery,
-    sentence_pieces,
+    bin_slack, bottomk_dedup, chat_rotation, lsh_forest, mixture_shards, mtree_topk, ordinal_toxicity, quality_crf,
+    secret_battery, sentence_pieces,
 )
 from tripweave.llm.batches import read
 
 SHARDS = 16
 GOOD = 0.7
+#: Rows whose id this number divides are the queries of the vector searches, and their results each.
+ASKED, K = 50, 5
 CAPACITY = 1024
 BYTE_BPE_END = 2
 
@@ -39,6 +41,18 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % ASKED == 0, K)
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rotated = chat_rotation.rotate(read(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return rotated.select(
+        "conv_id", "participant", "part_from", "part_turn", "part_sub", "n_turns", "rendered", F.array_join(spans, ",").alias("mask")
+    )
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottomk_dedup.near_duplicates(read(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -76,14 +90,21 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree_topk.largest(read(spark, sf_dir, "embeddings"), F.col("id") % ASKED == 0, K)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_secrets": op2_secrets,
+    "op3_nearest": op3_nearest,
+    "op4_chat": op4_chat,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_toxicity": op6_toxicity,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_packing": op8_packing,
     "op9_sharding": op9_sharding,
+    "op10_topk": op10_topk,
 }
 
 # DuckDB has no crc32: its table of 256 values is made from the polynomial, then folded over the bytes.
@@ -101,6 +122,38 @@ crc_text AS (
 )"""
 
 ORACLE_SQL = {
+    "op4_chat": f"""
+WITH turns AS (
+  SELECT DISTINCT conv_id, coalesce(turn::BIGINT, {chat_rotation.NO_TURN}) AS turn, coalesce(role, 'unknown') AS speaker,
+         coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), seen AS (
+  SELECT t.*, w.participant, floor(t.turn / {chat_rotation.PART_TURNS}::DOUBLE)::BIGINT * {chat_rotation.PART_TURNS} AS part_from,
+         replace(t.text, '<|', '< |') || '<|im_end|>' || chr(10) AS body,
+         CASE WHEN t.speaker = 'system' THEN '<|im_start|>system' WHEN t.speaker = w.participant THEN '<|im_start|>assistant'
+              ELSE '<|im_start|>user name=' || replace(t.speaker, '<|', '< |') END || chr(10) AS head
+  FROM turns t JOIN (SELECT DISTINCT conv_id, speaker AS participant FROM turns WHERE speaker <> 'system') w USING (conv_id)
+), placed AS (
+  SELECT *, sum(length(head) + length(body)) OVER (
+           PARTITION BY conv_id, participant, part_from ORDER BY turn, speaker, text) - length(body) AS pos
+  FROM seen
+)
+SELECT conv_id, participant, part_from, NULL::BIGINT AS part_turn, 0::BIGINT AS part_sub, count(*) AS n_turns,
+       string_agg(head || body, '' ORDER BY turn, speaker, text) AS rendered,
+       coalesce(string_agg(pos::BIGINT || ':' || (pos + length(body))::BIGINT, ',' ORDER BY turn, text)
+                FILTER (speaker = participant), '') AS mask
+FROM placed GROUP BY conv_id, participant, part_from""",
+    "op10_topk": f"""
+WITH vecs AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id, list_sum(list_transform(list_zip(q.v, r.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM vecs q JOIN vecs r ON q.vec_id % {ASKED} = 0 AND q.vec_id <> r.vec_id AND len(q.v) = len(r.v)
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= {K}""",
     "op9_sharding": _CRC32 + f""",
 keyed AS (
   SELECT d.doc_id, coalesce('s' || d.source, 'n') AS stratum, coalesce(strlen(d.text), 0) + 1 AS size,
