@@ -1,3 +1,90 @@
-STAGES = []
+"""The corpus pipeline: toxicity, quality, near-duplicates, secrets, packing.
+
+Every stage takes the documents that the one before kept and all but the last return their
+columns. A stage's rows are written as Parquet and read again before the next one starts, so a
+lost executor costs the work of one stage at most.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripweave.llm import bottomk_dedup, ordinal_toxicity, quality_crf, secret_battery
+from tripweave.llm.batches import read
+from tripweave.llm.queries import GOOD, packed_documents
+from tripweave.session import cut, scratch_path
+
+#: Near-duplicates: words in a shingle, and the similarity in hundredths.
+WORDS, PERCENT = 5, 80
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str, list[str]]:
+    """The documents with numbered columns, so that no added column can clash; the text's name."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), names[docs.columns.index("text")], names
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic; null and empty texts stay."""
+    model = ordinal_toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    rows, text, names = _numbered(docs)
+    return ordinal_toxicity.score(rows, model, text=text, keep=names).where(~F.col("toxic")).select(*names).toDF(*docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of good quality, by the labels that op1_quality learns from too."""
+    model = quality_crf.fit(docs, read(spark, sf_dir, "labels").where(~quality_crf.held_out()))
+    rows, text, names = _numbered(docs)
+    return quality_crf.score(rows, model, text=text, keep=names).where(F.col("score") >= GOOD).select(*names).toDF(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group; rows without doc_id stay."""
+    found = cut(bottomk_dedup.near_duplicates(docs, words=WORDS, percent=PERCENT).select("doc_id", "kept"))
+    gone = found.where(~F.col("kept")).select("doc_id").distinct()
+    again = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    if again.isEmpty():
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    one = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    rest = docs.join(gone.union(again), "doc_id", "left_anti")
+    return rest.select(*docs.columns).union(one.select(*docs.columns))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced by their kind and n_chars counted again where they were."""
+    rows, text, names = _numbered(docs)
+    out = secret_battery.redact(rows, text=text, keep=names)
+    if "n_chars" in docs.columns:
+        chars = names[docs.columns.index("n_chars")]
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn(chars, F.when(F.col("n_spans") > 0, F.length(text).cast(kind)).otherwise(F.col(chars)))
+    return out.select(*names).toDF(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of a document, with its place in a sequence."""
+    return packed_documents(spark, docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("secrets", secrets),
+    ("packing", packing),
+]
+
+#: No stage but the last could be stated in SQL, and none of the fitted models.
 ORACLE_SQL = None
-def run(spark, sf_dir): raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        path = scratch_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -191,17 +191,21 @@ def scan(df: DataFrame, *, text: str = "text", keep: list[str], level: float = F
 
 
 def redact(df: DataFrame, *, text: str = "text", keep: list[str], level: float = FALSE_DISCOVERY) -> DataFrame:
-    """``keep`` with every span of ``text`` replaced by its kind in brackets; texts without one stay."""
+    """``keep``, with every span of ``text`` replaced by its kind in brackets, plus n_spans.
+
+    Texts without a span stay as they are, null ones too.
+    """
     accepted = _cutoffs_of(df, text, level)
 
     def start():
         def work(texts: list[str | None]) -> list[list]:
-            return [[t and _redacted(t, all_spans(t, accepted)) for t in texts]]
+            spans = [all_spans(t or "", accepted) for t in texts]
+            return [[t and _redacted(t, x) for t, x in zip(texts, spans, strict=True)], [len(x) for x in spans]]
 
         return work
 
-    out = map_slices(df, [text], keep, [T.StructField(text, T.StringType())], start)
-    return out.select(*keep)
+    added = [T.StructField(text, T.StringType()), T.StructField("n_spans", T.LongType())]
+    return map_slices(df, [text], keep, added, start).select(*keep, "n_spans")
 
 
 def _redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
