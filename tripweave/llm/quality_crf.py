@@ -137,7 +137,9 @@ class Model:
             ends = np.cumsum(per_text)
             owner = np.repeat(np.arange(len(group)), per_text)
             total = np.bincount(owner, weights=weight * good, minlength=len(ends))
-            yield from np.clip(total / np.bincount(owner, weights=weight, minlength=len(ends)), 0.0, 1.0).tolist()
+            mean = total / np.bincount(owner, weights=weight, minlength=len(ends))
+            # the last bits depend on the texts scored together
+            yield from np.round(np.clip(mean, 0.0, 1.0), 9).tolist()
 
 
 def train(x: np.ndarray, per_text: np.ndarray, label: np.ndarray, *, penalty: float = 1.0, steps: int = 150) -> Model:
