@@ -51,18 +51,54 @@ def test_wrong_column_count_is_quarantined(spark, tmp_path):
     assert [r.reject_reason for r in bad.collect()] == ["corrupt_line"]
 
 
-def test_gbk_file(spark, tmp_path):
+def test_encoding_is_the_one_given_and_strict(spark, tmp_path):
     text = "\n".join([HEAD + ",备注", *[line + ",出租车" for line in LINES[:2]]]) + "\n"
-    path = _write(tmp_path / "a.csv", text, "gbk")
-    assert files.detect_encoding(spark, path) == "gb18030"
-    raw = files.read_text_table(spark, path)
+    path = _write(tmp_path / "a.csv", text, "gb18030")
+    before = spark.conf.get("spark.sql.legacy.javaCharsets")
+    raw = files.read_text_table(spark, path, files.PING_NAMES, "GB18030")
+    assert spark.conf.get("spark.sql.legacy.javaCharsets") == before
     assert [r["备注"] for r in raw.collect()] == ["出租车"] * 2
-    assert files.read_pings(spark, path, "2024-01-01")[0].count() == 2
-
-
-def test_encoding_order(spark, tmp_path):
-    assert files.detect_encoding(spark, _write(tmp_path / "u.csv", "车,b\n1,2\n")) == "utf-8"
-    assert files.detect_encoding(spark, _write(tmp_path / "g.csv", "车,b\n1,2\n", "gbk")) == "gb18030"
+    assert files.read_pings(spark, path, "2024-01-01", "GB18030")[0].count() == 2
+
+
+def test_late_line_of_another_encoding_is_quarantined(spark, tmp_path):
+    lines = "\n".join([HEAD + ",note", *[LINES[0] + ",x"] * 6]).encode() + b"\n" + (LINES[1] + ",出租车").encode("gb18030") + b"\n"
+    path = tmp_path / "a.csv"
+    path.write_bytes(lines)
+    pings, bad = files.read_pings(spark, str(path), "2024-01-01")
+    assert pings.count() == 6 and [r.reject_reason for r in bad.collect()] == ["bad_encoding"]
+    assert bytes.fromhex(bad.first().row_text) == (LINES[1] + ",出租车").encode("gb18030")
+    mixed = tmp_path / "b.csv"
+    mixed.write_bytes((HEAD + "\n" + LINES[0] + "\n").encode("gb18030") + LINES[1].encode() + b"\xff\xff\n")
+    pings, bad = files.read_pings(spark, str(mixed), "2024-01-01", "GB18030")
+    assert pings.count() == 1 and [r.reject_reason for r in bad.collect()] == ["bad_encoding"]
+
+
+def test_columns_are_taken_by_name_in_each_file(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    _write(tmp_path / "in" / "a.csv", "VehicleNum,Stime,Lng,Lat,OpenStatus,Speed\n1,07:00:00,114.0,22.6,1,5\n")
+    _write(tmp_path / "in" / "b.csv", "VehicleNum,Stime,Lat,Lng,OpenStatus,Speed\n2,07:00:00,22.6,114.0,1,5\n")
+    _write(tmp_path / "in" / "c.csv", "3,07:00:00,22.6,114.0,1,5\n")
+    pings, bad = files.read_pings(spark, str(tmp_path / "in"), "2024-01-01")
+    assert [(r.vehicle_id, r.lng, r.lat) for r in pings.orderBy("seq").collect()] == [(1, 114.0, 22.6), (2, 114.0, 22.6)]
+    assert [r.reject_reason for r in bad.collect()] == ["no_header"]
+
+
+def test_row_numbers_of_many_files_differ(spark):
+    n = (1 << 20) + 7
+    rows = spark.range(n).select(files.row_number_of(F.col("id"), F.lit(5)).alias("a"), files.row_number_of(F.col("id"), F.lit((1 << 40) - 1)).alias("b"))
+    assert rows.agg(F.countDistinct("a")).first()[0] == n and rows.where("b < a or a < 0").count() == 0
+
+
+def test_days_stay_in_the_store(spark, tmp_path):
+    for day, vehicle in (("2024-01-01", 1), ("2024-01-02", 2)):
+        path = _write(tmp_path / f"{day}.csv", f"{HEAD}\n{vehicle},07:00:00,114.1,22.7,1,3\nx,07:00:00,114.1,22.7,1,3\n")
+        pipeline.ingest(spark, path, str(tmp_path / "store"), day)
+    stored = pipeline.stored_pings(spark, str(tmp_path / "store"))
+    assert sorted((r.vehicle_id, str(r.service_date)) for r in stored.collect()) == [(1, "2024-01-01"), (2, "2024-01-02")]
+    assert pipeline.stored_rejects(spark, str(tmp_path / "store")).count() == 2
+    pipeline.ingest(spark, path, str(tmp_path / "store"), "2024-01-02")  # a day again replaces that day
+    assert pipeline.stored_pings(spark, str(tmp_path / "store")).count() == 2
 
 
 def test_seq_follows_the_file_however_it_is_split(spark, tmp_path):

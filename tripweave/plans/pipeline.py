@@ -3,42 +3,58 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripweave.operators.temporal import top_vehicles, vehicle_efficiency
 from tripweave.operators.trips import clean_trips, trips_from_pings
 from tripweave.params import DEFAULTS, Params
 from tripweave.plans.marts import Marts
-from tripweave.sources.files import read_pings, read_trips
+from tripweave.schemas import PING, TRIP
+from tripweave.sources.files import accepted, parsed_pings, parsed_trips, rejected
 from tripweave.sources.sinks import od_columns, publish, write_csv, write_parquet
 
 
+_DAY = ("service_date",)
+
+
 def ingest(
-    spark: SparkSession, source: str, target: str, service_date: str, encoding: str | None = None
+    spark: SparkSession, source: str, target: str, service_date: str, encoding: str = "UTF-8"
 ) -> DataFrame:
-    """Raw CSV to typed pings partitioned by day, bad rows to a quarantine beside them."""
-    pings, bad = read_pings(spark, source, service_date, encoding)
-    write_parquet(pings, f"{target}/pings", ("service_date",))
-    write_parquet(bad, f"{target}/quarantine")
-    return spark.read.parquet(f"{target}/pings")
+    """Raw CSV to typed pings, stored by day in one pass; other days in the store stay.
+
+    Accepted and rejected lines of a day are one table, so repeating a day replaces both.
+    """
+    write_parquet(parsed_pings(spark, source, service_date, encoding), f"{target}/ingested", _DAY)
+    return stored_pings(spark, target)
+
+
+def stored_pings(spark: SparkSession, target: str) -> DataFrame:
+    """Accepted pings of all stored days."""
+    return accepted(spark.read.parquet(f"{target}/ingested"), PING.names)
+
+
+def stored_rejects(spark: SparkSession, target: str, table: str = "ingested") -> DataFrame:
+    """The quarantine: lines of all stored days that gave no row."""
+    return rejected(spark.read.parquet(f"{target}/{table}"))
 
 
 def clean(pings: DataFrame, target: str, p: Params = DEFAULTS, strict: bool = True) -> DataFrame:
-    """Pings to valid trips, stored once; later steps read the stored table."""
+    """Pings to valid trips, stored once by day; later steps read the stored table."""
     path = f"{target}/trips"
-    write_parquet(trips_from_pings(pings, p, strict), path)
-    return pings.sparkSession.read.parquet(path)
+    write_parquet(trips_from_pings(pings, p, strict), path, _DAY)
+    return pings.sparkSession.read.schema(TRIP).parquet(path)
 
 
 def clean_od(
     spark: SparkSession, source: str, target: str, service_date: str, p: Params = DEFAULTS
 ) -> DataFrame:
     """Input that holds trips already: the trip filter only."""
-    od, bad = read_trips(spark, source, service_date)
-    write_parquet(bad, f"{target}/quarantine")
+    write_parquet(parsed_trips(spark, source, service_date), f"{target}/od_ingested", _DAY)
+    stored = spark.read.parquet(f"{target}/od_ingested").where(F.col("service_date") == F.lit(service_date).cast("date"))
+    od = accepted(stored, [c for c in stored.columns if c not in ("seq", "reject_reason", "row_text")])
     path = f"{target}/trips"
-    write_parquet(clean_trips(od, p), path)
-    return spark.read.parquet(path)
+    write_parquet(clean_trips(od, p), path, _DAY)
+    return spark.read.schema(TRIP).parquet(path)
 
 
 def export_trips(trips: DataFrame, path: str) -> None:

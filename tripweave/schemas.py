@@ -9,17 +9,6 @@ def _s(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 LONG, INT, DBL, STR = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
 
-# the file: every value as text, so that a bad cell is a quarantined row, not an error
-RAW_PING_TEXT = _s(
-    ("VehicleNum", STR), ("Stime", STR), ("Lng", STR), ("Lat", STR),
-    ("OpenStatus", STR), ("Speed", STR),
-)
-RAW_TRIP_TEXT = _s(
-    ("VehicleNum", STR), ("Stime", STR), ("SLng", STR), ("SLat", STR), ("ELng", STR),
-    ("ELat", STR), ("Etime", STR), ("duration_min", STR), ("distance_km", STR),
-    ("avg_speed", STR),
-)
-
 PING = _s(
     ("seq", LONG), ("vehicle_id", LONG), ("service_date", T.DateType()),
     ("sec_of_day", LONG), ("lng", DBL), ("lat", DBL), ("open_status", INT), ("speed", DBL),
@@ -36,7 +25,7 @@ TRIP = _s(
     ("avg_speed", DBL), ("hour", INT),
 )
 
-# result tables: name -> (schema, natural key)
+# result tables, fixed values: name -> (schema, natural key)
 RESULT_TABLES = {
     "od_trips": (
         _s(("VehicleNum", LONG), ("Stime", STR), ("SLng", DBL), ("SLat", DBL), ("ELng", DBL),

@@ -6,62 +6,118 @@ becomes a quarantined row with a reason and never an error or a guessed type.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tripweave.functions.clock import parse_seconds
+from tripweave.params import DEFAULTS, Params
 from tripweave.schemas import PING
+from tripweave.session import cut
 
 PING_NAMES = ("VehicleNum", "Stime", "Lng", "Lat", "OpenStatus", "Speed")
 TRIP_NAMES = ("VehicleNum", "Stime", "SLng", "SLat", "ELng", "ELat", "Etime")
-# encodings tried on a sample of lines, in this order
-ENCODINGS = ("utf-8", "gb18030", "latin-1")
-_SPARK_ENCODING = {"utf-8": "UTF-8", "gb18030": "GB18030", "latin-1": "ISO-8859-1"}
-_CORRUPT = "_corrupt"
-
-
-def detect_encoding(spark: SparkSession, path: str, lines: int = 5) -> str:
-    """First encoding that decodes the first lines of the input.
-
-    Latin-1 maps every byte, so reading with it hands over the bytes unchanged.
+#: Bits of a row's number that hold its place in the file; the others hold the file's rank.
+OFFSET_BITS = 40
+#: Different headers that one input may have at most.
+MAX_HEADERS = 100
+_BAD, _LINE = "_bad", "_line"
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the plans built inside, restored after."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def row_number_of(file_no: Column, offset: Column) -> Column:
+    """Orders rows by file and place in it; no two places share a number."""
+    return F.shiftleft(file_no.cast("long"), OFFSET_BITS) + offset
+
+
+def _decoded(encoding: str) -> Column:
+    """A line's text, null where its bytes are not text of the encoding."""
+    if encoding.upper() in ("UTF-8", "UTF8"):
+        return F.when(F.is_valid_utf8("value"), F.col("value"))
+    raw = F.col("value").cast("binary")
+    text = F.decode(raw, encoding)
+    return F.when(F.encode(text, encoding) == raw, text)
+
+
+def _cells(text: Column) -> Column:
+    plain = F.regexp_replace(text, "^\ufeff", "")
+    return F.transform(F.split(plain, ","), lambda c: F.trim(F.regexp_replace(c, '^\\s*"|"\\s*$', "")))
+
+
+def _files(spark: SparkSession, path: str, heads: DataFrame) -> DataFrame:
+    """file, file_no (rank by name) and header of every input file; contents are not read for it."""
+    named = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"))
+    first = heads.groupBy("file").agg(F.min_by("cells", "offset").alias("header"))
+    by_name = Window.orderBy("file")  # one row per file
+    return cut(named.join(first, "file", "left").withColumn("file_no", F.row_number().over(by_name) - 1))
+
+
+def read_text_table(
+    spark: SparkSession, path: str, names: tuple[str, ...], encoding: str = "UTF-8", p: Params = DEFAULTS
+) -> DataFrame:
+    """CSV files with headers as text columns, each file's columns taken by the names in its header.
+
+    A header is a line with all of ``names`` as cells, blanks around them aside. Adds ``_bad``, the
+    reason why a line gives no row (``bad_encoding``, ``no_header``, ``corrupt_line``), ``_line``, its
+    text, and ``seq``, which orders rows by file name and place in the file: it is built from the
+    byte offset of the split and the row number in the task, so it does not depend on how files
+    are cut. Lines are decoded strictly, by the encoding given and no other. The files are read
+    twice, for headers and for rows.
     """
-    head = (
-        spark.read.option("encoding", "ISO-8859-1").option("sep", "\u0001").option("quote", "")
-        .schema("line string").csv(path).limit(lines).collect()
+    foreign = {"spark.sql.legacy.javaCharsets": "true", "spark.sql.legacy.codingErrorAction": "true"}
+    with _settings(spark, {} if encoding.upper() in ("UTF-8", "UTF8") else foreign):
+        row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+        lines = spark.read.text(path).select(
+            F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_block_start") + row_in_task).alias("offset"),
+            _decoded(encoding).alias("text"), F.col("value").cast("binary").alias("raw"),
+        ).where(F.length("raw") > 0)
+    wanted = F.array(*[F.lit(n) for n in names])
+    split = lines.withColumn("cells", _cells(F.col("text")))
+    is_header = F.coalesce(F.size(F.array_except(wanted, F.col("cells"))) == 0, F.lit(False))
+    files = _files(spark, path, split.where(is_header).select("file", "offset", "cells"))
+    n_files = files.count()
+    if n_files >= 1 << (63 - OFFSET_BITS):
+        raise ValueError(f"{n_files} files are more than row numbers can tell apart")
+    headers = [r.header for r in files.where("header IS NOT NULL").select("header").distinct().limit(MAX_HEADERS + 1).collect()]
+    if len(headers) > MAX_HEADERS:
+        raise ValueError(f"the files have more than {MAX_HEADERS} different headers")
+    # a file table within the bound is sent to every task; a larger one is joined by shuffle
+    placed = split.where(~is_header).join(F.broadcast(files) if n_files <= p.max_broadcast_rows else files, "file")
+    columns = list(dict.fromkeys(c for h in sorted(headers) for c in h if c)) or list(names)
+    options = {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
+    }
+    for k, header in enumerate(headers):
+        own = F.col("header") == F.array(*[F.lit(c) for c in header])
+        fields = ", ".join(f"c{i} string" for i in range(len(header)))
+        placed = placed.withColumn(f"row{k}", F.when(own, F.from_csv("text", F.lit(f"{fields}, bad string"), options)))
+    value = lambda c: F.coalesce(*[
+        F.col(f"row{k}")[f"c{h.index(c)}"] for k, h in enumerate(headers) if c in h
+    ]) if headers and any(c in h for h in headers) else F.lit(None).cast("string")
+    corrupt = F.coalesce(*[F.col(f"row{k}")["bad"] for k in range(len(headers))]) if headers else F.lit(None)
+    bad = F.when(F.col("text").isNull(), "bad_encoding").when(F.col("header").isNull(), "no_header").when(
+        corrupt.isNotNull(), "corrupt_line"
     )
-    data = "\n".join(r.line or "" for r in head).encode("latin-1")
-    for name in ENCODINGS:
-        try:
-            data.decode(name)
-            return name
-        except UnicodeDecodeError:
-            continue
-    return "latin-1"
-
-
-def read_text_table(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
-    """CSV with a header as text columns, blanks around header names removed.
-
-    Adds ``_corrupt`` (the line, where it does not fit the header) and ``seq``, which
-    orders rows as they stand in the files: it is built from the byte offset of the
-    split and the row number in the task, so it does not depend on how files are cut.
-    """
-    name = encoding or detect_encoding(spark, path)
-    if name.lower() not in ("utf-8", "latin-1"):
-        # the JVM reads the other charsets too, once allowed to
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    reader = spark.read.option("header", True).option("encoding", _SPARK_ENCODING.get(name.lower(), name))
-    header = [c.strip() for c in reader.csv(path).columns]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _CORRUPT]])
-    table = (
-        reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
-        .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path)
+    seq = F.expr("try_cast(row_seq AS bigint)") if "seq" in columns else row_number_of(F.col("file_no"), F.col("offset"))
+    if "seq" in columns:
+        placed = placed.withColumn("row_seq", value("seq"))
+    return placed.select(
+        *[value(c).alias(c) for c in columns if c != "seq"], bad.alias(_BAD),
+        F.coalesce(F.col("text"), F.hex("raw")).alias(_LINE), seq.alias("seq"),
     )
-    if "seq" in header:
-        return table.withColumn("seq", F.expr("try_cast(seq AS bigint)"))
-    file_no = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(2**20))
-    row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
-    offset = F.col("_metadata.file_block_start") + row_in_task
-    return table.withColumn("seq", F.shiftleft(file_no, 43) + offset)
 
 
 def _number(name: str, kind: str) -> Column:
@@ -73,14 +129,16 @@ def _bad(name: str, value: Column) -> Column:
     return F.col(name).isNotNull() & (F.trim(name) != "") & value.isNull()
 
 
-def _corrupt(raw: DataFrame) -> Column:
-    return F.col(_CORRUPT).isNotNull() if _CORRUPT in raw.columns else F.lit(False)
+def _unread(raw: DataFrame) -> Column:
+    return F.col(_BAD) if _BAD in raw.columns else F.lit(None).cast("string")
 
 
 def _tagged(raw: DataFrame, names: tuple[str, ...], reason: Column) -> DataFrame:
     # typed names may differ from file names by case only, so the text is kept first
     text = F.to_json(F.struct(*[F.col(n) for n in names]))
-    return raw.withColumns({"reject_reason": reason, "row_text": text})
+    if _LINE in raw.columns:
+        text = F.when(F.col(_BAD).isNotNull(), F.col(_LINE)).otherwise(text)
+    return raw.withColumns({"reject_reason": F.coalesce(_unread(raw), reason), "row_text": text})
 
 
 def parse_pings(raw: DataFrame, service_date: str | None = None) -> DataFrame:
@@ -97,8 +155,7 @@ def parse_pings(raw: DataFrame, service_date: str | None = None) -> DataFrame:
     elif "service_date" not in raw.columns:
         raise ValueError("the files carry no date: give service_date")
     reason = (
-        F.when(_corrupt(raw), "corrupt_line")
-        .when(vehicle.isNull(), "bad_vehicle")
+        F.when(vehicle.isNull(), "bad_vehicle")
         .when(sec.isNull(), "bad_time")
         .when(_bad("Lng", lng) | _bad("Lat", lat), "bad_coordinate")
         .when(_bad("Speed", speed), "bad_speed")
@@ -121,8 +178,7 @@ def parse_trips(raw: DataFrame, service_date: str | None = None) -> DataFrame:
     if service_date is not None:
         raw = raw.withColumn("service_date", F.lit(service_date).cast("date"))
     reason = (
-        F.when(_corrupt(raw), "corrupt_line")
-        .when(vehicle.isNull(), "bad_vehicle")
+        F.when(vehicle.isNull(), "bad_vehicle")
         .when(s_sec.isNull() | e_sec.isNull(), "bad_time")
         .when(missing, "bad_coordinate")
     )
@@ -140,25 +196,36 @@ def rejected(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reject_reason").isNotNull()).select("seq", "reject_reason", "row_text")
 
 
+def parsed_pings(
+    spark: SparkSession, path: str, service_date: str | None = None, encoding: str = "UTF-8"
+) -> DataFrame:
+    """Every line of raw ping files, typed, with ``reject_reason`` (null for a good row)."""
+    parsed = parse_pings(read_text_table(spark, path, PING_NAMES, encoding), service_date)
+    return parsed.select(*PING.names, "reject_reason", "row_text")
+
+
+def parsed_trips(
+    spark: SparkSession, path: str, service_date: str | None = None, encoding: str = "UTF-8"
+) -> DataFrame:
+    """Every line of trip files, typed, with ``reject_reason`` (null for a good row)."""
+    parsed = parse_trips(read_text_table(spark, path, TRIP_NAMES, encoding), service_date)
+    columns = [c for c in (
+        "trip_id", "vehicle_id", "service_date", "s_sec", "s_lng", "s_lat", "e_sec", "e_lng", "e_lat",
+    ) if c in parsed.columns]
+    return parsed.select(*columns, "seq", "reject_reason", "row_text")
+
+
 def read_pings(
-    spark: SparkSession, path: str, service_date: str | None = None, encoding: str | None = None
+    spark: SparkSession, path: str, service_date: str | None = None, encoding: str = "UTF-8"
 ) -> tuple[DataFrame, DataFrame]:
     """Raw ping CSV to (pings, quarantine)."""
-    parsed = parse_pings(read_text_table(spark, path, encoding), service_date)
+    parsed = parsed_pings(spark, path, service_date, encoding)
     return accepted(parsed, PING.names), rejected(parsed)
 
 
-def read_pings_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Typed pings, as :func:`tripweave.sources.sinks.write_parquet` stores them."""
-    return spark.read.schema(PING).parquet(path)
-
-
 def read_trips(
-    spark: SparkSession, path: str, service_date: str | None = None, encoding: str | None = None
+    spark: SparkSession, path: str, service_date: str | None = None, encoding: str = "UTF-8"
 ) -> tuple[DataFrame, DataFrame]:
     """Cleaned trip CSV to (raw trips, quarantine)."""
-    parsed = parse_trips(read_text_table(spark, path, encoding), service_date)
-    columns = [c for c in (
-        "trip_id", "vehicle_id", "service_date", "s_sec", "s_lng", "s_lat", "e_sec", "e_lng", "e_lat",
-    ) if c in parsed.columns]
-    return accepted(parsed, columns), rejected(parsed)
+    parsed = parsed_trips(spark, path, service_date, encoding)
+    return accepted(parsed, [c for c in parsed.columns if c not in ("seq", "reject_reason", "row_text")]), rejected(parsed)

@@ -29,7 +29,11 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Replaces the table, or of a partitioned one the partitions that ``df`` has rows for."""
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+    writer.parquet(path)
 
 
 def check_schema(df: DataFrame, table: str) -> DataFrame:
