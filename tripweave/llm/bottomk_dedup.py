@@ -75,9 +75,9 @@ def sketches(df: DataFrame, *, words: int, k: int = SKETCH, doc_id: str = "doc_i
 
 def _rare_entries(nodes: DataFrame, k: int, percent: int) -> DataFrame:
     """(value, node) for the rarest values of each node that can meet a linked partner."""
-    entries = nodes.select("node", "n_shingles", F.explode("sketch").alias("value"))
+    entries = nodes.select("node", F.explode("sketch").alias("value"))
     shared = entries.groupBy("value").agg(F.count("*").alias("holders")).where("holders > 1")
-    found = entries.join(shared, "value")
+    found = entries.join(shared, "value").join(nodes.select("node", "n_shingles"), "node")
     kept = F.least(F.col("n_shingles"), F.lit(k))
     # a partner's sketch is its full set too if it can have at most k values
     whole = F.col("n_shingles") * 100 <= F.lit(k) * percent
@@ -97,12 +97,11 @@ def _stars(entries: DataFrame) -> DataFrame:
 
 def _blocks(stars: DataFrame) -> DataFrame:
     """(hub, one, two, node): each two members of a star meet in at least one block."""
-    sizes = stars.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    own = F.pmod(F.xxhash64("node", "hub"), F.col("parts")).cast("int")
-    dealt = stars.join(sizes, "hub").withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    )
-    dealt = dealt.where((F.col("parts") == 1) | (F.col("own") != F.col("other")))
+    large = stars.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")).where("parts > 1")
+    parts = F.coalesce("parts", F.lit(1))
+    own = F.pmod(F.xxhash64("node", "hub"), parts).cast("int")
+    dealt = stars.join(large, "hub", "left").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    dealt = dealt.where(F.col("parts").isNull() | (F.col("own") != F.col("other")))
     return dealt.select("hub", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "node")
 
 
@@ -244,7 +243,8 @@ def near_duplicates(
     filled = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = filled.groupBy("set_key").agg(F.min("doc_id").alias("node"))
     nodes = filled.join(classes, "set_key").where("doc_id = node").dropDuplicates(["node", "set_key"])
-    stars = cut(_stars(_rare_entries(nodes.select("node", "n_shingles", "sketch"), k, percent)))
+    # both are read twice, so they are fixed
+    stars = cut(_stars(cut(_rare_entries(nodes.select("node", "n_shingles", "sketch"), k, percent))))
     texts = df.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text")).join(
         stars.select("node").distinct(), "node", "left_semi"
     ).dropDuplicates(["node", "text"])
