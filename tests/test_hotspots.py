@@ -109,6 +109,16 @@ def test_both_kinds_are_clustered_apart(spark, field):
         assert [got[kind, int(i)] for i in ids] == want.tolist()
 
 
+def test_kinds_of_any_name_do_not_mix(spark):
+    """Twelve points of two kinds at one place: too few of either, and as many rows as before."""
+    rows = [(kind, i, 114.0 + i * 1e-5, 22.5) for kind in ("a", "b") for i in range(12)]
+    got = H.cluster_points(spark.createDataFrame(rows, "kind string, id long, lng double, lat double")).collect()
+    assert len(got) == 24 and {r.cluster_id for r in got} == {-1}
+    with pytest.raises(ValueError, match="kinds"):
+        many = [(f"k{i}", i, 114.0, 22.5) for i in range(20)]
+        H.cluster_points(spark.createDataFrame(many, "kind string, id long, lng double, lat double"))
+
+
 def test_nothing_dense(spark, trips_of):
     trips = trips_of([(1, 0, 60, 1.0, 1.0, 60.0)])
     found = H.find_hotspots(trips)

@@ -7,6 +7,7 @@ from tripweave.operators.trips import trips_from_pings
 from tripweave.params import DEFAULTS
 from tripweave.plans import board
 from tripweave.sources.events_view import read_events_view, with_timestamps
+from tripweave.sources import sinks
 from tripweave.streaming import live
 
 from .conftest import SF
@@ -99,6 +100,15 @@ def test_settling_keeps_an_open_trip(spark, tmp_path):
     assert (trip.trip_id, trip.duration_min, trip.s_ts, trip.e_ts) == (1, 99.0, at(8, 1), at(9, 40))
 
 
+def test_repeats_stay_whole_rows(spark, tmp_path):
+    """Two pings under one number: one of them is taken, never a mix of both."""
+    target, at = str(tmp_path / "r"), lambda h, m: dt.datetime(2024, 1, 1, h, m)
+    rows = [(0, 1, at(8, 1), 114.0, 22.6, 1, 30.0), (0, 1, at(8, 2), 113.9, 22.8, 0, 20.0), (1, None, at(8, 0), 114.0, 22.6, 0, 1.0)]
+    live.settle(spark.createDataFrame(rows, live.LIVE_PING), 0, target)
+    kept = [tuple(r) for r in sinks.read_published(spark, target, "kept").select("seq", "ts", "lng", "lat").collect()]
+    assert kept == [(0, at(8, 2), 113.9, 22.8)]
+
+
 def test_refresh_is_idempotent(spark, tmp_path):
     target = str(tmp_path / "b")
     hourly = lambda n: spark.createDataFrame(

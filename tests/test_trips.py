@@ -4,6 +4,8 @@ from dataclasses import replace
 
 from tripweave.operators import trips as T
 from tripweave.operators.sequence import sequence
+from pyspark.sql import functions as F
+
 from tripweave.params import DEFAULTS
 from tripweave.schemas import TRIP
 
@@ -67,10 +69,29 @@ def test_hot_vehicle_among_others(pings_of):
     p = replace(DEFAULTS, max_rows_per_task=50)
     assert sequence(pings_of(rows), p).split
     assert _pairs(pings_of(rows), p=p) == _pairs(pings_of(rows))
-    many = replace(p, max_hot_keys=0)  # too many hot keys to list: everything is cut
+    many = replace(p, max_hot_keys=0)  # too many hot days to list: a table of their own
     assert _pairs(pings_of(rows), p=many) == _pairs(pings_of(rows))
 
 
+def test_many_hot_days_are_carried_within_the_bound(pings_of):
+    rng = random.Random(10)
+    rows = [r for v in range(40) for r in _day([rng.choice((0, 1)) for _ in range(30 if v < 12 else 6)], v)]
+    p = replace(DEFAULTS, max_rows_per_task=15, max_hot_keys=4, max_broadcast_rows=20)
+    split = sequence(pings_of(rows), p)
+    assert split.split and split.hot_days == 12
+    assert split.df.where("chunk >= 0").select("vehicle_id").distinct().count() == 12  # ordinary days stay whole
+    plan = T.trips_from_pings(pings_of(rows), p)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan
+    assert _pairs(pings_of(rows), p=p) == _pairs(pings_of(rows))
+
+
+def test_pings_without_a_vehicle_belong_to_no_trip(spark, pings_of):
+    rows = pings_of(_day([1, 0, 1], 1))
+    nobody = pings_of(_day([1, 0, 1, 0, 1] * 20, 5)).withColumn("vehicle_id", F.lit(None).cast("long"))
+    p = replace(DEFAULTS, max_rows_per_task=10)
+    assert _pairs(rows.union(nobody), p=p) == _pairs(rows)
+
+
 def test_filter_bounds_are_inclusive(trips_of):
     ok = [(1, 0, 60, 1.0, 1.0, 60.0), (1, 0, 14400, 240.0, 40.0, 10.0), (1, 0, 60, 1.0, 0.2, 12.0), (1, 0, 600, 10.0, 5.0, 5.0), (1, 0, 600, 10.0, 5.0, 100.0)]
     bad = [(1, 0, 59, 0.98, 1.0, 60.0), (1, 0, 14401, 240.1, 40.0, 10.0), (1, 0, 60, 1.0, 0.19, 12.0), (1, 0, 600, 10.0, 5.0, 4.9), (1, 0, 600, 10.0, 5.0, 100.1), (1, 0, 600, 10.0, None, 50.0)]

@@ -32,9 +32,9 @@ def in_box(lng: Column, lat: Column, p: Params = DEFAULTS) -> Column:
 
 
 def _axis_cell(value: Column, low: float, step: float, n: int) -> Column:
-    # the cast truncates toward zero; points outside the box go to the edge cell
-    raw = ((value - F.lit(low)) / F.lit(step)).cast("int")
-    return F.least(F.lit(n - 1), F.greatest(F.lit(0), raw))
+    # points outside the box go to the edge cell, and before the cast, so that none is too large for it
+    raw = (value - F.lit(low)) / F.lit(step)
+    return F.least(F.lit(float(n - 1)), F.greatest(F.lit(0.0), raw)).cast("int")
 
 
 def cell_lng(lng: Column, p: Params = DEFAULTS) -> Column:

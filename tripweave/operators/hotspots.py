@@ -34,6 +34,7 @@ from tripweave.session import cut
 
 _REACH = 2  # cells further away than this are more than eps away
 _SPLIT = 4  # boxes per side and refinement step
+_MAX_KINDS, _PLANE = 16, 2**26  # cells of two kinds are further apart than any of one kind
 
 
 def _near(a: str, b: str, eps: float) -> Column:
@@ -54,19 +55,25 @@ def _small(table: DataFrame, rows: int, p: Params) -> DataFrame:
     return F.broadcast(table) if rows <= p.max_broadcast_rows else table
 
 
-def _sites(points: DataFrame, p: Params) -> tuple[DataFrame, int]:
+def _sites(points: DataFrame, p: Params, kinds: tuple[str, ...] | None = None) -> tuple[DataFrame, int]:
     """Weighted sites with cell, cell population and salt count; number of cells.
 
-    Kinds of points share the jobs but not the plane: the second kind's cells are
-    numbered far away from the first one's, so the two never meet.
+    Kinds of points share the jobs but not the plane: each kind's cells are numbered
+    far away from the others', so no two kinds meet.
     """
+    points = points.where(F.col("kind").isNotNull())
+    if kinds is None:
+        kinds = tuple(r.kind for r in points.select("kind").distinct().limit(_MAX_KINDS + 1).collect())
+    if len(kinds) > _MAX_KINDS:
+        raise ValueError(f"more than {_MAX_KINDS} kinds of points")
+    plane = F.array_position(F.array(*[F.lit(k) for k in sorted(kinds)]), F.col("kind")) - 1 if kinds else F.lit(0)
     side = p.eps_m / 1.4143  # diagonal just under eps
     sites = (
         points.where(F.col("lng").isNotNull() & F.col("lat").isNotNull())
         .groupBy("kind", "lng", "lat").agg(F.count(F.lit(1)).alias("w"), F.min("id").alias("first_id"))
         .withColumns({"x": F.col("lng") * F.lit(p.metres_lng), "y": F.col("lat") * F.lit(p.metres_lat)})
         .withColumns({
-            "cx": F.floor(F.col("x") / F.lit(side)) + F.when(F.col("kind") == "end", 2**28).otherwise(0), "cy": F.floor(F.col("y") / F.lit(side)),
+            "cx": F.floor(F.col("x") / F.lit(side)) + plane * _PLANE, "cy": F.floor(F.col("y") / F.lit(side)),
         })
         .withColumn("cell", (F.col("cx") + 2**30) * 2**31 + F.col("cy") + 2**30)
     )
@@ -223,13 +230,13 @@ def _refine(
         sites = cut(split.select("cell", "x", "y", F.col("child").alias("box")).join(kept, ["cell", "box"]))
 
 
-def label_sites(points: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+def label_sites(points: DataFrame, p: Params = DEFAULTS, kinds: tuple[str, ...] | None = None) -> DataFrame:
     """(kind, id, lng, lat) points to weighted sites with ``cluster_id`` (-1 is noise).
 
-    Each kind is clustered and numbered by itself. Points of equal kind and
-    coordinates share a site, hence a label.
+    Each kind is clustered and numbered by itself; ``kinds`` saves a look for those
+    there are, at most 16. Points of equal kind and coordinates share a site, hence a label.
     """
-    sites, n_cells = _sites(points, p)
+    sites, n_cells = _sites(points, p, kinds)
     flagged = cut(_flag_core(sites, n_cells, p))
     core = flagged.where("core")
     cells = cut(_boxes(core, ["kind", "cell", "cx", "cy"]))
@@ -290,13 +297,18 @@ def cluster_summary(sites: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     )
 
 
+def all_clusters(trips: DataFrame, point_type: str = "start", p: Params = DEFAULTS) -> DataFrame:
+    """Every cluster of start or end points; ``both`` clusters the two kinds in the same jobs, labelled."""
+    points = trip_points(trips, point_type, ("trip_id",)).withColumnRenamed("trip_id", "id")
+    return cluster_summary(label_sites(points, p, ("start", "end")), p)
+
+
 def find_hotspots(trips: DataFrame, point_type: str = "start", p: Params = DEFAULTS) -> DataFrame:
-    """Largest clusters of start or end points, at most ``top_hotspots`` of each kind.
+    """The largest clusters, at most ``top_hotspots`` of each kind."""
+    return largest_clusters(all_clusters(trips, point_type, p), p)
 
-    ``both`` clusters the two kinds side by side in the same jobs, labelled.
-    """
-    points = trip_points(trips, point_type, ("trip_id",)).withColumnRenamed("trip_id", "id")
-    summary = cluster_summary(label_sites(points, p), p)
+
+def largest_clusters(summary: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     largest = Window.partitionBy("point_type").orderBy(F.desc("trip_count"), "cluster_id")
     ranked = summary.withColumn("place", F.row_number().over(largest))
     return ranked.where(F.col("place") <= p.top_hotspots).drop("place")

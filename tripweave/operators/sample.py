@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-_BUCKET_BITS = 14
+_PREFIX = 3  # hex digits
 
 
 def sample_trips(trips: DataFrame, n: int = 50_000, seed: int = 42) -> DataFrame:
-    """The n trips with the smallest hash of (trip_id, seed): the same on every layout.
+    """The n trips with the smallest digest of trip_id and seed: the same on every layout.
 
-    A count per hash prefix finds the prefix that holds the n-th hash; only trips up
-    to it are sorted, so no task sees more than the sample and one prefix.
+    A count per prefix finds the one that holds the n-th digest; only trips up to it
+    are sorted, so no task sees more than the sample and one prefix. The trips are
+    evaluated twice: store or persist them first.
     """
-    hashed = trips.withColumn("h", F.xxhash64("trip_id", F.lit(seed)))
-    prefix = F.shiftright("h", 64 - _BUCKET_BITS)
+    hashed = trips.withColumn("h", F.md5(F.concat_ws(":", F.col("trip_id").cast("string"), F.lit(str(seed)))))
+    prefix = F.substring("h", 1, _PREFIX)
     counts = hashed.groupBy(prefix.alias("b")).agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1))
     edge = (
-        counts.withColumn("before", F.coalesce(before, F.lit(0)))  # at most 2**14 rows
+        counts.withColumn("before", F.coalesce(before, F.lit(0)))  # at most 16**3 rows
         .where(F.col("before") < n).agg(F.max("b").alias("b")).first().b
     )
     if edge is None:

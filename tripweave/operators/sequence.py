@@ -30,6 +30,7 @@ class Sequence:
     df: DataFrame
     chunks: int  # number of chunks of split vehicle-days; 0 when nothing was split
     params: Params
+    hot_days: int = 0  # vehicle-days that were split
 
     @property
     def split(self) -> bool:
@@ -75,8 +76,8 @@ class Sequence:
         for cols in plan:
             table = table.withColumns(cols)
         table = table.select(*KEYS, CHUNK, *plan[-1])
-        if self.chunks + self.params.max_hot_keys <= self.params.max_broadcast_rows:
-            table = F.broadcast(table)  # at most chunks + hot keys rows
+        if self.chunks + self.hot_days <= self.params.max_broadcast_rows:
+            table = F.broadcast(table)  # one row per chunk, and one more per split day at most
         return df.join(table, [*KEYS, CHUNK], "left")
 
 
@@ -84,10 +85,13 @@ def sequence(pings: DataFrame, p: Params = DEFAULTS, source: DataFrame | None =
     """Order pings inside vehicle-days, cutting oversized days into chunks.
 
     ``source`` may name the pings before they were filtered: counting those reads
-    the key columns only, and a count that is too high does no harm.
+    the key columns only, and a count that is too high does no harm. Pings without
+    a vehicle belong to no sequence.
     """
+    pings = pings.where(F.col(KEYS[0]).isNotNull())
     counts = (pings if source is None else source).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.where(F.col("n") > p.max_rows_per_task).limit(p.max_hot_keys + 1).collect()
+    counts = counts.where((F.col("n") > p.max_rows_per_task) & F.col(KEYS[0]).isNotNull())
+    hot = counts.limit(p.max_hot_keys + 1).collect()
     if not hot:
         return Sequence(pings, 0, p)
     spark = pings.sparkSession
@@ -98,19 +102,18 @@ def sequence(pings: DataFrame, p: Params = DEFAULTS, source: DataFrame | None =
                 pings.select(*KEYS).schema,
             )
         )
-        rows = sum(r["n"] for r in hot)
-        cold = pings.join(keys, list(KEYS), "left_anti")
-        dense = pings.join(keys, list(KEYS), "left_semi")
-    else:  # too many to list: cut everything
-        rows = pings.count()
-        cold = None
-        dense = pings
+        rows, days = sum(r["n"] for r in hot), len(hot)
+    else:  # too many to list: a table of their own
+        keys = cut(counts)
+        rows, days = keys.agg(F.sum("n"), F.count(F.lit(1))).first()
+        keys = keys.select(*KEYS)
+    cold = pings.join(keys, list(KEYS), "left_anti")
+    dense = pings.join(keys, list(KEYS), "left_semi")
     n = -(-rows // p.max_rows_per_task)
     dense = cut(
         dense.select(*pings.columns)
         .repartitionByRange(int(n), *KEYS, *ORDER)
         .withColumn(CHUNK, F.spark_partition_id())
     )
-    if cold is not None:
-        dense = cold.select(*pings.columns).withColumn(CHUNK, F.lit(-1)).unionByName(dense)
-    return Sequence(dense, int(n), p)
+    dense = cold.select(*pings.columns).withColumn(CHUNK, F.lit(-1)).unionByName(dense)
+    return Sequence(dense, int(n), p, int(days))

@@ -148,19 +148,14 @@ def top_cells(flows: DataFrame, column: str, n: int = 10) -> DataFrame:
 
 
 def net_flow_extremes(flows: DataFrame, n: int = 15) -> DataFrame:
-    """The n largest net inflows and the n largest net outflows, for the two-sided list.
-
-    Both ranks come from one pass over the cells, whose number the grid bounds.
-    """
-    ranked = flows.withColumns({
-        "in": F.row_number().over(Window.orderBy(F.desc("net_flow"), "grid_id")),
-        "out": F.row_number().over(Window.orderBy("net_flow", "grid_id")),
-    })
-    places = F.array_compact(F.array(*[
-        F.when(F.col(side) <= n, F.struct(F.lit(side).alias("direction"), F.col(side).alias("order_no")))
-        for side in ("in", "out")
-    ]))
-    return ranked.select("*", F.inline(places)).select(
+    """The n largest net inflows and the n largest net outflows, for the two-sided list."""
+    def side(direction: str, first: Column) -> DataFrame:
+        place = F.row_number().over(Window.orderBy(first, "grid_id"))  # n rows
+        best = flows.orderBy(first, "grid_id").limit(n)
+        return best.select("*", F.lit(direction).alias("direction"), place.alias("order_no"))
+
+    ranked = side("in", F.desc("net_flow")).unionByName(side("out", F.asc("net_flow")))
+    return ranked.select(
         "direction", "order_no", "grid_id", point_label(F.col("lng"), F.col("lat")).alias("label"),
         "net_flow", F.abs("net_flow").alias("value"),
     ).orderBy("direction", "order_no")

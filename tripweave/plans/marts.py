@@ -14,6 +14,7 @@ from tripweave.operators import hotspots as H
 from tripweave.operators import sample, spatial, temporal
 from tripweave.params import DEFAULTS, Params
 from tripweave.plans import board
+from tripweave.session import cut
 from tripweave.sources.sinks import od_columns
 
 
@@ -38,14 +39,19 @@ class Marts:
     def od(self) -> DataFrame:
         return spatial.od_matrix(self.trips, self.params)
 
+    @cached_property
+    def clusters(self) -> DataFrame:
+        """All clusters of both point types, labelled; fixed, as several marts read them."""
+        return cut(H.all_clusters(self.trips, "both", self.params))
+
     @cached_property
     def hotspots(self) -> DataFrame:
-        """Both point types, labelled."""
-        return H.find_hotspots(self.trips, "both", self.params)
+        """The largest clusters of both point types."""
+        return H.largest_clusters(self.clusters, self.params)
 
     @cached_property
     def start_hotspots(self) -> DataFrame:
-        if "hotspots" in self.__dict__:  # clustered already, with the ends
+        if "clusters" in self.__dict__:  # clustered already, with the ends
             return self.hotspots.where(F.col("point_type") == "start")
         return H.find_hotspots(self.trips, "start", self.params)
 
@@ -116,7 +122,7 @@ class Marts:
             (F.avg(F.when(F.col("distance_km") < self.params.short_km, 1.0).otherwise(0.0)) * 100).alias("short_trip_ratio"),
             (F.avg(F.when(F.col("distance_km") > self.params.long_km, 1.0).otherwise(0.0)) * 100).alias("long_trip_ratio"),
         )
-        kinds = self.hotspots.agg(*[
+        kinds = self.clusters.agg(*[
             F.count_if(F.col("point_type") == kind).alias(f"{kind}_hotspots") for kind in ("start", "end")
         ])
         return _one_row(k, peaks, shares, kinds).select(
@@ -141,7 +147,7 @@ class Marts:
 
     def space_summary(self) -> DataFrame:
         p = self.params
-        return self.start_hotspots.agg(F.count(F.lit(1)).alias("hotspot_count")).select(
+        return self.clusters.where("point_type = 'start'").agg(F.count(F.lit(1)).alias("hotspot_count")).select(
             F.lit(p.n_cells).alias("n_cells"), F.lit(p.grid_lng).alias("grid_lng"),
             F.lit(p.grid_lat).alias("grid_lat"), "hotspot_count",
         )

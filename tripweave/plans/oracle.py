@@ -6,6 +6,8 @@ places on both sides.
 
 from __future__ import annotations
 
+import re
+
 _BASE = """
 gps AS (
   SELECT event_id AS seq, user_id AS vehicle_id,
@@ -164,8 +166,11 @@ SELECT vehicle_id, count(*) AS trip_count, round((sum(duration_s)::DOUBLE / 60.0
 FROM valid GROUP BY vehicle_id"""
 
 
-def _clusters(side: str, tail: str) -> str:
-    return ("WITH RECURSIVE " + _BASE.format(foreign="") + _STRICT + _MEASURED.format(trips="raw") + f""",
+_CLUSTER_TABLES = "pts|near|core|links|walk|core_root|numbered|labelled|centers|summary"
+
+
+def _cluster_tables(side: str, suffix: str = "") -> str:
+    tables = f""",
 pts AS (SELECT trip_id AS id, {side}_lng AS lng, {side}_lat AS lat, {side}_lng * 103000.0e0 AS x, {side}_lat * 111000.0e0 AS y FROM valid),
 near AS (
   SELECT p.id AS a, q.id AS b FROM pts p JOIN pts q
@@ -190,7 +195,23 @@ summary AS (
     max(2 * 6371.0e0 * asin(sqrt(power(sin(radians(l.lat - c.c_lat) / 2), 2)
       + cos(radians(l.lat)) * cos(radians(c.c_lat)) * power(sin(radians(l.lng - c.c_lng) / 2), 2)))) * 1000 AS radius_true_m
   FROM centers c JOIN labelled l USING (cluster_id) GROUP BY ALL)
-""" + tail)
+"""
+    return re.sub(rf"\b({_CLUSTER_TABLES})\b", rf"\1{suffix}", tables)
+
+
+def _clusters(side: str, tail: str) -> str:
+    return "WITH RECURSIVE " + _BASE.format(foreign="") + _STRICT + _MEASURED.format(trips="raw") + _cluster_tables(side) + tail
+
+
+def _both_clusters(tail: str) -> str:
+    """Tables of the start clusters, and of the end clusters with _e behind their names."""
+    return _clusters("s", _cluster_tables("e", "_e") + tail)
+
+
+def _label(lng: str, lat: str) -> str:
+    """Three decimals, halves of the shortest decimal form rounded up."""
+    part = lambda x: f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(24, 18)), 3) AS DECIMAL(12, 3))"
+    return f"'(' || {part(lng)} || ',' || {part(lat)} || ')'"
 
 
 def _hotspots(kind: str) -> str:
@@ -263,6 +284,26 @@ scalars AS (
 """
 
 
+_PEAK_LISTS = ", ".join(
+    f"(SELECT coalesce(string_agg(CAST(hour AS VARCHAR), ',' ORDER BY hour) FILTER (n > mean * 1.5e0 AND hour BETWEEN {a} AND {b}), '')"
+    f" FROM (SELECT *, avg(n) OVER () AS mean FROM c)) AS {name}"
+    for name, a, b in (("morning_peak", 6, 10), ("evening_peak", 16, 20))
+)
+
+_BOARD_FACTS = _clusters("s", _GRID + _CACHE_SCALARS + """
+SELECT 'kpis' AS section, 'all' AS label, CAST(count(*) AS DOUBLE) AS a, CAST(count(DISTINCT vehicle_id) AS DOUBLE) AS b,
+  round((sum(duration_s)::DOUBLE / 60.0e0 / count(duration_s)), 6) AS c, round(avg(distance_km), 6) AS d, round(avg(avg_speed), 6) AS e FROM valid
+UNION ALL SELECT * FROM (
+  SELECT 'heatmap', '', round(22.4e0 + (sj + 0.5e0) * 0.009e0, 6), round(113.5e0 + (si + 0.5e0) * 0.01e0, 6), count(*)::DOUBLE, NULL, NULL
+  FROM cells GROUP BY si, sj ORDER BY count(*) DESC, si, sj LIMIT 500)
+UNION ALL SELECT * FROM (
+  SELECT 'ranking', '#' || cluster_id, row_number() OVER (ORDER BY trip_count DESC, cluster_id)::DOUBLE AS rank, round(center_lng, 6),
+    round(center_lat, 6), trip_count::DOUBLE, NULL FROM summary ORDER BY rank LIMIT 15)
+UNION ALL SELECT 'trend', printf('%02d:00', h.hour), count(v.trip_id)::DOUBLE, round(coalesce(avg(avg_speed), 0), 6),
+  round(coalesce(avg(distance_km), 0), 6), NULL, NULL FROM hours h LEFT JOIN valid v ON v.hour = h.hour GROUP BY h.hour
+UNION ALL SELECT CASE stat_type WHEN 'hourly_trips' THEN 'hourly' ELSE 'periods' END, stat_key, stat_value, NULL, NULL, NULL, NULL FROM scalars""")
+
+
 def statements() -> dict[str, str]:
     """SQL per query name."""
     out = {
@@ -391,10 +432,11 @@ SELECT DISTINCT {_name('c')} AS name, {lng_of('c')} AS lng, {lat_of('c')} AS lat
 SELECT g.range AS grid_id, {lng_of('g.range')} AS lng, {lat_of('g.range')} AS lat, coalesce(outflow, 0) AS outflow,
   coalesce(inflow, 0) AS inflow, coalesce(net_flow, 0) AS net_flow FROM range(5656) g LEFT JOIN flows f ON f.grid_id = g.range"""),
         "net_flow_top15": _spatial("""
+SELECT *, """ + _label("113.5e0 + (grid_id // 56 + 0.5e0) * 0.01e0", "22.4e0 + (grid_id % 56 + 0.5e0) * 0.009e0") + """ AS label FROM (
 SELECT * FROM (SELECT 'in' AS direction, CAST(row_number() OVER (ORDER BY net_flow DESC, grid_id) AS INTEGER) AS order_no, grid_id, net_flow, abs(net_flow) AS value
   FROM flows ORDER BY order_no LIMIT 15)
 UNION ALL SELECT * FROM (SELECT 'out', CAST(row_number() OVER (ORDER BY net_flow, grid_id) AS INTEGER) AS order_no, grid_id, net_flow, abs(net_flow)
-  FROM flows ORDER BY order_no LIMIT 15)"""),
+  FROM flows ORDER BY order_no LIMIT 15))"""),
         "top_cells_outflow": _spatial("SELECT grid_id, outflow, inflow FROM flows ORDER BY outflow DESC, grid_id LIMIT 10"),
         "top_cells_inflow": _spatial("SELECT grid_id, outflow, inflow FROM flows ORDER BY inflow DESC, grid_id LIMIT 10"),
         "heat_top500": _spatial("""
@@ -405,15 +447,63 @@ SELECT si AS i_lng, sj AS i_lat, round(113.5e0 + (si + 0.5e0) * 0.01e0, 6) AS ln
         "hotspot_labels": _clusters("s", "SELECT id, cluster_id FROM labelled"),
         "hotspot_ranking": _clusters("s", """
 SELECT CAST(row_number() OVER (ORDER BY trip_count DESC, cluster_id) AS INTEGER) AS rank_no, cluster_id, round(center_lng, 6) AS lng, round(center_lat, 6) AS lat,
-  trip_count AS count, round(trip_count * 100.0e0 / max(trip_count) OVER ()) AS bar_pct
+  """ + _label("center_lng", "center_lat") + """ AS label, trip_count AS count, round(trip_count * 100.0e0 / max(trip_count) OVER ()) AS bar_pct
 FROM summary ORDER BY rank_no LIMIT 15"""),
-        "report_fields": _clusters("s", f""", {_HOURS},
+        "hotspots_both": _both_clusters("\nUNION ALL ".join(f"""SELECT * FROM (
+SELECT '{kind}' AS point_type, cluster_id, round(center_lng, 6) AS center_lng, round(center_lat, 6) AS center_lat,
+  trip_count, round(radius_m, 4) AS radius_m, round(radius_true_m, 4) AS radius_true_m
+FROM {table} ORDER BY trip_count DESC, cluster_id LIMIT 20)""" for kind, table in (("start", "summary"), ("end", "summary_e")))),
+        "hotspot_bars": _clusters("s", """
+SELECT cluster_id, '#' || cluster_id || ' ' || """ + _label("center_lng", "center_lat") + """ AS label, trip_count
+FROM summary ORDER BY trip_count DESC, cluster_id LIMIT 15"""),
+        "space_summary": _clusters("s", """
+SELECT 5656 AS n_cells, 0.01e0 AS grid_lng, 0.009e0 AS grid_lat, (SELECT count(*) FROM centers) AS hotspot_count"""),
+        "vehicle_bars": _trips(f"""
+SELECT vehicle_id, trip_count, round(total_duration, 1) AS total_duration, round(total_distance, 2) AS total_distance,
+  round(avg_duration, 1) AS avg_duration, round(avg_distance, 2) AS avg_distance
+FROM ({_EFFICIENCY.replace(", 6)", ", 12)")}) ORDER BY trip_count DESC, vehicle_id LIMIT 15"""),
+        "trips_derived": "WITH " + _BASE.format(foreign="") + _STRICT.rstrip().rstrip(",") + f"""
+SELECT {_TRIP_COLUMNS}, CAST(s_sec // 3600 AS INTEGER) AS hour, e_sec - s_sec + CASE WHEN e_sec < s_sec THEN 86400 ELSE 0 END AS duration_s,
+  round((e_sec - s_sec + CASE WHEN e_sec < s_sec THEN 86400 ELSE 0 END) / 60.0e0, 6) AS duration_min,
+  round(6371.0e0 * sqrt(power(radians(e_lng - s_lng) * cos(radians((s_lat + e_lat) / 2)), 2) + power(radians(e_lat - s_lat), 2)), 6) AS distance_km
+FROM raw""",
+        "scatter_sample": _trips("""
+SELECT trip_id, round(duration_min, 6) AS duration_min, round(distance_km, 6) AS distance_km
+FROM valid ORDER BY md5(trip_id || ':42'), trip_id LIMIT 500"""),
+        "csv_pings": _pings("""
+SELECT vehicle_id, sec_of_day, round(lng, 6) AS lng, round(lat, 6) AS lat, open_status, round(speed, 6) AS speed FROM gps"""),
+        "csv_quarantine": _pings("""
+SELECT seq, CASE WHEN seq % 13 = 0 THEN 'bad_vehicle' WHEN seq % 11 = 0 THEN 'bad_coordinate' ELSE 'bad_status' END AS reject_reason
+FROM gps WHERE seq % 13 = 0 OR seq % 11 = 0 OR seq % 7 = 0"""),
+        "csv_trips": _trips("""
+SELECT vehicle_id, s_sec, round(s_lng, 6) AS s_lng, round(s_lat, 6) AS s_lat, e_sec, round(e_lng, 6) AS e_lng, round(e_lat, 6) AS e_lat
+FROM valid"""),
+        "two_day_store": _pings("""
+SELECT CASE WHEN seq % 2 = 0 THEN '2024-01-01' ELSE '2024-01-02' END AS day, vehicle_id, sec_of_day, round(lng, 6) AS lng,
+  round(lat, 6) AS lat, open_status, round(speed, 6) AS speed FROM gps"""),
+        "hourly_merge": _trips(f""", {_HOURS}
+SELECT h.hour, count(v.trip_id) AS trip_count, round(coalesce((sum(duration_s)::DOUBLE / 60.0e0 / count(duration_s)), 0), 6) AS avg_duration,
+  round(coalesce(median(duration_min), 0), 6) AS median_duration, round(coalesce(avg(distance_km), 0), 6) AS avg_distance,
+  count(DISTINCT vehicle_id) AS unique_vehicles
+FROM hours h LEFT JOIN valid v ON v.hour = h.hour AND (v.hour >= 9 OR v.hour < 12) GROUP BY h.hour"""),
+        "period_merge": _trips(f""", {_PERIOD_VALUES},
+rows AS (SELECT p.*, v.* FROM periods p LEFT JOIN valid v ON v.s_sec >= p.a AND v.s_sec < p.b AND (p.period_name <> '早高峰' OR v.hour < 12))
+SELECT period_name, time_range, count(trip_id) AS trip_count,
+  round(count(trip_id) * 100.0e0 / (SELECT count(*) FROM valid WHERE period_name <> '早高峰' OR hour < 12), 6) AS ratio_pct,
+  round((sum(duration_s)::DOUBLE / 60.0e0 / count(duration_s)), 6) AS avg_duration,
+  round(avg(distance_km), 6) AS avg_distance, count(DISTINCT vehicle_id) AS active_vehicles
+FROM rows GROUP BY period_name, time_range""".replace("rows AS", "told AS").replace("FROM rows", "FROM told")),
+        "vehicle_merge": _trips(f"""SELECT vehicle_id AS "VehicleNum", * EXCLUDE (vehicle_id) FROM (
+{_EFFICIENCY.replace("FROM valid", "FROM valid WHERE hour < 12 OR vehicle_id % 2 = 0")})"""),
+        "published_table": _spatial(f"SELECT grid_id, {lng_of('grid_id')} AS lng, {lat_of('grid_id')} AS lat, outflow, inflow, net_flow FROM flows"),
+        "live_repeats": _trips(f"SELECT {_TRIP_COLUMNS}, {_MEASURES} FROM valid"),
+        "report_fields": _both_clusters(f""", {_HOURS},
 c AS (SELECT h.hour, count(v.trip_id) AS n FROM hours h LEFT JOIN valid v ON v.hour = h.hour GROUP BY h.hour)
 SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles, round((sum(duration_s)::DOUBLE / 60.0e0 / count(duration_s)), 6) AS avg_duration,
   round(avg(distance_km), 6) AS avg_distance, (SELECT hour FROM c ORDER BY n DESC, hour LIMIT 1) AS peak_hour_max, (SELECT max(n) FROM c) AS peak_max_trips,
   round(avg(CASE WHEN distance_km < 3 THEN 100.0e0 ELSE 0 END), 6) AS short_trip_ratio,
   round(avg(CASE WHEN distance_km > 10 THEN 100.0e0 ELSE 0 END), 6) AS long_trip_ratio,
-  (SELECT least(count(*), 20) FROM centers) AS start_hotspots FROM valid"""),
+  {_PEAK_LISTS}, (SELECT count(*) FROM centers) AS start_hotspots, (SELECT count(*) FROM centers_e) AS end_hotspots FROM valid"""),
         "cache_scalars": _trips(_CACHE_SCALARS + "SELECT * FROM scalars"),
         "cache_upsert": _trips(_CACHE_SCALARS + """
 SELECT stat_type, stat_key, stat_value FROM scalars WHERE stat_type = 'hourly_trips'
@@ -432,9 +522,10 @@ SELECT round(avg(distance_km), 2) AS mean, round(median(distance_km), 2) AS medi
         "speed_summary": _trips("""
 SELECT round(avg(avg_speed), 1) AS mean, round(median(avg_speed), 1) AS median, count(*) AS total,
   CAST(CASE WHEN avg(avg_speed) <= 60 THEN ceil(avg(avg_speed) / 10) - 1 WHEN avg(avg_speed) <= 80 THEN 6 ELSE 7 END AS INTEGER) AS mean_bin FROM valid"""),
-        "time_summary": _trips(""", h AS (SELECT hour, count(*) AS n FROM valid GROUP BY hour)
-SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles,
-  (SELECT hour FROM h ORDER BY n DESC, hour LIMIT 1) AS peak_hour_max FROM valid"""),
+        "time_summary": _trips(f""", {_HOURS},
+c AS (SELECT h.hour, count(v.trip_id) AS n FROM hours h LEFT JOIN valid v ON v.hour = h.hour GROUP BY h.hour)
+SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles, {_PEAK_LISTS},
+  (SELECT hour FROM c ORDER BY n DESC, hour LIMIT 1) AS peak_hour_max FROM valid"""),
         "cache_kpis": _trips("""
 SELECT count(*) AS total_trips, count(DISTINCT vehicle_id) AS total_vehicles, round((sum(duration_s)::DOUBLE / 60.0e0 / count(duration_s)), 6) AS avg_duration,
   round(avg(distance_km), 6) AS avg_distance, round(avg(avg_speed), 6) AS avg_speed FROM valid"""),
@@ -451,24 +542,20 @@ SELECT stat_key AS hour, CAST(stat_value AS BIGINT) AS trips FROM scalars WHERE
         "cache_ranking": _clusters("s", """
 SELECT CAST(row_number() OVER (ORDER BY trip_count DESC, cluster_id) AS INTEGER) AS rank, '#' || cluster_id AS name,
   round(center_lng, 6) AS lng, round(center_lat, 6) AS lat, trip_count AS count FROM summary ORDER BY rank LIMIT 15"""),
-        "board_dashboard": _spatial("""
-SELECT count(*) AS total_trips, (SELECT least(500, count(*)) FROM (SELECT DISTINCT si, sj FROM cells)) AS heat_points,
-  24 AS trend_hours, 4 AS periods, 24 AS hours FROM valid"""),
+        "board_dashboard": _BOARD_FACTS,
+        "cache_rows": _BOARD_FACTS,
         "quarantine_rows": _trips("""
 SELECT trip_id AS seq, CASE WHEN trip_id % 13 = 0 THEN 'bad_vehicle' WHEN trip_id % 11 = 0 THEN 'bad_time' ELSE 'bad_coordinate' END AS reject_reason
 FROM valid WHERE trip_id % 13 = 0 OR trip_id % 11 = 0 OR trip_id % 7 = 0"""),
-        "live_trips": _trips(f"""
-SELECT {_TRIP_COLUMNS}, {_MEASURES} FROM valid WHERE e_sec <= (SELECT max(sec_of_day) FROM gps) - 3600"""),
-        "live_settled": _trips(f"""
-SELECT {_TRIP_COLUMNS}, {_MEASURES} FROM valid WHERE e_sec <= (SELECT max(sec_of_day) FROM gps) - 3600"""),
+        "live_trips": _trips(f"SELECT {_TRIP_COLUMNS}, {_MEASURES} FROM valid"),
+        "live_settled": _trips(f"SELECT {_TRIP_COLUMNS}, {_MEASURES} FROM valid"),
         "live_heat": _spatial("""
-, shown AS (SELECT * FROM cells WHERE e_sec <= (SELECT max(sec_of_day) FROM gps) - 3600),
-spread AS (SELECT si, sj, s_sec // 900 * 900 - k.range * 900 AS start FROM shown, range(4) k)
+, spread AS (SELECT si, sj, s_sec // 900 * 900 - k.range * 900 AS start FROM cells, range(4) k)
 SELECT strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(start), '%Y-%m-%d %H:%M') AS window_start, si AS i_lng, sj AS i_lat,
   round(113.5e0 + (si + 0.5e0) * 0.01e0, 6) AS lng, round(22.4e0 + (sj + 0.5e0) * 0.009e0, 6) AS lat, count(*) AS count
-FROM spread WHERE start + 3600 <= (SELECT max(s_sec) FROM shown) - 14400 GROUP BY ALL"""),
+FROM spread GROUP BY ALL"""),
         "live_hourly": _trips("""
-SELECT strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(hour), '%Y-%m-%d %H:%M') AS stat_key, CAST(count(*) AS DOUBLE) AS stat_value
-FROM valid WHERE e_sec <= (SELECT max(sec_of_day) FROM gps) - 3600 GROUP BY hour"""),
+SELECT strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(hour), '%Y-%m-%d %H:%M') AS stat_key, CAST(count(*) AS DOUBLE) AS stat_value,
+  round(avg(avg_speed), 6) AS avg_speed, round(avg(distance_km), 6) AS avg_distance FROM valid GROUP BY hour"""),
     }
     return out

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructType
 
 from tripweave.functions.geo import equirect_km
 from tripweave.operators import clean, hotspots, quality, spatial, temporal, trips
 from tripweave.operators.sample import scatter
 from tripweave.operators.sequence import Sequence, sequence
-from tripweave.plans import board
+from tripweave.functions.clock import format_seconds
+from tripweave.plans import board, pipeline
 from tripweave.plans.marts import Marts
-from tripweave.session import scratch_path
+from tripweave.session import cut, scratch_path
 from tripweave.sources import files, sinks
-from tripweave.sources.events_view import read_events_view, stream_events_view
+from tripweave.schemas import LIVE_PING
+from tripweave.sources.events_view import read_events_view, stream_events_view, with_timestamps
 from tripweave.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,8 +40,8 @@ def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _kept_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For queries that go over the trips several times."""
-    return _trips(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    """Fixed once, for queries that go over the trips several times."""
+    return cut(_trips(spark, sf_dir))
 
 
 def _changes(spark: SparkSession, sf_dir: str) -> Sequence:
@@ -55,6 +57,10 @@ def _of_trips(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: _round(build(_trips(spark, sf_dir)))
 
 
+def _of_kept_trips(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: _round(build(_kept_trips(spark, sf_dir)))
+
+
 def _of_marts(build: Callable[[Marts], DataFrame]) -> Query:
     return lambda spark, sf_dir: _round(build(Marts(_trips(spark, sf_dir))))
 
@@ -110,27 +116,127 @@ def _hotspots(kind: str) -> Query:
 
 
 def _net_top(t: DataFrame) -> DataFrame:
-    return spatial.net_flow_extremes(spatial.net_flow(t)).drop("label")
+    return spatial.net_flow_extremes(spatial.net_flow(t))
 
 
 def _cells(column: str) -> Query:
     return _of_trips(lambda t: spatial.top_cells(spatial.net_flow(t), column).select("grid_id", "outflow", "inflow"))
 
 
-def _cache(m: Marts) -> DataFrame:
-    return m.cache_rows()
+def _of_cache(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return _of_kept_marts(lambda m: build(m.cache_rows()))
 
 
-def _of_cache(build: Callable[[DataFrame], DataFrame]) -> Query:
-    """Over the cache without its ranking row, which needs a clustering."""
-    return _of_kept_marts(lambda m: build(board.cache_rows(m.trips, None)))
+def _facts(section: str, df: DataFrame, label: F.Column, *values: str) -> DataFrame:
+    """Rows of a document as section, label and up to five numbers."""
+    numbers = [F.col(v).cast("double") for v in values] + [F.lit(None).cast("double")] * (5 - len(values))
+    return df.select(F.lit(section).alias("section"), label.alias("label"), *[n.alias(c) for n, c in zip(numbers, "abcde")])
+
+
+_KPIS = ("total_trips", "total_vehicles", "avg_duration", "avg_distance", "avg_speed")
+
+
+def _cache_facts(cache: DataFrame) -> DataFrame:
+    """Everything the cache holds, through the reader of each document."""
+    rows = cut(cache)
+    return _facts("kpis", board.read_kpis(rows), F.lit("all"), *_KPIS).unionByName(
+        _facts("heatmap", board.read_heatmap(rows), F.lit(""), "lat", "lng", "count")
+    ).unionByName(_facts("ranking", board.read_ranking(rows), F.col("name"), "rank", "lng", "lat", "count")).unionByName(
+        _facts("trend", board.read_trend(rows), F.col("hours"), "trips", "speeds", "distances")
+    ).unionByName(_facts("periods", board.read_periods(rows), F.col("label"), "trips")).unionByName(
+        _facts("hourly", board.read_hourly(rows), F.col("hour"), "trips")
+    )
 
 
 def _dashboard(cache: DataFrame) -> DataFrame:
-    return board.read_dashboard(cache).select(
-        "kpis.total_trips", F.size("heatmap").cast("long").alias("heat_points"), F.size("trend.hours").alias("trend_hours"),
-        F.size("periods").alias("periods"), F.size("hourly").alias("hours"),
+    """The same facts out of the one row that holds everything."""
+    row = cut(board.read_dashboard(cache))
+    trend = row.select("trend.*").select(F.inline(F.arrays_zip("hours", "trips", "speeds", "distances")))
+    return _facts("kpis", row.select("kpis.*"), F.lit("all"), *_KPIS).unionByName(
+        _facts("heatmap", row.select(F.inline("heatmap")), F.lit(""), "lat", "lng", "count")
+    ).unionByName(_facts("ranking", row.select(F.inline("ranking")), F.col("name"), "rank", "lng", "lat", "count")).unionByName(
+        _facts("trend", trend, F.col("hours"), "trips", "speeds", "distances")
+    ).unionByName(_facts("periods", row.select(F.inline("periods")), F.col("stat_key"), "trips")).unionByName(
+        _facts("hourly", row.select(F.inline("hourly")), F.col("stat_key"), "trips")
+    )
+
+
+def _listed_peaks(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: _joined(F.col(c).cast("array<string>")) for c in ("morning_peak", "evening_peak")})
+
+
+def _csv_pings(pings: DataFrame, damage: bool = False) -> str:
+    """The pings as CSV files under a scratch folder, each third with its columns in another order."""
+    out = scratch_path(pings.sparkSession, "csv-pings")
+    cell = lambda c, n, text: F.when(F.col("seq") % n == 0, text).otherwise(F.col(c).cast("string")) if damage else F.col(c)
+    text = pings.select(
+        cell("vehicle_id", 13, "cab").alias("VehicleNum"), format_seconds(F.col("sec_of_day")).alias("Stime"),
+        cell("lng", 11, "east").alias("Lng"), F.col("lat").alias("Lat"), cell("open_status", 7, "5").alias("OpenStatus"),
+        F.col("speed").alias("Speed"), *(["seq"] if damage else [F.col("seq").alias("row_id")]),
     )
+    key = "seq" if damage else "row_id"
+    for k, order in enumerate((text.columns, text.columns[::-1], [*text.columns[2:], *text.columns[:2]])):
+        sinks.write_csv(text.where(F.col(key) % 3 == k).select(*order), f"{out}/part={k}")
+    return f"{out}/*"
+
+
+def _read_csv_pings(pings: DataFrame) -> DataFrame:
+    good, _ = files.read_pings(pings.sparkSession, _csv_pings(pings), "2024-01-01")
+    return good.drop("seq", "service_date")
+
+
+def _csv_rejects(pings: DataFrame) -> DataFrame:
+    return files.read_pings(pings.sparkSession, _csv_pings(pings, damage=True), "2024-01-01")[1].select("seq", "reject_reason")
+
+
+def _csv_trips(t: DataFrame) -> DataFrame:
+    out = scratch_path(t.sparkSession, "csv-trips")
+    pipeline.export_trips(t, out)
+    return _no_date(files.read_trips(t.sparkSession, out, "2024-01-01")[0].drop("trip_id"))
+
+
+def _two_days(pings: DataFrame) -> DataFrame:
+    """Two days ingested one after the other into one store, the second one twice."""
+    spark, store = pings.sparkSession, scratch_path(pings.sparkSession, "two-days")
+    for day, part in (("2024-01-01", 0), ("2024-01-02", 1), ("2024-01-02", 1)):
+        pipeline.ingest(spark, _csv_pings(pings.where(F.col("seq") % 2 == part)), store, day)
+    return pipeline.stored_pings(spark, store).select(
+        F.date_format("service_date", "yyyy-MM-dd").alias("day"), "vehicle_id", "sec_of_day", "lng", "lat", "open_status", "speed"
+    )
+
+
+def _merged(name: str, build: Callable[[DataFrame], DataFrame], newer: str) -> Query:
+    """A result table of the trips before noon, updated by the rows of all trips that ``newer`` names."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t, target = _kept_trips(spark, sf_dir), scratch_path(spark, name)
+        sinks.publish({name: build(t.where("hour < 12"))}, target, 1)
+        sinks.publish_merged({name: build(t).where(newer)}, target, 2)
+        return _round(sinks.read_published(spark, target, name))
+
+    return run
+
+
+def _vehicle_rows(t: DataFrame) -> DataFrame:
+    return temporal.vehicle_efficiency(t).withColumnRenamed("vehicle_id", "VehicleNum")
+
+
+def _published(m: Marts) -> DataFrame:
+    """A result table written, announced and read back under its declared schema."""
+    target = scratch_path(m.trips.sparkSession, "published")
+    sinks.publish({"net_flow": spatial.net_flow(m.trips)}, target, 1)
+    return sinks.read_published(m.trips.sparkSession, target, "net_flow")
+
+
+def _live_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third ping is sent again in a later batch, one batch is replayed, and the day is closed."""
+    target, pings = scratch_path(spark, "live-repeats"), cut(with_timestamps(_pings(spark, sf_dir)).select(*LIVE_PING.names))
+    early = F.col("ts") < F.lit("2024-01-01 12:00:00").cast("timestamp")
+    again = pings.where(early & (F.col("seq") % 3 == 0))
+    for i, batch in enumerate((pings.where(early), pings.where(~early).unionByName(again))):
+        for _ in range(1 + i):
+            live.settle(batch, i, target)
+    live.close(spark, target)
+    return _round(live.settled_trips(spark, target).drop("service_date", "s_ts", "e_ts"))
 
 
 def _cache_scalars(t: DataFrame) -> DataFrame:
@@ -165,9 +271,21 @@ def _run(query) -> None:  # noqa: ANN001
         raise query.exception()
 
 
+_LATER = dt.datetime(2024, 1, 4)
+
+
+def _closing(spark: SparkSession, schema: StructType, values: dict) -> DataFrame:
+    """A stream of one record two days on, which moves the watermark past all others."""
+    path = scratch_path(spark, "closing")
+    row = spark.createDataFrame([tuple(values.get(c) for c in schema.names)], schema)
+    row.write.parquet(path)
+    return spark.readStream.schema(schema).parquet(path)
+
+
 def _live_table(spark: SparkSession, sf_dir: str) -> str:
     out = scratch_path(spark, "live-trips")
-    pings = live.watermarked(stream_events_view(spark, sf_dir))
+    closing = _closing(spark, LIVE_PING, {"seq": -1, "vehicle_id": -1, "ts": _LATER, "lng": 114.0, "lat": 22.6, "open_status": 1})
+    pings = live.watermarked(stream_events_view(spark, sf_dir).select(*LIVE_PING.names).union(closing))
     assembled = live.assemble(live.drop_repeats(pings))
     _run(live.start_trips(assembled, f"{out}/table", f"{out}/checkpoint", once=True))
     return f"{out}/table"
@@ -181,6 +299,7 @@ def _live_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _live_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "live-settled")
     _run(live.start_settling(stream_events_view(spark, sf_dir), f"{out}/table", f"{out}/checkpoint", once=True))
+    live.close(spark, f"{out}/table")
     return _round(live.settled_trips(spark, f"{out}/table").drop("service_date", "s_ts", "e_ts"))
 
 
@@ -192,12 +311,15 @@ def _trip_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _live_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "live-board")
     _run(live.start_board(_trip_stream(spark, sf_dir), f"{out}/board", f"{out}/checkpoint", once=True))
-    return live.board(spark, f"{out}/board").select("stat_key", "stat_value")
+    info = F.from_json("extra_info", "avg_speed double, avg_distance double")
+    return _round(live.board(spark, f"{out}/board").select("stat_key", "stat_value", info.alias("i")).select("stat_key", "stat_value", "i.*"))
 
 
 def _live_heat(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "live-heat")
-    heat = live.rolling_heat(_trip_stream(spark, sf_dir)).writeStream.outputMode("append")
+    trips_in = _trip_stream(spark, sf_dir)
+    closing = _closing(spark, trips_in.schema, {"s_ts": _LATER, "s_lng": 114.0, "s_lat": 22.6})
+    heat = live.rolling_heat(trips_in.union(closing)).writeStream.outputMode("append")
     _run(
         heat.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True)
         .format("parquet").start(f"{out}/table")
@@ -243,18 +365,18 @@ def queries() -> dict[str, Query]:
         "peak_hours": _of_trips(_peaks),
         "period_stats": _of_trips(temporal.period_stats),
         "duration_stats": _of_trips(temporal.duration_stats),
-        "distance_stats": _of_trips(temporal.distance_stats),
+        "distance_stats": _of_kept_trips(temporal.distance_stats),
         "duration_hist": _of_trips(temporal.duration_histogram),
         "distance_hist": _of_trips(temporal.distance_histogram),
         "speed_hist": _of_trips(temporal.speed_histogram),
-        "speed_stats": _of_trips(temporal.speed_stats),
+        "speed_stats": _of_kept_trips(temporal.speed_stats),
         "vehicle_efficiency": _of_trips(temporal.vehicle_efficiency),
         "vehicle_top15": _of_trips(lambda t: temporal.top_vehicles(temporal.vehicle_efficiency(t))),
         "kpis": _of_marts(Marts.kpis),
         "live_kpis": _of_trips(board.live_kpis),
         "trips_per_vehicle": _of_trips(lambda t: temporal.kpis(t).select("total_trips", "total_vehicles", "trips_per_vehicle")),
         "dur_dist_corr": _of_trips(temporal.duration_distance_correlation),
-        "scatter_sample": _of_trips(scatter),
+        "scatter_sample": _of_kept_trips(lambda t: scatter(t, 500)),
         # space
         "density_start": _of_trips(spatial.density),
         "density_end": _of_trips(lambda t: spatial.density(t, "end")),
@@ -275,30 +397,43 @@ def queries() -> dict[str, Query]:
         # hotspots
         "hotspots_start": _hotspots("start"),
         "hotspots_end": _hotspots("end"),
-        "hotspot_labels": _of_trips(_labels),
-        "hotspot_ranking": _of_trips(
-            lambda t: hotspots.hotspot_ranking(hotspots.find_hotspots(t)).drop("label")
-        ),
+        "hotspot_labels": _of_kept_trips(_labels),
+        "hotspot_ranking": _of_trips(lambda t: hotspots.hotspot_ranking(hotspots.find_hotspots(t))),
+        "hotspots_both": _of_kept_marts(lambda m: m.hotspots.withColumns({c: F.round(c, 4) for c in ("radius_m", "radius_true_m")})),
+        "hotspot_bars": _of_kept_marts(Marts.hotspot_bars),
         # board and report
-        "report_fields": _of_kept_marts(lambda m: m.report_fields().drop("morning_peak", "evening_peak", "end_hotspots")),
+        "report_fields": _of_kept_marts(lambda m: _listed_peaks(m.report_fields())),
+        "vehicle_bars": _of_kept_marts(Marts.top_vehicles),
+        "space_summary": _of_kept_marts(Marts.space_summary),
+        "trips_derived": _of_pings(lambda g: _no_date(temporal.with_derived(trips.raw_trips(g)))),
         "hourly_board": _of_marts(Marts.hourly),
         "period_shares": _of_marts(Marts.period_shares),
-        "distance_summary": _of_marts(Marts.distance_summary),
-        "speed_summary": _of_marts(Marts.speed_summary),
-        "time_summary": _of_marts(lambda m: m.time_summary().select("total_trips", "total_vehicles", "peak_hour_max")),
-        "cache_rows": _of_kept_marts(lambda m: _cache(m).drop("updated_at")),
+        "distance_summary": _of_kept_marts(Marts.distance_summary),
+        "speed_summary": _of_kept_marts(Marts.speed_summary),
+        "time_summary": _of_kept_marts(lambda m: _listed_peaks(m.time_summary())),
+        "cache_rows": _of_cache(_cache_facts),
         "cache_kpis": _of_cache(board.read_kpis),
         "cache_heatmap": _of_cache(board.read_heatmap),
         "cache_trend": _of_cache(board.read_trend),
         "cache_periods": _of_cache(board.read_periods),
         "cache_hourly": _of_cache(board.read_hourly),
-        "cache_ranking": _of_kept_marts(lambda m: board.read_ranking(_cache(m))),
+        "cache_ranking": _of_cache(board.read_ranking),
         "board_dashboard": _of_cache(_dashboard),
-        "cache_scalars": _of_trips(_cache_scalars),
-        "cache_upsert": _of_trips(_cache_upsert),
+        "cache_scalars": _of_kept_trips(_cache_scalars),
+        "cache_upsert": _of_kept_trips(_cache_upsert),
+        # files and stored tables
+        "csv_pings": _of_pings(_read_csv_pings),
+        "csv_quarantine": _of_pings(_csv_rejects),
+        "csv_trips": _of_trips(_csv_trips),
+        "two_day_store": _of_pings(_two_days),
+        "hourly_merge": _merged("hourly_stats", temporal.hourly_stats, "hour >= 9"),
+        "period_merge": _merged("period_stats", temporal.period_stats, "period_name <> '早高峰'"),
+        "vehicle_merge": _merged("vehicle_efficiency", _vehicle_rows, "VehicleNum % 2 = 0"),
+        "published_table": _of_marts(_published),
         # streams
         "live_trips": _live_trips,
         "live_settled": _live_settled,
+        "live_repeats": _live_repeats,
         "live_hourly": _live_hourly,
         "live_heat": _live_heat,
     }

@@ -73,6 +73,29 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
     )
 
 
+def merge_keyed(existing: DataFrame, new: DataFrame, table: str) -> DataFrame:
+    """Upsert by the table's declared key: rows of ``new`` replace those of the same key."""
+    keys = list(RESULT_TABLES[table][1])
+    return existing.join(new.select(*keys), keys, "left_anti").select(*existing.columns).unionByName(new.select(*existing.columns))
+
+
+def check_keys(df: DataFrame, table: str) -> DataFrame:
+    """Raises if two rows share the table's declared key."""
+    keys = list(RESULT_TABLES[table][1])
+    if not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        raise ValueError(f"{table}: rows share a key ({', '.join(keys)})")
+    return df
+
+
+def publish_merged(tables: dict[str, DataFrame], target: str, version: int) -> None:
+    """Publish the tables merged by key into the version announced last."""
+    spark = next(iter(tables.values())).sparkSession
+    publish({
+        name: merge_keyed(read_published(spark, target, name), check_keys(check_schema(df, name), name), name)
+        for name, df in tables.items()
+    }, target, version)
+
+
 def publish(tables: dict[str, DataFrame], target: str, version: int) -> None:
     """Write every table under a new version, then announce it.
 

@@ -3,7 +3,9 @@
 Trips are assembled per vehicle-day behind the watermark, so late pings fall into
 place and an emitted trip never changes. The box and trip filters are the batch
 functions. Live speeds are not repaired by interpolation, which needs the next
-plausible value; no trip column depends on them.
+plausible value; no trip column depends on them. Batch drops the day of a vehicle
+that never reports a plausible speed, which is known at the day's end only: live
+trips of such a vehicle are kept.
 """
 
 from __future__ import annotations
@@ -100,7 +102,7 @@ def _step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iter
 
 def assemble(pings: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """Watermarked stream of pings to a stream of valid trips with s_ts and e_ts."""
-    boxed = filter_box(pings, p).where(F.col("open_status").isin(0, 1))
+    boxed = filter_box(pings, p).where(F.col("open_status").isin(0, 1) & F.col("vehicle_id").isNotNull())
     keyed = boxed.withColumns({"us": F.unix_micros("ts"), "service_date": F.to_date("ts")}).select(
         "vehicle_id", "service_date", "seq", "us", "lng", "lat", "open_status", "ts"
     )
@@ -193,10 +195,12 @@ def settle(batch: DataFrame, batch_id: int, target: str, p: Params = DEFAULTS, l
         before = f"{target}/v={batch_id - 1}"
         passed = spark.read.parquet(f"{before}/passed").first().us
         fresh = spark.read.parquet(f"{before}/kept").select(*named).unionByName(fresh.where(us > passed))
-    # a kept row wins over its own repeat, because only kept rows carry a prior status
-    rows = fresh.groupBy("vehicle_id", "seq").agg(
-        *[F.max(c).alias(c) for c in named if c not in ("vehicle_id", "seq")]
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    # of repeats one whole row stays: a kept row, because only it carries a prior status, else the latest
+    values = [c for c in named if c not in ("vehicle_id", "seq")]
+    order = F.struct(F.col("prior_status").isNotNull(), "ts", *[c for c in values if c not in ("prior_status", "ts")])
+    rows = fresh.where(F.col("vehicle_id").isNotNull()).groupBy("vehicle_id", "seq").agg(
+        F.max_by(F.struct(*values), order).alias("r")
+    ).select("vehicle_id", "seq", "r.*").persist(StorageLevel.MEMORY_AND_DISK)
     newest = rows.agg(F.max(us).alias("us")).first().us
     if newest is not None:
         passed = max(passed, newest - lateness_s * 1_000_000)
@@ -226,6 +230,12 @@ def settle(batch: DataFrame, batch_id: int, target: str, p: Params = DEFAULTS, l
     rows.unpersist()
 
 
+def close(spark: SparkSession, target: str, p: Params = DEFAULTS) -> None:
+    """Settles what is still ahead of the watermark, once the pings have ended."""
+    version = published_version(spark, target)
+    settle(spark.createDataFrame([], LIVE_PING), version + 1, target, p, lateness_s=-2 * 86_400)
+
+
 def start_settling(
     pings: DataFrame, target: str, checkpoint: str, once: bool = False, p: Params = DEFAULTS, lateness_s: int = 3600
 ) -> StreamingQuery:
@@ -251,7 +261,7 @@ def board(spark: SparkSession, target: str) -> DataFrame:
 
 
 __all__ = [
-    "assemble", "board", "board_rows", "drop_repeats", "hourly_trips", "published_version",
+    "assemble", "board", "board_rows", "close", "drop_repeats", "hourly_trips", "published_version",
     "read_ping_stream", "refresh_board", "rolling_heat", "settle", "settled_trips", "start_board",
     "start_settling", "start_trips", "watermarked",
 ]
