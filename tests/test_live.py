@@ -78,7 +78,7 @@ def test_settling_equals_batch_with_hot_vehicles(spark, tmp_path):
     want = trips_from_pings(read_events_view(spark, SF))
     assert _facts(got) == _facts(want)
     version = live.published_version(spark, target)
-    kept = spark.read.parquet(f"{target}/v={version}/kept").count()
+    kept = sinks.read_published(spark, target, "kept").count()
     assert version == 6 and kept == 1  # only the ping of the new day is ahead
 
 

@@ -176,6 +176,25 @@ def test_publish_switches_versions(spark, tmp_path):
     assert sinks.published_version(spark, target) == 1
 
 
+def test_a_reader_keeps_the_version_it_holds(spark, tmp_path):
+    target = str(tmp_path / "out")
+    sinks.publish({"t": spark.range(3)}, target, 1)
+    held = sinks.read_published(spark, target, "t")
+    sinks.publish({"t": spark.range(5)}, target, 1)
+    assert held.count() == 3 and sinks.read_published(spark, target, "t").count() == 5
+    assert sinks.read_all_versions(spark, target, "t").count() == 5
+
+
+def test_merge_by_key_and_unique_keys(spark, tmp_path):
+    target, cols = str(tmp_path / "m"), RESULT_TABLES["net_flow"][0]
+    row = lambda cell, n: (cell, 114.0, 22.5, n, 0, -n)
+    sinks.publish({"net_flow": spark.createDataFrame([row(1, 1), row(2, 2)], cols)}, target, 1)
+    sinks.publish_merged({"net_flow": spark.createDataFrame([row(2, 5), row(3, 3)], cols)}, target, 2)
+    assert {r.grid_id: r.outflow for r in sinks.read_published(spark, target, "net_flow").collect()} == {1: 1, 2: 5, 3: 3}
+    with pytest.raises(ValueError, match="share a key"):
+        sinks.publish_merged({"net_flow": spark.createDataFrame([row(2, 5), row(2, 6)], cols)}, target, 3)
+
+
 def test_report(spark, tmp_path):
     marts = Marts(trips_from_pings(read_events_view(spark, SF)).persist())
     text = pipeline.report_text(marts)

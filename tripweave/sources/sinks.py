@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -99,21 +100,41 @@ def publish_merged(tables: dict[str, DataFrame], target: str, version: int) -> N
 def publish(tables: dict[str, DataFrame], target: str, version: int) -> None:
     """Write every table under a new version, then announce it.
 
-    Readers follow the announcement, so they see the whole set or the previous one.
+    Readers follow the announcement, so they see the whole set or the previous one. Every
+    call writes a folder of its own: publishing a version again leaves the files of readers
+    that hold it as they are.
     """
+    attempt = f"t{uuid.uuid4().hex}"
     for name, df in tables.items():
         out = check_schema(df, name) if name in RESULT_TABLES else df
-        out.write.mode("overwrite").parquet(f"{target}/v={version}/{name}")
+        out.write.parquet(f"{target}/v={version}/a={attempt}/{name}")
     spark = next(iter(tables.values())).sparkSession
-    mark = spark.createDataFrame(
-        [(version, datetime.now(timezone.utc).replace(tzinfo=None))], "version long, published_at timestamp_ntz"
-    )
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    mark = spark.createDataFrame([(version, attempt, now)], "version long, attempt string, published_at timestamp_ntz")
     mark.coalesce(1).write.mode("append").parquet(f"{target}/{_VERSIONS}")
 
 
+def announced(spark: SparkSession, target: str) -> DataFrame:
+    """(version, attempt) of every announced version, its last attempt."""
+    marks = spark.read.parquet(f"{target}/{_VERSIONS}")
+    return marks.groupBy("version").agg(F.max_by("attempt", F.struct("published_at", "attempt")).alias("attempt"))
+
+
 def published_version(spark: SparkSession, target: str) -> int:
     return spark.read.parquet(f"{target}/{_VERSIONS}").agg(F.max("version")).first()[0]
 
 
+def version_path(spark: SparkSession, target: str, version: int) -> str:
+    attempt = announced(spark, target).where(F.col("version") == version).first().attempt
+    return f"{target}/v={version}/a={attempt}"
+
+
 def read_published(spark: SparkSession, target: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{target}/v={published_version(spark, target)}/{name}")
+    return spark.read.parquet(f"{version_path(spark, target, published_version(spark, target))}/{name}")
+
+
+def read_all_versions(spark: SparkSession, target: str, name: str) -> DataFrame:
+    """The rows of one table in all announced versions together."""
+    stored = spark.read.option("basePath", target).parquet(f"{target}/v=*/a=*/{name}")
+    told = announced(spark, target).select(F.col("version").cast("int").alias("v"), F.col("attempt").alias("a"))
+    return stored.join(told, ["v", "a"], "left_semi").drop("v", "a")

@@ -27,7 +27,9 @@ from tripweave.operators.sequence import KEYS, ORDER, sequence
 from tripweave.operators.trips import clean_trips, filter_trips, measure, pair_trips, status_changes
 from tripweave.params import DEFAULTS, Params
 from tripweave.schemas import LIVE_PING
-from tripweave.sources.sinks import merge_latest, publish, published_version, read_published
+from tripweave.sources.sinks import (
+    merge_latest, publish, published_version, read_all_versions, read_published, version_path,
+)
 
 LATENESS = "1 hour"
 _DAY_US = 86_400_000_000
@@ -152,12 +154,12 @@ def board_rows(hourly: DataFrame) -> DataFrame:
 def refresh_board(rows: DataFrame, batch_id: int, target: str) -> None:
     """Upsert one micro-batch into the published board.
 
-    The version is the batch number: a replayed batch overwrites its own version and
-    merges into the one before it.
+    The version is the batch number: a replayed batch publishes its version again,
+    merged into the one before it.
     """
     spark = rows.sparkSession
     if batch_id > 0:
-        before = spark.read.parquet(f"{target}/v={batch_id - 1}/realtime_stats")
+        before = spark.read.parquet(f"{version_path(spark, target, batch_id - 1)}/realtime_stats")
         rows = merge_latest(before, rows, ["stat_type", "stat_key"])
     publish({"realtime_stats": rows}, target, batch_id)
 
@@ -192,7 +194,7 @@ def settle(batch: DataFrame, batch_id: int, target: str, p: Params = DEFAULTS, l
     fresh = batch.withColumn("prior_status", F.lit(None).cast("int")).select(*named)
     passed = -(2**62)
     if batch_id > 0:
-        before = f"{target}/v={batch_id - 1}"
+        before = version_path(spark, target, batch_id - 1)
         passed = spark.read.parquet(f"{before}/passed").first().us
         fresh = spark.read.parquet(f"{before}/kept").select(*named).unionByName(fresh.where(us > passed))
     # of repeats one whole row stays: a kept row, because only it carries a prior status, else the latest
@@ -248,8 +250,7 @@ def start_settling(
 
 def settled_trips(spark: SparkSession, target: str) -> DataFrame:
     """Trips of all announced versions."""
-    stored = spark.read.option("basePath", target).parquet(f"{target}/v=*/trips")
-    return stored.where(F.col("v") <= published_version(spark, target)).drop("v")
+    return read_all_versions(spark, target, "trips")
 
 
 def _triggered(writer, once: bool):  # noqa: ANN001, ANN202
