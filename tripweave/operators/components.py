@@ -1,14 +1,14 @@
 """Connected components of an undirected graph by alternating star contraction.
 
 Large-star and small-star (Kiveris et al., 2014) replace every neighbourhood by a
-star around its smallest member until nothing changes; the number of rounds grows
+star around its smallest member until only stars are left; the number of rounds grows
 with the logarithm of the graph. Each star is one shuffle by node, and every round is checkpointed, so a
 lost executor costs one round.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tripweave.session import cut
 
@@ -30,6 +30,16 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     return out.where(u != v).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Every edge leads from a node with no other edge to the root of its star."""
+    ends = edges.select(F.inline(F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+        F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")),
+    )))
+    seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.where("up + down > 1 AND up > 0").isEmpty()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(u, v) edges to (node, root): root is the smallest node of the component.
 
@@ -39,20 +49,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         edges.where(F.col("u") != F.col("v"))
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
-    if current.isEmpty():
-        return current.toDF("node", "root")
-    mark = None
-    while True:
-        contracted = _star(_star(current, True), False)
-        # the edge set has settled when its fingerprint repeats
-        seen = Observation()
-        current = cut(contracted.observe(
-            seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"),
-            F.sum(F.col("v").cast("decimal(38,0)")).alias("s"),
-        ))
-        if seen.get == mark:
-            break
-        mark = seen.get
+    while not _settled(current):
+        current = cut(_star(_star(current, True), False))
     return current.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         current.select("v", F.col("v").alias("r")).distinct()
     )
