@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Rows handled at a time; an output batch never holds more input rows than this.
-SLICE_ROWS = 512
+SLICE_ROWS = 256
 
 
 def read(spark, sf_dir: str, name: str) -> DataFrame:
@@ -43,12 +43,15 @@ def map_slices(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
+            part = made = columns = None
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
                 made = work(*(part.column(c).to_pylist() for c in inputs))
                 columns = {c: part.column(c) for c in keep if c not in new}
                 columns |= {c: pa.array(v, k) for c, v, k in zip(new, made, kinds, strict=True)}
                 yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
+            del batch, part, made, columns
+            pa.default_memory_pool().release_unused()  # workers live on between tasks
 
     wanted = list(dict.fromkeys([*inputs, *keep]))
     return df.select(*wanted).mapInArrow(run, schema)

@@ -157,7 +157,8 @@ def fit(
         return work
 
     added = [T.StructField("at", T.ArrayType(T.LongType())), T.StructField("times", T.ArrayType(T.LongType()))]
-    found = map_slices(sample, ["text"], ["_id", "label"], added, pick).orderBy("_id").collect()  # at most ``rows``
+    found = map_slices(sample, ["text"], ["_id", "label"], added, pick).collect()  # at most ``rows``
+    found.sort(key=lambda r: r["_id"])
     hits = np.array([sum(r["times"]) for r in found])
     toxic = np.array([r["label"] == 1 for r in found])
     grade = np.where(toxic, 1 + (hits > np.median(hits[toxic])), 0)

@@ -183,7 +183,8 @@ def fit(
         return work
 
     added = [T.StructField("x", T.BinaryType()), T.StructField("lines", T.LongType())]
-    found = map_slices(sample, ["text"], ["_id", "label"], added, start).orderBy("_id").collect()  # at most ``rows``
+    found = map_slices(sample, ["text"], ["_id", "label"], added, start).collect()  # at most ``rows``
+    found.sort(key=lambda r: r["_id"])
     if len({r["label"] for r in found}) < 2:
         sure = 4.0 if not found or found[0]["label"] else -4.0
         weights = np.zeros(FEATURES)

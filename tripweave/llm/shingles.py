@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes of text hashed at a time; a longer text is taken alone.
-GROUP_BYTES = 1 << 21
+GROUP_BYTES = 1 << 19
 _STEP = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
