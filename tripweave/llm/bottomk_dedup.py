@@ -35,6 +35,8 @@ SKETCH = 64
 MISS = 1e-9
 #: Members of a star that are compared in one block.
 BLOCK = 128
+#: Large stars whose number of blocks is sent to every task.
+BROADCAST_ROWS = 100_000
 #: Values of a block's incidence table held at a time.
 COLUMNS = 8192
 
@@ -97,7 +99,9 @@ def _stars(entries: DataFrame) -> DataFrame:
 
 def _blocks(stars: DataFrame) -> DataFrame:
     """(hub, one, two, node): each two members of a star meet in at least one block."""
-    large = stars.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")).where("parts > 1")
+    large = cut(stars.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")).where("parts > 1"))
+    if large.count() <= BROADCAST_ROWS:  # beyond that the stars are shuffled by their hub
+        large = F.broadcast(large)
     parts = F.coalesce("parts", F.lit(1))
     own = F.pmod(F.xxhash64("node", "hub"), parts).cast("int")
     dealt = stars.join(large, "hub", "left").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
