@@ -11,6 +11,7 @@ from tripweave.operators.clean import valid_speed
 from tripweave.operators.sequence import KEYS
 from tripweave.operators.trips import REJECT_REASONS, measure, raw_trips, reject_reason
 from tripweave.params import DEFAULTS, PING_SPEED_EDGES, PING_SPEED_LABELS, Params
+from tripweave.session import cut
 
 CHECKED = ("vehicle_id", "sec_of_day", "lng", "lat", "open_status", "speed")
 
@@ -92,15 +93,16 @@ def cleaning_funnel(pings: DataFrame, p: Params = DEFAULTS, strict: bool = True)
     """Rows (step_no, step, rows_before, rows_after, removed, removal_pct).
 
     Steps 1 and 2 count pings; step 3 turns pings into trips; step 4 filters trips.
-    Pings are counted per vehicle-day first (map-side), so this adds no shuffle of pings.
+    Pings are counted per vehicle-day first (map-side); the counts are fixed and serve the
+    ordering too, so the pings are read twice and shuffled once.
     """
     boxed = in_box(F.col("lng"), F.col("lat"), p)
     known = valid_speed(F.col("speed"), p).isNotNull()
-    days = pings.groupBy(*KEYS).agg(
+    days = cut(pings.groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("pings"),
         F.count_if(boxed).alias("boxed"),
         F.count_if(boxed & known).alias("known"),
-    )
+    ))
     before = days.agg(
         F.sum("pings").alias("pings"),
         F.sum("boxed").alias("boxed"),
@@ -109,7 +111,8 @@ def cleaning_funnel(pings: DataFrame, p: Params = DEFAULTS, strict: bool = True)
         F.lit(None).cast("long").alias("valid"),
     )
     none = F.lit(None).cast("long")
-    after = measure(raw_trips(pings, p, strict)).agg(
+    counts = days.select(*KEYS, F.col("pings").alias("n"))
+    after = measure(raw_trips(pings, p, strict, counts)).agg(
         none.alias("pings"), none.alias("boxed"), none.alias("fed"),
         F.count(F.lit(1)).alias("trips"),
         F.count_if(reject_reason(p).isNull()).alias("valid"),

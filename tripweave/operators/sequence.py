@@ -81,15 +81,19 @@ class Sequence:
         return df.join(table, [*KEYS, CHUNK], "left")
 
 
-def sequence(pings: DataFrame, p: Params = DEFAULTS, source: DataFrame | None = None) -> Sequence:
+def sequence(
+    pings: DataFrame, p: Params = DEFAULTS, source: DataFrame | None = None, counts: DataFrame | None = None
+) -> Sequence:
     """Order pings inside vehicle-days, cutting oversized days into chunks.
 
     ``source`` may name the pings before they were filtered: counting those reads
-    the key columns only, and a count that is too high does no harm. Pings without
-    a vehicle belong to no sequence.
+    the key columns only, and a count that is too high does no harm. ``counts`` hands
+    over such a count (keys and ``n``) where there is one. Pings without a vehicle
+    belong to no sequence.
     """
     pings = pings.where(F.col(KEYS[0]).isNotNull())
-    counts = (pings if source is None else source).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
+    if counts is None:
+        counts = (pings if source is None else source).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
     counts = counts.where((F.col("n") > p.max_rows_per_task) & F.col(KEYS[0]).isNotNull())
     hot = counts.limit(p.max_hot_keys + 1).collect()
     if not hot:

@@ -140,9 +140,12 @@ def unclosed_trips(changes: Sequence, strict: bool = True) -> DataFrame:
     )
 
 
-def raw_trips(pings: DataFrame, p: Params = DEFAULTS, strict: bool = True) -> DataFrame:
+def raw_trips(
+    pings: DataFrame, p: Params = DEFAULTS, strict: bool = True, counts: DataFrame | None = None
+) -> DataFrame:
     """Rules 1 to 4: pings to unfiltered trips. One shuffle of pings."""
-    return pair_trips(status_changes(drop_speedless(sequence(filter_box(pings, p), p, pings))), strict)
+    ordered = sequence(filter_box(pings, p), p, pings, counts)
+    return pair_trips(status_changes(drop_speedless(ordered)), strict)
 
 
 def measure(trips: DataFrame) -> DataFrame:
