@@ -548,6 +548,7 @@ SELECT CAST(row_number() OVER (ORDER BY trip_count DESC, cluster_id) AS INTEGER)
 SELECT trip_id AS seq, CASE WHEN trip_id % 13 = 0 THEN 'bad_vehicle' WHEN trip_id % 11 = 0 THEN 'bad_time' ELSE 'bad_coordinate' END AS reject_reason
 FROM valid WHERE trip_id % 13 = 0 OR trip_id % 11 = 0 OR trip_id % 7 = 0"""),
         "live_trips": _trips(f"SELECT {_TRIP_COLUMNS}, {_MEASURES} FROM valid"),
+        "live_board": f"SELECT * FROM ({_BOARD_FACTS}) WHERE section <> 'ranking'",
         "live_settled": _trips(f"SELECT {_TRIP_COLUMNS}, {_MEASURES} FROM valid"),
         "live_heat": _spatial("""
 , spread AS (SELECT si, sj, s_sec // 900 * 900 - k.range * 900 AS start FROM cells, range(4) k)

@@ -315,6 +315,17 @@ def _live_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(live.board(spark, f"{out}/board").select("stat_key", "stat_value", info.alias("i")).select("stat_key", "stat_value", "i.*"))
 
 
+def _live_board(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "live-whole-board")
+    _run(live.start_whole_board(
+        stream_events_view(spark, sf_dir), f"{out}/trips", f"{out}/board", f"{out}/checkpoint", once=True
+    ))
+    live.close(spark, f"{out}/trips")
+    version = sinks.published_version(spark, f"{out}/trips")
+    live.refresh_whole_board(spark, f"{out}/trips", f"{out}/board", version)
+    return _round(_cache_facts(live.board(spark, f"{out}/board")))
+
+
 def _live_heat(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "live-heat")
     trips_in = _trip_stream(spark, sf_dir)
@@ -436,4 +447,5 @@ def queries() -> dict[str, Query]:
         "live_repeats": _live_repeats,
         "live_hourly": _live_hourly,
         "live_heat": _live_heat,
+        "live_board": _live_board,
     }

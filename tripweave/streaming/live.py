@@ -26,6 +26,7 @@ from tripweave.operators.clean import filter_box
 from tripweave.operators.sequence import KEYS, ORDER, sequence
 from tripweave.operators.trips import clean_trips, filter_trips, measure, pair_trips, status_changes
 from tripweave.params import DEFAULTS, Params
+from tripweave.plans.board import cache_rows
 from tripweave.schemas import LIVE_PING
 from tripweave.sources.sinks import (
     merge_latest, publish, published_version, read_all_versions, read_published, version_path,
@@ -253,6 +254,31 @@ def settled_trips(spark: SparkSession, target: str) -> DataFrame:
     return read_all_versions(spark, target, "trips")
 
 
+def refresh_whole_board(
+    spark: SparkSession, trips_target: str, board_target: str, version: int, p: Params = DEFAULTS
+) -> None:
+    """KPI, heat, trend, period and hourly rows of all trips settled so far.
+
+    Built from the settled trips by the batch functions, so the rows equal the batch
+    board's; the ranking needs a clustering and is left to batch. Every refresh reads the
+    settled trips, a row per trip: keep one store a day.
+    """
+    publish({"realtime_stats": cache_rows(settled_trips(spark, trips_target), None, p)}, board_target, version)
+
+
+def start_whole_board(
+    pings: DataFrame, trips_target: str, board_target: str, checkpoint: str, once: bool = False,
+    p: Params = DEFAULTS, lateness_s: int = 3600,
+) -> StreamingQuery:
+    """Stream of pings to settled trips and the board over them, in every micro-batch."""
+    def step(batch: DataFrame, batch_id: int) -> None:
+        settle(batch, batch_id, trips_target, p, lateness_s)
+        refresh_whole_board(batch.sparkSession, trips_target, board_target, batch_id, p)
+
+    writer = pings.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
+    return _triggered(writer, once).start()
+
+
 def _triggered(writer, once: bool):  # noqa: ANN001, ANN202
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")
 
@@ -263,6 +289,6 @@ def board(spark: SparkSession, target: str) -> DataFrame:
 
 __all__ = [
     "assemble", "board", "board_rows", "close", "drop_repeats", "hourly_trips", "published_version",
-    "read_ping_stream", "refresh_board", "rolling_heat", "settle", "settled_trips", "start_board",
-    "start_settling", "start_trips", "watermarked",
+    "read_ping_stream", "refresh_board", "refresh_whole_board", "rolling_heat", "settle", "settled_trips", "start_board",
+    "start_settling", "start_trips", "start_whole_board", "watermarked",
 ]
