@@ -12,11 +12,12 @@ import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from tripweave.llm import bin_slack, sentence_pieces
+from tripweave.llm import bin_slack, queries, sentence_pieces
 from tripweave.llm.word_table import WordTable, packed
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PARTS = [
     "a", "b", "the", "é", "▁", " ", "  ", "   ", "\n", "\t", "\x00", "1", "23", ".", ",", "'s", "<s>", "</s>", "<|endoftext|>",
     "<0x41>", "日本", "🙂", "　", "\r\n", "İ", "ß", "ﬁ", "x" * 70, "﻿", "​", "́", "\x1c",
@@ -80,6 +81,17 @@ def test_rank_file_gives_the_ids_of_the_vocabulary(byte_bpe):
         assert encode(text) == byte_bpe.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_give_the_ids_of_the_library(spark, docs_of):
+    default = Tokenizer.from_file(VOCABULARY)
+    encode = bin_slack.encoder(RANKS, VOCABULARY)
+    marked = "a <|endoftext|> b"
+    assert encode(marked) == [64, 220, 50256, 275]
+    for text in [*_texts(3000), "<|endoftext|>", "x  <|endoftext|>\n\n<|endoftext|>", "<|endoftext|", "<<|endoftext|>>"]:
+        assert encode(text) == default.encode(text, add_special_tokens=False).ids
+    rows = queries.packed_documents(spark, docs_of([(1, marked), (2, "a b")])).collect()
+    _check_packing(rows, lambda i: [*default.encode({1: marked, 2: "a b"}[i], add_special_tokens=False).ids, 2])
+
+
 def test_fullest_is_the_best_subset():
     rnd = random.Random(3)
     for _ in range(300):

@@ -13,6 +13,8 @@ its place.
 from __future__ import annotations
 
 import base64
+import json
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,7 +27,7 @@ from tripweave.session import cut
 
 #: Parts into which the pieces of one length are split for ranking.
 RANK_PARTS = 512
-#: One encoder for each rank file in a Python worker.
+#: One encoder for each pair of rank file and vocabulary in a Python worker.
 _ENCODERS: dict = {}
 
 PLACE = T.StructType([
@@ -35,22 +37,56 @@ PLACE = T.StructType([
 ])
 
 
-def encoder(ranks_path: str) -> Callable[[str], list[int]]:
-    """Text to ids by a file of merge ranks; names of special tokens are plain text."""
+def added_tokens(vocabulary_path: str) -> dict[str, int]:
+    """The added tokens of a vocabulary in the format of ``tokenizers``, and their ids."""
+    with open(vocabulary_path, encoding="utf-8") as file:
+        listed = json.load(file)["added_tokens"]
+    if any(t[flag] for t in listed for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens that take more than their own text are not supported")
+    return {t["content"]: t["id"] for t in listed}
+
+
+def encoder(ranks_path: str, vocabulary_path: str | None = None) -> Callable[[str], list[int]]:
+    """Text to ids by a file of merge ranks.
+
+    The added tokens of ``vocabulary_path`` are found first, the leftmost and longest ones, and
+    give their ids, as the library does; without it their names are plain text.
+    """
     import public_tokenizers
     import tiktoken
 
-    if ranks_path not in _ENCODERS:
+    key = ranks_path, vocabulary_path
+    if key not in _ENCODERS:
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        _ENCODERS[ranks_path] = tiktoken.Encoding(
+        plain = tiktoken.Encoding(
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
-    return _ENCODERS[ranks_path].encode_ordinary
+        added = added_tokens(vocabulary_path) if vocabulary_path else {}
+        _ENCODERS[key] = _with_added(plain.encode_ordinary, added)
+    return _ENCODERS[key]
+
+
+def _with_added(encode: Callable[[str], list[int]], added: dict[str, int]) -> Callable[[str], list[int]]:
+    if not added:
+        return encode
+    names = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))))
+
+    def whole(text: str) -> list[int]:
+        if not any(name in text for name in added):
+            return encode(text)
+        out, at = [], 0
+        for m in names.finditer(text):
+            out += [*encode(text[at:m.start()]), added[m[0]]]
+            at = m.end()
+        return out + encode(text[at:])
+
+    return whole
 
 
 def tokenize(
-    df: DataFrame, ranks_path: str, *, text: str = "text", keep: list[str], end_id: int, capacity: int = 1024
+    df: DataFrame, ranks_path: str, vocabulary_path: str | None = None, *, text: str = "text", keep: list[str], end_id: int,
+    capacity: int = 1024,
 ) -> DataFrame:
     """A row for each piece: ``keep``, ``piece`` (from 0), ``start``, ``length``, ``ids``.
 
@@ -62,7 +98,7 @@ def tokenize(
     wide = 4 * capacity
 
     def start():
-        encode = encoder(ranks_path)
+        encode = encoder(ranks_path, vocabulary_path)
 
         def work(texts: list[str | None]) -> list[list]:
             out = []

@@ -74,7 +74,8 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def packed_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the vocabulary of byte_bpe_50k.json as ranks
-    pieces = bin_slack.tokenize(docs, path, keep=["doc_id"], end_id=BYTE_BPE_END, capacity=CAPACITY)
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = bin_slack.tokenize(docs, path, vocabulary, keep=["doc_id"], end_id=BYTE_BPE_END, capacity=CAPACITY)
     pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return bin_slack.pack(spark, pieces, capacity=CAPACITY)
 
