@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import re
 import zlib
 
 import public_tokenizers
@@ -92,6 +93,23 @@ def test_added_tokens_give_the_ids_of_the_library(spark, docs_of):
     _check_packing(rows, lambda i: [*default.encode({1: marked, 2: "a b"}[i], add_special_tokens=False).ids, 2])
 
 
+def test_long_blank_runs_give_the_ids_of_the_library(spark, docs_of, monkeypatch):
+    default = Tokenizer.from_file(VOCABULARY)
+    encode = bin_slack.encoder(RANKS, VOCABULARY)
+    vast = "x" + " " * 1_000_000 + "y"
+    for text in (vast, vast[:-1], " \n" * 600_000 + "<|endoftext|>" + "\u3000" * 20_000 + "b"):
+        assert encode(text) == default.encode(text, add_special_tokens=False).ids
+    rows = queries.packed_documents(spark, docs_of([(1, vast)])).collect()
+    _check_packing(rows, lambda _: [*default.encode(vast, add_special_tokens=False).ids, 2])
+    # the same cuts at short runs, for every blank of Unicode or of Python
+    monkeypatch.setattr(bin_slack, "RUN", 2)
+    monkeypatch.setattr(bin_slack, "_LONG_RUN", re.compile(f"[{bin_slack._BLANKS}]{{2,}}"))
+    blanks = [c for c in map(chr, range(0x3001)) if c.isspace() or c in "\u180e\u200b\u200c\u2060"]
+    rnd = random.Random(9)
+    for text in [*_texts(1000), *("".join(rnd.choice([*blanks, *blanks, "a", "1", ".", "'s"]) for _ in range(20)) for _ in range(3000))]:
+        assert encode(text) == default.encode(text, add_special_tokens=False).ids
+
+
 def test_fullest_is_the_best_subset():
     rnd = random.Random(3)
     for _ in range(300):

@@ -27,6 +27,10 @@ from tripweave.session import cut
 
 #: Parts into which the pieces of one length are split for ranking.
 RANK_PARTS = 512
+#: Blanks of the pattern (not those of Python's \s), and the longest run of them that its matcher is given:
+#: it keeps a state for every blank and fails at a million.
+_BLANKS, RUN = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000", 10_000
+_LONG_RUN = re.compile(f"[{_BLANKS}]{{{RUN},}}")
 #: One encoder for each pair of rank file and vocabulary in a Python worker.
 _ENCODERS: dict = {}
 
@@ -63,10 +67,32 @@ def encoder(ranks_path: str, vocabulary_path: str | None = None) -> Callable[[st
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
         added = added_tokens(vocabulary_path) if vocabulary_path else {}
-        _ENCODERS[key] = _with_added(plain.encode_ordinary, added)
+        _ENCODERS[key] = _with_added(_with_runs(plain), added)
     return _ENCODERS[key]
 
 
+def _with_runs(plain) -> Callable[[str], list[int]]:
+    """``plain.encode_ordinary`` for texts with blank runs of any length.
+
+    A run always begins a piece of the pattern, which has all of it at the end of a text and all
+    but its last blank elsewhere; the last one goes to what follows.
+    """
+    encode, one_piece = plain.encode_ordinary, plain._encode_single_piece
+
+    def any_run(text: str) -> list[int]:
+        if len(text) < RUN:
+            return encode(text)
+        out, at = [], 0
+        for m in _LONG_RUN.finditer(text):
+            end = m.end() - (m.end() < len(text))
+            out += encode(text[at:m.start()])
+            out += one_piece(text[m.start():end])
+            at = end
+        return out + encode(text[at:])
+
+    return any_run
+
+
 def _with_added(encode: Callable[[str], list[int]], added: dict[str, int]) -> Callable[[str], list[int]]:
     if not added:
         return encode
