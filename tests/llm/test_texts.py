@@ -155,6 +155,39 @@ def test_battery_finds_random_tokens_and_spares_words(spark, docs_of):
     assert (hit.kind, hit.start, hit.end) == ("random", 4, 48)
 
 
+def test_battery_finds_named_and_glued_keys(spark, docs_of):
+    rnd = random.Random(11)
+    standard, url = string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "-_"
+    key = lambda alphabet, n: "".join(rnd.choice(alphabet) for _ in range(n))
+    forms = [
+        ("AWS_SECRET_ACCESS_KEY=", standard, 40, "\n"), ("AccountKey=", standard, 86, "==;Endpoint"), ("https://x.org/a?key=", url, 40, "&page=2"),
+        ("see /srv/my_data-set/", string.ascii_letters + string.digits, 40, " now"),
+    ]
+    rows, where = [], {}
+    for i in range(80):
+        head, alphabet, n, tail = forms[i % 4]
+        where[i] = (len(head), len(head) + n)
+        rows.append((i, head + key(alphabet, n) + tail))
+    rows += [(1000 + i, " ".join(rnd.choice(["information", "about", "the_other", "well-known", "and/or", "name=value"]) for _ in range(6))) for i in range(300)]
+    found = {r.doc_id: r.found for r in secret_battery.scan(docs_of(rows), keep=["doc_id"]).collect()}
+    for form in range(4):
+        hit = [any(s.kind == "random" and s.start <= where[i][0] and s.end >= where[i][1] for s in found[i]) for i in range(form, 80, 4)]
+        assert sum(hit) >= 15, forms[form]
+    assert sum(bool(found[1000 + i]) for i in range(300)) <= 3
+
+
+def test_short_tokens_are_left_to_the_control(spark, docs_of):
+    rnd = random.Random(12)
+    alphabet = string.ascii_letters + string.digits
+    rows = [(i, "pin " + "".join(rnd.sample(alphabet, 16)) + " end") for i in range(60)]
+    found = [r.found for r in secret_battery.scan(docs_of(rows), keep=["doc_id"]).collect()]
+    assert sum(any((s.kind, s.start, s.end) == ("random", 4, 20) for s in x) for x in found) >= 50
+    # no shorter token can pass: its smallest p-value is above the level
+    for n in range(2, secret_battery.LEAST):
+        for _, symbols, agree in secret_battery.ENCODINGS:
+            assert secret_battery._text_p(n, len(symbols), agree, secret_battery._evenest(n, len(symbols))) > secret_battery.FALSE_DISCOVERY
+
+
 def test_false_discovery_is_controlled_by_band():
     assert secret_battery.cutoffs([(5, 0, 1000), (5, 100, 10), (6, 20, 50)]) == {5: 100}
     assert secret_battery.cutoffs([]) == {}

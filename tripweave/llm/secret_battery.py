@@ -1,6 +1,8 @@
-"""Secret scan: fixed patterns, and a battery of randomness tests on other long tokens.
+"""Secret scan: fixed patterns, and a battery of randomness tests on other tokens.
 
-A token's encoding is the smallest alphabet that holds it. Chi-squared uniformity over that
+A token's encoding is the smallest alphabet that holds it. A token that none holds, for it has both
+of ``+/`` and of ``-_``, is split at either pair and the parts are tested; of parts that overlap the
+less ordinary one counts, and as there were two ways, with its p-value doubled. Chi-squared uniformity over that
 alphabet, Wald-Wolfowitz runs about its middle and lag-one serial correlation each give a p-value
 for "drawn at random"; a token stays a candidate unless one of them rejects that (Bonferroni).
 Short ordinary words pass such tests too, so a second p-value asks how likely ordinary text of
@@ -15,6 +17,8 @@ from __future__ import annotations
 import math
 import re
 import string
+from collections import Counter
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +34,11 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: Tokens have any length from LEAST; an = belongs to one only as padding at its end.
+_PADDING = r"(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+#: Characters of a token whose tests are remembered at most, and tokens remembered by a Python worker.
+MEMO_CHARS, MEMO = 48, 100_000
+_SPLITS = (re.compile(r"[^+/]+"), re.compile(r"[^_-]+"))
 
 _D, _L, _U = string.digits, string.ascii_lowercase, string.ascii_uppercase
 #: Encodings from small to large, each with the chance that two characters of ordinary text agree.
@@ -110,21 +118,84 @@ def battery(token: str) -> dict[str, float] | None:
         p_serial = 2 * _upper(abs(r + 1 / n) * math.sqrt(n))
     else:
         p_serial = 2.0 ** (1 - n)
+    return {"chi": _chi_upper(chi, k - 1), "runs": p_runs, "serial": p_serial, "text": _text_p(n, k, agree, chi)}
+
+
+def _text_p(n: int, k: int, agree: float, chi: float) -> float:
+    """How likely ordinary text of n symbols out of k has a chi-squared value of at most ``chi``."""
     far = n * (k * agree - 1)  # how far ordinary text moves chi-squared
     centre = k - 1 + far
     v = 2 * (1 + far / centre) / (9 * centre)
-    p_text = 1 - _upper(((max(chi, 0.0) / centre) ** (1 / 3) - 1 + v) / math.sqrt(v))
-    return {"chi": _chi_upper(chi, k - 1), "runs": p_runs, "serial": p_serial, "text": p_text}
+    return 1 - _upper(((max(chi, 0.0) / centre) ** (1 / 3) - 1 + v) / math.sqrt(v))
+
+
+def _least_length() -> int:
+    """The length from which tokens are tested: every shorter one would be refused.
+
+    Even symbols that are spread most evenly have a p-value above FALSE_DISCOVERY in texts so short, in
+    every encoding, and the control accepts no such value. It is the first length of its band, so the
+    control counts every token of each band it decides on.
+    """
+    n = 2
+    while all(_text_p(n, len(a), agree, _evenest(n, len(a))) > FALSE_DISCOVERY for _, a, agree in ENCODINGS):
+        n += 1
+    return 1 << (n.bit_length() - 1)
+
+
+def _evenest(n: int, k: int) -> float:
+    """The smallest chi-squared value of n symbols out of k."""
+    each, more = divmod(n, k)
+    return k / n * (more * (each + 1) ** 2 + (k - more) * each**2) - n
+
+
+LEAST = _least_length()
 
 
-def candidates(text: str) -> list[tuple[int, int, int, int]]:
-    """(start, end, length band, bin of the p-value) of tokens that no test rejects."""
+@lru_cache
+def _tokens_from(length: int) -> re.Pattern:
+    return re.compile(rf"[A-Za-z0-9+/_-]{{{length},}}{_PADDING}")
+
+
+def _tested(token: str, at: int, ways: int = 1) -> tuple[int, int, int, int] | None:
+    """(start, end, length band, bin) of a token at ``at``; None if a test rejects it or no encoding holds it."""
+    p = battery(token)
+    if not p or 3 * min(p["chi"], p["runs"], p["serial"]) < REJECT:
+        return None
+    text = min(1.0, ways * p["text"])
+    size = -math.log10(text) if text > 0 else math.inf
+    return at, at + len(token), len(token).bit_length(), int(min(BINS * size, LAST_BIN))
+
+
+def _parts(token: str) -> list[tuple[int, int, int, int]]:
+    """The candidates in a token, by start: itself, or parts of it if no encoding holds it."""
+    if encoding(token):
+        own = _tested(token, 0)
+        return [own] if own else []
+    found = {
+        part for split in _SPLITS for m in split.finditer(token) if len(m[0]) >= LEAST and (part := _tested(m[0], m.start(), 2))
+    }
+    # pieces of the one way that meet a piece of the other, the least ordinary first
+    out, taken = [], bytearray(len(token))
+    for part in sorted(found, key=lambda c: (-c[3], c[0] - c[1], c[0])):
+        if not any(taken[part[0]:part[1]]):
+            out.append(part)
+            taken[part[0]:part[1]] = b"\1" * (part[1] - part[0])
+    return sorted(out)
+
+
+_remembered = lru_cache(MEMO)(_parts)
+
+
+def candidates(text: str, least: int = LEAST) -> list[tuple[int, int, int, int]]:
+    """(start, end, length band, bin of the p-value) of tokens that no test rejects.
+
+    Tokens shorter than ``least`` without their padding are not listed.
+    """
     out = []
-    for m in _TOKEN.finditer(text):
-        p = battery(m[0])
-        if p and 3 * min(p["chi"], p["runs"], p["serial"]) >= REJECT:
-            size = -math.log10(p["text"]) if p["text"] > 0 else math.inf
-            out.append((m.start(), m.end(), (m.end() - m.start()).bit_length(), int(min(BINS * size, LAST_BIN))))
+    for m in _tokens_from(least).finditer(text):
+        at, token = m.start(), m[0]
+        for a, b, band, p in _remembered(token) if len(token) <= MEMO_CHARS else _parts(token):
+            out.append((at + a, at + b, band, p))
     return out
 
 
@@ -146,12 +217,15 @@ def cutoffs(counts: list[tuple[int, int, int]], level: float = FALSE_DISCOVERY)
 def _cutoffs_of(df: DataFrame, text: str, level: float) -> dict[int, int]:
     def start():
         def work(texts: list[str | None]) -> list[list]:
-            return [[[1000 * c[2] + c[3] for c in candidates(t or "")] for t in texts]]
+            # one row has the counts of all, as n * 2^16 + code, for most tokens repeat
+            n = Counter(1000 * c[2] + c[3] for t in texts for c in candidates(t or ""))
+            return [[[times << 16 | code for code, times in n.items()], *([] for _ in texts[1:])]]
 
         return work
 
     found = map_slices(df, [text], [], [T.StructField("c", T.ArrayType(T.LongType()))], start)
-    counts = found.select(F.explode("c").alias("c")).groupBy("c").agg(F.count("*").alias("n")).collect()
+    code, times = F.col("c").bitwiseAND((1 << 16) - 1), F.shiftright("c", 16)
+    counts = found.select(F.explode("c").alias("c")).groupBy(code.alias("c")).agg(F.sum(times).alias("n")).collect()
     return cutoffs([(r["c"] // 1000, r["c"] % 1000, r["n"]) for r in counts], level)
 
 
@@ -163,8 +237,12 @@ SPAN = T.StructType([
 def all_spans(text: str, accepted: dict[int, int]) -> list[tuple[int, int, int]]:
     """Base spans, and accepted tokens that lie in none of them, by start and kind."""
     base = base_spans(text)
+    if not accepted:
+        return base
+    # a band begins at a power of two, padding of two at most included
+    least = max(LEAST, (1 << (min(accepted) - 1)) - 2)
     more = [
-        (a, 3, b) for a, b, band, at in candidates(text)
+        (a, 3, b) for a, b, band, at in candidates(text, least)
         if at >= accepted.get(band, math.inf) and not any(s <= a and b <= e for s, _, e in base)
     ]
     return sorted(base + more)
