@@ -212,6 +212,24 @@ def test_quality_of_held_out_documents(spark):
     assert np.mean([(s >= 0.7) == bool(y) for s, y in held]) >= 0.95
 
 
+def test_quality_is_learnt_from_all_lines(spark, docs_of):
+    head = "\n".join(f"A plain sentence number {i} is here." for i in range(100))
+    junk = "\n".join("||| 000 ### !!! |||" for _ in range(300))
+    rows = [(i, f"{head}\n{junk}" if i % 2 else f"{head}\n{head}") for i in range(20)]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(20)], "doc_id long, quality int")
+    for lines in (quality_crf.SAMPLE_LINES, 20 * 192):  # all lines, and stretches
+        model = quality_crf.fit(docs_of(rows), labels, lines=lines)
+        assert next(model.quality([junk.encode()])) < 0.1
+
+
+def test_stretches_reach_the_whole_text():
+    assert quality_crf.share_of([5, 100, 1000], 405) == 300 and quality_crf.share_of([5, 6], 100) == 6
+    assert quality_crf.stretches(300, 300, 1) == [(0, 300)]
+    for seed in range(50):
+        taken = quality_crf.stretches(1000, 300, seed)
+        assert len(taken) == 4 and all(b - a == 64 and 250 * i <= a and b <= 250 * (i + 1) for i, (a, b) in enumerate(taken))
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(5)
     lengths, chain = np.array([3, 1, 4]), rng.normal(size=(2, 2))

@@ -8,6 +8,7 @@ quality. Labels are of documents, so each line of a labelled document is taken t
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,8 +20,10 @@ from tripweave.llm.batches import map_slices
 from tripweave.llm.ordinal_toxicity import labelled_sample
 from tripweave.llm.shingles import groups, mix, word_hashes
 
-#: Labelled rows used for fitting at most, and lines in a row of each used for fitting at most.
-SAMPLE_ROWS, SAMPLE_LINES = 5_000, 64
+#: Labelled rows used for fitting at most, and lines of all of them together.
+SAMPLE_ROWS, SAMPLE_LINES = 5_000, 320_000
+#: Lines in a row that are taken from a text too long to be taken whole.
+STRETCH = 64
 
 _CLASSES = ("upper", "lower", "digit", "blank", "stop", "bang", "bar", "sign", "high")
 _CODE = np.full(256, 7, dtype=np.int64)
@@ -161,28 +164,61 @@ def train(x: np.ndarray, per_text: np.ndarray, label: np.ndarray, *, penalty: fl
     return Model(mean, scale, params[:-4], params[-4:].reshape(2, 2))
 
 
+def share_of(sizes: list[int], lines: int) -> int:
+    """The most lines a text may give, so that texts of ``sizes`` lines give ``lines`` at most (one each at least)."""
+    left = lines
+    for i, n in enumerate(sorted(sizes)):
+        share = left // (len(sizes) - i)
+        if n > share:
+            return max(share, 1)
+        left -= n
+    return max(sizes, default=1)
+
+
+def stretches(n: int, share: int, seed: int) -> list[tuple[int, int]]:
+    """(first, end) of the lines taken from a text of n: all, or up to ``share`` in stretches over the whole text.
+
+    The text is cut into equal parts and each gives a stretch at a place drawn by ``seed``.
+    """
+    if n <= share:
+        return [(0, n)]
+    long = min(STRETCH, share)
+    parts = share // long
+    rng = np.random.default_rng(seed)
+    edges = [n * i // parts for i in range(parts + 1)]
+    begins = [int(rng.integers(a, b - long + 1)) for a, b in zip(edges, edges[1:])]
+    return [(a, a + long) for a in begins]
+
+
 def fit(
-    docs: DataFrame, labels: DataFrame, *, label: str = "quality", doc_id: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS
+    docs: DataFrame, labels: DataFrame, *, label: str = "quality", doc_id: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS,
+    lines: int = SAMPLE_LINES,
 ) -> Model:
-    """Model from at most ``rows`` labelled texts, and the first ``SAMPLE_LINES`` lines of each.
+    """Model from all lines of at most ``rows`` labelled texts, if they have at most ``lines`` together.
 
-    Without good or without bad labels every line is as likely good as that label says.
+    Else the longest texts give stretches of lines from all over them, each a chain of its own. Without
+    good or without bad labels every line is as likely good as that label says.
     """
     sample = labelled_sample(docs, labels, label, doc_id, text, rows)
+    feeds = F.length("text") - F.length(F.translate("text", "\n", ""))
+    sizes = [r["n"] for r in sample.select((F.coalesce(feeds, F.lit(0)) + 1).alias("n")).collect()]  # at most ``rows``
+    share = share_of(sizes, lines)
 
     def start():
         def work(texts: list[str | None]) -> list[list]:
             packs, sizes = [], []
             for t in texts:
-                own, _, _ = lines_of([(t or "").encode()])
-                x = with_neighbours(own, np.array([len(own)]))[:SAMPLE_LINES]
-                packs.append(x.astype("<f4").tobytes())
-                sizes.append(len(x))
+                raw = (t or "").encode()
+                own, _, _ = lines_of([raw])
+                taken = stretches(len(own), share, zlib.crc32(raw))
+                x = with_neighbours(own, np.array([len(own)]))
+                packs.append(np.concatenate([x[a:b] for a, b in taken]).astype("<f4").tobytes())
+                sizes.append([b - a for a, b in taken])
             return [packs, sizes]
 
         return work
 
-    added = [T.StructField("x", T.BinaryType()), T.StructField("lines", T.LongType())]
+    added = [T.StructField("x", T.BinaryType()), T.StructField("lines", T.ArrayType(T.LongType()))]
     found = map_slices(sample, ["text"], ["_id", "label"], added, start).collect()  # at most ``rows``
     found.sort(key=lambda r: r["_id"])
     if len({r["label"] for r in found}) < 2:
@@ -191,7 +227,8 @@ def fit(
         weights[-1] = sure
         return Model(np.zeros(FEATURES), np.ones(FEATURES), weights, np.zeros((2, 2)))
     x = np.concatenate([np.frombuffer(r["x"], dtype="<f4").reshape(-1, FEATURES) for r in found]).astype(float)
-    return train(x, np.array([r["lines"] for r in found]), np.array([r["label"] for r in found]))
+    label_of = np.repeat([r["label"] for r in found], [len(r["lines"]) for r in found])
+    return train(x, np.array([n for r in found for n in r["lines"]]), label_of)
 
 
 def score(df: DataFrame, model: Model, *, text: str = "text", keep: list[str]) -> DataFrame:
