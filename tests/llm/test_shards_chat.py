@@ -86,3 +86,18 @@ def test_crowded_parts_are_split(spark, monkeypatch):
         assert sum(r.n_turns for r in own) == 600 and max(r.n_turns for r in own) < 60
         texts = {r.rendered[s.start:s.end] for r in own for s in r["mask"]}
         assert texts == {f"text {i}<|im_end|>\n" for i in range(600) if (i % 2 == 1) == (who == "user")}
+
+
+def test_crowded_parts_keep_their_order(spark):
+    rows = [(1, i % 256, "user" if i % 2 else "ann", f"text {i}") for i in range(1100)]
+    rows += [(1, 7, "bob", f"{'long ' * 60}{i}") for i in range(1500)]
+    rows += [(2, t, "user", f"turn {t}") for t in range(256)]
+    got = {}
+    parts = chat_rotation.rotate(spark.createDataFrame([(*r, "x", "y") for r in rows], TURN)).collect()
+    for r in sorted(parts, key=lambda r: (r.part_from, r.part_turn or 0, r.part_sub)):
+        text, spans = got.get((r.conv_id, r.participant), ("", []))
+        moved = [(s.start + len(text), s.end + len(text)) for s in r["mask"]]
+        got[r.conv_id, r.participant] = (text + r.rendered, spans + moved)
+    assert got == _rotated(rows)
+    sizes = [r.n_turns for r in sorted(parts, key=lambda r: r.part_sub) if r.conv_id == 1 and r.participant == "ann"]
+    assert sizes == [1024, 1024, 552] and all(r.part_turn is None for r in parts)

@@ -7,14 +7,17 @@ in parts, rendered apart and put together in order: one conversation may have mo
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripweave.llm.batches import map_slices
+from tripweave.session import cut
 
-#: Turn numbers in a part, and rows in it at most before it is split by turn and hash.
+#: Turn numbers in a part, and rows in it at most before it is cut in the order of its turns.
 PART_TURNS, PART_ROWS = 256, 1024
+#: Ranges into which the rows of crowded parts are dealt for numbering, and characters of a text that deal them.
+RANGES, RANGE_CHARS = 200, 200
 #: The number given to turns that have none; they come first.
 NO_TURN = -(1 << 62)
 START, END = "<|im_start|>", "<|im_end|>\n"
@@ -42,6 +45,25 @@ def render(turns: list[tuple[str, str]], participant: str, instructions: tuple[s
     return "".join(out), spans
 
 
+def _numbered(turns: DataFrame) -> DataFrame:
+    """``turns`` plus part_sub, the place of each in its part's order (turn, speaker, text) divided by ``PART_ROWS``.
+
+    Rows are dealt by ranges of that order and counted per range, so one part may have most rows.
+    """
+    part = ["conv_id", "part_from"]
+    begin = F.substring("text", 1, RANGE_CHARS)
+    fixed = cut(turns.repartitionByRange(RANGES, *part, "turn", "speaker", begin).withColumn("_range", F.spark_partition_id()))
+    before = Window.partitionBy(*part).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    base = fixed.groupBy(*part, "_range").agg(F.count("*").alias("_n")).select(
+        *part, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")
+    )
+    within = Window.partitionBy(*part, "_range").orderBy("turn", "speaker", "text")
+    placed = fixed.withColumn("_row", F.row_number().over(within) - 1).join(base, [*part, "_range"])
+    return placed.withColumn("part_sub", F.floor((F.col("_base") + F.col("_row")) / PART_ROWS).cast("long")).select(
+        *turns.columns, "part_sub"
+    )
+
+
 def rotate(
     df: DataFrame, *, conv_id: str = "conv_id", turn: str = "turn", speaker: str = "role", text: str = "text",
     instructions: tuple[str, ...] = ("system",),
@@ -49,7 +71,8 @@ def rotate(
     """conv_id, participant, part_from, part_turn, part_sub, n_turns, rendered, mask.
 
     A row for each participant of a conversation and each part of it, ordered by the three part
-    columns (part_turn is null and part_sub 0 unless a part had to be split). Turns are ordered by
+    columns: part_turn is always null, part_sub counts from 0 the consecutive pieces of a part of more
+    than ``PART_ROWS`` turns, so pieces put together give the dialogue in its order. Turns are ordered by
     number, speaker and text; equal rows are one turn. A null turn number comes first, a null
     speaker is named unknown, a null text is empty. Rows without conv_id belong to no dialogue
     and are not rendered; a conversation of instructions alone has no participant and no row.
@@ -59,12 +82,10 @@ def rotate(
         F.col(conv_id).alias("conv_id"), F.coalesce(F.col(turn).cast("long"), F.lit(NO_TURN)).alias("turn"),
         F.coalesce(F.col(speaker), F.lit("unknown")).alias("speaker"), F.coalesce(F.col(text), F.lit("")).alias("text"),
     ).distinct().withColumn("part_from", F.floor(F.col("turn") / PART_TURNS).cast("long") * PART_TURNS)
-    crowded = turns.groupBy("conv_id", "part_from").agg(F.ceil(F.count("*") / PART_ROWS).alias("pieces")).where("pieces > 1")
-    dealt = turns.join(crowded, ["conv_id", "part_from"], "left")
-    split = F.col("pieces").isNotNull()
-    dealt = dealt.withColumn("part_turn", F.when(split, F.col("turn"))).withColumn(
-        "part_sub", F.when(split, F.pmod(F.xxhash64("speaker", "text"), F.col("pieces"))).otherwise(0).cast("long")
-    )
+    part = ["conv_id", "part_from"]
+    crowded = turns.groupBy(*part).agg(F.count("*").alias("_rows")).where(F.col("_rows") > PART_ROWS).select(*part)
+    whole = turns.join(crowded, part, "left_anti").withColumn("part_sub", F.lit(0).cast("long"))
+    dealt = whole.unionByName(_numbered(turns.join(crowded, part, "left_semi"))).withColumn("part_turn", F.lit(None).cast("long"))
     parts = dealt.groupBy("conv_id", "part_from", "part_turn", "part_sub").agg(
         F.array_sort(F.collect_list(F.struct("turn", "speaker", "text"))).alias("turns")
     )
