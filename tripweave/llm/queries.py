@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tripweave.llm import (
     bin_slack, bottomk_dedup, chat_rotation, lsh_forest, mixture_shards, mtree_topk, ordinal_toxicity, quality_crf,
-    secret_battery, sentence_pieces,
+    secret_battery, sentence_pieces, substring_dedup,
 )
 from tripweave.llm.batches import read
 
@@ -18,6 +18,7 @@ GOOD = 0.7
 ASKED, K = 50, 5
 CAPACITY = 1024
 BYTE_BPE_END = 2
+WINDOW = 50
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +96,11 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree_topk.largest(read(spark, sf_dir, "embeddings"), F.col("id") % ASKED == 0, K)
 
 
+def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.deduplicate(read(spark, sf_dir, "documents"), window=WINDOW)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_secrets": op2_secrets,
@@ -106,6 +112,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_sharding": op9_sharding,
     "op10_topk": op10_topk,
+    "op12_substrings": op12_substrings,
 }
 
 # DuckDB has no crc32: its table of 256 values is made from the polynomial, then folded over the bytes.
@@ -144,6 +151,22 @@ SELECT conv_id, participant, part_from, NULL::BIGINT AS part_turn, 0::BIGINT AS
        coalesce(string_agg(pos::BIGINT || ':' || (pos + length(body))::BIGINT, ',' ORDER BY turn, text)
                 FILTER (speaker = participant), '') AS mask
 FROM placed GROUP BY conv_id, participant, part_from""",
+    "op12_substrings": f"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT r, doc_id, i, md5(array_to_string(words[i:i + {WINDOW - 1}], ' ')) AS h
+  FROM split, unnest(range(1, len(words) - {WINDOW - 2})) t(i)
+), hit AS (
+  SELECT r, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS least FROM windows) WHERE least < coalesce(doc_id, 9223372036854775807)
+), gone AS (
+  SELECT DISTINCT r, i + k AS j FROM hit, range({WINDOW}) t(k)
+), kept AS (
+  SELECT s.r, count(g.j) AS n_removed, coalesce(string_agg(s.words[w.j], ' ' ORDER BY w.j) FILTER (g.j IS NULL), '') AS left_text
+  FROM split s, unnest(range(1, len(s.words) + 1)) w(j) LEFT JOIN gone g ON g.r = s.r AND g.j = w.j GROUP BY s.r
+)
+SELECT s.doc_id, len(s.words)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(k.left_text, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k USING (r)""",
     "op10_topk": f"""
 WITH vecs AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v
