@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.llm import (
-    bin_slack, bottomk_dedup, chat_rotation, lsh_forest, mixture_shards, mtree_topk, ordinal_toxicity, quality_crf,
+    bin_slack, bottomk_dedup, chat_rotation, lexical_search, lsh_forest, mixture_shards, mtree_topk, ordinal_toxicity, quality_crf,
     secret_battery, sentence_pieces, substring_dedup,
 )
 from tripweave.llm.batches import read
@@ -18,7 +18,7 @@ GOOD = 0.7
 ASKED, K = 50, 5
 CAPACITY = 1024
 BYTE_BPE_END = 2
-WINDOW = 50
+RANKED, WINDOW = 50, 50
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +96,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree_topk.largest(read(spark, sf_dir, "embeddings"), F.col("id") % ASKED == 0, K)
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=RANKED)
+
+
 def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substring_dedup.deduplicate(read(spark, sf_dir, "documents"), window=WINDOW)
     return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -112,6 +116,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_sharding": op9_sharding,
     "op10_topk": op10_topk,
+    "op11_lexical": op11_lexical,
     "op12_substrings": op12_substrings,
 }
 
@@ -129,6 +134,9 @@ crc_text AS (
   FROM (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL), crc_table
 )"""
 
+# Digits, ASCII letters and everything beyond ASCII.
+_TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
 ORACLE_SQL = {
     "op4_chat": f"""
 WITH turns AS (
@@ -151,6 +159,26 @@ SELECT conv_id, participant, part_from, NULL::BIGINT AS part_turn, 0::BIGINT AS
        coalesce(string_agg(pos::BIGINT || ':' || (pos + length(body))::BIGINT, ',' ORDER BY turn, text)
                 FILTER (speaker = participant), '') AS mask
 FROM placed GROUP BY conv_id, participant, part_from""",
+    "op11_lexical": f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}') AS terms FROM documents
+), held AS (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs),
+asked AS (
+  SELECT DISTINCT item_id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')) AS term FROM benchmark
+), counts AS (SELECT count(*) FILTER (len(terms) > 0) AS docs, sum(len(terms))::HUGEINT AS total FROM docs),
+found AS (SELECT r, doc_id, n, term, count(*) AS tf FROM held GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM found GROUP BY term), counts
+), scored AS (
+  SELECT a.item_id, f.r, any_value(f.doc_id) AS doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n::HUGEINT * docs) // total)::BIGINT)))::BIGINT AS score
+  FROM asked a JOIN found f USING (term) JOIN weights USING (term), counts GROUP BY a.item_id, f.r
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= {RANKED}""",
     "op12_substrings": f"""
 WITH split AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
