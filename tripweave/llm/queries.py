@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.llm import (
-    bin_slack, bottomk_dedup, chat_rotation, lexical_search, lsh_forest, mixture_shards, mtree_topk, ordinal_toxicity, quality_crf,
+    bin_slack, bottomk_dedup, chat_repair, chat_rotation, lexical_search, lsh_forest, mixture_shards, mtree_topk, ordinal_toxicity, quality_crf,
     secret_battery, sentence_pieces, substring_dedup,
 )
 from tripweave.llm.batches import read
@@ -105,6 +105,18 @@ def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations")
+    found, repaired = chat_repair.repair(chat_repair.damage(rows))
+    hashed = found.join(chat_repair.digests(repaired).select(F.struct("n", "v").alias("g"), "sha256"), "g")
+    zero, counts = F.lit(0).cast("long"), ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    whole = rows.select(F.col("conv_id")).distinct().join(hashed, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    return whole.select(
+        "conv_id", *[F.coalesce(F.col(x).cast("long"), zero).alias(x) for x in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_secrets": op2_secrets,
@@ -118,6 +130,7 @@ QUERIES = {
     "op10_topk": op10_topk,
     "op11_lexical": op11_lexical,
     "op12_substrings": op12_substrings,
+    "op13_repair": op13_repair,
 }
 
 # DuckDB has no crc32: its table of 256 values is made from the polynomial, then folded over the bytes.
@@ -137,6 +150,78 @@ crc_text AS (
 # Digits, ASCII letters and everything beyond ASCII.
 _TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
+
+
+def _repair_sql() -> str:
+    """Damage, faults and the cheapest edits: a step of the recursion takes one more row of every conversation."""
+    kept = "damaged.role || ':' || damaged.text"
+    cell = lambda c, a, t: f"{{'c': {c}, 'a': {a}, 't': {t}}}"
+    after = lambda s, cost, edit, line: cell(f"{s}.c + {cost}", f"{s}.a || '{edit}'", f"{s}.t || {line}" if line else f"{s}.t")
+    least = lambda *cells: f"list_min([{', '.join(cells)}])"
+    user, assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    extra = "CASE fault WHEN 't' THEN 5 ELSE 0 END"
+
+    def taken(s: str, role: str, initial: str) -> str:
+        """The row kept if its role has the initial, else given the role."""
+        keep = after(s, extra, "K", f"chr(10) || {kept}")
+        change = after(s, f"1 + {extra}", "R", f"chr(10) || '{role}:' || damaged.text") if role else none
+        return f"CASE WHEN fault IN ('b', 'd') THEN {none} WHEN left(damaged.role, 1) = '{initial}' THEN {keep} ELSE {change} END"
+
+    none = cell("1000000000::BIGINT", "'~'", "''")
+    rows = [after(f"s{i}", 2, "D", "") for i in range(4)]
+    row = [
+        rows[0], least(rows[1], taken("s0", "", "s")), least(rows[2], *(taken(f"s{i}", "user", "u") for i in (0, 1, 3))),
+        least(rows[3], taken("s2", "assistant", "a")),
+    ]
+    users = lambda n: least(f"{n}2", *(after(f"{n}{i}", 5, "I", user) for i in (0, 1, 3)))
+    return f"""
+WITH RECURSIVE steps(i, c, k) AS (
+  SELECT i, i::UBIGINT, 0 FROM range(256) t(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8
+), crc_table AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS o_role, coalesce(text, ' ') AS o_text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS seed FROM conversations
+), kinds AS (
+  SELECT seed, xor(list_reduce(list_prepend(4294967295::UBIGINT,
+           list_transform(regexp_extract_all(hex(encode(seed)), '..'), lambda x: ('0x' || x)::UBIGINT)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::BIGINT + 1])), 4294967295::UBIGINT) % 20 AS kind
+  FROM (SELECT DISTINCT seed FROM named), crc_table
+), copies AS (
+  SELECT conv_id, turn, o_role, o_text, k, CASE kind WHEN 4 THEN 'user' ELSE o_role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(o_text, '[.!?]', '', 'g') ELSE o_text END AS text
+  FROM named JOIN kinds USING (seed), range(2) c(k) WHERE kind <> 0 AND (k = 0 OR kind = 3)
+), numbered AS (
+  SELECT coalesce(conv_id::VARCHAR, '') AS g, conv_id, turn, role, text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, o_role, o_text, k) AS i FROM copies
+), seen AS (
+  SELECT *, row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 AS again,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed,
+         left(lag(role) OVER (PARTITION BY g ORDER BY i), 1) || left(role, 1) AS pair FROM numbered
+), damaged AS MATERIALIZED (
+  SELECT *, CASE WHEN trimmed = '' THEN 'b' WHEN again THEN 'd' WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM seen
+), walk AS (
+  SELECT g, 0::BIGINT AS i, {cell('0::BIGINT', "''", "''")} AS s0, {none} AS s1, {cell('5::BIGINT', "'I'", user)} AS s2,
+         {cell('10::BIGINT', "'II'", user + ' || ' + assistant)} AS s3 FROM (SELECT DISTINCT g FROM damaged)
+  UNION ALL
+  SELECT g, i, n0, n1, m2, {least('n3', after('m2', 5, 'I', assistant))} FROM (
+    SELECT g, i, n0, n1, n3, {users('n')} AS m2 FROM (
+      SELECT walk.g, damaged.i, {', '.join(f'{x} AS n{k}' for k, x in enumerate(row))} FROM walk JOIN damaged ON damaged.g = walk.g AND damaged.i = walk.i + 1
+    )
+  )
+), best AS (SELECT g, arg_max({least('s0', 's3')}, i) AS e FROM walk GROUP BY g),
+counts AS (
+  SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+         count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM damaged GROUP BY g
+)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(e.c, 0)::BIGINT AS cost,
+       coalesce(e.a, '') AS audit, sha256(coalesce(substr(e.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) w LEFT JOIN counts ON counts.g = coalesce(w.conv_id::VARCHAR, '') LEFT JOIN best ON best.g = counts.g"""
+
+
 ORACLE_SQL = {
     "op4_chat": f"""
 WITH turns AS (
@@ -222,4 +307,5 @@ keyed AS (
 SELECT doc_id, size::BIGINT AS size, crc AS text_crc32, 'rows' AS law, (g * {SHARDS} // total)::INT AS shard,
        (g - ((g * {SHARDS} // total) * total + {SHARDS - 1}) // {SHARDS})::BIGINT AS slot, NULL::INT AS grown_shard
 FROM placed""",
+    "op13_repair": _repair_sql(),
 }
