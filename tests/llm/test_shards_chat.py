@@ -60,44 +60,52 @@ def _rotated(rows):
     return out
 
 
-def test_every_participant_gets_its_view(spark, monkeypatch):
+def _glued(parts):
+    """Pieces put together in order."""
+    got = {}
+    for r in sorted(parts, key=lambda r: r.piece):
+        text, spans = got.get((r.conv_id, r.participant), ("", []))
+        moved = [(s.start + len(text), s.end + len(text)) for s in r["mask"]]
+        got[r.conv_id, r.participant] = (text + r.rendered, spans + moved)
+    return got
+
+
+def test_every_participant_gets_its_whole_view(spark):
     rnd = random.Random(2)
     rows = [(rnd.choice([1, 2, 3, None]), rnd.choice([0, 1, 2, 300, None]), rnd.choice(["user", "ann", "bob", "system", None]),
              rnd.choice(["hi", "", None, "<|im_start|>x", "long " * 2000])) for _ in range(120)]
     rows += [(9, t, "user" if t % 2 else "ann", f"turn {t}") for t in range(700)] + [(10, 0, "system", "alone")]
+    rows += [(11, 1000 * t, "user" if t % 2 else "ann", f"turn {t}") for t in range(6)]
     df = spark.createDataFrame([(*r, "x", "y") for r in rows], TURN)
-    got = {}
     parts = chat_rotation.rotate(df).collect()
-    for r in sorted(parts, key=lambda r: (r.part_from, r.part_turn or 0, r.part_sub)):
-        text, spans = got.get((r.conv_id, r.participant), ("", []))
-        moved = [(s.start + len(text), s.end + len(text)) for s in r["mask"]]
-        got[r.conv_id, r.participant] = (text + r.rendered, spans + moved)
-    assert got == _rotated(rows)
-    assert max(r.n_turns for r in parts) <= chat_rotation.PART_ROWS
+    assert {(r.conv_id, r.participant): (r.rendered, [(s.start, s.end) for s in r["mask"]]) for r in parts} == _rotated(rows)
+    assert all(r.piece == 0 for r in parts) and len(parts) == len(_rotated(rows))
+    assert sorted(r.n_turns for r in parts if r.conv_id in (9, 11)) == [6, 6, 700, 700]
     assert chat_rotation.rotate(df.limit(0)).count() == 0
 
 
-def test_crowded_parts_are_split(spark, monkeypatch):
-    monkeypatch.setattr(chat_rotation, "PART_ROWS", 50)
-    rows = [(1, i % 3, "user" if i % 2 else "ann", f"text {i}", "x", "y") for i in range(600)]
-    parts = chat_rotation.rotate(spark.createDataFrame(rows, TURN)).collect()
-    for who in ("user", "ann"):
-        own = [r for r in parts if r.participant == who]
-        assert sum(r.n_turns for r in own) == 600 and max(r.n_turns for r in own) < 60
-        texts = {r.rendered[s.start:s.end] for r in own for s in r["mask"]}
-        assert texts == {f"text {i}<|im_end|>\n" for i in range(600) if (i % 2 == 1) == (who == "user")}
-
-
-def test_crowded_parts_keep_their_order(spark):
+def test_large_dialogues_come_in_pieces_by_position(spark):
     rows = [(1, i % 256, "user" if i % 2 else "ann", f"text {i}") for i in range(1100)]
     rows += [(1, 7, "bob", f"{'long ' * 60}{i}") for i in range(1500)]
-    rows += [(2, t, "user", f"turn {t}") for t in range(256)]
-    got = {}
-    parts = chat_rotation.rotate(spark.createDataFrame([(*r, "x", "y") for r in rows], TURN)).collect()
-    for r in sorted(parts, key=lambda r: (r.part_from, r.part_turn or 0, r.part_sub)):
-        text, spans = got.get((r.conv_id, r.participant), ("", []))
-        moved = [(s.start + len(text), s.end + len(text)) for s in r["mask"]]
-        got[r.conv_id, r.participant] = (text + r.rendered, spans + moved)
-    assert got == _rotated(rows)
-    sizes = [r.n_turns for r in sorted(parts, key=lambda r: r.part_sub) if r.conv_id == 1 and r.participant == "ann"]
-    assert sizes == [1024, 1024, 552] and all(r.part_turn is None for r in parts)
+    rows += [(2, t, "user", f"turn {t}") for t in range(256)] + [(3, 1, "ann", "x" * 9000), (3, 2, "ann", "y")]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], TURN)
+    parts = chat_rotation.rotate(df, piece_bytes=5000).collect()
+    assert _glued(parts) == _rotated(rows)
+    assert max(sum(s.end - s.start for s in r["mask"]) for r in parts if r.conv_id == 1) < 5400
+    assert [r.n_turns for r in sorted((r for r in parts if r.conv_id == 3), key=lambda r: r.piece)] == [1, 1]
+
+
+def test_pieces_equal_the_sql(spark, tmp_path, monkeypatch):
+    import duckdb
+
+    from tripweave.llm import queries
+
+    rows = [(1, i // 3, "user" if i % 2 else "ann", f"{'words ' * 3000}{i}") for i in range(400)] + [(2, 5000 * i, "b", "x") for i in range(9)]
+    path = f"{tmp_path}/conversations.parquet"
+    spark.createDataFrame([(*r, "x", "y") for r in rows], TURN).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{path}/*.parquet'")
+    told = con.execute(queries.ORACLE_SQL["op4_chat"])
+    names = [d[0] for d in told.description]
+    got = queries.op4_chat(spark, str(tmp_path)).select(*names).collect()
+    assert sorted(map(tuple, got)) == sorted(told.fetchall()) and len({r.piece for r in got}) == 7

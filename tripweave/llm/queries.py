@@ -50,7 +50,7 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rotated = chat_rotation.rotate(read(spark, sf_dir, "conversations"))
     spans = F.transform("mask", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
     return rotated.select(
-        "conv_id", "participant", "part_from", "part_turn", "part_sub", "n_turns", "rendered", F.array_join(spans, ",").alias("mask")
+        "conv_id", "participant", "piece", "n_turns", "rendered", F.array_join(spans, ",").alias("mask")
     )
 
 
@@ -228,22 +228,24 @@ WITH turns AS (
   SELECT DISTINCT conv_id, coalesce(turn::BIGINT, {chat_rotation.NO_TURN}) AS turn, coalesce(role, 'unknown') AS speaker,
          coalesce(text, '') AS text
   FROM conversations WHERE conv_id IS NOT NULL
+), cut_up AS (
+  SELECT *, (sum(strlen(speaker) + strlen(text)) OVER (PARTITION BY conv_id ORDER BY turn, speaker, text) - strlen(speaker) - strlen(text))::BIGINT
+            // {chat_rotation.PIECE_BYTES} AS piece
+  FROM turns
 ), seen AS (
-  SELECT t.*, w.participant, floor(t.turn / {chat_rotation.PART_TURNS}::DOUBLE)::BIGINT * {chat_rotation.PART_TURNS} AS part_from,
-         replace(t.text, '<|', '< |') || '<|im_end|>' || chr(10) AS body,
+  SELECT t.*, w.participant, replace(t.text, '<|', '< |') || '<|im_end|>' || chr(10) AS body,
          CASE WHEN t.speaker = 'system' THEN '<|im_start|>system' WHEN t.speaker = w.participant THEN '<|im_start|>assistant'
               ELSE '<|im_start|>user name=' || replace(t.speaker, '<|', '< |') END || chr(10) AS head
-  FROM turns t JOIN (SELECT DISTINCT conv_id, speaker AS participant FROM turns WHERE speaker <> 'system') w USING (conv_id)
+  FROM cut_up t JOIN (SELECT DISTINCT conv_id, speaker AS participant FROM turns WHERE speaker <> 'system') w USING (conv_id)
 ), placed AS (
   SELECT *, sum(length(head) + length(body)) OVER (
-           PARTITION BY conv_id, participant, part_from ORDER BY turn, speaker, text) - length(body) AS pos
+           PARTITION BY conv_id, participant, piece ORDER BY turn, speaker, text) - length(body) AS pos
   FROM seen
 )
-SELECT conv_id, participant, part_from, NULL::BIGINT AS part_turn, 0::BIGINT AS part_sub, count(*) AS n_turns,
-       string_agg(head || body, '' ORDER BY turn, speaker, text) AS rendered,
+SELECT conv_id, participant, piece, count(*) AS n_turns, string_agg(head || body, '' ORDER BY turn, speaker, text) AS rendered,
        coalesce(string_agg(pos::BIGINT || ':' || (pos + length(body))::BIGINT, ',' ORDER BY turn, text)
                 FILTER (speaker = participant), '') AS mask
-FROM placed GROUP BY conv_id, participant, part_from""",
+FROM placed GROUP BY conv_id, participant, piece""",
     "op11_lexical": f"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id,

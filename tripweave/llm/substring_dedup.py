@@ -34,6 +34,8 @@ WINDOW = 50
 GRAM = 8
 #: Passages of a shard on average; an anchor with more than half of that is a hot one.
 SHARD_PASSAGES = 8192
+#: Distinct passages of hot anchors that are sent to every task; beyond that rows are shuffled to them.
+BROADCAST_ROWS = 200_000
 #: Stands for a missing doc_id, which is larger than every other.
 NO_ID = (1 << 63) - 1
 SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
@@ -244,7 +246,8 @@ def _hot_rows(hot: DataFrame, window: int, shard_passages: int) -> tuple[DataFra
     """
     hot = hot.withColumn("key", F.md5("passage"))
     least = cut(hot.groupBy("anchor", "key").agg(F.min("d").alias("least")))
-    placed = hot.join(least, ["anchor", "key"])
+    # a passage may be in a third of all documents, so the distinct ones travel while they are few
+    placed = hot.join(F.broadcast(least) if least.count() <= BROADCAST_ROWS else least, ["anchor", "key"])
     length = F.col("n_passage_words")
     whole = placed.where("d > least").select(
         "d", "th", F.array(F.struct(F.col("start").alias("start"), (F.col("start") + length).alias("end"))).alias("spans")
