@@ -41,16 +41,51 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_crf.score(rows, model, text=text, keep=names).where(F.col("score") >= GOOD).select(*names).toDF(*docs.columns)
 
 
+def _text_numbers(rows: DataFrame, text: str) -> DataFrame:
+    """``rows`` plus _number, a 64-bit number for each different text: its hash, hashed again where two texts share one."""
+    rows = rows.withColumns({"_number": F.xxhash64(text), "_digest": F.md5(F.col(text).cast("binary"))})
+    salt = 0
+    while True:
+        shared = cut(rows.groupBy("_number").agg(
+            F.min("_digest").alias("low"), F.max("_digest").alias("high")
+        ).where("low < high").select("_number", F.lit(True).alias("_again")))
+        if shared.isEmpty():
+            return rows.drop("_digest")
+        salt += 1
+        rows = rows.join(shared, "_number", "left").withColumn(
+            "_number", F.when(F.col("_again"), F.xxhash64("_digest", F.lit(salt))).otherwise(F.col("_number"))
+        ).drop("_again")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group; rows without doc_id stay."""
-    found = cut(bottomk_dedup.near_duplicates(docs, words=WORDS, percent=PERCENT).select("doc_id", "kept"))
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    again = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    if again.isEmpty():
-        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    one = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    rest = docs.join(gone.union(again), "doc_id", "left_anti")
-    return rest.select(*docs.columns).union(one.select(*docs.columns))
+    """One row of each group of near-duplicates: of the smallest doc_id, rows without one last.
+
+    Decided by texts, whatever ids they have: unrelated texts under one doc_id both stay, copies
+    without doc_id leave one. Rows of one doc_id and equal texts are ordered by a hash of all columns,
+    of rows equal in all one stays. Texts without words stay.
+    """
+    rows, text, names = _numbered(docs)
+    has_words = F.coalesce(F.col(text).rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    doc_id = F.col(names[docs.columns.index("doc_id")])
+    key = ["_number", "_last", "_id", "_row"]
+    filled = _text_numbers(rows.where(has_words), text).withColumns({
+        "_last": doc_id.isNull(), "_id": F.coalesce(doc_id.cast("long"), F.lit(0)), "_row": F.xxhash64(*names),
+    })
+    found = bottomk_dedup.near_duplicates(filled, words=WORDS, percent=PERCENT, doc_id="_number", text=text)
+    groups = found.select(F.col("doc_id").alias("_number"), F.col("component_id").alias("_group")).distinct()
+    first = filled.groupBy(*key).agg(F.count("*").alias("_n")).groupBy("_number").agg(
+        F.min(F.struct("_last", "_id", "_row", "_n")).alias("first")
+    )
+    kept = cut(first.join(groups, "_number").groupBy("_group").agg(
+        F.min(F.struct("first", "_number")).alias("k")
+    ).select("k._number", "k.first.*"))
+    out = filled.join(kept, key, "left_semi")
+    if not kept.where("_n > 1").isEmpty():
+        repeated = kept.where("_n > 1")
+        out = filled.join(kept.where("_n = 1"), key, "left_semi").unionByName(
+            filled.join(repeated, key, "left_semi").dropDuplicates(["_number"])
+        )
+    return out.select(*names).unionByName(rows.where(~has_words)).toDF(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.conftest import SF
 from tripweave.llm import bottomk_dedup, ordinal_toxicity, quality_crf, queries, secret_battery
-from tripweave.llm.shingles import shingle_sets
+from tripweave.llm.shingles import shingle_sets, word_hashes
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOW = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -296,6 +296,22 @@ def test_models_score_odd_rows(spark, odd_docs):
     assert quality_crf.score(odd_docs.limit(0), quality_crf.fit(docs.limit(0), labels), keep=["doc_id"]).count() == 0
 
 
+def test_regular_long_words_do_not_collide(spark, docs_of):
+    """A word of the Thue-Morse sequence and its mirror have equal sums of powers modulo 2**64, whatever the base."""
+    rows = []
+    for k in (8, 9, 10, 11, 12):
+        word = "".join("ab"[bin(i).count("1") % 2] for i in range(1 << k))
+        mirror = word.translate(str.maketrans("ab", "ba"))
+        rows += [(2 * k, word), (2 * k + 1, mirror), (100 + 2 * k, f"x {word} y z"), (101 + 2 * k, f"x {mirror} y z")]
+        a, b = shingle_sets([word.encode(), mirror.encode()], 3)
+        assert len(a) == len(b) == 1 and a[0] != b[0]
+    out = bottomk_dedup.near_duplicates(docs_of(rows), words=3, percent=85).collect()
+    assert all(r.kept and r.component_id == r.doc_id for r in out) and len(out) == len(rows)
+    text = b"Word w o\x0brd word W \xc3\xa9" + b" " + b"q" * 1000
+    words, bounds = word_hashes([text, b"", b" word"])
+    assert bounds.tolist() == [0, 8, 8, 9] and words[0] == words[4] == words[8] and words[1] == words[5] and len(set(words.tolist())) == 6
+
+
 def test_pipeline_equals_plain_stages(spark):
     """The same models, then a loop for every decision."""
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
@@ -323,6 +339,26 @@ def test_pipeline_equals_plain_stages(spark):
     _check_packing(out, lambda i: [*byte_bpe.encode(texts[i], add_special_tokens=False).ids, 2])
 
 
+def test_pipeline_decides_near_duplicates_by_texts(spark, docs_of):
+    one, two, three = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [
+        (1, one), (1, two), (5, one), (5, three), (None, three), (None, " ".join(f"d{i}" for i in range(40))),
+        (None, " ".join(f"d{i}" for i in range(40))), (7, two.upper() + " more"), (8, ""), (8, ""), (8, None), (9, one), (9, one), (1, one),
+    ]
+    out = corpus_pipeline.near_duplicates(spark, docs_of(rows), SF)
+    got = sorted((r.doc_id is None, r.doc_id or 0, (r.text or "")[:2]) for r in out.collect())
+    assert got == [(False, 1, "a0"), (False, 1, "b0"), (False, 5, "c0"), (False, 8, ""), (False, 8, ""), (False, 8, ""), (True, 0, "d0")]
+    assert out.columns == docs_of(rows).columns
+
+
+def test_texts_that_share_a_hash_get_numbers_of_their_own(spark, docs_of, monkeypatch):
+    whole = F.xxhash64
+    monkeypatch.setattr(corpus_pipeline.F, "xxhash64", lambda *c: F.lit(3).cast("long") if c == ("text",) else whole(*c))
+    out = corpus_pipeline._text_numbers(docs_of([(1, "a"), (2, "b"), (3, "a"), (4, "c")]), "text").collect()
+    number = {r.doc_id: r._number for r in out}
+    assert len(out) == 4 and number[1] == number[3] and len(set(number.values())) == 3
+
+
 def test_pipeline_stages_keep_odd_rows(spark, odd_docs):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality", "near_duplicates", "secrets", "packing"]
     assert 4 <= len(corpus_pipeline.STAGES) <= 5

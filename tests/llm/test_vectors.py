@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.conftest import SF
-from tripweave.llm import lsh_forest, mtree_topk, queries
+from tripweave.llm import lsh_forest, mtree_topk, queries, vector_blocks
 
 VECTORS = T.StructType([
     T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.DoubleType())), T.StructField("rank", T.StringType()),
@@ -114,3 +114,33 @@ def test_large_components_stay_exact():
     tree = mtree_topk.build(np.array([1, 2, 3]), v)
     _, ids, scores = next(iter(mtree_topk.find(tree, np.array([3]), v[2:], 2)))
     assert sorted(zip(ids.tolist(), scores.tolist())) == [(1, -5 * (1 << 30) + 6), (2, -5 * (1 << 30) + 8)]
+
+
+def test_extreme_finite_vectors_have_defined_scores(spark):
+    big = [(0, [1e200, 1e200]), (1, [1e-200, 1e-200]), (2, [1e200, -1e200]), (3, [5e-324, 0.0]), (50, [1e308, 1e308]), (51, [1e30, 1.0]), (52, [-1e30, 0.5])]
+    df = _of(spark, big)
+    near = lsh_forest.nearest(df, F.col("id") % 50 == 0).collect()
+    assert len(near) == 10 and all(np.isfinite(r.score) and abs(r.score) <= 1 + 1e-12 for r in near)
+    first = {r.query_id: r for r in near if r["rank"] == 1}
+    assert first[0].vec_id == 1 and first[50].vec_id == 0 and abs(first[0].score - 1) < 1e-12
+    top = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in mtree_topk.largest(df, F.col("id") % 50 == 0, 6).collect()}
+    most = (1 << 63) - 1
+    as_long = lambda x: int(max(-(1 << 63), min(most, int(np.floor(x * 256)) if np.isfinite(x * 256) else most)))
+    for q in (0, 50):
+        score = lambda w: max(-(1 << 63), min(most, sum(as_long(a) * as_long(b) for a, b in zip(dict(big)[q], w))))
+        expected = sorted((-score(w), i) for i, w in big if i != q)
+        assert [top[q, n + 1] for n in range(6)] == [(i, -s) for s, i in expected]
+
+
+def test_an_id_that_most_rows_share_spreads_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(vector_blocks, "BLOCK_ROWS", 50)
+    rng = np.random.default_rng(6)
+    rows = [(7, v) for v in rng.normal(size=(400, 4)).round(2).tolist()] + [(50 * i, rng.normal(size=4).round(2).tolist()) for i in range(5)]
+    sizes = []
+    made = vector_blocks._packed
+    monkeypatch.setattr(vector_blocks, "_packed", lambda r, *a: sizes.append(r.groupBy("dim", "block").count()) or made(r, *a))
+    got = [tuple(r) for r in mtree_topk.largest(_of(spark, rows), F.col("id") % 50 == 0).collect()]
+    assert max(r["count"] for r in sizes[0].collect()) < 120
+    for q, v in rows[400:]:
+        best = sorted((-_product(v, w), i) for i, w in rows if i != q)[:5]
+        assert sorted(r[1:] for r in got if r[0] == q) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]

@@ -25,6 +25,8 @@ FANOUT, LEAF_ROWS = 16, 128
 SEED = 7
 #: Share of a distance's scale by which a bound must exceed it.
 MARGIN = 1e-7
+#: Products beyond 64 bits count as these.
+LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 
 
 def _distances(points: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -79,7 +81,8 @@ def build(ids: np.ndarray, vectors: np.ndarray) -> dict[str, np.ndarray]:
 
 def _exact(vectors: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Both as floats if these hold every product's terms and sums exactly, else as Python's integers."""
-    most = int(np.abs(vectors).max(initial=0)) * int(np.abs(queries).max(initial=0)) * vectors.shape[1]
+    largest = lambda x: max(int(x.max(initial=0)), -int(x.min(initial=0)))
+    most = largest(vectors) * largest(queries) * vectors.shape[1]
     kind = float if most < 1 << 53 else object
     return vectors.astype(kind), queries.astype(kind)
 
@@ -109,13 +112,13 @@ def find(
                 some = np.flatnonzero(np.abs(distance - to_leaf[a:b]) <= reach + margin) + a
                 some = some[ids[some] != query_id]
                 if len(some):
-                    scores = (vectors[some] @ query).astype(np.int64)
+                    scores = np.clip(vectors[some] @ query, LOWEST, HIGHEST).astype(np.int64)
                     if len(best) >= k:  # others can be no better than the k-th
                         some, scores = some[scores >= best[-1]], scores[scores >= best[-1]]
                     best_ids, best = np.concatenate([best_ids, ids[some]]), np.concatenate([best, scores])
                     keep = vector_blocks.top(best_ids, best, k)
                     best_ids, best = best_ids[keep], best[keep]
-                    if len(best) >= k:
+                    if len(best) >= k and best[-1] > LOWEST:
                         reach = np.sqrt(max(0.0, square + longest - 2.0 * float(best[-1])))
             else:
                 some = np.flatnonzero(np.abs(distance - parent[a:b]) - radius[a:b] <= reach + margin) + a
@@ -133,7 +136,8 @@ def largest(df: DataFrame, is_query, k: int = 5, *, scale: int = 256, vec_id: st
     Rows without id or vector, or whose vector holds null or non-finite components, take no part,
     nor do vectors of other lengths than the query's and those without components. Ties go to the
     smaller id. Repeated ids are candidates each, and one query. An empty table gives no rows;
-    other columns are not read. Products beyond 64 bits fail.
+    other columns are not read. Components and products beyond 64 bits count as the nearest 64-bit
+    number; such products are equal and tie by id.
     """
     rows = df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector")).where(
         F.col("id").isNotNull() & vector_blocks.finite("vector") & (F.size("vector") > 0)

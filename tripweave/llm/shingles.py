@@ -7,14 +7,15 @@ values of a set are its bottom-k sketch.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 
 #: Bytes of text hashed at a time; a longer text is taken alone.
 GROUP_BYTES = 1 << 19
+LONG_WORD = 512
 _STEP = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -29,37 +30,31 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE = np.arange(256, dtype=np.uint8)
 _LOWER = np.where((_BYTE >= 65) & (_BYTE <= 90), _BYTE + 32, _BYTE).astype(np.uint8)
 _SPACE = np.isin(_BYTE, [9, 10, 11, 12, 13, 32])
-_VALUE = np.where(_SPACE, 0, mix(_BYTE.astype(np.uint64) + np.uint64(0x1234567))).astype(np.uint64)
-
-
-class _Powers:
-    """Powers of an odd number and of its inverse modulo 2**64, longer when needed."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, dtype=np.uint64)
-
-    def reach(self, n: int) -> None:
-        if len(self.up) < n:
-            inverse = pow(_STEP, -1, 1 << 64)
-            for name, base in (("up", _STEP), ("down", inverse)):
-                steps = np.full(n, base & _MASK, dtype=np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.cumprod(steps))
-
-
-_POWERS = _Powers()
+_TAIL = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of every word, and where the words of each text begin (with the total at the end)."""
-    joined = np.frombuffer(b" " + b" ".join(texts) + b" ", dtype=np.uint8)
-    low = _LOWER[joined]
+    """The hash of every word, and where the words of each text begin (with the total at the end).
+
+    A word is taken in steps of eight bytes, each mixed into the hash before the next; one of more
+    than ``LONG_WORD`` bytes is digested as a whole.
+    """
+    joined = np.frombuffer(b" " + b" ".join(texts) + b" " * 9, dtype=np.uint8)
+    low = np.ascontiguousarray(_LOWER[joined])
     space = _SPACE[low]
     begin = np.flatnonzero(space[:-1] & ~space[1:]) + 1
-    end = np.flatnonzero(~space[:-1] & space[1:]) + 1
-    _POWERS.reach(len(low))
-    sums = np.cumsum(_VALUE[low] * _POWERS.up[: len(low)])
-    words = mix((sums[end - 1] - sums[begin - 1]) * _POWERS.down[begin] + (end - begin).astype(np.uint64))
+    size = np.flatnonzero(~space[:-1] & space[1:]) + 1 - begin
+    eight = np.ndarray((len(low) - 7,), dtype="<u8", buffer=low.data, strides=(1,))
+    words = mix(size.astype(np.uint64) * np.uint64(_STEP))
+    left = np.flatnonzero(size <= LONG_WORD)
+    at = 0
+    while len(left):
+        rest = size[left] - at
+        words[left] = mix((words[left] ^ (eight[begin[left] + at] & _TAIL[np.minimum(rest, 8)])) + np.uint64(_STEP))
+        at += 8
+        left = left[rest > 8]
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        words[i] = int.from_bytes(hashlib.blake2b(low[begin[i] : begin[i] + size[i]].tobytes(), digest_size=8).digest(), "little")
     text_ends = np.cumsum([len(t) + 1 for t in texts])
     return words, np.concatenate([[0], np.searchsorted(begin, text_ends)])
 

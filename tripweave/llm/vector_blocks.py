@@ -1,8 +1,9 @@
 """Vectors in blocks of bounded size, and the search of query blocks in them.
 
-Rows are dealt to blocks by a hash of their id, so no key makes a block large. Each block gets an
-index of its own, made once and kept as one row. Every block of queries meets every block of rows
-by an equi-join on block numbers; a task holds one of each. Vectors of other lengths never meet.
+Rows are numbered once and dealt to blocks by a hash of that number, so neither a repeated id nor a
+repeated vector makes a block large. Each block gets an index of its own, made once and kept as one
+row, and stays where it is: the small blocks of queries travel to every block of rows and are
+searched there one after the other. Vectors of other lengths never meet.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripweave.session import cut
+
 #: Rows in a block on average, of candidates and of queries.
 BLOCK_ROWS, QUERY_ROWS = 8192, 512
 
@@ -25,10 +28,9 @@ def finite(vector: str) -> Column:
     return F.col(vector).isNotNull() & ~bad
 
 
-def _dealt(rows: DataFrame, sizes: DataFrame, counted: str, per_block: int) -> DataFrame:
-    parts = F.greatest(F.ceil(F.col(counted) / per_block), F.lit(1))
-    return rows.join(sizes, "dim").select(
-        "dim", F.pmod(F.xxhash64("id"), parts).cast("int").alias("block"), "id", "vector"
+def _dealt(rows: DataFrame, sizes: DataFrame, parts: str, number: str) -> DataFrame:
+    return rows.join(F.broadcast(sizes), "dim").select(
+        "dim", F.pmod(F.xxhash64(number), parts).cast("int").alias("block"), "id", "vector"
     )
 
 
@@ -65,24 +67,33 @@ def search(
     ``find(arrays, query ids, query vectors, k)`` gives (query id, ids, scores) of its best k rows
     or more, without those of the query's own id. A repeated query id is searched once.
     """
-    sizes = rows.groupBy("dim").agg(F.count("*").alias("n"), F.count_if(is_query).alias("queries"))
-    blocks = _packed(_dealt(rows, sizes, "n", BLOCK_ROWS), kind, index)
+    rows = cut(rows.withColumn("number", F.monotonically_increasing_id()))  # numbers of written rows stay
+    parts = lambda n, per_block: F.greatest(F.ceil(n / per_block), F.lit(1)).cast("int")
+    sizes = cut(rows.groupBy("dim").agg(
+        parts(F.count("*"), BLOCK_ROWS).alias("blocks"), F.count_if(is_query).alias("queries")
+    ).where("queries > 0").withColumn("asked", parts(F.col("queries"), QUERY_ROWS)))
+    total = sizes.agg(F.coalesce(F.sum("blocks"), F.lit(1))).first()[0]
+    # a row for each vector length: n different lengths need n * n / 2 components, so these are few
+    blocks = _packed(_dealt(rows, sizes, "blocks", "number"), kind, index)
     asked = rows.where(is_query).groupBy("dim", "id").agg(F.min("vector").alias("vector"))
     plain = lambda ids, vectors: {"ids": ids, "vectors": vectors}
-    asked = _packed(_dealt(asked, sizes, "queries", QUERY_ROWS), kind, plain)
-    numbers = sizes.where("queries > 0").select(
-        "dim", F.explode(F.sequence(F.lit(0), F.ceil(F.col("queries") / QUERY_ROWS).cast("int") - 1)).alias("asked")
+    asked = _packed(_dealt(asked, sizes, "asked", "id"), kind, plain)
+    home = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    sent = asked.join(F.broadcast(sizes.select("dim", "blocks")), "dim").select(
+        "dim", home, F.col("block").alias("query_block"), "arrays"
     )
-    pairs = blocks.join(numbers, "dim").join(
-        asked.select("dim", F.col("block").alias("asked"), F.col("arrays").alias("queries")), ["dim", "asked"]
-    ).select("arrays", "queries")
+    met = blocks.select("dim", "block", F.lit(-1).alias("query_block"), "arrays").unionByName(sent)
+    pairs = met.repartition(int(total), "dim", "block").sortWithinPartitions("dim", "block", "query_block").select("query_block", "arrays")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block: dict = {}
         for batch in batches:
             for i in range(batch.num_rows):
-                block = dict(np.load(io.BytesIO(batch.column(0)[i].as_py())))
-                query = np.load(io.BytesIO(batch.column(1)[i].as_py()))
-                found = list(find(block, query["ids"], query["vectors"], k))
+                arrays = np.load(io.BytesIO(batch.column(1)[i].as_py()))
+                if batch.column(0)[i].as_py() < 0:  # the rows' block comes before the queries that visit it
+                    block = dict(arrays)
+                    continue
+                found = list(find(block, arrays["ids"], arrays["vectors"], k))
                 if found:
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.concatenate([np.full(len(ids), q) for q, ids, _ in found]), pa.int64()),
