@@ -19,7 +19,7 @@ from tripweave.session import cut, scratch_path
 from tripweave.sources import files, sinks
 from tripweave.schemas import LIVE_PING
 from tripweave.sources.events_view import read_events_view, stream_events_view, with_timestamps
-from tripweave.streaming import live
+from tripweave.streaming import keyed, live
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -296,6 +296,19 @@ def _live_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(table.drop("service_date", "s_ts", "e_ts"))
 
 
+def _live_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed state; every third ping is sent again in a file of its own."""
+    out = scratch_path(spark, "live-keyed")
+    pings = with_timestamps(_pings(spark, sf_dir)).select(*LIVE_PING.names)
+    pings.where(F.col("seq") % 3 == 0).write.parquet(f"{out}/again")
+    again = spark.readStream.schema(LIVE_PING).parquet(f"{out}/again")
+    closing = _closing(spark, LIVE_PING, {"seq": -1, "vehicle_id": -1, "ts": _LATER, "lng": 114.0, "lat": 22.6, "open_status": 1})
+    stream = stream_events_view(spark, sf_dir).select(*LIVE_PING.names).union(again).union(closing)
+    with keyed.state_store(spark):
+        _run(live.start_trips(keyed.assemble_keyed(live.watermarked(stream)), f"{out}/table", f"{out}/checkpoint", once=True))
+    return _round(spark.read.parquet(f"{out}/table").drop("service_date", "s_ts", "e_ts"))
+
+
 def _live_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "live-settled")
     _run(live.start_settling(stream_events_view(spark, sf_dir), f"{out}/table", f"{out}/checkpoint", once=True))
@@ -443,6 +456,7 @@ def queries() -> dict[str, Query]:
         "published_table": _of_marts(_published),
         # streams
         "live_trips": _live_trips,
+        "live_keyed": _live_keyed,
         "live_settled": _live_settled,
         "live_repeats": _live_repeats,
         "live_hourly": _live_hourly,

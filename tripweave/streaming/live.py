@@ -39,7 +39,7 @@ _STATE = (
     "status int, s_seq long, s_us long, s_lng double, s_lat double, last_us long,"
     "seq array<long>, us array<long>, lng array<double>, lat array<double>, open array<int>"
 )
-_ASSEMBLED = (
+ASSEMBLED = (
     "trip_id long, vehicle_id long, service_date date, s_us long, s_lng double, s_lat double,"
     "e_us long, e_lng double, e_lat double"
 )
@@ -100,18 +100,26 @@ def _step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iter
         state.update((status, s_seq, s_us, s_lng, s_lat, last_us, *rest))
         state.setTimeoutTimestamp(max(wake, passed // 1000 + 1))
     if trips:
-        yield pd.DataFrame(trips, columns=[c.split()[0] for c in _ASSEMBLED.split(",")])
+        yield pd.DataFrame(trips, columns=[c.split()[0] for c in ASSEMBLED.split(",")])
 
 
-def assemble(pings: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """Watermarked stream of pings to a stream of valid trips with s_ts and e_ts."""
+def usable(pings: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """Pings inside the box with a vehicle and a status of 0 or 1, as the stateful steps take them."""
     boxed = filter_box(pings, p).where(F.col("open_status").isin(0, 1) & F.col("vehicle_id").isNotNull())
-    keyed = boxed.withColumns({"us": F.unix_micros("ts"), "service_date": F.to_date("ts")}).select(
+    return boxed.withColumns({"us": F.unix_micros("ts"), "service_date": F.to_date("ts")}).select(
         "vehicle_id", "service_date", "seq", "us", "lng", "lat", "open_status", "ts"
     )
-    raw = keyed.groupBy("vehicle_id", "service_date").applyInPandasWithState(
-        _step, _ASSEMBLED, _STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
+
+
+def assemble(pings: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """Watermarked stream of pings to a stream of valid trips with s_ts and e_ts."""
+    return valid(usable(pings, p).groupBy("vehicle_id", "service_date").applyInPandasWithState(
+        _step, ASSEMBLED, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+    ), p)
+
+
+def valid(raw: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """Assembled trips that pass the trip filter, measured."""
     timed = raw.withColumns({"s_ts": F.timestamp_micros("s_us"), "e_ts": F.timestamp_micros("e_us")})
     timed = timed.withColumns({"s_sec": seconds_of(F.col("s_ts")), "e_sec": seconds_of(F.col("e_ts"))})
     return filter_trips(measure(timed.drop("s_us", "e_us")), p)
@@ -290,5 +298,5 @@ def board(spark: SparkSession, target: str) -> DataFrame:
 __all__ = [
     "assemble", "board", "board_rows", "close", "drop_repeats", "hourly_trips", "published_version",
     "read_ping_stream", "refresh_board", "refresh_whole_board", "rolling_heat", "settle", "settled_trips", "start_board",
-    "start_settling", "start_trips", "start_whole_board", "watermarked",
+    "start_settling", "start_trips", "start_whole_board", "usable", "valid", "watermarked",
 ]
