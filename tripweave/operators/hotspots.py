@@ -55,8 +55,8 @@ def _small(table: DataFrame, rows: int, p: Params) -> DataFrame:
     return F.broadcast(table) if rows <= p.max_broadcast_rows else table
 
 
-def _sites(points: DataFrame, p: Params, kinds: tuple[str, ...] | None = None) -> tuple[DataFrame, int]:
-    """Weighted sites with cell, cell population and salt count; number of cells.
+def sites_of(points: DataFrame, p: Params, kinds: tuple[str, ...] | None = None) -> DataFrame:
+    """Weighted sites with their cell.
 
     Kinds of points share the jobs but not the plane: each kind's cells are numbered
     far away from the others', so no two kinds meet.
@@ -68,7 +68,7 @@ def _sites(points: DataFrame, p: Params, kinds: tuple[str, ...] | None = None) -
         raise ValueError(f"more than {_MAX_KINDS} kinds of points")
     plane = F.array_position(F.array(*[F.lit(k) for k in sorted(kinds)]), F.col("kind")) - 1 if kinds else F.lit(0)
     side = p.eps_m / 1.4143  # diagonal just under eps
-    sites = (
+    return (
         points.where(F.col("lng").isNotNull() & F.col("lat").isNotNull())
         .groupBy("kind", "lng", "lat").agg(F.count(F.lit(1)).alias("w"), F.min("id").alias("first_id"))
         .withColumns({"x": F.col("lng") * F.lit(p.metres_lng), "y": F.col("lat") * F.lit(p.metres_lat)})
@@ -77,7 +77,10 @@ def _sites(points: DataFrame, p: Params, kinds: tuple[str, ...] | None = None) -
         })
         .withColumn("cell", (F.col("cx") + 2**30) * 2**31 + F.col("cy") + 2**30)
     )
-    sites = cut(sites)
+
+
+def with_salts(sites: DataFrame, p: Params) -> tuple[DataFrame, int]:
+    """Fixed sites with cell population and salt count; number of cells."""
     cells = cut(
         sites.groupBy("cx", "cy").agg(F.sum("w").alias("pop"), F.count(F.lit(1)).alias("sites"))
         .withColumn("salts", F.ceil(F.col("sites") / F.lit(p.max_rows_per_task)).cast("int"))
@@ -90,7 +93,7 @@ def _sites(points: DataFrame, p: Params, kinds: tuple[str, ...] | None = None) -
     return tagged, n_cells
 
 
-def _reached(probes: DataFrame, sites: DataFrame, cells: DataFrame, n_cells: int, eps: float, p: Params) -> DataFrame:
+def reached_pairs(probes: DataFrame, sites: DataFrame, cells: DataFrame, n_cells: int, eps: float, p: Params) -> DataFrame:
     """Pairs (probe p, site q) within eps; probes are sites of thin cells only."""
     spread = probes.select(F.struct("kind", "lng", "lat", "x", "y", "cx", "cy").alias("p"), F.explode(_around()).alias("o"))
     asked = (
@@ -106,7 +109,7 @@ def _flag_core(sites: DataFrame, n_cells: int, p: Params) -> DataFrame:
     cells = sites.select("cx", "cy", "salts").distinct()
     thin = sites.where(F.col("pop") < p.min_points)
     seen = (
-        _reached(thin, sites, cells, n_cells, p.eps_m, p)
+        reached_pairs(thin, sites, cells, n_cells, p.eps_m, p)
         .groupBy("p.kind", "p.lng", "p.lat").agg((F.sum("q.w") >= p.min_points).alias("core"))
     )
     judged = thin.join(seen, ["kind", "lng", "lat"], "left").withColumn("core", F.coalesce("core", F.lit(False)))
@@ -114,7 +117,7 @@ def _flag_core(sites: DataFrame, n_cells: int, p: Params) -> DataFrame:
     return sure.unionByName(judged)
 
 
-def _boxes(sites: DataFrame, by: list[str]) -> DataFrame:
+def boxes_of(sites: DataFrame, by: list[str]) -> DataFrame:
     """Bounding box and four extreme sites per group.
 
     Only plain numbers are aggregated, so this is a hash aggregation with map-side
@@ -160,7 +163,7 @@ def _split_key(c: str, low: str, high: str) -> Column:
     return F.coalesce(F.least(step, F.lit(_SPLIT - 1)), F.lit(0)).cast("string")
 
 
-def _link_cells(core: DataFrame, cells: DataFrame, n_cells: int, p: Params) -> DataFrame:
+def link_cells(core: DataFrame, cells: DataFrame, n_cells: int, p: Params) -> DataFrame:
     """(node, root) of the graph that joins cells with core sites within eps."""
     eps = p.eps_m
     right = cells.select(F.col("cell").alias("v"), "cx", "cy", _box_struct().alias("b"))
@@ -206,7 +209,7 @@ def _refine(
         quarter = F.concat("box", _split_key("x", "x0", "x1"), _split_key("y", "y0", "y1"))
         split = sites.withColumn("child", quarter)
         boxes = cut(
-            _boxes(split, ["cell", "box", "child"]).select("cell", "box", "child", _box_struct().alias("s"))
+            boxes_of(split, ["cell", "box", "child"]).select("cell", "box", "child", _box_struct().alias("s"))
         )
         side = lambda c, b, n, s: boxes.select(
             F.col("cell").alias(c), F.col("box").alias(b), F.col("child").alias(n), F.col("s").alias(s)
@@ -236,11 +239,11 @@ def label_sites(points: DataFrame, p: Params = DEFAULTS, kinds: tuple[str, ...]
     Each kind is clustered and numbered by itself; ``kinds`` saves a look for those
     there are, at most 16. Points of equal kind and coordinates share a site, hence a label.
     """
-    sites, n_cells = _sites(points, p, kinds)
+    sites, n_cells = with_salts(cut(sites_of(points, p, kinds)), p)
     flagged = cut(_flag_core(sites, n_cells, p))
     core = flagged.where("core")
-    cells = cut(_boxes(core, ["kind", "cell", "cx", "cy"]))
-    roots = _link_cells(core, cells, n_cells, p)
+    cells = cut(boxes_of(core, ["kind", "cell", "cx", "cy"]))
+    roots = link_cells(core, cells, n_cells, p)
     rooted = core.groupBy("kind", "cell").agg(F.min("first_id").alias("first_id")).join(
         roots.withColumnRenamed("node", "cell"), "cell", "left"
     ).withColumn("root", F.coalesce("root", "cell"))
@@ -255,7 +258,7 @@ def label_sites(points: DataFrame, p: Params = DEFAULTS, kinds: tuple[str, ...]
     outer = flagged.where(~F.col("core"))
     core_sites = flagged.where("core")
     border = (
-        _reached(outer, core_sites, core_sites.select("cx", "cy", "salts").distinct(), n_cells, p.eps_m, p)
+        reached_pairs(outer, core_sites, core_sites.select("cx", "cy", "salts").distinct(), n_cells, p.eps_m, p)
         .join(known, ["cx", "cy"])
         .groupBy("p.kind", "p.lng", "p.lat").agg(F.min("cluster_id").alias("cluster_id"))
     )

@@ -163,7 +163,11 @@ def net_flow_extremes(flows: DataFrame, n: int = 15) -> DataFrame:
 
 def heat_points(trips: DataFrame, n: int = 500, cap: int = 50, p: Params = DEFAULTS) -> DataFrame:
     """Busiest start cells with the capped intensity of the heat layer."""
-    cells = density(trips, "start", p)
+    return busiest_cells(density(trips, "start", p), n, cap)
+
+
+def busiest_cells(cells: DataFrame, n: int = 500, cap: int = 50) -> DataFrame:
+    """The first ``n`` of counted cells."""
     return cells.orderBy(F.desc("n"), "i_lng", "i_lat").limit(n).select(
         "i_lng", "i_lat", "lng", "lat", F.col("n").alias("count"),
         F.least(F.col("n"), F.lit(cap)).alias("intensity"),

@@ -72,21 +72,22 @@ def hourly_stats(trips: DataFrame) -> DataFrame:
         (F.sum(F.when(timed, F.col("km"))) / F.sum(F.when(timed, F.col("n_km")))).alias("avg_distance"),
         F.count_if(~timed & F.col("vehicle_id").isNotNull()).alias("unique_vehicles"),
     )
-    return _on_hours(stats)
+    return on_hours(stats)
 
 
-def _on_hours(stats: DataFrame) -> DataFrame:
+def on_hours(stats: DataFrame) -> DataFrame:
+    """24 rows, zeros where there is no row."""
     spine = stats.sparkSession.range(24).select(F.col("id").cast("int").alias("hour"))
     return spine.join(F.broadcast(stats), "hour", "left").fillna(0)  # at most 24 rows
 
 
 def hourly_counts(trips: DataFrame) -> DataFrame:
-    return _on_hours(trips.groupBy("hour").agg(F.count(F.lit(1)).alias("trip_count")))
+    return on_hours(trips.groupBy("hour").agg(F.count(F.lit(1)).alias("trip_count")))
 
 
 def hourly_trend(trips: DataFrame) -> DataFrame:
     """24 rows: trips, mean speed, mean distance."""
-    return _on_hours(
+    return on_hours(
         trips.groupBy("hour").agg(
             F.count(F.lit(1)).alias("trip_count"),
             F.avg("avg_speed").alias("avg_speed"),

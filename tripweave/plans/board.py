@@ -34,18 +34,31 @@ def live_kpis(trips: DataFrame) -> DataFrame:
     return kpis(trips).select("total_trips", "total_vehicles", "avg_duration", "avg_distance", "avg_speed")
 
 
+def _scalar_rows(hours: DataFrame, periods: DataFrame) -> DataFrame:
+    return _rows(hours, "hourly_trips", hour_label(F.col("hour")), F.col("trip_count")).unionByName(
+        _rows(periods, "period_trips", F.col("period_name"), F.col("trip_count"))
+    )
+
+
 def scalar_rows(trips: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """The rows of the cache that hold one number: hours and periods."""
-    hours = _rows(hourly_counts(trips), "hourly_trips", hour_label(F.col("hour")), F.col("trip_count"))
-    periods = _rows(period_stats(trips, p), "period_trips", F.col("period_name"), F.col("trip_count"))
-    return hours.unionByName(periods)
+    return _scalar_rows(hourly_counts(trips), period_stats(trips, p))
 
 
 def cache_rows(trips: DataFrame, hotspots: DataFrame | None, p: Params = DEFAULTS) -> DataFrame:
     """All rows of the cache; the ranking row only where start hotspots are given."""
+    return cache_rows_of(
+        live_kpis(trips), hourly_counts(trips), period_stats(trips, p), hourly_trend(trips), heat_points(trips, p=p), hotspots
+    )
+
+
+def cache_rows_of(
+    kpis: DataFrame, hours: DataFrame, periods: DataFrame, trend: DataFrame, heat: DataFrame, hotspots: DataFrame | None
+) -> DataFrame:
+    """The rows of the cache from the tables they show, however these were made."""
     one = F.lit("all")
-    kpi = _rows(live_kpis(trips), "kpi_summary", one, info=F.to_json(F.struct("*")))
-    series = hourly_trend(trips).agg(
+    kpi = _rows(kpis, "kpi_summary", one, info=F.to_json(F.struct("*")))
+    series = trend.agg(
         F.sort_array(F.collect_list(F.struct("hour", "trip_count", "avg_speed", "avg_distance"))).alias("s")
     ).select(F.to_json(F.struct(
         F.transform("s.hour", hour_label).alias("hours"),
@@ -53,13 +66,13 @@ def cache_rows(trips: DataFrame, hotspots: DataFrame | None, p: Params = DEFAULT
         F.col("s.avg_speed").alias("speeds"),
         F.col("s.avg_distance").alias("distances"),
     )).alias("j"))
-    heat = heat_points(trips, p=p).agg(F.to_json(_ordered(
+    cells = heat.agg(F.to_json(_ordered(
         F.struct(-F.col("count"), F.col("i_lng"), F.col("i_lat")), F.col("lat"), F.col("lng"), F.col("count")
     )).alias("j"))
     parts = [
-        kpi, scalar_rows(trips, p),
+        kpi, _scalar_rows(hours, periods),
         _rows(series, "trend_data", F.lit("hourly"), info=F.col("j")),
-        _rows(heat, "heatmap_data", one, info=F.col("j")),
+        _rows(cells, "heatmap_data", one, info=F.col("j")),
     ]
     if hotspots is not None:
         ranking = hotspot_ranking(hotspots).agg(F.to_json(_ordered(

@@ -550,6 +550,7 @@ FROM valid WHERE trip_id % 13 = 0 OR trip_id % 11 = 0 OR trip_id % 7 = 0"""),
         "live_trips": _trips(f"SELECT {_TRIP_COLUMNS}, {_MEASURES} FROM valid"),
         "live_board": f"SELECT * FROM ({_BOARD_FACTS}) WHERE section <> 'ranking'",
         "live_keyed": _trips(f"SELECT {_TRIP_COLUMNS}, {_MEASURES} FROM valid"),
+        "live_delta_board": _BOARD_FACTS,
         "live_settled": _trips(f"SELECT {_TRIP_COLUMNS}, {_MEASURES} FROM valid"),
         "live_heat": _spatial("""
 , spread AS (SELECT si, sj, s_sec // 900 * 900 - k.range * 900 AS start FROM cells, range(4) k)

@@ -176,7 +176,7 @@ def refresh_board(rows: DataFrame, batch_id: int, target: str) -> None:
 def start_trips(trips: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Trips to a parquet table."""
     writer = trips.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
-    return _triggered(writer, once).start(path)
+    return triggered(writer, once).start(path)
 
 
 def start_board(trips: DataFrame, target: str, checkpoint: str, once: bool = False) -> StreamingQuery:
@@ -185,7 +185,7 @@ def start_board(trips: DataFrame, target: str, checkpoint: str, once: bool = Fal
     writer = rows.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(
         lambda df, batch_id: refresh_board(df, batch_id, target)
     )
-    return _triggered(writer, once).start()
+    return triggered(writer, once).start()
 
 
 def settle(batch: DataFrame, batch_id: int, target: str, p: Params = DEFAULTS, lateness_s: int = 3600) -> None:
@@ -254,7 +254,7 @@ def start_settling(
     writer = pings.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda df, batch_id: settle(df, batch_id, target, p, lateness_s)
     )
-    return _triggered(writer, once).start()
+    return triggered(writer, once).start()
 
 
 def settled_trips(spark: SparkSession, target: str) -> DataFrame:
@@ -284,10 +284,10 @@ def start_whole_board(
         refresh_whole_board(batch.sparkSession, trips_target, board_target, batch_id, p)
 
     writer = pings.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
-    return _triggered(writer, once).start()
+    return triggered(writer, once).start()
 
 
-def _triggered(writer, once: bool):  # noqa: ANN001, ANN202
+def triggered(writer, once: bool):  # noqa: ANN001, ANN202
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")
 
 
