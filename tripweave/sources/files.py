@@ -6,63 +6,38 @@ becomes a quarantined row with a reason and never an error or a guessed type.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+import json
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tripweave.functions.clock import parse_seconds
 from tripweave.params import DEFAULTS, Params
 from tripweave.schemas import PING
-from tripweave.session import cut
+from tripweave.session import cut, scratch_path
+from tripweave.sources.lines import RANGE_BYTES, LineSource
 
 PING_NAMES = ("VehicleNum", "Stime", "Lng", "Lat", "OpenStatus", "Speed")
 TRIP_NAMES = ("VehicleNum", "Stime", "SLng", "SLat", "ELng", "ELat", "Etime")
 #: Bits of a row's number that hold its place in the file; the others hold the file's rank.
 OFFSET_BITS = 40
-#: Different headers that one input may have at most.
-MAX_HEADERS = 100
+#: Encodings that ``auto`` chooses between, for each file.
+DETECTED = ("UTF-8", "GB18030")
 _BAD, _LINE = "_bad", "_line"
 
 
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    """Session settings for the plans built inside, restored after."""
-    before = {k: spark.conf.get(k, None) for k in values}
-    try:
-        for k, v in values.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def row_number_of(file_no: Column, offset: Column) -> Column:
     """Orders rows by file and place in it; no two places share a number."""
     return F.shiftleft(file_no.cast("long"), OFFSET_BITS) + offset
 
 
-def _decoded(encoding: str) -> Column:
-    """A line's text, null where its bytes are not text of the encoding."""
-    if encoding.upper() in ("UTF-8", "UTF8"):
-        return F.when(F.is_valid_utf8("value"), F.col("value"))
-    raw = F.col("value").cast("binary")
-    text = F.decode(raw, encoding)
-    return F.when(F.encode(text, encoding) == raw, text)
-
-
-def _cells(text: Column) -> Column:
-    plain = F.regexp_replace(text, "^\ufeff", "")
-    return F.transform(F.split(plain, ","), lambda c: F.trim(F.regexp_replace(c, '^\\s*"|"\\s*$', "")))
-
-
-def _files(spark: SparkSession, path: str, heads: DataFrame) -> DataFrame:
-    """file, file_no (rank by name) and header of every input file; contents are not read for it."""
-    named = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"))
-    first = heads.groupBy("file").agg(F.min_by("cells", "offset").alias("header"))
-    by_name = Window.orderBy("file")  # one row per file
-    return cut(named.join(first, "file", "left").withColumn("file_no", F.row_number().over(by_name) - 1))
+def _load(spark: SparkSession, path: str, names: tuple[str, ...], encodings: list[str], **options: str) -> DataFrame:
+    spark.dataSource.register(LineSource)
+    largest = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("bB")) if spark.conf.get(
+        "spark.sql.files.maxPartitionBytes"
+    ).rstrip("bB").isdigit() else RANGE_BYTES
+    return spark.read.format(LineSource.name()).options(
+        path=path, names=json.dumps(names), encodings=json.dumps(encodings), rangeBytes=str(min(largest, RANGE_BYTES)), **options
+    ).load()
 
 
 def read_text_table(
@@ -70,53 +45,40 @@ def read_text_table(
 ) -> DataFrame:
     """CSV files with headers as text columns, each file's columns taken by the names in its header.
 
-    A header is a line with all of ``names`` as cells, blanks around them aside. Adds ``_bad``, the
-    reason why a line gives no row (``bad_encoding``, ``no_header``, ``corrupt_line``), ``_line``, its
-    text, and ``seq``, which orders rows by file name and place in the file: it is built from the
-    byte offset of the split and the row number in the task, so it does not depend on how files
-    are cut. Lines are decoded strictly, by the encoding given and no other. The files are read
-    twice, for headers and for rows.
+    A header is a line with all of ``names`` as cells, blanks around them aside; it is looked for in
+    the first block of a file. Adds ``_bad``, the reason why a line gives no row (``bad_encoding``,
+    ``no_header``, ``corrupt_line``), ``_line``, its text, and ``seq``, which orders rows by file name and
+    by the byte at which the line starts: equal however files are cut, and whatever files come after.
+
+    Lines are decoded strictly. With the encoding ``auto`` each file is UTF-8 or GB18030, whichever
+    leaves fewer of its lines undecoded, UTF-8 among equals; the lines are then stored once, as
+    all of a file decide on each.
     """
-    foreign = {"spark.sql.legacy.javaCharsets": "true", "spark.sql.legacy.codingErrorAction": "true"}
-    with _settings(spark, {} if encoding.upper() in ("UTF-8", "UTF8") else foreign):
-        row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
-        lines = spark.read.text(path).select(
-            F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_block_start") + row_in_task).alias("offset"),
-            _decoded(encoding).alias("text"), F.col("value").cast("binary").alias("raw"),
-        ).where(F.length("raw") > 0)
-    wanted = F.array(*[F.lit(n) for n in names])
-    split = lines.withColumn("cells", _cells(F.col("text")))
-    is_header = F.coalesce(F.size(F.array_except(wanted, F.col("cells"))) == 0, F.lit(False))
-    files = _files(spark, path, split.where(is_header).select("file", "offset", "cells"))
-    n_files = files.count()
-    if n_files >= 1 << (63 - OFFSET_BITS):
-        raise ValueError(f"{n_files} files are more than row numbers can tell apart")
-    headers = [r.header for r in files.where("header IS NOT NULL").select("header").distinct().limit(MAX_HEADERS + 1).collect()]
-    if len(headers) > MAX_HEADERS:
-        raise ValueError(f"the files have more than {MAX_HEADERS} different headers")
-    # a file table within the bound is sent to every task; a larger one is joined by shuffle
-    placed = split.where(~is_header).join(F.broadcast(files) if n_files <= p.max_broadcast_rows else files, "file")
-    columns = list(dict.fromkeys(c for h in sorted(headers) for c in h if c)) or list(names)
-    options = {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
-    }
-    for k, header in enumerate(headers):
-        own = F.col("header") == F.array(*[F.lit(c) for c in header])
-        fields = ", ".join(f"c{i} string" for i in range(len(header)))
-        placed = placed.withColumn(f"row{k}", F.when(own, F.from_csv("text", F.lit(f"{fields}, bad string"), options)))
-    value = lambda c: F.coalesce(*[
-        F.col(f"row{k}")[f"c{h.index(c)}"] for k, h in enumerate(headers) if c in h
-    ]) if headers and any(c in h for h in headers) else F.lit(None).cast("string")
-    corrupt = F.coalesce(*[F.col(f"row{k}")["bad"] for k in range(len(headers))]) if headers else F.lit(None)
-    bad = F.when(F.col("text").isNull(), "bad_encoding").when(F.col("header").isNull(), "no_header").when(
-        corrupt.isNotNull(), "corrupt_line"
-    )
-    seq = F.expr("try_cast(row_seq AS bigint)") if "seq" in columns else row_number_of(F.col("file_no"), F.col("offset"))
+    auto = encoding.lower() == "auto"
+    encodings = list(DETECTED) if auto else [encoding]
+    headers = _load(spark, path, names, encodings, mode="headers").select(F.explode("cells").alias("c"))
+    found = [r.c for r in headers.where("c IS NOT NULL").distinct().orderBy("c").collect()]  # a row for each column name
+    columns = [*names, *[c for c in found if c not in names]]
+    lines = _load(spark, path, names, encodings, columns=json.dumps(columns))
+    reading = ("cells", "bad", "line")
+    if auto:
+        stored = scratch_path(spark, "lines")
+        lines.write.parquet(stored)
+        lines = spark.read.parquet(stored)
+        undecoded = lambda c: F.count_if(F.col(c) == "bad_encoding")
+        second = cut(lines.where("NOT plain").groupBy("file_no").agg(
+            (undecoded("bad2") < undecoded("bad")).alias("second")
+        ).where("second"))
+        # a table of files within the bound is sent to every task; a larger one is joined by shuffle
+        lines = lines.join(F.broadcast(second) if second.count() <= p.max_broadcast_rows else second, "file_no", "left")
+        other = F.coalesce("second", F.lit(False)) & ~F.col("plain")
+        lines = lines.select("file_no", "offset", *[F.when(other, F.col(f"{c}2")).otherwise(F.col(c)).alias(c) for c in reading])
+    value = lambda c: F.get("cells", F.lit(columns.index(c)))
     if "seq" in columns:
-        placed = placed.withColumn("row_seq", value("seq"))
-    return placed.select(
-        *[value(c).alias(c) for c in columns if c != "seq"], bad.alias(_BAD),
-        F.coalesce(F.col("text"), F.hex("raw")).alias(_LINE), seq.alias("seq"),
+        lines = lines.withColumn("row_seq", value("seq"))
+    seq = F.expr("try_cast(row_seq AS bigint)") if "seq" in columns else row_number_of(F.col("file_no"), F.col("offset"))
+    return lines.select(
+        *[value(c).alias(c) for c in columns if c != "seq"], F.col("bad").alias(_BAD), F.col("line").alias(_LINE), seq.alias("seq"),
     )
 
 
