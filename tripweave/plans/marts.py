@@ -131,6 +131,22 @@ class Marts:
             "short_trip_ratio", "long_trip_ratio", "start_hotspots", "end_hotspots",
         )
 
+    def report_figures(self) -> DataFrame:
+        """figure_no, figure, text: the figures of the report as they are printed, a dash where there is none."""
+        r = self.report_fields()
+        number = lambda c, digits: F.coalesce(F.format_number(c, digits), F.lit("-"))
+        listed = lambda c: F.concat(F.lit("["), F.array_join(F.col(c).cast("array<string>"), ", "), F.lit("]"))
+        figures = [
+            ("trips", number("total_trips", 0)), ("vehicles", number("total_vehicles", 0)),
+            ("mean duration (min)", number("avg_duration", 1)), ("mean distance (km)", number("avg_distance", 2)),
+            ("morning peak hours", listed("morning_peak")), ("evening peak hours", listed("evening_peak")),
+            ("busiest hour", F.concat(hour_label(F.col("peak_hour_max")), F.lit(" ("), number("peak_max_trips", 0), F.lit(" trips)"))),
+            ("short trips (%)", number("short_trip_ratio", 1)), ("long trips (%)", number("long_trip_ratio", 1)),
+            ("pick-up hotspots", number("start_hotspots", 0)), ("drop-off hotspots", number("end_hotspots", 0)),
+        ]
+        rows = [F.struct(F.lit(i).alias("figure_no"), F.lit(name).alias("figure"), text.alias("text")) for i, (name, text) in enumerate(figures)]
+        return r.select(F.inline(F.array(*rows)))
+
     def reference_lines(self) -> DataFrame:
         return temporal.hourly_reference_lines(temporal.hourly_counts(self.trips), self.params)
 

@@ -304,8 +304,92 @@ UNION ALL SELECT 'trend', printf('%02d:00', h.hour), count(v.trip_id)::DOUBLE, r
 UNION ALL SELECT CASE stat_type WHEN 'hourly_trips' THEN 'hourly' ELSE 'periods' END, stat_key, stat_value, NULL, NULL, NULL, NULL FROM scalars""")
 
 
+def _over_midnight() -> str:
+    """One run over two days, in seconds from the start of the first."""
+    base = _BASE.format(foreign="").split("fed AS")[0]
+    measured = _MEASURED.format(trips="raw").replace("e_sec - s_sec + CASE WHEN e_sec < s_sec THEN 86400 ELSE 0 END AS", "e_sec - s_sec AS")
+    return "WITH " + base + """
+fed AS (SELECT *, seq % 2 * 86400 + sec_of_day AS t_sec FROM boxed QUALIFY count(ok_speed) OVER (PARTITION BY vehicle_id, seq % 2) > 0),
+seen AS (SELECT *, lag(open_status) OVER (PARTITION BY vehicle_id ORDER BY t_sec, seq) AS prev_status FROM fed),
+chg AS (
+  SELECT *, CASE WHEN prev_status = 1 AND open_status = 0 THEN 1 ELSE -1 END AS change FROM seen
+  WHERE (prev_status = 1 AND open_status = 0) OR (prev_status = 0 AND open_status = 1)),
+started AS (
+  SELECT *, lead(t_sec) OVER w AS e_at, lead(lng) OVER w AS e_lng, lead(lat) OVER w AS e_lat FROM chg WINDOW w AS (PARTITION BY vehicle_id ORDER BY t_sec, seq)),
+raw AS (
+  SELECT seq AS trip_id, vehicle_id, t_sec AS s_sec, lng AS s_lng, lat AS s_lat, e_at AS e_sec, e_lng, e_lat FROM started WHERE change = 1 AND e_at IS NOT NULL),
+""" + measured + f"""
+SELECT trip_id, vehicle_id, CASE WHEN s_sec < 86400 THEN '2024-01-01' ELSE '2024-01-02' END AS day, s_sec % 86400 AS s_sec,
+  round(s_lng, 6) AS s_lng, round(s_lat, 6) AS s_lat, e_sec % 86400 AS e_sec, round(e_lng, 6) AS e_lng, round(e_lat, 6) AS e_lat,
+  duration_s, round(duration_min, 6) AS duration_min, round(distance_km, 6) AS distance_km, round(avg_speed, 6) AS avg_speed,
+  CAST(s_sec % 86400 // 3600 AS INTEGER) AS hour FROM valid
+UNION ALL BY NAME SELECT seq AS trip_id, vehicle_id, 'open' AS day FROM started WHERE change = 1 AND e_at IS NULL"""
+
+
+def _facts(section: str, statement: str, label: str, *values: str) -> str:
+    """The rows of a statement as section, label and up to five numbers."""
+    numbers = ", ".join(f"CAST({v} AS DOUBLE) AS {c}" for v, c in zip([*values, *["NULL"] * (5 - len(values))], "abcde"))
+    return f"SELECT '{section}' AS section, {label} AS label, {numbers} FROM ({statement})"
+
+
+def _board_set(s: dict[str, str]) -> str:
+    return "\nUNION ALL ".join([
+        _facts("kpis", s["kpis"], "'all'", "total_trips", "total_vehicles", "avg_duration", "peak_hour", "peak_trips"),
+        _facts("hourly", s["hourly_board"], "label", "trip_count"),
+        *[_facts(n, s[f"{n}_hist"], "label", "n", "share_pct") for n in ("duration", "distance", "speed")],
+        _facts("period", s["period_shares"], "period_name", "ratio_pct"), _facts("hotspots", s["hotspot_bars"], "label", "cluster_id", "trip_count"),
+        _facts("distance_summary", s["distance_summary"], "''", "mean", "median", "short_ratio", "long_ratio"),
+        _facts("speed_summary", s["speed_summary"], "''", "mean", "median", "total", "mean_bin"),
+        _facts("vehicles", s["vehicle_bars"], "CAST(vehicle_id AS VARCHAR)", "trip_count", "total_duration", "total_distance", "avg_duration", "avg_distance"),
+        _facts("flow_nodes", s["od_nodes"], "name", "lng", "lat"), _facts("flow_edges", s["od_net_edges"], "source || '>' || target", "value"),
+        _facts("net_flow", s["net_flow_top15"], "direction || ' ' || label", "order_no", "grid_id", "net_flow"),
+    ])
+
+
+def _analysed(s: dict[str, str]) -> str:
+    return "\nUNION ALL ".join([
+        _facts("od_trips", s["od_export"], "concat_ws(' ', VehicleNum, Stime, Etime, trip_id)", "SLng", "ELat", "duration_min", "distance_km", "avg_speed"),
+        _facts("hourly_stats", s["hourly_stats"], "CAST(hour AS VARCHAR)", "trip_count", "avg_duration", "median_duration", "avg_distance", "unique_vehicles"),
+        _facts("period_stats", s["period_stats"], "concat_ws(' ', period_name, time_range)", "trip_count", "ratio_pct", "avg_duration", "avg_distance", "active_vehicles"),
+        _facts("hotspots", s["hotspots_both"], "concat_ws(' ', point_type, cluster_id)", "center_lng", "center_lat", "trip_count"),
+        _facts("vehicle_efficiency", s["vehicle_efficiency"], "concat_ws(' ', vehicle_id, first_trip, last_trip)",
+               "trip_count", "total_duration", "total_distance", "avg_duration", "avg_distance"),
+        _facts("net_flow", s["net_flow"], "CAST(grid_id AS VARCHAR)", "lng", "lat", "outflow", "inflow", "net_flow"),
+        _facts("realtime_stats", s["cache_scalars"], "concat_ws(' ', stat_type, stat_key)", "stat_value"),
+    ])
+
+
+_HOTSPOT_ROW = """'start' AS point_type, cluster_id, round(center_lng, 6) AS center_lng, round(center_lat, 6) AS center_lat,
+  trip_count, round(radius_m, 4) AS radius_m, round(radius_true_m, 4) AS radius_true_m"""
+_HOTSPOT_MERGE = _clusters("s", _cluster_tables("s", "_early").replace("FROM valid)", "FROM valid WHERE hour < 12)", 1) + f""",
+newer AS (SELECT * FROM (SELECT {_HOTSPOT_ROW} FROM summary ORDER BY trip_count DESC, cluster_id LIMIT 20) WHERE cluster_id % 2 = 0),
+older AS (SELECT {_HOTSPOT_ROW} FROM summary_early ORDER BY trip_count DESC, cluster_id LIMIT 20)
+SELECT * FROM newer UNION ALL SELECT * FROM older WHERE cluster_id NOT IN (SELECT cluster_id FROM newer)""")
+
+_REPORT_FIGURES = f"""
+SELECT CAST(unnest(range(11)) AS INTEGER) AS figure_no,
+  unnest(['trips', 'vehicles', 'mean duration (min)', 'mean distance (km)', 'morning peak hours', 'evening peak hours', 'busiest hour',
+          'short trips (%)', 'long trips (%)', 'pick-up hotspots', 'drop-off hotspots']) AS figure,
+  unnest([format('{{:,}}', total_trips), format('{{:,}}', total_vehicles), format('{{:,.1f}}', avg_duration), format('{{:,.2f}}', avg_distance),
+          '[' || replace(morning_peak, ',', ', ') || ']', '[' || replace(evening_peak, ',', ', ') || ']',
+          printf('%02d:00', peak_hour_max) || ' (' || format('{{:,}}', peak_max_trips) || ' trips)', format('{{:,.1f}}', short_trip_ratio),
+          format('{{:,.1f}}', long_trip_ratio), format('{{:,}}', start_hotspots), format('{{:,}}', end_hotspots)]) AS text
+FROM (%s)"""
+
+
 def statements() -> dict[str, str]:
     """SQL per query name."""
+    out = _simple()
+    return out | {
+        "trips_over_midnight": _over_midnight(), "board_set": _board_set(out), "analysed_tables": _analysed(out), "hotspot_merge": _HOTSPOT_MERGE,
+        "report_figures": _REPORT_FIGURES.replace("%s", out["report_fields"]),
+        "csv_mixed": _pings("""
+SELECT CASE WHEN seq % 7 > 0 THEN CAST(vehicle_id AS VARCHAR) END AS vehicle, CASE WHEN seq % 7 > 0 THEN '出租车' || vehicle_id END AS note,
+  CASE WHEN seq % 7 = 0 THEN 'corrupt_line' END AS reason, CASE WHEN seq % 7 = 0 THEN CAST(seq AS VARCHAR) END AS bad_no FROM gps"""),
+    }
+
+
+def _simple() -> dict[str, str]:
     out = {
         "ping_box_filter": _pings(
             "SELECT seq, vehicle_id, sec_of_day, round(lng, 6) AS lng, round(lat, 6) AS lat, open_status, round(speed, 6) AS speed FROM boxed"),

@@ -71,29 +71,14 @@ def analyse(trips: DataFrame, target: str, version: int, p: Params = DEFAULTS) -
 
 
 def report_text(marts: Marts) -> str:
-    """The analysis report as Markdown, from one row and five vehicles."""
-    r = marts.report_fields().first()
+    """The analysis report as Markdown, from its figures and five vehicles."""
     best = top_vehicles(vehicle_efficiency(marts.trips), 5).select(
-        "vehicle_id", "trip_count", "avg_duration"
+        "vehicle_id", "trip_count", F.format_number("avg_duration", 1).alias("avg_duration")
     ).collect()
-    number = lambda v, digits: "-" if v is None else f"{v:,.{digits}f}"
-    lines = [
-        "# Trip analysis", "",
-        "| figure | value |", "| --- | --- |",
-        f"| trips | {r.total_trips:,} |",
-        f"| vehicles | {r.total_vehicles:,} |",
-        f"| mean duration (min) | {number(r.avg_duration, 1)} |",
-        f"| mean distance (km) | {number(r.avg_distance, 2)} |",
-        f"| morning peak hours | {list(r.morning_peak)} |",
-        f"| evening peak hours | {list(r.evening_peak)} |",
-        f"| busiest hour | {r.peak_hour_max}:00 ({r.peak_max_trips:,} trips) |",
-        f"| short trips (%) | {number(r.short_trip_ratio, 1)} |",
-        f"| long trips (%) | {number(r.long_trip_ratio, 1)} |",
-        f"| pick-up hotspots | {r.start_hotspots} |",
-        f"| drop-off hotspots | {r.end_hotspots} |",
-        "", "| vehicle | trips | mean duration (min) |", "| --- | --- | --- |",
-    ]
-    lines += [f"| {v.vehicle_id} | {v.trip_count} | {number(v.avg_duration, 1)} |" for v in best]
+    lines = ["# Trip analysis", "", "| figure | value |", "| --- | --- |"]
+    lines += [f"| {r.figure} | {r.text} |" for r in marts.report_figures().orderBy("figure_no").collect()]
+    lines += ["", "| vehicle | trips | mean duration (min) |", "| --- | --- | --- |"]
+    lines += [f"| {v.vehicle_id} | {v.trip_count} | {v.avg_duration} |" for v in best]
     return "\n".join(lines) + "\n"
 
 

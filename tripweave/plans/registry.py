@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StructType
@@ -13,9 +14,9 @@ from tripweave.operators import clean, hotspots, quality, spatial, temporal, tri
 from tripweave.operators.sample import scatter
 from tripweave.operators.sequence import Sequence, sequence
 from tripweave.functions.clock import format_seconds
-from tripweave.plans import board, pipeline
+from tripweave.plans import board, days, pipeline
 from tripweave.plans.marts import Marts
-from tripweave.session import cut, scratch_path
+from tripweave.session import cut, scratch_path, settings
 from tripweave.sources import files, sinks
 from tripweave.schemas import LIVE_PING
 from tripweave.sources.events_view import read_events_view, stream_events_view, with_timestamps
@@ -205,6 +206,76 @@ def _two_days(pings: DataFrame) -> DataFrame:
     )
 
 
+def _over_midnight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days, the first at first without half of its pings and cleaned again, whole, which repairs the second."""
+    store = scratch_path(spark, "over-midnight")
+    later = F.lit("2024-01-01").cast("date") + (F.col("seq") % 2).cast("int")
+    pings = cut(_pings(spark, sf_dir).withColumn("service_date", later))
+    first, second = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    days.clean_from(spark, store, first, pings.where((F.col("service_date") == F.lit(second)) | (F.col("seq") % 4 == 0)))
+    days.clean_from(spark, store, first, pings)
+    found = days.day_trips(spark, store).withColumn("day", F.date_format("service_date", "yyyy-MM-dd")).drop("service_date")
+    still = days.open_trips(spark, store).select(F.col("seq").alias("trip_id"), "vehicle_id", F.lit("open").alias("day"))
+    return _round(found.unionByName(still, allowMissingColumns=True))
+
+
+def _csv_mixed(pings: DataFrame) -> DataFrame:
+    """Files of two encodings in one folder, each found by itself; every seventh line has a cell too many."""
+    out = scratch_path(pings.sparkSession, "csv-mixed")
+    note = F.when(F.col("seq") % 7 == 0, "坏,行").otherwise(F.concat(F.lit("出租车"), F.col("vehicle_id")))
+    text = pings.select(
+        F.col("vehicle_id").alias("VehicleNum"), format_seconds(F.col("sec_of_day")).alias("Stime"), F.col("lng").alias("Lng"),
+        F.col("lat").alias("Lat"), F.col("open_status").alias("OpenStatus"), F.col("speed").alias("Speed"), note.alias("备注"), F.col("seq").alias("no"),
+    )
+    with settings(pings.sparkSession, {"spark.sql.legacy.javaCharsets": "true", "spark.sql.legacy.codingErrorAction": "true"}):
+        for k, encoding in enumerate(("UTF-8", "GB18030")):
+            part = text.where(F.col("no") % 2 == k)
+            part.write.option("header", True).option("encoding", encoding).option("quote", "\u0000").csv(f"{out}/part={k}")
+    raw = files.read_text_table(pings.sparkSession, f"{out}/*", files.PING_NAMES, "auto")
+    return raw.select(
+        F.when(F.col("_bad").isNull(), F.col("VehicleNum")).alias("vehicle"), F.when(F.col("_bad").isNull(), F.col("备注")).alias("note"),
+        F.col("_bad").alias("reason"), F.when(F.col("_bad").isNotNull(), F.element_at(F.split("_line", ","), -1)).alias("bad_no"),
+    )
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _board_set(m: Marts) -> DataFrame:
+    """The whole board set as facts."""
+    s, text = m.board_set(), lambda c: F.col(c).cast("string")
+    bins = [_facts(n, s[n], F.col("label"), "n", "share_pct") for n in ("duration", "distance", "speed")]
+    return _union([
+        _facts("kpis", s["kpis"], F.lit("all"), "total_trips", "total_vehicles", "avg_duration", "peak_hour", "peak_trips"),
+        _facts("hourly", s["hourly"], F.col("label"), "trip_count"), *bins, _facts("period", s["period"], F.col("period_name"), "ratio_pct"),
+        _facts("hotspots", s["hotspots"], F.col("label"), "cluster_id", "trip_count"),
+        _facts("distance_summary", s["distance_summary"], F.lit(""), "mean", "median", "short_ratio", "long_ratio"),
+        _facts("speed_summary", s["speed_summary"], F.lit(""), "mean", "median", "total", "mean_bin"),
+        _facts("vehicles", s["vehicles"], text("vehicle_id"), "trip_count", "total_duration", "total_distance", "avg_duration", "avg_distance"),
+        _facts("flow_nodes", s["flow_nodes"], F.col("name"), "lng", "lat"),
+        _facts("flow_edges", s["flow_edges"], F.concat_ws(">", "source", "target"), "value"),
+        _facts("net_flow", s["net_flow"], F.concat_ws(" ", "direction", "label"), "order_no", "grid_id", "net_flow"),
+    ])
+
+
+def _analysed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All result tables built, published as one set and read back."""
+    target = scratch_path(spark, "analysed")
+    pipeline.analyse(_kept_trips(spark, sf_dir), target, 1)
+    t, text = lambda name: sinks.read_published(spark, target, name), lambda *c: F.concat_ws(" ", *c)
+    return _round(_union([
+        _facts("od_trips", t("od_trips"), text("VehicleNum", "Stime", "Etime", "trip_id"), "SLng", "ELat", "duration_min", "distance_km", "avg_speed"),
+        _facts("hourly_stats", t("hourly_stats"), text("hour"), "trip_count", "avg_duration", "median_duration", "avg_distance", "unique_vehicles"),
+        _facts("period_stats", t("period_stats"), text("period_name", "time_range"), "trip_count", "ratio_pct", "avg_duration", "avg_distance", "active_vehicles"),
+        _facts("hotspots", t("hotspots"), text("point_type", "cluster_id"), "center_lng", "center_lat", "trip_count"),
+        _facts("vehicle_efficiency", t("vehicle_efficiency"), text("VehicleNum", "first_trip", "last_trip"),
+               "trip_count", "total_duration", "total_distance", "avg_duration", "avg_distance"),
+        _facts("net_flow", t("net_flow"), text("grid_id"), "lng", "lat", "outflow", "inflow", "net_flow"),
+        _facts("realtime_stats", t("realtime_stats").where("stat_value IS NOT NULL"), text("stat_type", "stat_key"), "stat_value"),
+    ]))
+
+
 def _merged(name: str, build: Callable[[DataFrame], DataFrame], newer: str) -> Query:
     """A result table of the trips before noon, updated by the rows of all trips that ``newer`` names."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -440,6 +511,8 @@ def queries() -> dict[str, Query]:
         "hotspot_bars": _of_kept_marts(Marts.hotspot_bars),
         # board and report
         "report_fields": _of_kept_marts(lambda m: _listed_peaks(m.report_fields())),
+        "report_figures": _of_kept_marts(Marts.report_figures),
+        "board_set": _of_kept_marts(_board_set),
         "vehicle_bars": _of_kept_marts(Marts.top_vehicles),
         "space_summary": _of_kept_marts(Marts.space_summary),
         "trips_derived": _of_pings(lambda g: _no_date(temporal.with_derived(trips.raw_trips(g)))),
@@ -462,11 +535,17 @@ def queries() -> dict[str, Query]:
         "csv_pings": _of_pings(_read_csv_pings),
         "csv_quarantine": _of_pings(_csv_rejects),
         "csv_trips": _of_trips(_csv_trips),
+        "csv_mixed": _of_pings(_csv_mixed),
+        "trips_over_midnight": _over_midnight,
         "two_day_store": _of_pings(_two_days),
         "hourly_merge": _merged("hourly_stats", temporal.hourly_stats, "hour >= 9"),
         "period_merge": _merged("period_stats", temporal.period_stats, "period_name <> '早高峰'"),
         "vehicle_merge": _merged("vehicle_efficiency", _vehicle_rows, "VehicleNum % 2 = 0"),
+        "hotspot_merge": lambda spark, d: _merged("hotspots", hotspots.find_hotspots, "cluster_id % 2 = 0")(spark, d).withColumns(
+            {c: F.round(c, 4) for c in ("radius_m", "radius_true_m")}
+        ),
         "published_table": _of_marts(_published),
+        "analysed_tables": _analysed,
         # streams
         "live_trips": _live_trips,
         "live_keyed": _live_keyed,
