@@ -4,6 +4,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from tripweave.operators import hotspots as H
 from tripweave.operators.components import connected_components
 from tripweave.params import DEFAULTS
@@ -143,3 +145,29 @@ def test_components_on_random_graphs(spark):
     linked = {n for a, b in edges if a != b for n in (a, b)}
     assert got == {n: top(n) for n in linked}
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_full_cells_are_counted_by_boxes(spark, field):
+    check(spark, field, replace(P, max_listed_sites=2), seed=6)
+    check(spark, field, replace(P, max_listed_sites=0, max_broadcast_rows=0), seed=7)
+
+
+def test_a_full_cell_costs_boxes_and_not_sites(spark, monkeypatch):
+    """Thin sites on a ring around a cell of 20,000 sites, some within eps of few of them."""
+    rng, p = np.random.default_rng(2), replace(DEFAULTS, min_points=40)
+    m = 1 / np.array([DEFAULTS.metres_lng, DEFAULTS.metres_lat])
+    side = p.eps_m / 1.4143
+    corner = np.array([32_000, 6_800]) * side + 1.0  # the lower left corner of a cell
+    inside = corner + rng.uniform(0, side - 2, (20_000, 2))
+    angle = rng.uniform(0, 2 * np.pi, 25)
+    ring = corner + side / 2 + np.c_[np.cos(angle), np.sin(angle)] * rng.uniform(620, 760, 25)[:, None]
+    frame = lambda xy, first: pd.DataFrame({"kind": "start", "id": np.arange(len(xy)) + first, "lng": xy[:, 0] * m[0], "lat": xy[:, 1] * m[1]})
+    df = spark.createDataFrame(pd.concat([frame(inside, 0), frame(ring, 20_000)]))
+    tested, whole = [], H.cut
+    monkeypatch.setattr(H, "cut", lambda d: (lambda out: tested.append(out.count()) or out if "inside" in d.columns else out)(whole(d)))
+    got = {r.id: r.core for r in H.label_sites(df, p).select(F.col("first_id").alias("id"), "core").collect() if r.id >= 20_000}
+    points = np.concatenate([inside, ring])
+    want = {20_000 + i: bool((np.sqrt(((points - q) ** 2).sum(1)) <= p.eps_m).sum() >= p.min_points) for i, q in enumerate(ring)}
+    assert got == want and len(set(want.values())) == 2
+    hits = sum(int((np.sqrt(((inside - q) ** 2).sum(1)) <= p.eps_m).sum()) for q in ring)
+    assert sum(tested) < hits / 3

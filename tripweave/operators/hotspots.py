@@ -6,7 +6,8 @@ eps, so all points of one cell are neighbours of each other: a cell with
 to one cluster. Everything then happens between cells:
 
 1. equal coordinates collapse to one weighted site before anything is shuffled;
-2. only sites of thin cells (fewer than ``min_points``) look for neighbours;
+2. only sites of thin cells (fewer than ``min_points``) look for neighbours, in full cells by
+   boxes with counts, of which only those that the circle cuts are opened;
 3. cells are linked when two of their core sites lie within eps. Boxes and extreme
    sites settle most pairs; open pairs are refined box by box, and only boxes that
    stay undecided are compared site by site;
@@ -93,25 +94,76 @@ def with_salts(sites: DataFrame, p: Params) -> tuple[DataFrame, int]:
     return tagged, n_cells
 
 
-def reached_pairs(probes: DataFrame, sites: DataFrame, cells: DataFrame, n_cells: int, eps: float, p: Params) -> DataFrame:
-    """Pairs (probe p, site q) within eps; probes are sites of thin cells only."""
-    spread = probes.select(F.struct("kind", "lng", "lat", "x", "y", "cx", "cy").alias("p"), F.explode(_around()).alias("o"))
-    asked = (
-        spread.select("p", (F.col("p.cx") + F.col("o.i")).alias("cx"), (F.col("p.cy") + F.col("o.j")).alias("cy"))
-        .join(_small(cells, n_cells, p), ["cx", "cy"])
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+_POINT = ("kind", "lng", "lat", "x", "y", "cx", "cy")
+
+
+def _asked(probes: DataFrame, cells: DataFrame, n_cells: int, p: Params) -> DataFrame:
+    """Probes p beside every cell of ``cells`` within reach of theirs."""
+    spread = probes.select(F.struct(*_POINT).alias("p"), F.explode(_around()).alias("o"))
+    return spread.select("p", (F.col("p.cx") + F.col("o.i")).alias("cx"), (F.col("p.cy") + F.col("o.j")).alias("cy")).join(
+        _small(cells, n_cells, p), ["cx", "cy"]
+    )
+
+
+def near_sums(probes: DataFrame, sites: DataFrame, n_cells: int, enough: int, p: Params, each_cell: bool = False) -> DataFrame:
+    """kind, lng, lat of a probe, cx, cy of a cell and w, the weight of that cell's sites within eps.
+
+    Exact up to ``enough``: once that much is known of a probe (of a probe and cell with
+    ``each_cell``), the rest may be left out. Sites of a cell with up to ``max_listed_sites`` are looked
+    at one by one. Fuller cells are counted by boxes: a box inside the circle adds its weight, one
+    outside adds nothing, and only boxes that the circle cuts are opened into quarters.
+    """
+    cells = sites.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("listed"), F.first("salts").alias("salts"))
+    full = cut(cells.where(F.col("listed") > p.max_listed_sites).select("cx", "cy"))
+    light = _asked(probes, cells.where(F.col("listed") <= p.max_listed_sites).drop("listed"), n_cells, p).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
     )
-    found = sites.select("cx", "cy", "salt", F.struct("lng", "lat", "x", "y", "w", "cx", "cy").alias("q"))
-    return asked.join(found, ["cx", "cy", "salt"]).where(_near("p", "q", eps))
+    found = sites.select("cx", "cy", "salt", F.struct("x", "y", "w").alias("q"))
+    listed = light.join(found, ["cx", "cy", "salt"]).where(_near("p", "q", p.eps_m)).groupBy(
+        "p.kind", "p.lng", "p.lat", "cx", "cy"
+    ).agg(F.sum("q.w").alias("w"))
+    if full.isEmpty():
+        return listed
+    return listed.unionByName(_sums_by_boxes(_asked(probes, full, n_cells, p), sites.join(_small(full, n_cells, p), ["cx", "cy"], "left_semi"), enough, p, each_cell))
+
+
+def _sums_by_boxes(asked: DataFrame, sites: DataFrame, enough: int, p: Params, each_cell: bool) -> DataFrame:
+    """Weights within eps of (probe, cell) pairs, level by level down the boxes of the cells.
+
+    Distances to a box's nearest and furthest corner are rounded as those to its sites are, so
+    both tests agree with looking at every site. A box of one site is never cut.
+    """
+    who = ["kind", "lng", "lat", *(["cx", "cy"] if each_cell else [])]
+    point = lambda c: F.col(f"p.{c}")
+    below = lambda c, lo, hi: F.greatest(F.col(lo) - point(c), point(c) - F.col(hi), F.lit(0.0))
+    above = lambda c, lo, hi: F.greatest(F.abs(point(c) - F.col(lo)), F.abs(point(c) - F.col(hi)))
+    length = lambda f: F.sqrt(f("x", "x0", "x1") * f("x", "x0", "x1") + f("y", "y0", "y1") * f("y", "y0", "y1"))
+    rows = sites.select("cx", "cy", "x", "y", "w").withColumn("box", F.lit(""))
+    frontier = asked.select("p", "cx", "cy").withColumn("box", F.lit(""))
+    sums = None
+    while True:
+        boxes = cut(rows.groupBy("cx", "cy", "box").agg(
+            F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"), F.sum("w").alias("w")
+        ))
+        tested = cut(frontier.join(boxes, ["cx", "cy", "box"]).where(length(below) <= p.eps_m).withColumn("inside", length(above) <= p.eps_m))
+        told = tested.where("inside").groupBy("p.kind", "p.lng", "p.lat", "cx", "cy").agg(F.sum("w").alias("w"))
+        sums = cut(told if sums is None else sums.unionByName(told).groupBy("kind", "lng", "lat", "cx", "cy").agg(F.sum("w").alias("w")))
+        settled = sums.groupBy(*who).agg(F.sum("w").alias("w")).where(F.col("w") >= enough).select(*who)
+        open_boxes = tested.where(~F.col("inside")).select("p", "cx", "cy", "box", "p.kind", "p.lng", "p.lat", "x0", "x1", "y0", "y1")
+        open_boxes = cut(open_boxes.join(settled, who, "left_anti"))
+        if open_boxes.isEmpty():
+            return sums
+        opened = open_boxes.select("cx", "cy", "box", "x0", "x1", "y0", "y1").distinct()
+        quarter = F.concat("box", _split_key("x", "x0", "x1"), _split_key("y", "y0", "y1"))
+        split = rows.join(opened, ["cx", "cy", "box"]).withColumn("child", quarter)
+        children = split.select("cx", "cy", "box", "child").distinct()
+        frontier = open_boxes.select("p", "cx", "cy", "box").join(children, ["cx", "cy", "box"]).select("p", "cx", "cy", F.col("child").alias("box"))
+        rows = cut(split.select("cx", "cy", "x", "y", "w", F.col("child").alias("box")))
 
 
 def _flag_core(sites: DataFrame, n_cells: int, p: Params) -> DataFrame:
-    cells = sites.select("cx", "cy", "salts").distinct()
     thin = sites.where(F.col("pop") < p.min_points)
-    seen = (
-        reached_pairs(thin, sites, cells, n_cells, p.eps_m, p)
-        .groupBy("p.kind", "p.lng", "p.lat").agg((F.sum("q.w") >= p.min_points).alias("core"))
-    )
+    seen = near_sums(thin, sites, n_cells, p.min_points, p).groupBy("kind", "lng", "lat").agg((F.sum("w") >= p.min_points).alias("core"))
     judged = thin.join(seen, ["kind", "lng", "lat"], "left").withColumn("core", F.coalesce("core", F.lit(False)))
     sure = sites.where(F.col("pop") >= p.min_points).withColumn("core", F.lit(True))
     return sure.unionByName(judged)
@@ -256,12 +308,9 @@ def label_sites(points: DataFrame, p: Params = DEFAULTS, kinds: tuple[str, ...]
     known = _small(clusters, n_cells, p)
     inner = flagged.where("core").join(known, ["cx", "cy"])
     outer = flagged.where(~F.col("core"))
-    core_sites = flagged.where("core")
-    border = (
-        reached_pairs(outer, core_sites, core_sites.select("cx", "cy", "salts").distinct(), n_cells, p.eps_m, p)
-        .join(known, ["cx", "cy"])
-        .groupBy("p.kind", "p.lng", "p.lat").agg(F.min("cluster_id").alias("cluster_id"))
-    )
+    border = near_sums(outer, flagged.where("core"), n_cells, 1, p, each_cell=True).join(known, ["cx", "cy"]).groupBy(
+        "kind", "lng", "lat"
+    ).agg(F.min("cluster_id").alias("cluster_id"))
     outer = outer.join(border, ["kind", "lng", "lat"], "left").withColumn("cluster_id", F.coalesce("cluster_id", F.lit(-1)))
     cols = ["kind", "lng", "lat", "w", "first_id", "core", "cluster_id"]
     return inner.select(*cols).unionByName(outer.select(*cols))

@@ -72,6 +72,7 @@ class Params:
     max_rows_per_task: int = 5_000_000
     max_hot_keys: int = 10_000
     max_broadcast_rows: int = 200_000
+    max_listed_sites: int = 1024
 
     @property
     def n_lng(self) -> int:

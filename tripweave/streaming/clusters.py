@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tripweave.operators.components import connected_components
-from tripweave.operators.hotspots import boxes_of, largest_clusters, link_cells, reached_pairs, sites_of, with_salts
+from tripweave.operators.hotspots import boxes_of, largest_clusters, link_cells, near_sums, sites_of, with_salts
 from tripweave.params import DEFAULTS, Params
 from tripweave.session import cut
 
@@ -71,17 +71,14 @@ def grown(spark: SparkSession, before: str | None, points: DataFrame, p: Params
     tagged, n_cells = with_salts(cut(merged), p)
     dirty, wide = (cut(_ring(touched, n)).withColumn(name, F.lit(True)) for n, name in ((2, "dirty"), (4, "wide")))
     tagged = cut(tagged.join(dirty, ["cx", "cy"], "left").join(wide, ["cx", "cy"], "left"))
-    populated = tagged.select("cx", "cy", "salts").distinct()
     dense = F.col("was_core") | (F.col("pop") >= p.min_points)
     asked = tagged.where(~dense & F.col("dirty"))
-    seen = reached_pairs(asked, tagged, populated, n_cells, p.eps_m, p).groupBy("p.lng", "p.lat").agg(
-        (F.sum("q.w") >= p.min_points).alias("full")
-    )
+    seen = near_sums(asked, tagged, n_cells, p.min_points, p).groupBy("lng", "lat").agg((F.sum("w") >= p.min_points).alias("full"))
     flagged = cut(tagged.join(seen, ["lng", "lat"], "left").withColumn("core", dense | F.coalesce("full", F.lit(False))).drop("full"))
     core = flagged.where("core")
     loose = flagged.where(~F.col("core") & F.col("wide"))
-    reach = reached_pairs(loose, core, core.select("cx", "cy", "salts").distinct(), n_cells, p.eps_m, p).select(
-        "p.lng", "p.lat", ((F.col("q.cx") + 2**30) * 2**31 + F.col("q.cy") + 2**30).alias("to")
+    reach = near_sums(loose, core, n_cells, 1, p, each_cell=True).select(
+        "lng", "lat", ((F.col("cx") + 2**30) * 2**31 + F.col("cy") + 2**30).alias("to")
     ).groupBy("lng", "lat").agg(F.array_sort(F.collect_set("to")).alias("new_reach"))
     none = F.array().cast("array<long>")
     sites = cut(flagged.join(reach, ["lng", "lat"], "left").withColumn(
