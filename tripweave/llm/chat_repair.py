@@ -1,7 +1,7 @@
 """Repair of the structure of conversations by weighted interval parsing.
 
-Rows of a conversation are numbered in order and cut into spans, one conversation may have most of
-the rows. Each span is parsed bottom-up to its cells in a task; cells of neighbouring spans are
+A conversation of one span is gathered, parsed and repaired by itself. One conversation may have most
+of the rows, so the rows of longer ones are numbered in order and cut into spans. Each span is parsed bottom-up to its cells in a task; cells of neighbouring spans are
 combined in rounds of ``FAN`` until one is left for each conversation, which names the cheapest
 edits. These are dealt back to the spans, and the repaired spans of a conversation are digested in
 their order.
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +27,7 @@ SPAN_ROWS, FAN = 512, 64
 #: Ranges into which rows of conversations of more than one span are dealt for numbering, and characters of a text that deal them.
 RANGES, RANGE_CHARS = 200, 200
 _BLANK = "\\A[\\x20\\x09-\\x0D]*\\z"
+_SPACE = " \t\n\x0b\x0c\r"
 _ENDED = "[.!?][\\x20\\x09-\\x0D]*\\z"
 CELL = T.StructType([
     T.StructField("p", T.IntegerType()), T.StructField("q", T.IntegerType()), T.StructField("cost", T.LongType()), T.StructField("audit", T.StringType()),
@@ -55,34 +57,21 @@ def damage(df: DataFrame, *, conv_id: str = "conv_id", turn: str = "turn", role:
     )
 
 
+TURNS = T.ArrayType(T.StructType([T.StructField("role", T.StringType()), T.StructField("text", T.StringType())]))
 _ORDER = ["turn", "o_role", "o_text", "copy"]  # nulls first
 
 
-def _numbered(rows: DataFrame, span_rows: int) -> DataFrame:
-    """``rows`` plus pos, their place in their conversation from 0.
-
-    Long conversations are dealt by ranges of their order and counted per range.
-    """
-    rows = rows.withColumn("g", F.struct(F.col("c").isNull().alias("n"), F.coalesce(F.col("c").cast("string"), F.lit("")).alias("v")))
-    long = cut(rows.groupBy("g").count().where(F.col("count") > span_rows).select("g"))
-    short = rows.join(long, "g", "left_anti").withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy(*_ORDER)) - 1)
-    if long.isEmpty():
-        return short
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` plus pos, their place in their conversation from 0: dealt by ranges of their order and counted per range."""
     begin = F.substring("o_text", 1, RANGE_CHARS)
-    dealt = cut(rows.join(long, "g", "left_semi").repartitionByRange(
-        RANGES, "g", "turn", "o_role", begin
-    ).withColumn("_range", F.spark_partition_id()))
+    dealt = cut(rows.repartitionByRange(RANGES, "g", "turn", "o_role", begin).withColumn("_range", F.spark_partition_id()))
     before = Window.partitionBy("g").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     base = dealt.groupBy("g", "_range").agg(F.count("*").alias("_n")).select(
         "g", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")
     )
     within = F.row_number().over(Window.partitionBy("g", "_range").orderBy(*_ORDER)) - 1
     placed = dealt.withColumn("_row", within).join(base, ["g", "_range"])
-    return short.unionByName(placed.withColumn("pos", F.col("_base") + F.col("_row")).drop("_range", "_row", "_base"))
-
-
-def _placed(rows: DataFrame, span_rows: int) -> DataFrame:
-    return cut(_numbered(rows, span_rows).select("g", "c", "turn", "role", "text", "pos", F.col("text").rlike(_BLANK).alias("is_blank")))
+    return placed.withColumn("pos", F.col("_base") + F.col("_row")).drop("_range", "_row", "_base")
 
 
 def _cells(value: grammar.Cells) -> list[dict]:
@@ -109,19 +98,86 @@ def _combined(spans: DataFrame, fan: int) -> DataFrame:
         spans = map_slices(near, ["parts"], ["g", "span"], [T.StructField("cells", T.ArrayType(CELL))], start)
 
 
-def repair(rows: DataFrame, *, span_rows: int = SPAN_ROWS, fan: int = FAN) -> tuple[DataFrame, DataFrame]:
-    """(conversations, spans) of rows with c, turn, role and text, and o_role, o_text and copy to order rows of one turn.
+@dataclass(frozen=True)
+class Repaired:
+    """``short``: conversations of one span with all their figures and repaired, their (role, text) in order.
 
-    conversations: c, g, gaps, blank, duplicate, truncated, illegal, cost, audit. spans: c, g, span,
-    repaired, the repaired rows as (role, text) in order of span. g stands for c where c may be null. Rows
-    are ordered by turn, a missing one first. A row's first fault counts: blank (nothing but
-    white space), duplicate (role and text seen before), truncated (does not end in ``.``, ``!`` or ``?``).
-    Blank rows and duplicates must go; a truncated row that stays costs 5. Among the cheapest edits
-    the audit that comes first as text is taken. c may be null, which is a conversation like others;
-    role and text must not be. Equal rows are told apart by their place alone. A very long text is
-    held whole by one task. No rows give no rows; other columns are not read.
+    ``long``: the figures of the others. ``spans``: their repaired rows by span, to be put together in
+    the order of span. All have g, which stands for c where c may be null.
     """
-    placed = _placed(rows, span_rows)
+
+    short: DataFrame
+    long: DataFrame
+    spans: DataFrame
+
+
+FIGURES = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit")
+
+
+def repair(rows: DataFrame, *, span_rows: int = SPAN_ROWS, fan: int = FAN) -> Repaired:
+    """Repaired conversations of rows with c, turn, role and text, and o_role, o_text and copy to order rows of one turn.
+
+    Figures are c, gaps, blank, duplicate, truncated, illegal, cost and audit. Rows are ordered by turn, a
+    missing one first. A row's first fault counts: blank (nothing but white space), duplicate (role and text
+    seen before), truncated (does not end in ``.``, ``!`` or ``?``). Blank rows and duplicates must go; a
+    truncated row that stays costs 5. Among the cheapest edits the audit that comes first as text is
+    taken. c may be null, which is a conversation like others; role and text must not be. Equal rows are
+    told apart by their place alone. A very long text is held whole by one task. No rows give no rows;
+    other columns are not read.
+    """
+    rows = rows.select(
+        F.struct(F.col("c").isNull().alias("n"), F.coalesce(F.col("c").cast("string"), F.lit("")).alias("v")).alias("g"),
+        "c", *_ORDER[:1], "role", "text", *_ORDER[1:],
+    )
+    many = cut(rows.groupBy("g").count().where(F.col("count") > span_rows).select("g"))
+    if many.isEmpty():
+        short = _short(rows)
+        none = short.where(F.lit(False))
+        return Repaired(short, none.select("c", "g", *FIGURES), none.select("c", "g", F.lit(0).cast("long").alias("span"), "repaired"))
+    return Repaired(_short(rows.join(many, "g", "left_anti")), *_long(rows.join(many, "g", "left_semi"), span_rows, fan))
+
+
+def _short(rows: DataFrame) -> DataFrame:
+    fields = [*_ORDER, "role", "text"]
+    gathered = rows.groupBy("g").agg(F.first("c").alias("c"), F.collect_list(F.struct(*fields)).alias("rows"))
+
+    def start():
+        def work(lists: list[list[dict]]) -> list[list]:
+            made = [_repaired(sorted(one, key=lambda x: (x["turn"] is not None, x["turn"] or 0, x["o_role"], x["o_text"], x["copy"]))) for one in lists]
+            return [list(column) for column in zip(*made, strict=True)] if made else [[] for _ in range(len(FIGURES) + 1)]
+
+        return work
+
+    added = [T.StructField(f, T.StringType() if f == "audit" else T.LongType()) for f in FIGURES] + [T.StructField("repaired", TURNS)]
+    return map_slices(gathered, ["rows"], ["c", "g"], added, start)
+
+
+def _repaired(rows: list[dict]) -> tuple:
+    """The figures of a whole conversation, in order, and its repaired rows."""
+    turns = {x["turn"] for x in rows} - {None}
+    told, seen = [], set()
+    for x in rows:
+        end = x["text"].rstrip(_SPACE)
+        told.append("b" if not end else "d" if (x["role"], x["text"]) in seen else "t" if end[-1] not in ".!?" else "")
+        seen.add((x["role"], x["text"]))
+    cost, audit = grammar.best(grammar.fold(_parsed(rows, told)))
+    turned, _ = grammar.apply(audit, [(x["role"], x["text"]) for x in rows], 0)
+    return (
+        max(turns) - min(turns) + 1 - len(turns) if turns else 0, *(told.count(k) for k in "bdt"), _illegal(rows), cost, audit,
+        [{"role": r, "text": t} for r, t in turned],
+    )
+
+
+def _parsed(rows: list[dict], faults: list[str]) -> list[grammar.Cells]:
+    return [grammar.row_cells(x["role"][:1], f in ("b", "d"), f == "t") for x, f in zip(rows, faults, strict=True)]
+
+
+def _illegal(rows: list[dict]) -> int:
+    return sum((a["role"][:1] + b["role"][:1]) not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+
+
+def _long(rows: DataFrame, span_rows: int, fan: int) -> tuple[DataFrame, DataFrame]:
+    placed = cut(_numbered(rows).select("g", "c", "turn", "role", "text", "pos", F.col("text").rlike(_BLANK).alias("is_blank")))
     # positions are unique in a conversation, so a text repeated very often joins no key of its own
     firsts = placed.where("NOT is_blank").groupBy("g", "role", F.sha2(F.col("text").cast("binary"), 256).alias("h")).agg(F.min("pos").alias("pos")).select(
         "g", "pos", F.lit(True).alias("is_first")
@@ -136,11 +192,8 @@ def repair(rows: DataFrame, *, span_rows: int = SPAN_ROWS, fan: int = FAN) -> tu
         def work(lists: list[list[dict]]) -> list[list]:
             out: list[list] = [[], [], [], []]
             for one in lists:
-                cells = [grammar.row_cells(x["role"][:1], x["fault"] in ("b", "d"), x["fault"] == "t") for x in one]
-                near = zip(one, one[1:])
-                legal = sum((a["role"][:1] + b["role"][:1]) in ("su", "ua", "au") for a, b in near)
-                out[0].append(_cells(grammar.fold(cells)))
-                out[1].append(len(one) - 1 - legal)
+                out[0].append(_cells(grammar.fold(_parsed(one, [x["fault"] for x in one]))))
+                out[1].append(_illegal(one))
                 out[2].append(one[0]["role"][:1])
                 out[3].append(one[-1]["role"][:1])
             return out
@@ -187,8 +240,7 @@ def repair(rows: DataFrame, *, span_rows: int = SPAN_ROWS, fan: int = FAN) -> tu
 
         return work
 
-    turn_type = T.ArrayType(T.StructType([T.StructField("role", T.StringType()), T.StructField("text", T.StringType())]))
-    repaired = map_slices(joined, ["rows", "edits", "made", "led"], ["c", "g", "span"], [T.StructField("repaired", turn_type)], rebuilt)
+    repaired = map_slices(joined, ["rows", "edits", "made", "led"], ["c", "g", "span"], [T.StructField("repaired", TURNS)], rebuilt)
     ordered = Window.partitionBy("g").orderBy("span")
     seams = parsed_spans.select("g", "illegal", F.concat(F.lag("last").over(ordered), "first").alias("seam"), F.row_number().over(ordered).alias("i"))
     illegal = seams.groupBy("g").agg((F.sum("illegal") + F.count_if((F.col("i") > 1) & ~F.col("seam").isin("su", "ua", "au"))).alias("illegal"))
@@ -199,7 +251,7 @@ def repair(rows: DataFrame, *, span_rows: int = SPAN_ROWS, fan: int = FAN) -> tu
         *[F.sum(k).alias(k) for k in ("blank", "duplicate", "truncated")],
     ).withColumn("gaps", F.coalesce(F.col("top") - F.col("low") + 1 - F.col("turns"), F.lit(0)))
     conversations = counts.join(illegal, "g").join(best.select("g", "cost", "audit"), "g").select(
-        "c", "g", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit"
+        "c", "g", *FIGURES
     )
     return conversations, repaired
 
@@ -221,8 +273,13 @@ def _lead(spans: DataFrame, edits: DataFrame) -> DataFrame:
     return map_slices(spans.join(first, ["g", "span"]), ["rows", "edits"], ["g"], [T.StructField("led", T.BooleanType())], start)
 
 
+def lines(repaired: str = "repaired") -> Column:
+    """Repaired rows as "role:text", joined by line feeds."""
+    return F.array_join(F.transform(repaired, lambda r: F.concat(r["role"], F.lit(":"), r["text"])), "\n")
+
+
 def digests(repaired: DataFrame) -> DataFrame:
-    """c, g and sha256 of "role:text" of all repaired rows joined by line feeds, a span at a time in order."""
+    """n, v (of g) and sha256 of the lines of all repaired rows of spans, a span at a time in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, state, out = None, None, []
@@ -246,8 +303,7 @@ def digests(repaired: DataFrame) -> DataFrame:
         if out:
             yield _rows(out)
 
-    lines = F.array_join(F.transform("repaired", lambda r: F.concat(r["role"], F.lit(":"), r["text"])), "\n")
-    rows = repaired.select("g.n", "g.v", "span", lines.alias("body"), (F.size("repaired") > 0).alias("some"))
+    rows = repaired.select("g.n", "g.v", "span", lines().alias("body"), (F.size("repaired") > 0).alias("some"))
     return rows.repartition("n", "v").sortWithinPartitions("n", "v", "span").select("n", "v", "body", "some").mapInArrow(run, "n boolean, v string, sha256 string")
 
 

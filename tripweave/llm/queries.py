@@ -107,8 +107,11 @@ def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations")
-    found, repaired = chat_repair.repair(chat_repair.damage(rows))
-    hashed = found.join(chat_repair.digests(repaired).select(F.struct("n", "v").alias("g"), "sha256"), "g")
+    found = chat_repair.repair(chat_repair.damage(rows))
+    columns = ["c", *chat_repair.FIGURES, "sha256"]
+    hashed = found.long.join(chat_repair.digests(found.spans).select(F.struct("n", "v").alias("g"), "sha256"), "g").select(*columns).unionByName(
+        found.short.withColumn("sha256", F.sha2(chat_repair.lines().cast("binary"), 256)).select(*columns)
+    )
     zero, counts = F.lit(0).cast("long"), ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
     whole = rows.select(F.col("conv_id")).distinct().join(hashed, F.col("conv_id").eqNullSafe(F.col("c")), "left")
     return whole.select(
