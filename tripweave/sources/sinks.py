@@ -5,12 +5,13 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripweave.functions.clock import format_seconds
 from tripweave.schemas import RESULT_TABLES
 
-_VERSIONS = "_versions"
+VERSIONS, COMPACTED = "_versions", "_compacted"
 
 
 def od_columns(trips: DataFrame) -> DataFrame:
@@ -111,17 +112,17 @@ def publish(tables: dict[str, DataFrame], target: str, version: int) -> None:
     spark = next(iter(tables.values())).sparkSession
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     mark = spark.createDataFrame([(version, attempt, now)], "version long, attempt string, published_at timestamp_ntz")
-    mark.coalesce(1).write.mode("append").parquet(f"{target}/{_VERSIONS}")
+    mark.coalesce(1).write.mode("append").parquet(f"{target}/{VERSIONS}")
 
 
 def announced(spark: SparkSession, target: str) -> DataFrame:
     """(version, attempt) of every announced version, its last attempt."""
-    marks = spark.read.parquet(f"{target}/{_VERSIONS}")
+    marks = spark.read.parquet(f"{target}/{VERSIONS}")
     return marks.groupBy("version").agg(F.max_by("attempt", F.struct("published_at", "attempt")).alias("attempt"))
 
 
 def published_version(spark: SparkSession, target: str) -> int:
-    return spark.read.parquet(f"{target}/{_VERSIONS}").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{target}/{VERSIONS}").agg(F.max("version")).first()[0]
 
 
 def version_path(spark: SparkSession, target: str, version: int) -> str:
@@ -133,8 +134,22 @@ def read_published(spark: SparkSession, target: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{version_path(spark, target, published_version(spark, target))}/{name}")
 
 
+def compacted_folders(spark: SparkSession, target: str, name: str) -> tuple[int, list[str]]:
+    """The version up to which a table is compacted (-1 if it is not), and the folders that hold those rows."""
+    try:
+        marks = spark.read.parquet(f"{target}/{COMPACTED}/_marks").where(F.col("table") == name)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return -1, []
+    last = marks.agg(F.max_by(F.struct("version", "folders"), F.struct("version", "at")).alias("r")).first().r
+    return (-1, []) if last is None else (last.version, list(last.folders))
+
+
 def read_all_versions(spark: SparkSession, target: str, name: str) -> DataFrame:
-    """The rows of one table in all announced versions together."""
+    """The rows of one table in all announced versions together, compacted ones among them."""
+    done, folders = compacted_folders(spark, target, name)
     stored = spark.read.option("basePath", target).parquet(f"{target}/v=*/a=*/{name}")
-    told = announced(spark, target).select(F.col("version").cast("int").alias("v"), F.col("attempt").alias("a"))
-    return stored.join(told, ["v", "a"], "left_semi").drop("v", "a")
+    told = announced(spark, target).where(F.col("version") > done).select(F.col("version").cast("int").alias("v"), F.col("attempt").alias("a"))
+    rows = stored.join(told, ["v", "a"], "left_semi").drop("v", "a")
+    return rows.unionByName(spark.read.parquet(*folders)) if folders else rows
