@@ -42,7 +42,7 @@ def test_board_of_merged_states_equals_a_fresh_one_after_replays(spark, tmp_path
         so_far = trips.where(F.col("hour") % 3 <= i)
         assert _facts(live.board(spark, target)) == _facts(board.cache_rows(so_far, None))
     state = sinks.read_published(spark, target, "counts")
-    assert state.count() < 2 * 24 + 5 + trips.count() and sinks.read_published(spark, target, "vehicles").count() == 1
+    assert state.count() < 2 * 24 + 5 + trips.count() and sinks.read_published(spark, target, "vehicles").count() <= 2
     sinks.publish({"trips": trips.limit(0)}, source, 3)
     delta.refresh(spark, source, target, 3, ranking=False)
     assert _facts(live.board(spark, target)) == _facts(board.cache_rows(trips, None))
