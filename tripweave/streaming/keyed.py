@@ -37,7 +37,7 @@ _SLOT = StructType([StructField("slot", LongType())])
 _PINGS = StructType([StructField(name, ArrayType(kind)) for name, _, kind in _PING])
 _TAIL = StructType([
     StructField("status", IntegerType()), StructField("s_seq", LongType()), StructField("s_us", LongType()),
-    StructField("s_lng", DoubleType()), StructField("s_lat", DoubleType()), StructField("done_us", LongType()),
+    StructField("s_lng", DoubleType()), StructField("s_lat", DoubleType()),
 ])
 _COLUMNS = [c.split()[0] for c in ASSEMBLED.split(",")]
 
@@ -59,40 +59,50 @@ class TripAssembler(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
         new = pd.concat(list(rows), ignore_index=True)
-        for slot, part in new.groupby(new["us"] // self.slot_us):
+        waiting = {k[0] for k in self.pending.keys()}
+        slots = new["us"] // self.slot_us
+        for slot, part in new.groupby(slots):
             arrays = [part[name].to_numpy(dtype=kind) for name, kind, _ in _PING]
-            held = self.pending.getValue((int(slot),))
-            if held is None:
-                self.handle.registerTimer((int(slot) + 1) * self.slot_us // 1000)
-            else:
+            if int(slot) in waiting:
+                held = self.pending.getValue((int(slot),))
                 arrays = [np.concatenate([np.asarray(h, dtype=kind), a]) for h, a, (_, kind, _) in zip(held, arrays, _PING, strict=True)]
             self.pending.updateValue((int(slot),), tuple(a.tolist() for a in arrays))
+        first = int(slots.min())
+        if not waiting or first < min(waiting):  # one timer is set at most for what waits: the end of its first slot
+            self.handle.registerTimer(self._end_ms(first))
         return iter(())  # trips come with the timers
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
-        held = self.tail.get()
-        status, *start, done_us = held if held is not None else (None, None, None, None, None, 0)
-        day_end_us = _day_end_us(key[1])
-        timer_us = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        if timer_us <= done_us < day_end_us:
-            return  # settled with an earlier timer
+        timer_ms = expiredTimerInfo.getExpiryTimeInMs()
         # the watermark told here may be that of the batch before, which is behind the timer
-        passed_us = max(timer_us, timerValues.getCurrentWatermarkInMs() * 1000)
+        passed_ms = max(timer_ms, timerValues.getCurrentWatermarkInMs())
         slots = sorted(k[0] for k in self.pending.keys())
-        due = [s for s in slots if (s + 1) * self.slot_us <= passed_us]
+        due = [s for s in slots if self._end_ms(s) <= passed_ms]
+        held = self.tail.get()
+        status, *start = held if held is not None else (None, None, None, None, None)
         trips: list[tuple] = []
+        all_of_it = {k[0]: v for k, v in self.pending.iterator()} if due and len(due) == len(slots) else {}
         for slot in due:
-            status, start = self._settle(key, self.pending.getValue((slot,)), status, start, trips)
-            self.pending.removeKey((slot,))
-        if passed_us >= day_end_us and len(due) == len(slots):
+            status, start = self._settle(key, all_of_it.get(slot) or self.pending.getValue((slot,)), status, start, trips)
+            if not all_of_it:
+                self.pending.removeKey((slot,))
+        if all_of_it:
+            self.pending.clear()
+        day_end_ms = _day_end_us(key[1]) // 1000
+        if passed_ms >= day_end_ms and len(due) == len(slots):
             self.tail.clear()
         elif due:
-            self.tail.update((status, *start, passed_us))
+            self.tail.update((status, *start))
             if held is None:
-                self.handle.registerTimer(day_end_us // 1000)
+                self.handle.registerTimer(day_end_ms)
+        if len(due) < len(slots):
+            self.handle.registerTimer(self._end_ms(slots[len(due)]))
         if trips:
             yield pd.DataFrame(trips, columns=_COLUMNS)
 
+    def _end_ms(self, slot: int) -> int:
+        return (slot + 1) * self.slot_us // 1000
+
     def _settle(self, key: tuple, pings: tuple, status: int | None, start: list, trips: list[tuple]) -> tuple[int, list]:
         """Replays a slot; the status and the open start behind it."""
         seq, us, lng, lat, occ = (np.asarray(x, dtype=kind) for x, (_, kind, _) in zip(pings, _PING, strict=True))
