@@ -13,6 +13,7 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fnmatch import fnmatch
 from glob import glob, has_magic
 from urllib.parse import unquote, urlparse
 
@@ -41,19 +42,22 @@ def list_files(path: str) -> list[tuple[str, int]]:
     """(place, bytes) of all visible files under a path or pattern, sorted by place."""
     uri = urlparse(path)
     if uri.scheme in ("", "file"):
-        local = unquote(uri.path) if uri.scheme else path
-        system, roots = fs.LocalFileSystem(), sorted(glob(local)) if has_magic(local) else [local]
-        prefix = ""
-    else:
-        system, root = fs.FileSystem.from_uri(path)
-        roots, prefix = [root], f"{uri.scheme}://{uri.netloc}/" if uri.scheme != "hdfs" else f"{uri.scheme}://{uri.netloc}"
+        local, prefix = unquote(uri.path) if uri.scheme else path, ""
+        system = fs.LocalFileSystem()
+        roots = sorted(glob(local)) if has_magic(local) else [local]
+    else:  # other stores list what lies below the part without a pattern
+        system, local = fs.FileSystem.from_uri(path)
+        prefix = f"{uri.scheme}://{uri.netloc}" if local.startswith("/") else f"{uri.scheme}://"
+        fixed = local.split("/")
+        fixed = fixed[: next((i for i, part in enumerate(fixed) if has_magic(part)), len(fixed))]
+        roots = ["/".join(fixed)]
     found: dict[str, int] = {}
     for root in roots:
         info = system.get_file_info(root)
-        inside = [info] if info.is_file else system.get_file_info(fs.FileSelector(root, recursive=True))
-        for f in inside:
-            parts = f.path[len(root):].split("/") if not info.is_file else []
-            if f.is_file and f.size and not any(p.startswith(_HIDDEN) for p in parts if p):
+        for f in [info] if info.is_file else system.get_file_info(fs.FileSelector(root, recursive=True)):
+            inside = [] if info.is_file else f.path[len(root):].strip("/").split("/")
+            named = not prefix or not has_magic(local) or fnmatch(f.path, local) or fnmatch(f.path, f"{local}/*")
+            if f.is_file and f.size and named and not any(part.startswith(_HIDDEN) for part in inside):
                 found[prefix + f.path] = f.size
     return sorted(found.items())
 
