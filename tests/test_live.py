@@ -2,7 +2,7 @@ import datetime as dt
 import random
 from dataclasses import replace
 
-
+import numpy as np
 from pyspark.sql import functions as F
 
 from tripweave.operators.trips import trips_from_pings
@@ -168,3 +168,49 @@ def test_keyed_state_writes_what_is_new(spark, tmp_path):
         sizes[version] = sizes.get(version, 0) + delta.stat().st_size
     written = [sizes[v] for v in sorted(sizes) if v <= batches]
     assert len(written) >= batches and max(written[1:batches]) < 1.5 * min(written[1:batches])
+
+
+def test_keyed_state_has_an_entry_an_hour(spark, tmp_path):
+    """A ping in each slot of the day: what waits is stored by hours, not by slots or pings."""
+    day = dt.datetime(2024, 1, 1)
+    frame = spark.createDataFrame(
+        [(i, i % 5, day + dt.timedelta(seconds=60 * i), 114.0, 22.6, i % 2, 30.0) for i in range(1440)], live.LIVE_PING
+    )
+    stream = live.watermarked(_stream(spark, [frame], tmp_path), "3 days")
+    with keyed.state_store(spark):
+        query = live.start_trips(keyed.assemble_keyed(stream), str(tmp_path / "t"), str(tmp_path / "c"), once=True)
+        _run(query)
+    entries = max(op["numRowsUpdated"] for x in query.recentProgress for op in x["stateOperators"])
+    assert 5 * 24 <= entries < 5 * 48
+
+
+def test_keyed_state_of_many_vehicles_in_one_group(spark, tmp_path):
+    frames = _frames(spark)
+    frames[-1] = frames[-1].withColumn("lng", F.lit(114.0))
+    stream, out = live.watermarked(_stream(spark, frames, tmp_path)), str(tmp_path / "trips")
+    with keyed.state_store(spark):
+        trips = keyed.assemble_keyed(stream, replace(DEFAULTS, vehicle_groups=2))
+        _run(live.start_trips(trips, out, str(tmp_path / "c"), once=True))
+    assert _facts(spark.read.parquet(out)) == _facts(trips_from_pings(read_events_view(spark, SF)))
+
+
+def test_replay_equals_a_loop():
+    """Pings of many vehicles in several pieces, tails carried from one to the next."""
+    rng = random.Random(7)
+    tails, got, want, known = np.empty(0, live.TAIL), [], [], {}
+    for piece in range(6):
+        pings = np.array([
+            (rng.randrange(12), 100 * piece + i, 1000 * piece + rng.randrange(900), 114.0 + i / 1000, 22.6, rng.randrange(2)) for i in range(40)
+        ], live.HELD)
+        trips, tails = live.replay(pings, tails, dt.date(2024, 1, 1))
+        got += [tuple(r) for r in trips[["trip_id", "vehicle_id", "s_us", "s_lng", "e_us", "e_lng"]].itertuples(index=False)]
+        for vehicle, seq, us, lng, _, status in sorted(pings.tolist(), key=lambda r: (r[2], r[1])):
+            last, start = known.get(vehicle, (None, None))
+            if (last, status) == (1, 0):
+                start = (seq, us, lng)
+            elif (last, status) == (0, 1) and start:
+                want.append((start[0], vehicle, start[1], start[2], us, lng))
+                start = None
+            known[vehicle] = status, start
+    assert got and sorted(got) == sorted(want)
+    assert {t["vehicle_id"]: (t["status"], (t["s_seq"], t["s_us"], t["s_lng"]) if t["open"] else None) for t in tails} == known

@@ -73,6 +73,8 @@ class Params:
     max_hot_keys: int = 10_000
     max_broadcast_rows: int = 200_000
     max_listed_sites: int = 1024
+    # vehicles are dealt into so many groups by the stateful live trips
+    vehicle_groups: int = 1024
 
     @property
     def n_lng(self) -> int:

@@ -10,12 +10,13 @@ trips of such a vehicle are kept.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, GroupedData, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
@@ -35,6 +36,16 @@ from tripweave.sources.sinks import (
 LATENESS = "1 hour"
 _DAY_US = 86_400_000_000
 
+#: A ping as the stateful steps keep it. Their states hold arrays of these, of many vehicles, as bytes.
+HELD = np.dtype([
+    ("vehicle_id", np.int64), ("seq", np.int64), ("us", np.int64), ("lng", np.float64), ("lat", np.float64), ("open_status", np.int32),
+])
+#: What is known of a vehicle behind the watermark: its last status, and its start where one is open.
+TAIL = np.dtype([
+    ("vehicle_id", np.int64), ("status", np.int32), ("open", np.bool_),
+    ("s_seq", np.int64), ("s_us", np.int64), ("s_lng", np.float64), ("s_lat", np.float64),
+])
+_START = (("s_seq", "seq"), ("s_us", "us"), ("s_lng", "lng"), ("s_lat", "lat"))
 _STATE = (
     "status int, s_seq long, s_us long, s_lng double, s_lat double, last_us long,"
     "seq array<long>, us array<long>, lng array<double>, lat array<double>, open array<int>"
@@ -60,6 +71,55 @@ def drop_repeats(pings: DataFrame) -> DataFrame:
     return pings.dropDuplicatesWithinWatermark(["vehicle_id", "seq"])
 
 
+def packed(pdf: pd.DataFrame) -> np.ndarray:
+    """Usable pings as :data:`HELD` rows."""
+    out = np.empty(len(pdf), HELD)
+    for name in HELD.names:
+        out[name] = pdf[name].to_numpy(dtype=HELD[name])
+    return out
+
+
+def replay(pings: np.ndarray, tails: np.ndarray, day: dt.date) -> tuple[pd.DataFrame, np.ndarray]:
+    """The trips that end in these pings, and the tails behind them, by vehicle.
+
+    The pings of a vehicle lie behind all that its tail has seen. Status is 0 or 1, so the
+    changes of a vehicle alternate and an end belongs to the change before it.
+    """
+    pings = pings[np.lexsort((pings["seq"], pings["us"], pings["vehicle_id"]))]
+    vehicle, occ = pings["vehicle_id"], pings["open_status"]
+    ids, firsts, nth = np.unique(vehicle, return_index=True, return_inverse=True)
+    at = np.searchsorted(tails["vehicle_id"], ids)
+    known = np.isin(ids, tails["vehicle_id"])
+    held = np.zeros(len(ids), TAIL)
+    held["vehicle_id"], held["status"] = ids, -1
+    held[known] = tails[at[known]]
+    before = np.concatenate((occ[:1], occ[:-1]))
+    before[firsts] = held["status"]
+    flips = np.flatnonzero((before + occ == 1) & (before >= 0))
+    of = nth[flips]
+    opened = held[of]  # what is open at each change: the tail's start at a vehicle's first one, else the change before
+    later = np.flatnonzero(of[1:] == of[:-1]) + 1
+    earlier = pings[flips[later - 1]]
+    opened["open"][later] = earlier["open_status"] == 0
+    for start, name in _START:
+        opened[start][later] = earlier[name]
+    closed = (occ[flips] == 1) & opened["open"]
+    starts, ends = opened[closed], pings[flips[closed]]
+    trips = pd.DataFrame({
+        "trip_id": starts["s_seq"], "vehicle_id": starts["vehicle_id"], "service_date": day,
+        "s_us": starts["s_us"], "s_lng": starts["s_lng"], "s_lat": starts["s_lat"],
+        "e_us": ends["us"], "e_lng": ends["lng"], "e_lat": ends["lat"],
+    })
+    held["status"] = occ[np.append(firsts[1:], len(occ)) - 1]
+    last = np.flatnonzero(np.diff(of, append=-1))
+    change = pings[flips[last]]
+    held["open"][of[last]] = change["open_status"] == 0
+    for start, name in _START:
+        held[start][of[last]] = change[name]
+    tails = np.concatenate((tails[~np.isin(tails["vehicle_id"], ids)], held))
+    return trips, tails[np.argsort(tails["vehicle_id"])]
+
+
 def _step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Replays the pings of one vehicle-day that the watermark has passed.
 
@@ -111,6 +171,15 @@ def usable(pings: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     )
 
 
+def by_vehicle_group(pings: DataFrame, p: Params = DEFAULTS) -> GroupedData:
+    """Usable pings by a group of vehicles and day: one call and one state for many vehicles.
+
+    The number of groups is part of a stream's checkpoint.
+    """
+    group = F.pmod(F.xxhash64("vehicle_id"), F.lit(p.vehicle_groups)).alias("vehicle_group")
+    return usable(pings, p).select("*", group).groupBy("vehicle_group", "service_date")
+
+
 def assemble(pings: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """Watermarked stream of pings to a stream of valid trips with s_ts and e_ts."""
     return valid(usable(pings, p).groupBy("vehicle_id", "service_date").applyInPandasWithState(
