@@ -214,3 +214,14 @@ def test_replay_equals_a_loop():
             known[vehicle] = status, start
     assert got and sorted(got) == sorted(want)
     assert {t["vehicle_id"]: (t["status"], (t["s_seq"], t["s_us"], t["s_lng"]) if t["open"] else None) for t in tails} == known
+
+
+def test_assembled_state_is_kept_by_groups(spark, tmp_path):
+    """15 vehicles in 4 groups: a state for each group and day, and the trips of the batch."""
+    stream, out = live.watermarked(_stream(spark, _frames(spark), tmp_path)), str(tmp_path / "trips")
+    trips = live.assemble(live.drop_repeats(stream), replace(DEFAULTS, vehicle_groups=4))
+    query = live.start_trips(trips, out, str(tmp_path / "c"), once=True)
+    _run(query)
+    states = [op["numRowsTotal"] for x in query.recentProgress for op in x["stateOperators"] if "WithState" in op["operatorName"]]
+    assert states and 0 < max(states) <= 4 + 1  # one more for the ping of the next day
+    assert _facts(spark.read.parquet(out)) == _facts(trips_from_pings(read_events_view(spark, SF)))

@@ -46,10 +46,7 @@ TAIL = np.dtype([
     ("s_seq", np.int64), ("s_us", np.int64), ("s_lng", np.float64), ("s_lat", np.float64),
 ])
 _START = (("s_seq", "seq"), ("s_us", "us"), ("s_lng", "lng"), ("s_lat", "lat"))
-_STATE = (
-    "status int, s_seq long, s_us long, s_lng double, s_lat double, last_us long,"
-    "seq array<long>, us array<long>, lng array<double>, lat array<double>, open array<int>"
-)
+_STATE = "last_us long, tails binary, held binary"
 ASSEMBLED = (
     "trip_id long, vehicle_id long, service_date date, s_us long, s_lng double, s_lat double,"
     "e_us long, e_lng double, e_lat double"
@@ -121,46 +118,31 @@ def replay(pings: np.ndarray, tails: np.ndarray, day: dt.date) -> tuple[pd.DataF
 
 
 def _step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Replays the pings of one vehicle-day that the watermark has passed.
+    """Replays the pings of one group of vehicles and day that the watermark has passed.
 
-    State: last status, open start, and the pings still ahead of the watermark.
+    State: time of the last ping replayed, tails, and the pings still ahead of the watermark.
     """
-    if state.exists:
-        status, s_seq, s_us, s_lng, s_lat, last_us, *held = state.get
-    else:
-        status, s_seq, s_us, s_lng, s_lat, last_us, held = None, None, None, None, None, 0, [[], [], [], [], []]
-    kinds = (np.int64, np.int64, np.float64, np.float64, np.int64)
-    parts = [[np.asarray(h, dtype=kind)] for h, kind in zip(held, kinds)]
-    for pdf in () if state.hasTimedOut else frames:
-        for part, name in zip(parts, ("seq", "us", "lng", "lat", "open_status")):
-            part.append(pdf[name].to_numpy(dtype=part[0].dtype))
-    seq, us, lng, lat, occ = (np.concatenate(p) for p in parts)
-    order = np.lexsort((seq, us))
-    seq, us, lng, lat, occ = (a[order] for a in (seq, us, lng, lat, occ))
+    last_us, tails, held = state.get if state.exists else (0, b"", b"")
+    fresh = [] if state.hasTimedOut else [packed(pdf) for pdf in frames]
+    pings, tails = np.concatenate([np.frombuffer(held, HELD), *fresh]), np.frombuffer(tails, TAIL)
     passed = state.getCurrentWatermarkMs() * 1000
-    done = int(np.searchsorted(us, passed, side="right"))
-    trips = []
-    if done:
-        before = np.concatenate(([-1 if status is None else status], occ[: done - 1]))
-        for i in np.flatnonzero((before + occ[:done] == 1) & (before >= 0)):
-            if occ[i] == 0:
-                s_seq, s_us, s_lng, s_lat = int(seq[i]), int(us[i]), float(lng[i]), float(lat[i])
-            elif s_us is not None:
-                trips.append((s_seq, key[0], key[1], s_us, s_lng, s_lat, int(us[i]), float(lng[i]), float(lat[i])))
-                s_seq = s_us = s_lng = s_lat = None
-        status, last_us = int(occ[done - 1]), int(us[done - 1])
-    rest = [a[done:].tolist() for a in (seq, us, lng, lat, occ)]
-    if rest[1]:
-        wake = min(rest[1]) // 1000 + 1
+    done = pings["us"] <= passed
+    due, rest = pings[done], pings[~done]
+    trips = None
+    if len(due):
+        trips, tails = replay(due, tails, key[1])
+        last_us = int(due["us"].max())
+    if len(rest):
+        wake = int(rest["us"].min()) // 1000 + 1
     else:
-        wake = (last_us + _DAY_US) // 1000  # the day is over: forget the vehicle
-    if not rest[1] and wake <= passed // 1000:
+        wake = (last_us + _DAY_US) // 1000  # the day is over: forget the vehicles
+    if not len(rest) and wake <= passed // 1000:
         state.remove()
     else:
-        state.update((status, s_seq, s_us, s_lng, s_lat, last_us, *rest))
+        state.update((last_us, tails.tobytes(), rest.tobytes()))
         state.setTimeoutTimestamp(max(wake, passed // 1000 + 1))
-    if trips:
-        yield pd.DataFrame(trips, columns=[c.split()[0] for c in ASSEMBLED.split(",")])
+    if trips is not None and len(trips):
+        yield trips
 
 
 def usable(pings: DataFrame, p: Params = DEFAULTS) -> DataFrame:
@@ -182,7 +164,7 @@ def by_vehicle_group(pings: DataFrame, p: Params = DEFAULTS) -> GroupedData:
 
 def assemble(pings: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     """Watermarked stream of pings to a stream of valid trips with s_ts and e_ts."""
-    return valid(usable(pings, p).groupBy("vehicle_id", "service_date").applyInPandasWithState(
+    return valid(by_vehicle_group(pings, p).applyInPandasWithState(
         _step, ASSEMBLED, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     ), p)
 
