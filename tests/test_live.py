@@ -225,3 +225,19 @@ def test_assembled_state_is_kept_by_groups(spark, tmp_path):
     states = [op["numRowsTotal"] for x in query.recentProgress for op in x["stateOperators"] if "WithState" in op["operatorName"]]
     assert states and 0 < max(states) <= 4 + 1  # one more for the ping of the next day
     assert _facts(spark.read.parquet(out)) == _facts(trips_from_pings(read_events_view(spark, SF)))
+
+
+def test_pings_sent_again_whether_few_or_many(spark):
+    """None, few (listed) and many repeats, numbers and none, give one whole row each: a kept one, else the latest."""
+    at = lambda m: dt.datetime(2024, 1, 1, 8, m)
+    row = lambda seq, vehicle, m, prior=None: (seq, vehicle, at(m), 114.0 + m / 100, 22.6, m % 2, 30.0, prior)
+    schema = "seq long, vehicle_id long, ts timestamp, lng double, lat double, open_status int, speed double, prior_status int"
+    once = [row(1, 1, 0), row(2, 1, 1), row(1, 2, 2), row(None, 3, 3)]
+    again = [row(5, 1, 4), row(5, 1, 9), row(6, 1, 4, 1), row(6, 1, 9), row(None, 1, 5), row(None, 1, 6)]
+    want = [row(5, 1, 9), row(6, 1, 4, 1), row(None, 1, 6)]
+    for rows, expected in ((once, once), (once + again, once + want)):
+        df = spark.createDataFrame(rows, schema)
+        for p in (DEFAULTS, replace(DEFAULTS, max_broadcast_rows=1)):
+            got = live.sent_once(df, p)
+            assert got.columns == df.columns and sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, expected))
+            got.unpersist()

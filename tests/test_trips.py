@@ -134,3 +134,21 @@ def test_funnel_adds_up(spark):
     assert all(r.rows_before - r.removed == r.rows_after for r in rows)
     none = cleaning_funnel(read_events_view(spark, SF).limit(0)).collect()
     assert all(r.removal_pct is None for r in none)
+
+
+def test_the_distance_is_worked_out_once(spark, pings_of, tmp_path):
+    pings_of(_day([1, 0, 1])).write.parquet(str(tmp_path / "pings"))
+    plan = T.trips_from_pings(spark.read.parquet(str(tmp_path / "pings")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ATAN2") == 1
+
+
+def test_last_pings_come_with_the_changes(pings_of):
+    """Whole days and chunks of three pings: the same changes, and an end for every day."""
+    pings = pings_of([ping for v in range(3) for ping in _day([1, 0, 0, 1, 1, 0, 1, 1][: 5 + v], v)])
+    for p in (DEFAULTS, replace(DEFAULTS, max_rows_per_task=3)):
+        seq = sequence(pings, p)
+        plain, both = T.status_changes(seq).df, T.status_changes(seq, ends=True).df
+        facts = lambda df: sorted(map(tuple, df.select("vehicle_id", "seq", "change").collect()))
+        assert facts(plain) == facts(both.where("change is not null"))
+        last = both.where("is_end").groupBy("vehicle_id").agg(F.max("seq").alias("seq"))
+        assert sorted(map(tuple, last.collect())) == sorted(map(tuple, pings.groupBy("vehicle_id").agg(F.max("seq")).collect()))

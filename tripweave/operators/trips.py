@@ -21,14 +21,17 @@ RAW_COLUMNS = (
 REJECT_REASONS = ("no_measure", "too_short", "too_long", "too_near", "too_slow", "too_fast")
 
 
-def status_changes(seq: Sequence) -> Sequence:
+def status_changes(seq: Sequence, ends: bool = False) -> Sequence:
     """Pings where the status flips, with ``prev_status`` and ``change`` +1 or -1.
 
     A column ``prior_status``, where there is one, stands for the ping before the
-    first of a day.
+    first of a day. ``ends`` keeps the last ping of every day and chunk as well, marked
+    by ``is_end``; its ``change`` is null where the status does not flip.
     """
     boxed = F.struct(F.col("open_status").alias("status"))
     rows = seq.df.withColumn("prev", F.lag(boxed).over(seq.window()))
+    if ends:
+        rows = rows.withColumn("is_end", F.lead(boxed).over(seq.window()).isNull())
     if seq.split:
         rows = seq.carry(
             rows,
@@ -40,7 +43,7 @@ def status_changes(seq: Sequence) -> Sequence:
         prev = F.when(F.col("prev").isNull(), F.col("prior_status")).otherwise(prev)
     change = F.when((prev == 1) & (cur == 0), 1).when((prev == 0) & (cur == 1), -1)
     rows = rows.withColumns({"prev_status": prev, "change": change}).drop("prev")
-    return seq.on(rows.where(F.col("change").isNotNull()))
+    return seq.on(rows.where(F.col("change").isNotNull() | F.col("is_end") if ends else F.col("change").isNotNull()))
 
 
 def _end_of(sec: str = "sec_of_day") -> Column:
@@ -149,14 +152,19 @@ def raw_trips(
 
 
 def measure(trips: DataFrame) -> DataFrame:
-    """Duration, distance, mean speed and start hour of raw trips."""
+    """Duration, distance, mean speed and start hour of raw trips.
+
+    The distance comes out of an array of one: filters on it and on the speed are not pushed
+    below, where each would work it out again and the generated code grows too large to be compiled.
+    """
     duration = elapsed_seconds(F.col("s_sec"), F.col("e_sec"))
     minutes = F.col("duration_s") / F.lit(60.0)
     km = haversine_km(F.col("s_lng"), F.col("s_lat"), F.col("e_lng"), F.col("e_lat"))
     kmh = F.when(F.col("duration_s") > 0, F.col("distance_km") / (F.col("duration_min") / F.lit(60.0)))
     return (
         trips.withColumn("duration_s", duration)
-        .withColumns({"duration_min": minutes, "distance_km": km, "hour": hour_of(F.col("s_sec"))})
+        .withColumn("duration_min", minutes)
+        .select("*", F.explode(F.array(km)).alias("distance_km"), hour_of(F.col("s_sec")).alias("hour"))
         .withColumn("avg_speed", kmh.otherwise(F.lit(0.0)))
     )
 

@@ -239,6 +239,32 @@ def start_board(trips: DataFrame, target: str, checkpoint: str, once: bool = Fal
     return triggered(writer, once).start()
 
 
+def sent_once(fresh: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """Of pings under one number, one whole row.
+
+    A kept row, because only it carries a prior status, else the latest. The numbers sent
+    again are counted first (two columns, combined before the shuffle); where they are
+    few, only their rows are shuffled and sorted.
+    """
+    name = ["vehicle_id", "seq"]
+    values = [c for c in fresh.columns if c not in name]
+    order = F.struct(F.col("prior_status").isNotNull(), "ts", *[c for c in values if c not in ("prior_status", "ts")])
+
+    def latest(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*name).agg(F.max_by(F.struct(*values), order).alias("r")).select(*name, "r.*").select(*fresh.columns)
+
+    again = fresh.groupBy(*name).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*name)
+    listed = again.limit(p.max_broadcast_rows + 1).collect()
+    if not listed:
+        return fresh
+    if len(listed) > p.max_broadcast_rows:
+        return latest(fresh).persist(StorageLevel.MEMORY_AND_DISK)
+    spark = fresh.sparkSession
+    numbers = F.broadcast(spark.createDataFrame(listed, fresh.select(*name).schema).toDF("again_vehicle", "again_seq"))
+    same = (F.col("vehicle_id") == F.col("again_vehicle")) & F.col("seq").eqNullSafe(F.col("again_seq"))
+    return fresh.join(numbers, same, "left_anti").unionByName(latest(fresh.join(numbers, same, "left_semi")))
+
+
 def settle(batch: DataFrame, batch_id: int, target: str, p: Params = DEFAULTS, lateness_s: int = 3600) -> None:
     """One micro-batch of live trips with the batch operators.
 
@@ -257,19 +283,17 @@ def settle(batch: DataFrame, batch_id: int, target: str, p: Params = DEFAULTS, l
         before = version_path(spark, target, batch_id - 1)
         passed = spark.read.parquet(f"{before}/passed").first().us
         fresh = spark.read.parquet(f"{before}/kept").select(*named).unionByName(fresh.where(us > passed))
-    # of repeats one whole row stays: a kept row, because only it carries a prior status, else the latest
-    values = [c for c in named if c not in ("vehicle_id", "seq")]
-    order = F.struct(F.col("prior_status").isNotNull(), "ts", *[c for c in values if c not in ("prior_status", "ts")])
-    rows = fresh.where(F.col("vehicle_id").isNotNull()).groupBy("vehicle_id", "seq").agg(
-        F.max_by(F.struct(*values), order).alias("r")
-    ).select("vehicle_id", "seq", "r.*").persist(StorageLevel.MEMORY_AND_DISK)
+    fresh = fresh.where(F.col("vehicle_id").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = sent_once(fresh, p)
     newest = rows.agg(F.max(us).alias("us")).first().us
     if newest is not None:
         passed = max(passed, newest - lateness_s * 1_000_000)
     behind = us <= F.lit(passed)
     timed = rows.withColumns({"service_date": F.to_date("ts"), "sec_of_day": seconds_of(F.col("ts"))})
     pings = filter_box(timed.where(behind & F.col("open_status").isin(0, 1)), p)
-    changes = status_changes(sequence(pings, p))
+    marked = status_changes(sequence(pings, p), ends=True)
+    marks = marked.df.persist(StorageLevel.MEMORY_AND_DISK)  # one sort of the pings for trips, open starts and last pings
+    changes = marked.on(marks.where(F.col("change").isNotNull()))
     trips = clean_trips(pair_trips(changes), p)
     midnight = F.unix_micros(F.col("service_date").cast("timestamp"))
     trips = trips.withColumns({
@@ -278,7 +302,7 @@ def settle(batch: DataFrame, batch_id: int, target: str, p: Params = DEFAULTS, l
     })
     ping = F.struct(*named[:-1])
     place = F.struct(*ORDER)
-    last = pings.groupBy(*KEYS).agg(F.max_by(ping, place).alias("r")).select(
+    last = marks.where("is_end").groupBy(*KEYS).agg(F.max_by(ping, place).alias("r")).select(
         "service_date", "r.*", F.lit(None).cast("int").alias("prior_status")
     )
     opened = changes.df.groupBy(*KEYS).agg(
@@ -289,7 +313,8 @@ def settle(batch: DataFrame, batch_id: int, target: str, p: Params = DEFAULTS, l
     kept = context.select(*named).unionByName(rows.where(~behind).select(*named))
     mark = spark.createDataFrame([(passed,)], "us long")
     publish({"trips": trips, "kept": kept, "passed": mark}, target, batch_id)
-    rows.unpersist()
+    for kept_in_memory in (marks, rows, fresh):
+        kept_in_memory.unpersist()
 
 
 def close(spark: SparkSession, target: str, p: Params = DEFAULTS) -> None:
