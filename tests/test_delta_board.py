@@ -82,3 +82,17 @@ def test_grown_clusters_equal_fresh_ones(spark, tmp_path):
         want = hotspots.cluster_summary(hotspots.label_sites(whole, p), p)
         assert got == sorted((r.cluster_id, r.trip_count, round(r.center_lng, 9), round(r.center_lat, 9)) for r in want.collect())
         assert len(got) > 1
+
+
+def test_the_whole_board_is_counted_in_one_pass(spark, trips_of, tmp_path):
+    """Borders of hours and periods, several cells, no vehicle, no trips: the rows of the batch board."""
+    seconds = [0, 3599, 3600, 25199, 25200, 32399, 32400, 61199, 61200, 68399, 68400, 86339, 86340, 86399]
+    trips = trips_of([(None if i % 5 == 4 else i % 3, s, s + 60 * i, 1.0 + i, 0.3 + i, 10.0 + i) for i, s in enumerate(seconds)])
+    trips.withColumn("s_lng", F.lit(113.49) + F.col("trip_id") % 7 * 0.0131).write.parquet(str(tmp_path / "t"))
+    trips = spark.read.parquet(str(tmp_path / "t"))
+    for some in (trips, trips.where("vehicle_id = 1"), trips.where("trip_id < 0")):
+        assert _facts(board.rows_of_figures(board.board_figures(some))) == _facts(board.cache_rows(some, None))
+    assert board.board_figures(trips)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    sinks.publish({"trips": trips}, str(tmp_path / "trips"), 0)
+    live.refresh_whole_board(spark, str(tmp_path / "trips"), str(tmp_path / "board"), 0)
+    assert _facts(live.board(spark, str(tmp_path / "board"))) == _facts(board.cache_rows(trips, None))

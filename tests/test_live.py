@@ -241,3 +241,13 @@ def test_pings_sent_again_whether_few_or_many(spark):
             got = live.sent_once(df, p)
             assert got.columns == df.columns and sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, expected))
             got.unpersist()
+
+
+def test_an_open_start_that_is_the_last_ping_is_kept_once(spark, tmp_path):
+    target, at = str(tmp_path / "o"), lambda h, m: dt.datetime(2024, 1, 1, h, m)
+    rows = [(0, 1, at(8, 0), 114.0, 22.6, 1, 30.0), (1, 1, at(8, 5), 114.0, 22.6, 0, 30.0), (2, 1, at(10, 0), 114.3, 22.6, 1, 30.0)]
+    live.settle(spark.createDataFrame(rows, live.LIVE_PING), 0, target)
+    kept = sinks.read_published(spark, target, "kept").select("seq", "prior_status")
+    assert sorted(map(tuple, kept.collect())) == [(1, 1), (2, None)]
+    live.close(spark, target)
+    assert [(t.trip_id, t.e_ts) for t in live.settled_trips(spark, target).collect()] == [(1, at(10, 0))]

@@ -3,7 +3,7 @@ from dataclasses import replace
 
 
 from tripweave.operators import trips as T
-from tripweave.operators.sequence import sequence
+from tripweave.operators.sequence import listed, sequence
 from pyspark.sql import functions as F
 
 from tripweave.params import DEFAULTS
@@ -152,3 +152,27 @@ def test_last_pings_come_with_the_changes(pings_of):
         assert facts(plain) == facts(both.where("change is not null"))
         last = both.where("is_end").groupBy("vehicle_id").agg(F.max("seq").alias("seq"))
         assert sorted(map(tuple, last.collect())) == sorted(map(tuple, pings.groupBy("vehicle_id").agg(F.max("seq")).collect()))
+
+
+def test_the_prior_status_stands_for_the_first_ping_only(pings_of):
+    """A null status before a ping is a ping all the same; in one window and in chunks of two."""
+    pings = pings_of(_day([0, None, 0, 1, 0])).withColumn("prior_status", F.lit(1))
+    for p in (DEFAULTS, replace(DEFAULTS, max_rows_per_task=2)):
+        found = T.status_changes(sequence(pings, p)).df.select("seq", "prev_status", "change")
+        assert sorted(map(tuple, found.collect())) == [(0, 1, 1), (3, 0, -1), (4, 1, 1)]
+
+
+def test_rare_rows_are_listed_in_as_many_jobs_whatever_the_partitions(spark):
+    rare = lambda n: spark.range(0, 1000, 1, n).where("id % 100 = 99")
+    assert sorted(r.id for r in listed(rare(4), 10)) == list(range(99, 1000, 100))
+    assert listed(rare(4), 9) is None and listed(rare(4).where("id < 0"), 9) == []
+
+    def jobs(n):
+        spark.sparkContext.setJobGroup(f"listed {n}", "")
+        try:
+            assert listed(rare(n).where("id < 0"), 9) == []
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"listed {n}"))
+
+    assert 0 < jobs(2) == jobs(200)

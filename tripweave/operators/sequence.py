@@ -15,7 +15,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec, functions as F
 
 from tripweave.params import DEFAULTS, Params
 from tripweave.session import cut
@@ -81,6 +82,20 @@ class Sequence:
         return df.join(table, [*KEYS, CHUNK], "left")
 
 
+def listed(rare: DataFrame, most: int) -> list[Row] | None:
+    """The rows of a table that is small as a rule, or None where there are more than ``most``.
+
+    They are counted first, in all partitions at once: a limit alone looks into one partition, then
+    a few, then the rest, one after the other.
+    """
+    rare = rare.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = rare.count()
+        return None if n > most else rare.collect() if n else []
+    finally:
+        rare.unpersist()
+
+
 def sequence(
     pings: DataFrame, p: Params = DEFAULTS, source: DataFrame | None = None, counts: DataFrame | None = None
 ) -> Sequence:
@@ -95,11 +110,11 @@ def sequence(
     if counts is None:
         counts = (pings if source is None else source).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
     counts = counts.where((F.col("n") > p.max_rows_per_task) & F.col(KEYS[0]).isNotNull())
-    hot = counts.limit(p.max_hot_keys + 1).collect()
-    if not hot:
+    hot = listed(counts, p.max_hot_keys)
+    if hot == []:
         return Sequence(pings, 0, p)
     spark = pings.sparkSession
-    if len(hot) <= p.max_hot_keys:
+    if hot is not None:
         keys = F.broadcast(
             spark.createDataFrame(
                 [(r[KEYS[0]], r[KEYS[1]]) for r in hot],

@@ -28,21 +28,24 @@ def status_changes(seq: Sequence, ends: bool = False) -> Sequence:
     first of a day. ``ends`` keeps the last ping of every day and chunk as well, marked
     by ``is_end``; its ``change`` is null where the status does not flip.
     """
-    boxed = F.struct(F.col("open_status").alias("status"))
-    rows = seq.df.withColumn("prev", F.lag(boxed).over(seq.window()))
+    w, there = seq.window(), F.lit(True)  # plain values: rows inside rows would double the work of the window
+    rows = seq.df.withColumns({"prev": F.lag("open_status").over(w), "is_first": F.lag(there).over(w).isNull()})
     if ends:
-        rows = rows.withColumn("is_end", F.lead(boxed).over(seq.window()).isNull())
+        rows = rows.withColumn("is_end", F.lead(there).over(w).isNull())
+    prev, cur, first = F.col("prev"), F.col("open_status"), F.col("is_first")
     if seq.split:
+        boxed = F.struct(F.col("open_status").alias("status"))
         rows = seq.carry(
             rows,
             [F.max_by(boxed, F.struct(*ORDER)).alias("last_status")],
             lambda before, after: [{"carried": F.last("last_status").over(before)}],
-        ).withColumn("prev", F.coalesce("prev", "carried")).drop("carried")
-    prev, cur = F.col("prev.status"), F.col("open_status")
+        ).withColumns({
+            "prev": F.when(first, F.col("carried.status")).otherwise(prev), "is_first": first & F.col("carried").isNull(),
+        }).drop("carried")
     if "prior_status" in seq.df.columns:
-        prev = F.when(F.col("prev").isNull(), F.col("prior_status")).otherwise(prev)
+        prev = F.when(first, F.col("prior_status")).otherwise(prev)
     change = F.when((prev == 1) & (cur == 0), 1).when((prev == 0) & (cur == 1), -1)
-    rows = rows.withColumns({"prev_status": prev, "change": change}).drop("prev")
+    rows = rows.withColumns({"prev_status": prev, "change": change}).drop("prev", "is_first")
     return seq.on(rows.where(F.col("change").isNotNull() | F.col("is_end") if ends else F.col("change").isNotNull()))
 
 

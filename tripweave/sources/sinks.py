@@ -6,12 +6,13 @@ import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tripweave.functions.clock import format_seconds
 from tripweave.schemas import RESULT_TABLES
 
 VERSIONS, COMPACTED = "_versions", "_compacted"
+_MARK = "version long, attempt string, published_at timestamp_ntz"
 
 
 def od_columns(trips: DataFrame) -> DataFrame:
@@ -111,18 +112,23 @@ def publish(tables: dict[str, DataFrame], target: str, version: int) -> None:
         out.write.parquet(f"{target}/v={version}/a={attempt}/{name}")
     spark = next(iter(tables.values())).sparkSession
     now = datetime.now(timezone.utc).replace(tzinfo=None)
-    mark = spark.createDataFrame([(version, attempt, now)], "version long, attempt string, published_at timestamp_ntz")
-    mark.coalesce(1).write.mode("append").parquet(f"{target}/{VERSIONS}")
+    mark = one_row(spark, version=F.lit(version).cast("long"), attempt=F.lit(attempt), published_at=F.lit(str(now)).cast("timestamp_ntz"))
+    mark.write.mode("append").parquet(f"{target}/{VERSIONS}")
+
+
+def one_row(spark: SparkSession, **values: Column) -> DataFrame:
+    """A row of literals, in one partition and without a Python worker."""
+    return spark.range(0, 1, 1, 1).select(*[v.alias(name) for name, v in values.items()])
 
 
 def announced(spark: SparkSession, target: str) -> DataFrame:
     """(version, attempt) of every announced version, its last attempt."""
-    marks = spark.read.parquet(f"{target}/{VERSIONS}")
+    marks = spark.read.schema(_MARK).parquet(f"{target}/{VERSIONS}")
     return marks.groupBy("version").agg(F.max_by("attempt", F.struct("published_at", "attempt")).alias("attempt"))
 
 
 def published_version(spark: SparkSession, target: str) -> int:
-    return spark.read.parquet(f"{target}/{VERSIONS}").agg(F.max("version")).first()[0]
+    return spark.read.schema(_MARK).parquet(f"{target}/{VERSIONS}").agg(F.max("version")).first()[0]
 
 
 def version_path(spark: SparkSession, target: str, version: int) -> str:

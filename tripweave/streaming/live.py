@@ -24,13 +24,14 @@ from pyspark.sql.types import StructType
 from tripweave.functions.clock import seconds_of
 from tripweave.functions.geo import cell_lat, cell_lng, center_lat, center_lng
 from tripweave.operators.clean import filter_box
-from tripweave.operators.sequence import KEYS, ORDER, sequence
+from tripweave.operators.sequence import KEYS, ORDER, listed, sequence
 from tripweave.operators.trips import clean_trips, filter_trips, measure, pair_trips, status_changes
 from tripweave.params import DEFAULTS, Params
-from tripweave.plans.board import cache_rows
+from tripweave.plans.board import board_figures, rows_of_figures
 from tripweave.schemas import LIVE_PING
+from tripweave.session import cut
 from tripweave.sources.sinks import (
-    merge_latest, publish, published_version, read_all_versions, read_published, version_path,
+    merge_latest, one_row, publish, published_version, read_all_versions, read_published, version_path,
 )
 
 LATENESS = "1 hour"
@@ -254,13 +255,13 @@ def sent_once(fresh: DataFrame, p: Params = DEFAULTS) -> DataFrame:
         return rows.groupBy(*name).agg(F.max_by(F.struct(*values), order).alias("r")).select(*name, "r.*").select(*fresh.columns)
 
     again = fresh.groupBy(*name).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*name)
-    listed = again.limit(p.max_broadcast_rows + 1).collect()
-    if not listed:
+    repeats = listed(again, p.max_broadcast_rows)
+    if repeats == []:
         return fresh
-    if len(listed) > p.max_broadcast_rows:
+    if repeats is None:
         return latest(fresh).persist(StorageLevel.MEMORY_AND_DISK)
     spark = fresh.sparkSession
-    numbers = F.broadcast(spark.createDataFrame(listed, fresh.select(*name).schema).toDF("again_vehicle", "again_seq"))
+    numbers = F.broadcast(spark.createDataFrame(repeats, fresh.select(*name).schema).toDF("again_vehicle", "again_seq"))
     same = (F.col("vehicle_id") == F.col("again_vehicle")) & F.col("seq").eqNullSafe(F.col("again_seq"))
     return fresh.join(numbers, same, "left_anti").unionByName(latest(fresh.join(numbers, same, "left_semi")))
 
@@ -281,17 +282,18 @@ def settle(batch: DataFrame, batch_id: int, target: str, p: Params = DEFAULTS, l
     passed = -(2**62)
     if batch_id > 0:
         before = version_path(spark, target, batch_id - 1)
-        passed = spark.read.parquet(f"{before}/passed").first().us
+        passed = spark.read.schema("us long").parquet(f"{before}/passed").first().us
         fresh = spark.read.parquet(f"{before}/kept").select(*named).unionByName(fresh.where(us > passed))
     fresh = fresh.where(F.col("vehicle_id").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
     rows = sent_once(fresh, p)
-    newest = rows.agg(F.max(us).alias("us")).first().us
+    timed = rows.withColumns({"service_date": F.to_date("ts"), "sec_of_day": seconds_of(F.col("ts"))})
+    days = timed.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), F.max(us).alias("us")).persist(StorageLevel.MEMORY_AND_DISK)
+    newest = days.agg(F.max("us").alias("us")).first().us
     if newest is not None:
         passed = max(passed, newest - lateness_s * 1_000_000)
     behind = us <= F.lit(passed)
-    timed = rows.withColumns({"service_date": F.to_date("ts"), "sec_of_day": seconds_of(F.col("ts"))})
     pings = filter_box(timed.where(behind & F.col("open_status").isin(0, 1)), p)
-    marked = status_changes(sequence(pings, p), ends=True)
+    marked = status_changes(sequence(pings, p, counts=days.select(*KEYS, "n")), ends=True)
     marks = marked.df.persist(StorageLevel.MEMORY_AND_DISK)  # one sort of the pings for trips, open starts and last pings
     changes = marked.on(marks.where(F.col("change").isNotNull()))
     trips = clean_trips(pair_trips(changes), p)
@@ -302,25 +304,28 @@ def settle(batch: DataFrame, batch_id: int, target: str, p: Params = DEFAULTS, l
     })
     ping = F.struct(*named[:-1])
     place = F.struct(*ORDER)
-    last = marks.where("is_end").groupBy(*KEYS).agg(F.max_by(ping, place).alias("r")).select(
-        "service_date", "r.*", F.lit(None).cast("int").alias("prior_status")
-    )
-    opened = changes.df.groupBy(*KEYS).agg(
+    last = marks.where("is_end").groupBy(*KEYS).agg(
+        F.max_by(ping, place).alias("r"), F.max_by(F.coalesce("change", F.lit(0)), place).alias("change")
+    ).where(F.col("change") != 1).select("service_date", "r.*", F.lit(None).cast("int").alias("prior_status"))
+    # of the changes only the last of every day and chunk; an open start that is the last ping is kept once, as the start
+    final = changes.df.withColumn("later", F.lead("change").over(changes.window())).where(F.col("later").isNull())
+    opened = final.groupBy(*KEYS).agg(
         F.max_by(ping, place).alias("r"), F.max_by("change", place).alias("change")
     ).where(F.col("change") == 1).select("service_date", "r.*", F.lit(1).alias("prior_status"))
     # days before the watermark's are over
     context = last.unionByName(opened).where(F.col("service_date") >= F.to_date(F.timestamp_micros(F.lit(passed))))
     kept = context.select(*named).unionByName(rows.where(~behind).select(*named))
-    mark = spark.createDataFrame([(passed,)], "us long")
+    mark = one_row(spark, us=F.lit(passed).cast("long"))
     publish({"trips": trips, "kept": kept, "passed": mark}, target, batch_id)
-    for kept_in_memory in (marks, rows, fresh):
+    for kept_in_memory in (marks, days, rows, fresh):
         kept_in_memory.unpersist()
 
 
 def close(spark: SparkSession, target: str, p: Params = DEFAULTS) -> None:
     """Settles what is still ahead of the watermark, once the pings have ended."""
     version = published_version(spark, target)
-    settle(spark.createDataFrame([], LIVE_PING), version + 1, target, p, lateness_s=-2 * 86_400)
+    none = spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in LIVE_PING])
+    settle(none, version + 1, target, p, lateness_s=-2 * 86_400)
 
 
 def start_settling(
@@ -343,11 +348,11 @@ def refresh_whole_board(
 ) -> None:
     """KPI, heat, trend, period and hourly rows of all trips settled so far.
 
-    Built from the settled trips by the batch functions, so the rows equal the batch
-    board's; the ranking needs a clustering and is left to batch. Every refresh reads the
-    settled trips, a row per trip: keep one store a day.
+    Counted in one pass over the settled trips, a row per trip: keep one store a day. The
+    rows equal the batch board's; the ranking needs a clustering and is left to batch.
     """
-    publish({"realtime_stats": cache_rows(settled_trips(spark, trips_target), None, p)}, board_target, version)
+    figures = cut(board_figures(settled_trips(spark, trips_target), p))
+    publish({"realtime_stats": rows_of_figures(figures, p)}, board_target, version)
 
 
 def start_whole_board(
